@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.columns import mask_digits, mask_email, pct, salted_hash
 from tidewater.operators.agg import exact_quantiles, modes
 from tidewater.operators.rel import with_group_stats
+from tidewater.sources.durable import durable
 from tidewater.sources.io import scalar
 
 
@@ -78,7 +79,7 @@ def impute_group_mean(df: DataFrame, keys: list[str], column: str, spread: list[
 def iqr_outliers(df: DataFrame, column: str, factor: float = 1.5, exact: bool = False) -> DataFrame:
     """Rows outside the quartile fences; a bounded sketch by default, exact quartiles on request."""
     if exact:
-        q = exact_quantiles(df, [], column, continuous=False, q1=0.25, q3=0.75)
+        q = durable(exact_quantiles(df, [], column, continuous=False, q1=0.25, q3=0.75), "quartiles")
         q1, q3 = scalar(q, F.max("q1")), scalar(q, F.max("q3"))
     else:
         q1, q3 = (scalar(df, F.percentile_approx(column, p, 10000)) for p in (0.25, 0.75))

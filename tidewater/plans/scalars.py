@@ -8,7 +8,7 @@ from tidewater.plans.registry import query
 AS_OF = "2002-01-01"
 
 
-@query("SELECT p_partkey, upper(p_name) AS up, lower(p_brand) AS low, array_to_string(list_transform(string_split(p_name, ' '), x -> upper(x[1]) || x[2:]), ' ') AS title FROM part")
+@query("SELECT p_partkey, upper(p_name) AS up, lower(p_brand) AS low, array_to_string(list_transform(string_split(p_name, ' '), lambda x: upper(x[1]) || x[2:]), ' ') AS title FROM part")
 def f01_case_change(t):
     return t.part.select("p_partkey", F.upper("p_name").alias("up"), F.lower("p_brand").alias("low"), F.initcap("p_name").alias("title"))
 
