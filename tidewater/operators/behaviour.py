@@ -139,22 +139,35 @@ def converted_within(df: DataFrame, user: str, time: str, tie: str, stage: str,
     return seen.filter((F.col(stage) == goal) & (gap <= hours * 3600)).select(user).distinct()
 
 
-def rolling_active(df: DataFrame, user: str, time: str, days: int) -> DataFrame:
-    """Distinct users in each trailing ``days`` window, one row per calendar day.
+def trailing_distinct(df: DataFrame, keys: list[str], member: str, time: str, days: int, name: str = "members") -> DataFrame:
+    """Distinct members in the trailing ``days`` window at every date where that number changes.
 
-    A user's active days are merged to coverage intervals; +1 / -1 events per day are summed, so
-    the cost follows distinct (user, day) rows and not window length.
+    A member's dates become coverage intervals; +1 / -1 steps are summed per date and run up, so
+    the cost follows distinct (key, member, date) rows and not the window length.
     """
-    seen = df.select(user, F.to_date(time).alias("_d")).distinct()
-    nxt = F.lead("_d").over(Window.partitionBy(user).orderBy("_d"))
-    ends = F.least(F.date_add("_d", days), F.coalesce(nxt, F.date_add("_d", days)))
-    spans = seen.withColumn("_end", ends)
-    steps = (spans.select(F.col("_d").alias("day"), F.lit(1).alias("step"))
-             .unionByName(spans.select(F.col("_end").alias("day"), F.lit(-1).alias("step")))
-             .groupBy("day").agg(F.sum("step").alias("step")))
+    seen = df.select(*keys, member, F.to_date(time).alias("day")).distinct()
+    nxt = F.lead("day").over(Window.partitionBy(*keys, member).orderBy("day"))      # one row per date
+    spans = seen.withColumn("_end", F.least(F.date_add("day", days), F.coalesce(nxt, F.date_add("day", days))))
+    steps = (spans.select(*keys, "day", F.lit(1).alias("_step"))
+             .unionByName(spans.select(*keys, F.col("_end").alias("day"), F.lit(-1).alias("_step")))
+             .groupBy(*keys, "day").agg(F.sum("_step").alias("_step")))
+    return scan(steps, keys, ["day"], **{name: ("sum", "_step")}).drop("_step")
+
+
+def rolling_active(df: DataFrame, user: str, time: str, days: int) -> DataFrame:
+    """Distinct users in each trailing ``days`` window, one row per calendar day."""
+    changes = trailing_distinct(df, [], user, time, days, "active")
     bounds = df.agg(F.to_date(F.min(time)).alias("lo"), F.to_date(F.max(time)).alias("hi"))
-    line = spine(bounds, "lo", "hi").join(steps, "day", "left").fillna(0, ["step"])
-    return scan(line, [], ["day"], active=("sum", "step")).drop("step")
+    line = spine(bounds, "lo", "hi").join(changes, "day", "left")
+    return scan(line, [], ["day"], _now=("last", "active")).select("day", F.col("_now").alias("active"))
+
+
+def covered_days(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """Days covered by at least one [start, end) interval per key; overlaps count once."""
+    top = scan(df.select(*keys, start, end), keys, [start, end], _reach=("max", end))
+    seen = reach_back(top, keys, [start, end], 1, _before=lambda w: F.lag("_reach").over(w))
+    fresh = F.datediff("_reach", F.greatest(F.col(start), F.coalesce("_before", start)))
+    return seen.groupBy(*keys).agg(F.sum(F.greatest(fresh, F.lit(0))).alias("covered"))
 
 
 def velocity(df: DataFrame, keys: list[str], time: str, seconds: int, at_least: int) -> DataFrame:

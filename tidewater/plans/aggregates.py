@@ -156,9 +156,9 @@ def a25_share_of_total(t):
     return agg.share_of_total(rows, ["p_type"], F.col("l_extendedprice")).withColumn("value", F.round("value", 2))
 
 
-@query("""SELECT p_type, round(sum(CASE WHEN l_linestatus = 'O' THEN l_extendedprice * (1 - l_discount) END), 2) AS open_net, round(sum(CASE WHEN l_linestatus = 'F' THEN l_extendedprice * (1 - l_discount) END), 2) AS filled_net,
+@query("""SELECT p_type, round(sum(CASE WHEN l_linestatus = 'O' THEN l_extendedprice * (1 - l_discount) END), 4) AS open_net, round(sum(CASE WHEN l_linestatus = 'F' THEN l_extendedprice * (1 - l_discount) END), 4) AS filled_net,
           round(100.0 * count(CASE WHEN l_linestatus = 'O' THEN 1 END) / count(*), 6) AS open_pct FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def a26_variant_split(t):
-    side = lambda s: F.round(F.sum(F.when(F.col("l_linestatus") == s, line_revenue())), 2)
+    side = lambda s: F.round(F.sum(F.when(F.col("l_linestatus") == s, line_revenue())), 4)
     return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type")
             .agg(side("O").alias("open_net"), side("F").alias("filled_net"), pct(F.count_if(F.col("l_linestatus") == "O"), F.count("*")).alias("open_pct")))

@@ -80,11 +80,11 @@ def b27_rfm(t):
     return out.select("o_custkey", "r", "f", "m", "rfm", "segment")
 
 
-@query("""SELECT o_custkey, round(sum(o_totalprice), 2) AS total, count(*) AS orders, round(avg(o_totalprice), 4) AS avg_order, date_diff('day', min(o_orderdate), max(o_orderdate)) AS tenure_days,
-          round(sum(o_totalprice) / greatest(date_diff('day', min(o_orderdate), max(o_orderdate)) / 30.0, 1.0), 4) AS monthly_value FROM orders GROUP BY 1""")
+@query("""SELECT o_custkey, round(sum(o_totalprice), 2) AS total, count(*) AS orders, round(avg(o_totalprice), 6) AS avg_order, date_diff('day', min(o_orderdate), max(o_orderdate)) AS tenure_days,
+          round(sum(o_totalprice) / greatest(date_diff('day', min(o_orderdate), max(o_orderdate)) / 30.0, 1.0), 6) AS monthly_value FROM orders GROUP BY 1""")
 def b28_lifetime_value(t):
     out = C.lifetime_value(t.orders, "o_custkey", "o_orderdate", "o_totalprice")
-    return out.withColumns({"total": F.round("total", 2), "avg_order": F.round("avg_order", 4), "monthly_value": F.round("monthly_value", 4)})
+    return out.withColumns({"total": F.round("total", 2), "avg_order": F.round("avg_order", 6), "monthly_value": F.round("monthly_value", 6)})
 
 
 PART_VALUE = "v AS (SELECT l_partkey, round(sum(l_extendedprice), 2) AS value FROM lineitem GROUP BY 1), c AS (SELECT *, sum(value) OVER (ORDER BY value DESC, l_partkey ROWS UNBOUNDED PRECEDING) / (SELECT sum(value) FROM v) AS s FROM v)"
@@ -211,10 +211,10 @@ def b44_calendar_split(t):
 
 
 @query("""SELECT unit, CAST(CASE unit WHEN 'day' THEN l_shipdate::DATE WHEN 'week' THEN date_trunc('week', l_shipdate)::DATE WHEN 'month' THEN date_trunc('month', l_shipdate)::DATE ELSE date_trunc('quarter', l_shipdate)::DATE END AS VARCHAR) AS period,
-          round(sum(l_extendedprice * (1 - l_discount)), 2) AS net FROM lineitem, (VALUES ('day'), ('week'), ('month'), ('quarter')) u(unit) GROUP BY 1, 2""")
+          round(sum(l_extendedprice * (1 - l_discount)), 4) AS net FROM lineitem, (VALUES ('day'), ('week'), ('month'), ('quarter')) u(unit) GROUP BY 1, 2""")
 def b45_period_totals(t):
     daily = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(F.sum(line_revenue()).alias("v"))
-    units = [daily.groupBy(F.lit(u).alias("unit"), F.to_date(F.date_trunc(u, "d")).cast("string").alias("period")).agg(F.round(F.sum("v"), 2).alias("net")) for u in ("day", "week", "month", "quarter")]
+    units = [daily.groupBy(F.lit(u).alias("unit"), F.to_date(F.date_trunc(u, "d")).cast("string").alias("period")).agg(F.round(F.sum("v"), 4).alias("net")) for u in ("day", "week", "month", "quarter")]
     return units[0].unionByName(units[1]).unionByName(units[2]).unionByName(units[3])
 
 

@@ -34,13 +34,13 @@ def b02_highest_and_lowest(t):
     return side(True, "highest").unionByName(side(False, "lowest"))
 
 
-@query("""SELECT p_type, p_partkey, round(revenue, 2) AS revenue, rk FROM (SELECT p_type, p_partkey, sum(l_extendedprice * (1 - l_discount)) AS revenue, rank() OVER (PARTITION BY p_type ORDER BY sum(l_extendedprice * (1 - l_discount)) DESC) AS rk
+@query("""SELECT p_type, p_partkey, round(revenue, 4) AS revenue, rk FROM (SELECT p_type, p_partkey, sum(l_extendedprice * (1 - l_discount)) AS revenue, rank() OVER (PARTITION BY p_type ORDER BY sum(l_extendedprice * (1 - l_discount)) DESC) AS rk
           FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2) WHERE rk <= 5""")
 def b03_top_n_per_category(t):
     # revenue is summed per part before the join, so the join sees one row per part
     sold = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.sum(line_revenue()).alias("revenue"))
     sums = t.part.select("p_partkey", "p_type").join(sold, "p_partkey")
-    return rel.top_k(sums, ["p_type"], ["-revenue"], 5, "all").select("p_type", "p_partkey", F.round("revenue", 2).alias("revenue"), "rk")
+    return rel.top_k(sums, ["p_type"], ["-revenue"], 5, "all").select("p_type", "p_partkey", F.round("revenue", 4).alias("revenue"), "rk")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_totalprice > avg(o_totalprice) OVER (PARTITION BY o_orderpriority) THEN 'above' WHEN o_totalprice < avg(o_totalprice) OVER (PARTITION BY o_orderpriority) THEN 'below' ELSE 'equal' END AS side FROM orders""")
@@ -157,5 +157,5 @@ def b19_missing_values(t):
     # ids are read off the gaps between neighbours: no list of all ids is built
     ids = t.lineitem.select(F.col("l_orderkey").alias("id")).distinct()
     after = reach_back(ids, [], ["id"], 1, before=lambda w: F.lag("id").over(w)).filter("id > before + 1")
-    holes = after.select(F.lit("order").alias("kind"), F.explode(F.sequence(F.col("before") + 1, F.col("id") - 1)).cast("string").alias("missing"))
+    holes = after.select(F.explode(F.sequence(F.col("before") + 1, F.col("id") - 1)).alias("id")).select(F.lit("order").alias("kind"), F.col("id").cast("string").alias("missing"))
     return days.unionByName(holes)

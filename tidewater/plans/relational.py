@@ -264,7 +264,7 @@ def j15_table_difference(t):
     return rel.differences(left, right, ["k"], ["v", "g"])
 
 
-@query("""SELECT r_name, p_type, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+@query("""SELECT r_name, p_type, round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey
           JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
           JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""")
 def j16_star_join(t):
@@ -273,7 +273,7 @@ def j16_star_join(t):
             .join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
             .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-            .groupBy("r_name", "p_type").agg(F.round(F.sum(line_revenue()), 2).alias("revenue")))
+            .groupBy("r_name", "p_type").agg(F.round(F.sum(line_revenue()), 4).alias("revenue")))
 
 
 @query("""WITH a AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS rn FROM customer WHERE c_mktsegment = 'HOUSEHOLD'),
