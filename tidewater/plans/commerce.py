@@ -279,9 +279,9 @@ def b85_word_counts(t):
     return per_doc.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("docs"))
 
 
-@query("""WITH i AS (SELECT o_orderkey, o_orderstatus, 1 + unnest(range(1 + o_orderkey % 3)) AS item_id, o_totalprice FROM orders), x AS (SELECT o_orderkey, o_orderstatus, item_id, round(o_totalprice / item_id, 2) AS price FROM i) SELECT o_orderkey AS order_id, count(*) AS items, round(sum(price), 2) AS total, o_orderstatus = 'F' AS failed FROM x GROUP BY 1, o_orderstatus""")
+@query("""WITH i AS (SELECT o_orderkey, o_orderstatus, 1 + unnest(range(1 + o_orderkey % 3)) AS item_id, o_totalprice FROM orders), x AS (SELECT o_orderkey, o_orderstatus, item_id, round(o_totalprice * item_id, 2) AS price FROM i) SELECT o_orderkey AS order_id, count(*) AS items, round(sum(price), 2) AS total, o_orderstatus = 'F' AS failed FROM x GROUP BY 1, o_orderstatus""")
 def b86_nested_orders(t):
-    item = lambda i: F.struct(i.alias("item_id"), F.round(F.col("o_totalprice") / i, 2).alias("price"))
+    item = lambda i: F.struct(i.alias("item_id"), F.round(F.col("o_totalprice") * i, 2).alias("price"))
     docs = t.orders.select(F.col("o_orderkey").alias("order_id"), F.struct(F.col("o_orderstatus").alias("status")).alias("payment"), F.transform(F.sequence(F.lit(1).cast("long"), 1 + F.col("o_orderkey") % 3), item).alias("items"))
     flat = docs.select("order_id", "payment.status", F.explode("items").alias("item"))
     return flat.groupBy("order_id", (F.col("status") == "F").alias("failed")).agg(F.count("*").alias("items"), F.round(F.sum("item.price"), 2).alias("total"))
