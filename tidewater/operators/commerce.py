@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.columns import growth
 from tidewater.operators.ordered import reach_back, scan
 from tidewater.operators.rel import attach
+from tidewater.sources.durable import durable
 
 
 def pair_counts(df: DataFrame, group: str, item: str, min_support: int = 1, big: int = 1000) -> DataFrame:
@@ -18,16 +19,16 @@ def pair_counts(df: DataFrame, group: str, item: str, min_support: int = 1, big:
     a frequent pair then occurs in some small group too, so it is only looked up in them. With a
     lower support their pairs are results themselves and are made in blocks over many tasks.
     """
-    rows = df.select(group, item).distinct()
+    rows = durable(df.select(group, item).distinct(), "items")
     if min_support > 1:
         enough = rows.groupBy(item).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= min_support)
         rows = attach(rows, enough, [item], spread=[group])
     sizes = rows.groupBy(group).agg(F.count("*").alias("_rows"))
-    sized = attach(rows, sizes.withColumn("_size", F.col("_rows")), [group], spread=[item])
+    sized = durable(attach(rows, sizes.withColumn("_size", F.col("_rows")), [group], spread=[item]), "baskets")
     small = sized.filter(F.col("_size") <= big).select(group, item)
     pairs = (small.withColumnRenamed(item, "item_a").join(small.withColumnRenamed(item, "item_b"), group)
              .filter("item_a < item_b"))
-    large_groups = sizes.filter(F.col("_rows") > big).count()
+    large_groups = sized.filter(F.col("_size") > big).select(group).distinct().count()
     if large_groups == 0:
         return pairs.groupBy("item_a", "item_b").agg(F.count("*").alias("support")).filter(F.col("support") >= min_support)
     large = sized.filter(F.col("_size") > big)

@@ -1,9 +1,11 @@
 """Ordered computations that do not depend on one task holding one key.
 
-A window with ``partitionBy(key)`` puts a key's rows on one task. These operators range-partition
-the rows by (key, order) instead, so a large key, or no key at all, is cut into slices. Inside
-a slice an ordinary window runs; what crosses a slice border is carried over by a table with at
-most two rows per slice, which is therefore safe to broadcast.
+A window with ``partitionBy(key)`` puts a key's rows on one task. That is the cheapest plan while
+every key is small, so the operators count the rows per key first (a scan of the key columns with
+map-side combining). Beyond ``spark.tidewater.plainRows`` rows in one key they range-partition
+the rows by (key, order) instead: a large key, or no key at all, is cut into slices. Inside a slice
+an ordinary window runs; what crosses a slice border is carried over by a table with at most two
+rows per slice, which is therefore safe to broadcast. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidewater.sources.durable import durable
+from tidewater.sources.durable import durable, plain_rows, settled
 
 SLICE = "_slice"
 SLICE_BYTES = 64 << 20
@@ -42,6 +44,13 @@ def slice_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return durable(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
+def keys_are_small(df: DataFrame, keys: list[str]) -> bool:
+    """True when no key has more rows than one task may handle; one number reaches the driver."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest = counts.agg(F.max("_n")).first()[0] or 0
+    return largest <= plain_rows(df.sparkSession)
+
+
 def _fold(kind: str, col: Column) -> Column:
     return {
         "sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
@@ -82,6 +91,10 @@ def scan(df: DataFrame, keys: list[str], order: list[str],
     ``order`` should be total within a key; ``keys=[]`` gives one global sequence.
     """
     columns = {n: (k, F.col(c) if isinstance(c, str) else c) for n, (k, c) in running.items()}
+    df = settled(df)
+    if keys_are_small(df, keys):
+        w = _keys_window(keys).orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(*df.columns, *[_fold(k, c).over(w).alias(n) for n, (k, c) in columns.items()])
     inputs = {f"_in_{n}": c for n, (_, c) in columns.items()}
     rows = slice_rows(df.withColumns(inputs), keys, order)
     here = (Window.partitionBy(SLICE, *keys).orderBy(*sort_columns(order))
@@ -117,6 +130,10 @@ def reach_back(df: DataFrame, keys: list[str], order: list[str], rows_back: int,
     Look-ahead is the same with the order reversed. Rows near a slice border are recomputed
     from the border rows alone (at most 4 x rows_back per slice).
     """
+    df = settled(df)
+    if keys_are_small(df, keys):
+        w = _keys_window(keys).orderBy(*sort_columns(order))
+        return df.select(*df.columns, *[e(w).alias(n) for n, e in exprs.items()])
     rows = slice_rows(df, keys, order)
     here = Window.partitionBy(SLICE, *keys).orderBy(*sort_columns(order))
     spans = (rows.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_size"))
@@ -174,6 +191,7 @@ def rank_table(df: DataFrame, keys: list[str], value: str, descending: bool = Fa
     from tidewater.operators.rel import attach
 
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows"))
+    counts = settled(counts, "counts")
     if keys:
         sized = attach(counts, counts.groupBy(*keys).agg(F.sum("rows").alias("total"),
                                                          F.count(F.lit(1)).alias("_rows")), keys)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.ordered import estimated_bytes, sort_columns
+from tidewater.sources.durable import plain_rows, settled
 
 HOT_SHARE = 1000      # a key is hot above 1/1000 of all rows, so at most 1000 keys are hot
 SALTS = 64
@@ -24,22 +25,27 @@ def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inn
            spread: list[str] | None = None, salts: int = SALTS) -> DataFrame:
     """Join rows to a one-row-per-key table whose ``_rows`` column counts the key's rows.
 
-    Hot keys (known from ``_rows``) are salted on the row side and replicated on the other, so
-    no task receives a whole hot key. ``_rows`` is dropped from the result.
+    The table is written once, so its true size decides about broadcasting and the largest
+    ``_rows`` about skew. With a key above ``spark.tidewater.plainRows`` rows, the hot keys are
+    salted on the row side and replicated on the other, so no task receives a whole hot key.
+    ``_rows`` is dropped from the result.
     """
     if not keys:
         raise ValueError("use a scalar subquery for a keyless aggregate")
-    total = per_key.agg(F.sum("_rows")).scalar()
+    per_key = settled(per_key, "per_key")
+    values = [c for c in per_key.columns if c not in (*keys, "_rows")]
+    largest, total = per_key.agg(F.max("_rows"), F.sum("_rows")).first()
+    if (largest or 0) <= plain_rows(rows.sparkSession):
+        plain = per_key.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *values)
+        return rows.join(plain, _same(keys, "_key_"), how).select(*rows.columns, *values)
     is_hot = F.col("_rows") * HOT_SHARE > total
-    renamed = {k: f"_key_{k}" for k in keys}
     hot = (per_key.filter(is_hot).select(*keys).withColumnsRenamed({k: f"_hot_{k}" for k in keys})
            .withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), _salt(rows, spread, salts)).otherwise(F.lit(0))
     salted = (rows.join(F.broadcast(hot), _same(keys, "_hot_"), "left")      # at most HOT_SHARE rows
               .select(*rows.columns, salt.alias("_salt")))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    values = [c for c in per_key.columns if c not in (*keys, "_rows")]
-    spread_out = per_key.select(*[F.col(k).alias(n) for k, n in renamed.items()], *values,
+    spread_out = per_key.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *values,
                                 F.explode(copies).alias("_key__salt"))
     return (salted.join(spread_out, _same([*keys, "_salt"], "_key_"), how)
             .select(*rows.columns, *values))
@@ -88,9 +94,15 @@ def top_k(df: DataFrame, keys: list[str], order: list[str], k: int, ties: str =
     The rank filter is pushed below the shuffle as a per-task group limit.
     """
     rank = {"first": F.row_number, "all": F.rank}[ties]()
-    w = Window.partitionBy(*keys).orderBy(*sort_columns(order)) if keys else Window.partitionBy(
-        F.lit(0)).orderBy(*sort_columns(order))
-    return df.withColumn(name, rank.over(w)).filter(F.col(name) <= k)
+    if keys:
+        w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+        return df.withColumn(name, rank.over(w)).filter(F.col(name) <= k)
+    best = df.orderBy(*sort_columns(order)).limit(k)                # k rows
+    if ties == "all":
+        names = [o.lstrip("-") for o in order]
+        cut = best.select(*names).distinct()
+        best = df.join(F.broadcast(cut.withColumnsRenamed({n: f"_cut_{n}" for n in names})), _same(names, "_cut_"), "left_semi")
+    return best.withColumn(name, rank.over(Window.partitionBy(F.lit(0)).orderBy(*sort_columns(order))))
 
 
 def nth_distinct(df: DataFrame, keys: list[str], value: str, n: int, descending: bool = True) -> DataFrame:
@@ -107,6 +119,16 @@ def best_rows(df: DataFrame, keys: list[str], value: str, highest: bool = True)
     return df.join(best, [*keys, value], "left_semi")
 
 
+def present(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key occurs in ``other``; its keys are made distinct before they are shuffled."""
+    return df.join(other.select(*keys).distinct(), keys, "left_semi")
+
+
+def absent(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key does not occur in ``other``."""
+    return df.join(other.select(*keys).distinct(), keys, "left_anti")
+
+
 def differences(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Keys present on one side only, or with a differing column; null-safe."""
     a = left.select(*keys, F.struct(*columns).alias("_l"), F.lit(True).alias("_in_l"))

@@ -231,7 +231,7 @@ def b78_group_winner(t):
 def b79_exclusive_winners(t):
     urgent = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_custkey").distinct()
     other = t.orders.filter(F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW")).select("o_custkey")
-    return urgent.join(other, "o_custkey", "left_anti")
+    return rel.absent(urgent, other, ["o_custkey"])
 
 
 @query("""WITH e AS (SELECT DISTINCT c_nationkey AS a, s_nationkey AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity = 50 AND l_discount = 0.1 AND l_returnflag = 'R') SELECT DISTINCT x.a AS origin, x.b AS via, y.b AS destination FROM e x JOIN e y ON x.b = y.a AND x.a <> y.b""")

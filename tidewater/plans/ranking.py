@@ -86,7 +86,7 @@ def b09_remove_duplicates(t):
 def b10_never_did(t):
     buyers = t.orders.filter(F.year("o_orderdate") == 1999).select(F.col("o_custkey").alias("id"))
     sold = t.lineitem.filter("l_shipdate >= '2001-01-01'").select(F.col("l_partkey").alias("id"))
-    absent = lambda df, key, did, kind: df.select(F.col(key).alias("id")).join(did, "id", "left_anti").select(F.lit(kind).alias("kind"), "id")
+    absent = lambda df, key, did, kind: rel.absent(df.select(F.col(key).alias("id")), did, ["id"]).select(F.lit(kind).alias("kind"), "id")
     return absent(t.customer, "c_custkey", buyers, "customer").unionByName(absent(t.part, "p_partkey", sold, "part"))
 
 

@@ -99,8 +99,8 @@ def p13_quantified_subqueries(t):
     bal = F.col("c_acctbal")
     quantified = c.filter((bal < at(3, F.max)) & (bal > at(7, F.max))).select("c_custkey", F.lit("any_all").alias("test"))
     big = lambda low: o.filter(F.col("o_totalprice") > low).select(F.col("o_custkey").alias("c_custkey"))
-    exists = c.join(big(490000), "c_custkey", "left_semi").select("c_custkey", F.lit("exists").alias("test"))
-    absent = c.join(big(250000), "c_custkey", "left_anti").select("c_custkey", F.lit("not_in").alias("test"))
+    exists = rel.present(c, big(490000), ["c_custkey"]).select("c_custkey", F.lit("exists").alias("test"))
+    absent = rel.absent(c, big(250000), ["c_custkey"]).select("c_custkey", F.lit("not_in").alias("test"))
     return quantified.unionByName(exists).unionByName(absent)
 
 
@@ -166,13 +166,13 @@ def j04_full_outer_join(t):
 @query("""SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND year(o_orderdate) = 1997)""")
 def j05_anti_join(t):
     active = t.orders.filter(F.year("o_orderdate") == 1997).select(F.col("o_custkey").alias("c_custkey"))
-    return t.customer.join(active, "c_custkey", "left_anti").select("c_custkey")
+    return rel.absent(t.customer, active, ["c_custkey"]).select("c_custkey")
 
 
 @query("""SELECT p_partkey FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity = 50 AND l_returnflag = 'R')""")
 def j06_semi_join(t):
     sold = t.lineitem.filter("l_quantity = 50 and l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
-    return t.part.join(sold, "p_partkey", "left_semi").select("p_partkey")
+    return rel.present(t.part, sold, ["p_partkey"]).select("p_partkey")
 
 
 @query("""SELECT s_suppkey FROM supplier LEFT JOIN (SELECT DISTINCT l_suppkey FROM lineitem WHERE l_discount = 0.1 AND l_quantity = 1) x
@@ -362,10 +362,10 @@ def u02_union_distinct(t):
 @query("SELECT o_custkey AS custkey FROM orders WHERE year(o_orderdate) = 1996 INTERSECT SELECT o_custkey FROM orders WHERE year(o_orderdate) = 2000")
 def u03_intersect(t):
     year = lambda y: t.orders.filter(F.year("o_orderdate") == y).select(F.col("o_custkey").alias("custkey"))
-    return year(1996).intersect(year(2000))
+    return year(1996).distinct().intersect(year(2000).distinct())
 
 
 @query("""SELECT l_partkey AS partkey FROM lineitem WHERE l_returnflag = 'R' EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 30""")
 def u04_except(t):
     parts = lambda cond: t.lineitem.filter(cond).select(F.col("l_partkey").alias("partkey"))
-    return parts("l_returnflag = 'R'").subtract(parts("l_returnflag = 'A' and l_quantity > 30"))
+    return rel.absent(parts("l_returnflag = 'R'").distinct(), parts("l_returnflag = 'A' and l_quantity > 30"), ["partkey"])

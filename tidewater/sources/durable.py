@@ -7,6 +7,7 @@ of one machine would be lost with it.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,3 +38,21 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHUFFLING = re.compile(r"^[\s:+\-|~!]*(Join|Aggregate|Window|Sort|Distinct|Deduplicate|Repartition\w*|Generate|Union)\b", re.M)
+
+
+def settled(df: DataFrame, label: str = "input") -> DataFrame:
+    """``df`` itself when it is a plain scan, else its result written once.
+
+    Operators that first measure their input (key sizes, range bounds) would otherwise repeat the
+    whole upstream work for each measurement.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return durable(df, label) if _SHUFFLING.search(plan) else df
+
+
+def plain_rows(spark: SparkSession) -> int:
+    """Rows of one key that a single task may handle (``spark.tidewater.plainRows``)."""
+    return int(spark.conf.get("spark.tidewater.plainRows", "1000000"))
