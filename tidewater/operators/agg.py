@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.columns import ratio
 from tidewater.operators.ordered import scan
 from tidewater.operators.rel import attach, best_rows
+from tidewater.sources.durable import settled
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, continuous: bool = True,
@@ -20,7 +21,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, continuous: bool
     """
     one = keys or ["_all"]
     base = df if keys else df.withColumn("_all", F.lit(0))
-    counts = base.filter(F.col(value).isNotNull()).groupBy(*one, value).agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = settled(base.filter(F.col(value).isNotNull()).groupBy(*one, value).agg(F.count(F.lit(1)).alias("_cnt")), "counts")
     totals = counts.groupBy(*one).agg(F.sum("_cnt").alias("_total"), F.count(F.lit(1)).alias("_rows"))
     run = scan(attach(counts, totals, one), one, [value], _cum=("sum", "_cnt"))
     aggs: list[Column] = []

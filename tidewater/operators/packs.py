@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.columns import bands
 from tidewater.operators.ordered import rank_table
+from tidewater.sources.durable import settled
 
 
 @dataclass(frozen=True)
@@ -66,6 +67,7 @@ def run(pack: Pack, df: DataFrame) -> DataFrame:
         out = out.withColumn(name, bands(F.col(measure), *edges, other=other))
     if pack.rank:
         name, measure = pack.rank
+        out = settled(out, "pack")
         ranks = rank_table(out, [], measure, descending=True).select(measure, F.col("rank").alias(name))
         out = out.join(ranks, measure)
     return out

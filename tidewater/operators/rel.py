@@ -116,7 +116,7 @@ def best_rows(df: DataFrame, keys: list[str], value: str, highest: bool = True)
     """All rows holding the best value of their key: one aggregate and a semi join."""
     pick = F.max if highest else F.min
     best = df.groupBy(*keys).agg(pick(value).alias(value))
-    return df.join(best, [*keys, value], "left_semi")
+    return df.join(best, [*keys, value], "left_semi").select(*df.columns)
 
 
 def present(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
