@@ -10,12 +10,13 @@ from tidewater.operators import agg
 
 def test_exact_quantiles_match_numpy(spark, both_ways):
     rnd = random.Random(2)
-    data = [("hot" if i % 3 == 0 else rnd.choice("ab"), float(rnd.randrange(40))) for i in range(301)] + [("one", 7.0), ("a", None)]
+    data = [("hot" if i % 3 == 0 else rnd.choice("ab"), float(rnd.randrange(40))) for i in range(301)] + [("one", 7.0), ("a", None), ("nulls", None)]
     df = spark.createDataFrame(data, "k string, v double")
     got = {r.k: (r.m, r.q) for r in agg.exact_quantiles(df, ["k"], "v", m=0.5, q=0.9).collect()}
     for key in ("hot", "a", "b", "one"):
         values = [v for k, v in data if k == key and v is not None]
         assert got[key] == (pytest.approx(np.quantile(values, 0.5)), pytest.approx(np.quantile(values, 0.9)))
+    assert got["nulls"] == (None, None)
     low = agg.exact_quantiles(df, [], "v", continuous=False, m=0.5).first().m
     assert low == np.quantile([v for _, v in data if v is not None], 0.5, method="inverted_cdf")
 

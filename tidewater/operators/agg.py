@@ -21,11 +21,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, continuous: bool
     """
     one = keys or ["_all"]
     base = df if keys else df.withColumn("_all", F.lit(0))
-    counts = settled(base.filter(F.col(value).isNotNull()).groupBy(*one, value).agg(F.count(F.lit(1)).alias("_cnt")), "counts")
+    # null values count zero, so a key with nulls only still gets its row
+    counts = settled(base.groupBy(*one, value).agg(F.count(value).alias("_cnt")), "counts")
     totals = counts.groupBy(*one).agg(F.sum("_cnt").alias("_total"), F.count(F.lit(1)).alias("_rows"))
     run = scan(attach(counts, totals, one), one, [value], _cum=("sum", "_cnt"))
     aggs: list[Column] = []
-    keep = F.lit(False)
     for name, p in points.items():
         place = (F.col("_total") - 1) * F.lit(p) + 1
         low, high = (F.floor(place), F.ceil(place)) if continuous else (
@@ -35,8 +35,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, continuous: bool
         at_high = F.max(F.when(holds(high), F.col(value).cast("double")))
         share = F.max(place - F.floor(place)) if continuous else F.lit(0.0)
         aggs.append((at_low + (at_high - at_low) * share).alias(name))
-        keep = keep | holds(low) | holds(high)
-    out = run.filter(keep).groupBy(*one).agg(*aggs)
+    out = run.groupBy(*one).agg(*aggs)
     return out if keys else out.drop("_all")
 
 

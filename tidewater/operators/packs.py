@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.columns import bands
 from tidewater.operators.ordered import rank_table
+from tidewater.operators.rel import match
 from tidewater.sources.durable import settled
 
 
@@ -69,5 +70,5 @@ def run(pack: Pack, df: DataFrame) -> DataFrame:
         name, measure = pack.rank
         out = settled(out, "pack")
         ranks = rank_table(out, [], measure, descending=True).select(measure, F.col("rank").alias(name))
-        out = out.join(ranks, measure)
+        out = match(out, ranks, [measure])
     return out

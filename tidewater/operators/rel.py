@@ -36,8 +36,7 @@ def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inn
     values = [c for c in per_key.columns if c not in (*keys, "_rows")]
     largest, total = per_key.agg(F.max("_rows"), F.sum("_rows")).first()
     if (largest or 0) <= plain_rows(rows.sparkSession):
-        plain = per_key.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *values)
-        return rows.join(plain, _same(keys, "_key_"), how).select(*rows.columns, *values)
+        return match(rows, per_key.drop("_rows"), keys, how)
     is_hot = F.col("_rows") * HOT_SHARE > total
     hot = (per_key.filter(is_hot).select(*keys).withColumnsRenamed({k: f"_hot_{k}" for k in keys})
            .withColumn("_hot", F.lit(True)))
@@ -58,6 +57,13 @@ def _same(names: list[str], prefix: str) -> Column:
     return cond
 
 
+def match(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on equally named keys where null matches null."""
+    values = [c for c in table.columns if c not in keys]
+    right = table.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    return rows.join(right, _same(keys, "_key_"), how).select(*rows.columns, *values)
+
+
 def with_group_stats(df: DataFrame, keys: list[str], spread: list[str] | None = None,
                      **stats: Column) -> DataFrame:
     """Group aggregates beside every row: partial aggregation plus a hot-key-safe join back."""
@@ -74,9 +80,9 @@ def salted_join(facts: DataFrame, dim: DataFrame, keys: list[str], hot: DataFram
     ``hot`` lists the hot keys; by default keys above ``hot_rows`` rows, or 1/1000 of all rows.
     """
     if hot is None:
-        sizes = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        limit = F.lit(hot_rows) if hot_rows else sizes.agg(F.sum("_n")).scalar() / HOT_SHARE
-        hot = sizes.filter(F.col("_n") > limit).select(*keys)
+        sizes = settled(facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+        limit = hot_rows or (sizes.agg(F.sum("_n")).first()[0] or 0) / HOT_SHARE
+        hot = settled(sizes.filter(F.col("_n") > limit).select(*keys).distinct(), "hot")
     hot = small_side(hot.withColumn("_hot", F.lit(True)))
     left = (facts.withColumn("_salted", _salt(facts, spread, salts)).join(hot, keys, "left")
             .withColumn("_salt", F.when(F.col("_hot"), F.col("_salted")).otherwise(F.lit(0)))

@@ -46,7 +46,7 @@ def b55_margin_analysis(t):
     m = durable(m, "margin")
     ranks = rank_table(m, [], "margin").select("margin", "percent_rank")
     advice = F.when(F.col("percent_rank") >= 0.9, "lower price").when(F.col("percent_rank") <= 0.1, "raise price").otherwise("keep")
-    return m.join(ranks, "margin").select("l_partkey", "margin", bands(F.col("raw"), (0, "loss"), (60, "thin"), (80, "normal"), other="wide").alias("band"), advice.alias("advice"))
+    return rel.match(m, ranks, ["margin"]).select("l_partkey", "margin", bands(F.col("raw"), (0, "loss"), (60, "thin"), (80, "normal"), other="wide").alias("band"), advice.alias("advice"))
 
 
 @query("SELECT p_brand, round(sum(l_extendedprice), 2) AS gross, round(sum(l_extendedprice * l_discount), 4) AS discount, round(sum(l_extendedprice * (1 - l_discount)), 4) AS net FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag <> 'R' GROUP BY 1")
@@ -81,7 +81,7 @@ def b60_ranking_board(t):
     sums = t.lineitem.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
     rows = sums.join(t.supplier, "s_suppkey").join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("n_name", "s_suppkey", "revenue")
     ranks = rank_table(rows, ["n_name"], "revenue", True).select("n_name", "revenue", F.col("rank").alias("place"))
-    return rows.join(ranks, ["n_name", "revenue"])
+    return rel.match(rows, ranks, ["n_name", "revenue"])
 
 
 @query("""WITH m AS (SELECT o_custkey, sum(o_totalprice) AS money, count(*) AS freq, date_diff('day', max(o_orderdate), TIMESTAMP '2001-08-02') AS idle FROM orders GROUP BY 1), z AS (SELECT o_custkey, 0.5 * (money - avg(money) OVER ()) / stddev_samp(money) OVER () + 0.3 * (freq - avg(freq) OVER ()) / stddev_samp(freq) OVER () - 0.2 * (idle - avg(idle) OVER ()) / stddev_samp(idle) OVER () AS score FROM m)

@@ -30,14 +30,16 @@ def m02_grouped_pandas(t):
     return ml.line_fits(days, "p_type", "x", "y").withColumn("slope", F.round("slope", 8))
 
 
-@query(f"""WITH b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS i FROM {SALES}), n AS (SELECT count(DISTINCT o) AS n FROM b), s AS (SELECT i, count(*) AS c FROM b GROUP BY 1), p AS (SELECT x.i AS a, y.i AS c, count(*) AS k FROM b x JOIN b y ON x.o = y.o AND x.i <> y.i GROUP BY 1, 2)
-          SELECT p.a AS antecedent, p.c AS consequent, round(k * 1.0::DOUBLE / s.c, 6) AS confidence, round(k * 1.0::DOUBLE / n.n, 6) AS support FROM p JOIN s ON s.i = p.a, n WHERE k >= 0.01 * n.n AND k * 1.0::DOUBLE / s.c >= 0.16""")
+@query(f"""WITH b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS i FROM {SALES}), n AS (SELECT count(DISTINCT o) AS n FROM b), s AS (SELECT i, count(*) AS c FROM b GROUP BY 1), p AS (SELECT x.i AS a, y.i AS c, count(*) AS k FROM b x JOIN b y ON x.o = y.o AND x.i <> y.i GROUP BY 1, 2),
+          t AS (SELECT x.i AS a, y.i AS b, z.i AS c, count(*) AS k FROM b x JOIN b y ON x.o = y.o AND x.i < y.i JOIN b z ON x.o = z.o AND z.i <> x.i AND z.i <> y.i GROUP BY 1, 2, 3),
+          r AS (SELECT p.a AS antecedent, p.c AS consequent, k * 1.0::DOUBLE / s.c AS confidence, k FROM p JOIN s ON s.i = p.a UNION ALL SELECT t.a || '+' || t.b, t.c, t.k * 1.0::DOUBLE / p.k, t.k FROM t JOIN p ON p.a = t.a AND p.c = t.b)
+          SELECT antecedent, consequent, round(confidence, 6) AS confidence, round(k * 1.0::DOUBLE / n.n, 6) AS support FROM r, n WHERE k >= 0.01 * n.n AND confidence >= 0.16""")
 def m03_frequent_items(t):
     # a basket holds each brand once, so its size is bounded by the number of brands
     brands = _sales(t).select("l_orderkey", "p_brand").distinct()
     baskets = brands.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("items"))
     rules = ml.association_rules(baskets, "items", 0.01, 0.16)
-    return rules.select(F.array_join("antecedent", "+").alias("antecedent"), F.element_at("consequent", 1).alias("consequent"), F.round("confidence", 6).alias("confidence"), F.round("support", 6).alias("support"))
+    return rules.select(F.array_join(F.array_sort("antecedent"), "+").alias("antecedent"), F.element_at("consequent", 1).alias("consequent"), F.round("confidence", 6).alias("confidence"), F.round("support", 6).alias("support"))
 
 
 def _ratings(t):

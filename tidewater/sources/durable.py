@@ -28,9 +28,23 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_made: dict[str, list[str]] = {}
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this application once their results have been consumed."""
+    paths, conf = _made.pop(spark.sparkContext.applicationId, []), spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
 
 
 def durable(df: DataFrame, label: str = "step") -> DataFrame:
