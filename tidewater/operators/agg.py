@@ -24,7 +24,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, continuous: bool
     # null values count zero, so a key with nulls only still gets its row
     counts = settled(base.groupBy(*one, value).agg(F.count(value).alias("_cnt")), "counts")
     totals = counts.groupBy(*one).agg(F.sum("_cnt").alias("_total"), F.count(F.lit(1)).alias("_rows"))
-    run = scan(attach(counts, totals, one), one, [value], _cum=("sum", "_cnt"))
+    run = attach(scan(counts, one, [value], _cum=("sum", "_cnt")), totals, one)
     aggs: list[Column] = []
     for name, p in points.items():
         place = (F.col("_total") - 1) * F.lit(p) + 1

@@ -38,7 +38,8 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def slice_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Range-partition by keys and order and record the slice number of every row."""
-    top = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    spark = df.sparkSession
+    top = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 4 * spark.sparkContext.defaultParallelism)
     parts = min(top, max(4, estimated_bytes(df) // SLICE_BYTES))
     ranged = df.repartitionByRange(int(parts), *[F.col(k) for k in keys], *sort_columns(order))
     return durable(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
@@ -192,13 +193,13 @@ def rank_table(df: DataFrame, keys: list[str], value: str, descending: bool = Fa
 
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("rows"))
     counts = settled(counts, "counts")
+    order = [("-" if descending else "") + value]
+    run = scan(counts, keys, order, _cum=("sum", "rows"), dense_rank=("count", F.lit(1)))
     if keys:
-        sized = attach(counts, counts.groupBy(*keys).agg(F.sum("rows").alias("total"),
-                                                         F.count(F.lit(1)).alias("_rows")), keys)
+        sizes = counts.groupBy(*keys).agg(F.sum("rows").alias("total"), F.count(F.lit(1)).alias("_rows"))
+        run = attach(run, sizes, keys)
     else:
-        sized = counts.withColumn("total", counts.agg(F.sum("rows")).scalar())
-    order = [("-" if descending else "") + value]
-    run = scan(sized, keys, order, _cum=("sum", "rows"), dense_rank=("count", F.lit(1)))
+        run = run.withColumn("total", counts.agg(F.sum("rows")).scalar())
     rank = (F.col("_cum") - F.col("rows") + 1)
     return (run.withColumn("rank", rank)
             .withColumn("percent_rank", F.when(F.col("total") > 1, (F.col("rank") - 1) / (F.col("total") - 1))

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from tidewater.functions.columns import bands
 from tidewater.operators.ordered import rank_table
@@ -60,7 +61,11 @@ def percentile(x: str, p: float) -> str:
 
 
 def run(pack: Pack, df: DataFrame) -> DataFrame:
+    """Compute a pack. Dates stay dates inside the aggregate (text minima would rule out hash
+    aggregation) and are shown as text."""
     out = df.groupBy(*pack.by).agg(*[F.expr(e).alias(n) for n, e in pack.measures.items()])
+    shown = {f.name: F.col(f.name).cast("string") for f in out.schema if f.dataType == DateType()}
+    out = out.withColumns(shown) if shown else out
     if pack.derived:
         out = out.select("*", *[F.expr(e).alias(n) for n, e in pack.derived.items()])
     if pack.tier:

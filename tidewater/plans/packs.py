@@ -11,7 +11,7 @@ from tidewater.sources.tables import Tables
 def activity(t: Tables):
     """One row per event, with its calendar parts and the number in its properties."""
     return t.events.select("event_id", "user_id", F.col("event_type").alias("kind"), F.col("value").alias("amount"), F.from_json("props", "k int")["k"].alias("k"),
-                           F.to_date("ts").cast("string").alias("day"), F.unix_date(F.to_date("ts")).alias("day_no"), F.hour("ts").alias("hour"), F.dayofweek("ts").alias("dow"))
+                           F.to_date("ts").alias("day"), F.unix_date(F.to_date("ts")).alias("day_no"), F.hour("ts").alias("hour"), F.dayofweek("ts").alias("dow"))
 
 
 def sales(t: Tables):
@@ -20,7 +20,7 @@ def sales(t: Tables):
             .select(F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("customer"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"), F.col("p_brand").alias("brand"),
                     F.col("p_type").alias("category"), F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"), F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("qty"),
                     F.col("l_extendedprice").alias("price"), F.round(line_revenue(), 4).alias("net"), F.col("l_discount").alias("discount"), F.col("p_size").alias("size"), F.col("p_retailprice").alias("retail"),
-                    F.to_date("o_orderdate").cast("string").alias("day"), F.unix_date(F.to_date("o_orderdate")).alias("day_no"), F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+                    F.to_date("o_orderdate").alias("day"), F.unix_date(F.to_date("o_orderdate")).alias("day_no"), F.date_format("o_orderdate", "yyyy-MM").alias("month"),
                     F.datediff("l_shipdate", "o_orderdate").alias("delay")))
 
 
@@ -55,7 +55,7 @@ PACKS = {
     "value_ranges": Pack("accounts", ("nation",), {"avg_value": mean("balance"), "max_value": "max(balance)", "min_value": "min(balance)"}),
     "retail_payments": Pack("sales", ("category",), {"total_sales": net_total, "transaction_count": uniq("order_id"), "units_sold": total("qty"), "avg_inventory": mean("size")}),
     "enterprise_usage": Pack("activity", ("kind", "dow"), {"active_users": uniq("user_id"), "total_usage": total("amount"), "softwares_used": uniq("k"), "avg_usage_hours": mean("amount")}),
-    "tech_products": Pack("sales", ("brand",), {"total_revenue": net_total, "total_units": total("qty"), "first_month": "min(month)"}),
+    "tech_products": Pack("sales", ("brand",), {"total_revenue": net_total, "total_units": total("qty"), "first_sale_date": "min(day)"}),
     "first_month_sales": Pack("sales", ("brand", "month"), {"first_month_revenue": net_total, "first_month_units": total("qty")}),
     "store_sales": Pack("sales", ("supplier",), {"total_revenue": net_total, "total_units": total("qty"), "unique_customers": uniq("customer")}),
     "store_categories": Pack("sales", ("supplier", "category"), {"category_revenue": net_total, "category_units": total("qty")}),

@@ -7,7 +7,7 @@ from tidewater.functions.columns import line_revenue, month
 from tidewater.operators import graph, quality, rel
 from tidewater.operators.behaviour import gaps, longest_streak, streaks
 from tidewater.operators.commerce import period_growth
-from tidewater.operators.ordered import reach_back, scan
+from tidewater.operators.ordered import reach_back, row_numbers, scan
 from tidewater.plans.registry import query
 from tidewater.sources.io import date_spine, scalar
 
@@ -136,6 +136,13 @@ def b16_consecutive_days(t):
     return streaks(t.events, ["user_id"], "ts").filter("days >= 5").select("user_id", F.col("first_day").cast("string"), "days")
 
 
+@query("""WITH h AS (SELECT event_id, event_id - row_number() OVER (ORDER BY event_id) AS island FROM events WHERE value > 60) SELECT min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS n FROM h GROUP BY island HAVING count(*) >= 3""")
+def b16_consecutive_rows(t):
+    high = row_numbers(t.events.filter("value > 60").select("event_id"), [], ["event_id"])
+    runs = high.groupBy((F.col("event_id") - F.col("rn")).alias("island")).agg(F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"), F.count("*").alias("n"))
+    return runs.filter("n >= 3").drop("island")
+
+
 @query("""WITH d AS (SELECT DISTINCT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) AS m FROM orders), g AS (SELECT *, m - row_number() OVER (PARTITION BY o_custkey ORDER BY m) AS island FROM d)
           SELECT o_custkey, max(n) AS longest FROM (SELECT o_custkey, island, count(*) AS n FROM g GROUP BY 1, 2) GROUP BY 1""")
 def b17_longest_streak(t):
