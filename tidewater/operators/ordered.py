@@ -160,6 +160,7 @@ def as_of(facts: DataFrame, changes: DataFrame, keys: list[str], time: str,
 
     Both inputs name the time column ``time``. One merged ordered pass, no range join.
     """
+    changes = settled(changes, "changes")      # then the merged input is two scans and needs no copy of the facts
     marks = changes.select(*keys, time, F.struct(*values).alias("_change"), F.lit(0).alias("_side"))
     merged = facts.withColumn("_side", F.lit(1)).unionByName(marks, allowMissingColumns=True)
     out = scan(merged, keys, [time, "_side", *(tie or [])], _now=("last", "_change"))

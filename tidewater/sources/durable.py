@@ -54,7 +54,7 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_SHUFFLING = re.compile(r"^[\s:+\-|~!]*(Join|Aggregate|Window|Sort|Distinct|Deduplicate|Repartition\w*|Generate|Union)\b", re.M)
+_SHUFFLING = re.compile(r"^[\s:+\-|~!]*(Join|Aggregate|Window|Sort|Distinct|Deduplicate|Repartition\w*)\b", re.M)
 
 
 def settled(df: DataFrame, label: str = "input") -> DataFrame:
