@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import line_dedup, quality
+from tidewater.llm import line_dedup, near_dup, quality
 from tidewater.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,9 @@ def op8_pairwise_quality(t: Tables) -> DataFrame:
     scored = quality.score(t.documents, quality.main_fold(t.documents, t.labels))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.SCORE_AT_CUT).cast("int").alias("predicted"))
+
+
+@query()
+def op6_lsh_forest(t: Tables) -> DataFrame:
+    """Components of near-duplicate documents on two-word shingles."""
+    return near_dup.near_duplicates(t.documents, words=2, percent=80)
