@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import line_dedup, near_dup, quality
+from tidewater.llm import decontaminate, line_dedup, mixing, near_dup, quality, url_filter
 from tidewater.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,25 @@ def op8_pairwise_quality(t: Tables) -> DataFrame:
 def op6_lsh_forest(t: Tables) -> DataFrame:
     """Components of near-duplicate documents on two-word shingles."""
     return near_dup.near_duplicates(t.documents, words=2, percent=80)
+
+
+@query()
+def op2_spaced_seeds(t: Tables) -> DataFrame:
+    """Documents that repeat benchmark items, with the words they repeat."""
+    return decontaminate.leaks(t.documents, t.benchmark)
+
+
+@query()
+def op5_curriculum_mix(t: Tables) -> DataFrame:
+    """Words the mix takes of every document, and when training meets it first."""
+    return mixing.mix(t.documents).select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+#: Fixed values of the contract.
+URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+
+
+@query()
+def op9_url_ngrams(t: Tables) -> DataFrame:
+    """Verdict on every page's url."""
+    return url_filter.judge(t.pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")

@@ -1,0 +1,109 @@
+"""URL filter: rules first, then logistic regression on hashed character n-grams. DataFrame functions only.
+
+Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: from there up to ``?``,
+``#`` or the end; both empty without ``://``. A rule ``host/path`` fits its host and all subdomains when the path
+starts with the rule's; the longest fitting rule decides. The rules are a short list, so they are a plain
+expression.
+
+Other urls are scored by a logistic regression on ``BUCKETS`` hashed trigrams of host and path, fitted by Spark's
+own trainer on a small labelled table: at most ``MAX_LABELLED`` different urls, those with the smallest hash.
+
+Nulls, empties, ties: null urls have an empty host and path and are scored like any other. A labelled table with
+one label makes that label the answer everywhere; without any label everything is allowed. A url with both labels
+counts as blocked. Repeated rows are judged alike. Empty tables give empty results. Extra columns are ignored.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.llm.shared import pick
+
+BUCKETS = 1024
+GRAM = 3
+MAX_LABELLED = 4000
+#: A small labelled table: addresses as spam farms and ordinary sites choose them.
+BLOCKED = """casino-bonus.com/play win-big-casino.net/slots online-casino.org/en/1 casino.win-now.com/bonus lucky-win.com/spin
+free-bet.com/odds sports-bets.net/today bets-free.org/live betting-tips.com/en cheap-pill.com/buy pills-online.net/order buy-cheap-meds.com/rx
+pharma-pills.org/sale adult-video.com/watch adult-cams.net/live x-adult.org/free xxx-tube.com/en hot-x.net/pics spam-link.com/farm
+link-farm.net/seo spam-seo.org/page farm-spam.com/links ads-click.com/go track-ads.net/pixel click-track.org/ad ad-tracker.com/t
+ads.tracking-hub.com/c free-money.win/now cheap-loans.com/apply""".split()
+ALLOWED = """www.university.edu/library/catalogue docs.python.org/3/tutorial en.wikipedia.org/wiki/Weather blog.gardening.com/en/2021/roses
+news.local.com/en/4711 m.weather.net/de/88 www.museum.org/fr/visite city-hall.gov/services journal.science.org/article/7 recipes.kitchen.com/es/pan
+www.library.net/en/3 forum.cycling.org/thread/12 maps.country.gov/region shop.books.com/fr/livre/9 m.radio.net/en/812 www.theatre.org/de/spielplan
+history.archive.org/en/77 www.thermal.net/en/5021 blog.nation.com/fr/6120 anthology.org/de/1930 www.others.net/en/640.html static.union.com/en/7031
+tradition.net/es/411 m.health.gov/en/2204 www.north.com/de/9021 bakery.net/fr/15 blog.mother.com/es/3300 station.org/en/8123 www.earth.net/de/4007
+m.father.com/en/6640 throne.net/es/118 weatherstation.com/en/52 brothers.org/fr/7003 www.thing.net/en/31 without.com/en/9001.html""".split()
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+
+
+def host_of(url: Column) -> Column:
+    return F.translate(F.coalesce(F.regexp_extract(url, _PARTS, 1), F.lit("")), _UPPER, _LOWER)
+
+
+def path_of(url: Column) -> Column:
+    return F.coalesce(F.regexp_extract(url, _PARTS, 2), F.lit(""))
+
+
+def fitting_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
+    """The longest fitting rule, or null. ``rules``: rule -> allow or block."""
+    out = F.lit(None).cast("string")
+    for rule in sorted(rules, key=lambda r: (len(r), r)):
+        own, _, rest = rule.partition("/")
+        fits = ((host == own) | host.endswith("." + own)) & path.startswith("/" + rest)
+        out = F.when(fits, F.lit(rule)).otherwise(out)
+    return out
+
+
+def grams(host: Column, path: Column) -> Column:
+    """Bucket of every trigram of host and path; all digits count as one."""
+    def of(kind: str, s: Column) -> Column:
+        marked = F.concat(F.lit("^"), F.translate(s, "123456789", "000000000"), F.lit("$"))
+        starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - (GRAM - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.pmod(F.xxhash64(F.lit(kind), F.substring(marked, i, F.lit(GRAM))), F.lit(BUCKETS)).cast("int"))
+
+    return F.concat(of("host", host), of("path", path))
+
+
+def known_urls(spark: SparkSession) -> DataFrame:
+    """(url, label) of the small labelled table."""
+    return spark.createDataFrame([(f"https://{u}", 1) for u in BLOCKED] + [(f"https://{u}", 0) for u in ALLOWED], "url string, label int")
+
+
+def fit(labelled: DataFrame, url: str = "url", label: str = "label", max_labelled: int = MAX_LABELLED) -> tuple[list[float], float]:
+    """(weights by bucket, intercept) from urls with label 1 (block) or 0 (allow)."""
+    sample = pick(labelled, url=url, label=label).filter(F.col("url").isNotNull() & F.col("label").isin(0, 1)).groupBy("url").agg(F.max("label").cast("double").alias("label"))
+    sample = sample.orderBy(F.xxhash64("url"), "url").limit(max_labelled)
+    kinds = [r[0] for r in sample.groupBy("label").count().sort("label").collect()]
+    if len(kinds) < 2:
+        return [0.0] * BUCKETS, 1.0 if kinds == [1.0] else -1.0
+    own = grams(host_of(F.col("url")), path_of(F.col("url")))
+    counted = sample.select("url", "label", F.explode(own).alias("bucket"))
+    by_url = counted.groupBy("url", "label", "bucket").count().groupBy("url", "label").agg(
+        F.map_from_entries(F.collect_list(F.struct("bucket", "count"))).alias("held"), F.sum("count").alias("n"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda i: F.coalesce(F.element_at("held", i), F.lit(0)) / F.sqrt("n"))
+    model = LogisticRegression(maxIter=60, regParam=0.0003, featuresCol="x").fit(by_url.select("label", array_to_vector(dense).alias("x")))
+    return [float(v) for v in model.coefficients.toArray()], float(model.intercept)
+
+
+def block_score(host: Column, path: Column, weights: list[float], intercept: float) -> Column:
+    """Probability that a url is to be blocked."""
+    table, own = F.array(*[F.lit(w) for w in weights]), grams(host, path)
+    total = F.aggregate(own, F.lit(0.0), lambda s, b: s + F.get(table, b))
+    return 1 / (1 + F.exp(-(F.lit(intercept) + total / F.sqrt(F.size(own)))))
+
+
+def judge(pages: DataFrame, rules: dict[str, str], labelled: DataFrame | None = None, page_id: str = "page_id", url: str = "url") -> DataFrame:
+    """(page_id, host, path, rule, verdict, score). ``labelled`` (url, label) is ``known_urls`` unless given."""
+    base = pick(pages, page_id=page_id, url=url)
+    parts = base.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    ruled = parts.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
+    blocked = F.col("rule").isin([r for r, v in rules.items() if v == "block"])
+    weights, intercept = fit(labelled if labelled is not None else known_urls(pages.sparkSession))
+    scored = ruled.withColumn("score", block_score(F.col("host"), F.col("path"), weights, intercept))
+    verdict = F.when(F.col("rule").isNotNull(), blocked).otherwise(F.col("score") >= 0.5)
+    return scored.select("page_id", "host", "path", "rule", F.when(verdict, "block").otherwise("allow").alias("verdict"), "score")
