@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, line_dedup, mixing, near_dup, quality, url_filter
+from tidewater.llm import decontaminate, licenses, line_dedup, mixing, near_dup, personal_data, quality, url_filter, vector_file
 from tidewater.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,10 @@ def op5_curriculum_mix(t: Tables) -> DataFrame:
     return mixing.mix(t.documents).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def _is(kind: int):
+    return lambda s: s.kind == kind
+
+
 #: Fixed values of the contract.
 URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
 
@@ -73,3 +77,28 @@ URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "b
 def op9_url_ngrams(t: Tables) -> DataFrame:
     """Verdict on every page's url."""
     return url_filter.judge(t.pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("""
+with ok as (select vec_id, [floor(256 * x::double)::bigint::double for x in embedding] as v from embeddings
+            where len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+           from ok q join ok c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored) where rank <= 5""")
+def op4_vector_file(t: Tables) -> DataFrame:
+    """Five greatest inner products for every fiftieth vector."""
+    return vector_file.top_k(t.embeddings, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query()
+def op3_license_scan(t: Tables) -> DataFrame:
+    """Where documents state a licence, with the covered share of the notice."""
+    return licenses.scan(t.documents)
+
+
+@query()
+def op7_context_bootstrap(t: Tables) -> DataFrame:
+    """Personal data in every document; counts and digest of the base spans, and all spans."""
+    counts = [F.size(F.filter("base", _is(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)]
+    return personal_data.detect(t.documents).select("doc_id", *counts, F.sha2(personal_data.listed("base"), 256).alias("base_sha256"), personal_data.listed("spans").alias("spans"))

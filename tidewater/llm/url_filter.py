@@ -30,7 +30,8 @@ BLOCKED = """casino-bonus.com/play win-big-casino.net/slots online-casino.org/en
 free-bet.com/odds sports-bets.net/today bets-free.org/live betting-tips.com/en cheap-pill.com/buy pills-online.net/order buy-cheap-meds.com/rx
 pharma-pills.org/sale adult-video.com/watch adult-cams.net/live x-adult.org/free xxx-tube.com/en hot-x.net/pics spam-link.com/farm
 link-farm.net/seo spam-seo.org/page farm-spam.com/links ads-click.com/go track-ads.net/pixel click-track.org/ad ad-tracker.com/t
-ads.tracking-hub.com/c free-money.win/now cheap-loans.com/apply""".split()
+ads.tracking-hub.com/c free-money.win/now cheap-loans.com/apply
+m.casino-win.net/en/55 www.cheap-pills.com/de/12 free-bets.org/fr/7 blog.ads-track.net/es/3 spam-farm.com/en/9041 www.adult-x.com/de/77""".split()
 ALLOWED = """www.university.edu/library/catalogue docs.python.org/3/tutorial en.wikipedia.org/wiki/Weather blog.gardening.com/en/2021/roses
 news.local.com/en/4711 m.weather.net/de/88 www.museum.org/fr/visite city-hall.gov/services journal.science.org/article/7 recipes.kitchen.com/es/pan
 www.library.net/en/3 forum.cycling.org/thread/12 maps.country.gov/region shop.books.com/fr/livre/9 m.radio.net/en/812 www.theatre.org/de/spielplan
