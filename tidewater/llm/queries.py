@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, licenses, line_dedup, mixing, near_dup, personal_data, quality, url_filter, vector_file
+from tidewater.llm import decontaminate, licenses, line_dedup, mixing, near_dup, personal_data, quality, token_file, url_filter, vector_file
+from tidewater.sources.durable import scratch
 from tidewater.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +103,13 @@ def op7_context_bootstrap(t: Tables) -> DataFrame:
     """Personal data in every document; counts and digest of the base spans, and all spans."""
     counts = [F.size(F.filter("base", _is(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)]
     return personal_data.detect(t.documents).select("doc_id", *counts, F.sha2(personal_data.listed("base"), 256).alias("base_sha256"), personal_data.listed("spans").alias("spans"))
+
+
+@query()
+def op1_range_coded_ids(t: Tables) -> DataFrame:
+    """Token ids of all documents, written to range-coded files and read back."""
+    import public_tokenizers
+
+    path = scratch(t.spark, "token-file")
+    token_file.write(t.documents, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_file.read(t.spark, path)
