@@ -8,9 +8,9 @@ are candidates in a tree when they share the prefix that defines their region. R
 prefix of ``BASE`` values is the region unless more than ``LEAF`` representatives share it, then
 the prefix grows along ``DEPTHS`` until few do.
 
-Large regions are settled in two rounds, so that a crowd of copies never yields all its pairs: every
-member is compared with the first of its region, and only regions that still join different
-components are descended further, comparing across components alone. Every candidate is confirmed
+Regions are settled in two rounds, so that copies never yield all their pairs: every member is compared with
+the head of its region, and only regions that still hold different components go on. Of those, small ones
+are compared across components, large ones are descended further. Every candidate is confirmed
 on full sets: 100 * |A and B| >= percent * |A or B|. At exactly 80 % similarity a pair shares some
 four-value prefix of the 32 trees with probability 1 - 5e-8, an eight-value one with 0.997.
 
@@ -66,7 +66,7 @@ def signature(own: np.ndarray) -> np.ndarray:
     for at in range(0, len(own), 2048):
         seen = own[at:at + 2048, None] * _MUL + _ADD
         np.minimum(least, (seen >> np.uint64(32)).min(axis=0).astype(np.uint32), out=least)
-    return least
+    return least.astype(np.uint16)           # the low half: equal values stay equal, others rarely become so
 
 
 def signed(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
@@ -91,13 +91,19 @@ def signed(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
 
 def _prefix(tree: Column, depth: int) -> Column:
     """Hash of the first ``depth`` values in the order of a tree."""
-    return F.xxhash64(tree, F.substring(F.concat("sig", "sig"), tree * (4 * BASE) + 1, F.lit(4 * depth)))
+    return F.xxhash64(tree, F.substring(F.concat("sig", "sig"), tree * (2 * BASE) + 1, F.lit(2 * depth)))
 
 
 def _regions(rows: DataFrame) -> DataFrame:
-    """Rows (key, tree, node, n) whose region has others, with its size and first node."""
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), F.min_by("n", "node").alias("first_n")).filter("size > 1")
-    return rows.join(sizes, "key")
+    """Rows (key, tree, node, n) whose region has others, with its size and its head.
+
+    The head is the least node; in a crowd it is drawn anew in every tree, so its members meet many heads.
+    """
+    drawn = F.xxhash64("node", "key")
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), F.min_by("n", "node").alias("first_n"),
+                                    F.min_by("node", drawn).alias("any"), F.min_by("n", drawn).alias("any_n")).filter("size > 1")
+    few = F.col("size") <= LEAF
+    return rows.join(sizes.select("key", "size", F.when(few, F.col("first")).otherwise(F.col("any")).alias("head"), F.when(few, F.col("first_n")).otherwise(F.col("any_n")).alias("head_n")), "key")
 
 
 def _within(leaves: DataFrame, *extra: str) -> DataFrame:
@@ -107,9 +113,9 @@ def _within(leaves: DataFrame, *extra: str) -> DataFrame:
     return one.filter(" and ".join(f"x.{c} <> y.{c}" for c in extra) or "true").select(F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("y.node").alias("b"), F.col("y.n").alias("nb"))
 
 
-def _to_first(crowds: DataFrame) -> DataFrame:
-    """Each row of a large region against the region's first."""
-    return crowds.filter("node <> first").select(F.col("first").alias("a"), F.col("first_n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))
+def _to_head(regions: DataFrame) -> DataFrame:
+    """Each row of a region against the region's head."""
+    return regions.filter("node <> head").select(F.least("head", "node").alias("a"), F.col("head_n").alias("na"), F.greatest("head", "node").alias("b"), F.col("n").alias("nb"))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
@@ -161,24 +167,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     all_rows = classes.select("node", "n", "sig", tree).select(_prefix(F.col("tree"), BASE).alias("key"), "tree", "node", "n")
     regions = durable(_regions(all_rows), "regions")
-    pairs = _within(regions.filter(F.col("size") <= LEAF)).union(_to_first(regions.filter(F.col("size") > LEAF)))
-    links = durable(confirmed(pairs, docs, doc_id, text, words, percent), "links")
-
-    crowd = regions.filter(F.col("size") > LEAF).select("tree", "node", "n", "key")
-    if not crowd.isEmpty():
-        found = components(links)
-        crowd, more = _mixed(crowd, found), []
-        for depth in DEPTHS:
-            crowd = durable(crowd, "crowd")
-            if crowd.isEmpty():
-                break
-            deeper = crowd.join(classes.select("node", "sig"), "node").select(_prefix(F.col("tree"), depth).alias("key"), "tree", "node", "n", "component").distinct()
-            parts = durable(_regions(deeper), "parts")
-            large = parts.filter(F.col("size") > LEAF)
-            more += [_within(parts.filter(F.col("size") <= LEAF), "component"), _to_first(large)]
-            crowd = _mixed(large.select("tree", "node", "n", "key"), found)
-        if more:
-            links = durable(links.union(confirmed(reduce(DataFrame.union, more), docs, doc_id, text, words, percent)), "links")
+    links = durable(confirmed(_to_head(regions), docs, doc_id, text, words, percent), "links")
+
+    found, more = components(links), []
+    rest = durable(_mixed(regions.select("tree", "node", "n", "key", "size"), found), "rest")
+    more.append(_within(rest.filter(F.col("size") <= LEAF), "component"))
+    crowd = rest.filter(F.col("size") > LEAF)
+    for depth in DEPTHS:
+        if crowd.isEmpty():
+            break
+        deeper = crowd.join(classes.select("node", "sig"), "node").select(_prefix(F.col("tree"), depth).alias("key"), "tree", "node", "n").distinct()
+        parts = durable(_mixed(_regions(deeper), found), "parts")
+        large = parts.filter(F.col("size") > LEAF)
+        more += [_within(parts.filter(F.col("size") <= LEAF), "component"), _to_head(large)]
+        crowd = large
+    across = confirmed(reduce(DataFrame.union, more), docs, doc_id, text, words, percent)
+    links = durable(links.union(across), "links")
 
     # An id that occurs with several texts joins their classes.
     twice = sets.select("doc_id", "k1", "k2").distinct().groupBy("doc_id").count().filter("count > 1").select("doc_id")
@@ -191,11 +195,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return whole.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _mixed(crowd: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of regions that hold several components."""
-    own = crowd.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _mixed(regions: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of regions that hold several components, with theirs."""
+    own = regions.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    return own.join(several, "key", "left_semi").select("tree", "node", "n", "component")
+    return own.join(several, "key", "left_semi")
 
 
 def first_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
