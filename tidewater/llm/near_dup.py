@@ -38,6 +38,7 @@ VALUES = 128
 BASE = 4
 TREES = VALUES // BASE
 LEAF = 16                                # representatives in a region that are compared with one another
+HEADS = 8
 DEPTHS = (5, 6, 8, 12, 24, VALUES)       # prefix lengths of smaller regions
 BROADCAST_IDS = 1 << 20                  # so many ids (8 MB) may be sent to every executor
 
@@ -97,9 +98,9 @@ def _prefix(tree: Column, depth: int) -> Column:
 def _regions(rows: DataFrame) -> DataFrame:
     """Rows (key, tree, node, n) whose region has others, with its size and its head.
 
-    The head is the least node; in a crowd it is drawn anew in every tree, so its members meet many heads.
+    The head is the least node; in a crowd it is drawn, in HEADS ways by tree, so its members meet several heads.
     """
-    drawn = F.xxhash64("node", "key")
+    drawn = F.xxhash64("node", F.col("tree") % HEADS)
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first"), F.min_by("n", "node").alias("first_n"),
                                     F.min_by("node", drawn).alias("any"), F.min_by("n", drawn).alias("any_n")).filter("size > 1")
     few = F.col("size") <= LEAF
@@ -172,15 +173,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found, more = components(links), []
     rest = durable(_mixed(regions.select("tree", "node", "n", "key", "size"), found), "rest")
     more.append(_within(rest.filter(F.col("size") <= LEAF), "component"))
-    crowd = rest.filter(F.col("size") > LEAF)
+    crowd = rest.filter(F.col("size") > LEAF).select("tree", "node", "n").join(classes.select("node", "sig"), "node")
     for depth in DEPTHS:
         if crowd.isEmpty():
             break
-        deeper = crowd.join(classes.select("node", "sig"), "node").select(_prefix(F.col("tree"), depth).alias("key"), "tree", "node", "n").distinct()
+        deeper = crowd.select(_prefix(F.col("tree"), depth).alias("key"), "tree", "node", "n", "sig")
         parts = durable(_mixed(_regions(deeper), found), "parts")
         large = parts.filter(F.col("size") > LEAF)
         more += [_within(parts.filter(F.col("size") <= LEAF), "component"), _to_head(large)]
-        crowd = large
+        crowd = large.select("tree", "node", "n", "sig")
     across = confirmed(reduce(DataFrame.union, more), docs, doc_id, text, words, percent)
     links = durable(links.union(across), "links")
 
