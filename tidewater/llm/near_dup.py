@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # An id that occurs with several texts joins their classes.
     twice = sets.select("doc_id", "k1", "k2").distinct().groupBy("doc_id").count().filter("count > 1").select("doc_id")
     copies = classes.filter("node <> last").select("k1", "k2", "node")
-    member = rows.join(copies, ["k1", "k2"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")).alias("node"))
+    member = rows.join(copies, ["k1", "k2"], "left").select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")).alias("node"))
     again = member.join(twice, "doc_id", "left_semi").filter("node <> doc_id").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     found = components(links.union(again)).withColumnRenamed("node", "at")
     whole = member.join(found, F.col("node") == F.col("at"), "left").select(

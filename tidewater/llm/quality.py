@@ -54,8 +54,11 @@ def features(text: bytes) -> list[float]:
     return [*own, float(n)]
 
 
+WIDTH = len(features(b""))
+
+
 def feature_matrix(bodies: list[bytes]) -> np.ndarray:
-    return np.array([features(t) for t in bodies], np.float64).reshape(len(bodies), -1)
+    return np.array([features(t) for t in bodies], np.float64).reshape(len(bodies), WIDTH)
 
 
 @dataclass(frozen=True)
@@ -117,7 +120,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id"
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), pa.array(batch.column("label").to_pylist(), pa.int32()), pa.array(x.tolist(), pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
     got = base.mapInArrow(emit, "doc_id string, label int, x array<double>").orderBy(F.xxhash64("doc_id"), "doc_id", "label", "x").limit(2 * max_labelled).toPandas()
-    return np.array(got["x"].tolist(), np.float64).reshape(len(got), -1), got["label"].to_numpy()
+    return np.array(got["x"].tolist(), np.float64).reshape(len(got), WIDTH), got["label"].to_numpy()
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
@@ -150,9 +153,6 @@ def keep_good(docs: DataFrame, model: Model | None, text: str = "text", at_least
     return docs if model is None else docs.filter(scorer(model)(text) >= at_least)
 
 
-TRAINING_FOLD = F.expr("pmod(crc32(cast(doc_id as string)), 4) <> 2")
-
-
 def main_fold(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The model of the contract: learnt from all but the held-out fold."""
-    return fit(docs, labels, allowed=TRAINING_FOLD)
+    return fit(docs, labels, allowed=F.expr("pmod(crc32(cast(doc_id as string)), 4) <> 2"))

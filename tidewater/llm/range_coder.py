@@ -231,6 +231,8 @@ def decode(bodies: list[bytes]) -> list[np.ndarray]:
     for at in range(0, len(blocks), LANES):
         group = blocks[at:at + LANES]
         for (f, order, _, own, _, crc), x in zip(group, _decode_group([b[4] for b in group], np.array([b[2] for b in group])), strict=True):
+            if len(x) and x.max() >= len(own):
+                raise ValueError("block fails its checksum")
             ids = own[x].astype("<u4")
             if zlib.crc32(ids.tobytes()) != crc:
                 raise ValueError("block fails its checksum")
