@@ -61,3 +61,8 @@ def test_mutual_and_two_hops(spark):
     assert rows(graph.mutual(df, "a", "b")) == [(1, 2)]
     assert rows(graph.friends_of_friends(df, "a", "b"), "item_a", "item_b", "common") == [(1, 3, 1), (2, 4, 1)]
     assert rows(graph.two_leg_routes(df, "a", "b")) == [(1, 2, 3), (2, 3, 4)]
+
+
+def test_deep_hierarchies_lose_no_level(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(24)], "id int, boss int")
+    assert graph.ancestors(chain, "id", "boss").count() == 24 * 25 // 2

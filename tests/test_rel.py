@@ -1,6 +1,8 @@
 import itertools
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -77,3 +79,9 @@ def test_overlapping_pairs_brute_force(spark):
     df = spark.createDataFrame(data, "k string, id int, s int, e int").select("k", "id", F.date_from_unix_date("s").alias("s"), F.date_from_unix_date("e").alias("e"))
     want = sorted((x[0], x[1], y[1]) for x, y in itertools.combinations(data, 2) if x[0] == y[0] and x[2] <= y[3] and y[2] <= x[3])
     assert sorted(tuple(r) for r in rel.overlapping_pairs(df, ["k"], "id", "s", "e", 10).collect()) == want
+
+
+def test_salted_join_refuses_outer_sides(spark):
+    df = spark.createDataFrame([(1, 1)], "k int, id int")
+    with pytest.raises(ValueError):
+        rel.salted_join(df, df.select("k"), ["k"], how="full")

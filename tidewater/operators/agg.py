@@ -72,11 +72,9 @@ def pivot_sum(df: DataFrame, keys: list[str], column: str, values: list, measure
     return df.groupBy(*keys).pivot(column, values).agg(F.sum(measure))
 
 
-def pivot_discovered(df: DataFrame, keys: list[str], column: str, measure: Column, max_values: int = 200) -> DataFrame:
-    """Pivot over the values found in the data; refuses more than ``max_values`` columns."""
-    found = [r[0] for r in df.select(column).distinct().orderBy(column).limit(max_values + 1).collect()]
-    if len(found) > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values")
+def pivot_discovered(df: DataFrame, keys: list[str], column: str, measure: Column) -> DataFrame:
+    """Pivot over all values found in the data; they become columns, so the driver must know them."""
+    found = [r[0] for r in df.select(column).distinct().orderBy(column).collect()]
     return df.groupBy(*keys).pivot(column, found).agg(F.sum(measure))
 
 

@@ -88,6 +88,13 @@ def cohort_rates(df: DataFrame, user: str, time: str, unit: str, periods: int) -
         pct(F.coalesce(at(i), F.lit(0)), at(0)).alias(f"p{i}") for i in range(periods)])
 
 
+def cohort_retention(df: DataFrame, user: str, time: str, unit: str) -> DataFrame:
+    """(cohort, period, users, size, rate) for every period in which a cohort has users."""
+    counts = cohort_counts(df, user, time, unit)
+    sizes = counts.filter("period = 0").select("cohort", F.col("users").alias("size"))
+    return counts.join(sizes, "cohort").withColumn("rate", pct(F.col("users"), F.col("size")))
+
+
 def activity_status(df: DataFrame, user: str, time: str, as_of: Column, risk_days: int, churn_days: int) -> DataFrame:
     """Active / at risk / churned by days since the last activity."""
     last = df.groupBy(user).agg(F.to_date(F.max(time)).alias("last_day"))

@@ -9,24 +9,23 @@ from tidewater.operators.commerce import pair_counts
 from tidewater.sources.durable import durable
 
 
-def ancestors(df: DataFrame, child: str, parent: str, max_depth: int = 20) -> DataFrame:
+def ancestors(df: DataFrame, child: str, parent: str) -> DataFrame:
     """All (child, ancestor, depth) pairs of a hierarchy; direct parents have depth 1.
 
     One join per level, each level written to the shared folder. A pair already seen is not
-    extended, so cycles end; ``max_depth`` bounds the levels.
+    extended, so cycles end and the levels are as many as the hierarchy has.
     """
     edges = df.select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).filter(
         F.col("ancestor").isNotNull() & (F.col("node") != F.col("ancestor"))).distinct()
     step = edges.withColumnsRenamed({"node": "_mid", "ancestor": "_next"})
     front = durable(edges.withColumn("depth", F.lit(1)), "level")
-    known = front
-    for depth in range(2, max_depth + 1):
+    known, depth = front, 1
+    while not front.isEmpty():
+        depth += 1
         grown = (front.join(step, front["ancestor"] == step["_mid"])
                  .select("node", F.col("_next").alias("ancestor")).filter("node <> ancestor").distinct()
                  .join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti"))
         front = durable(grown.withColumn("depth", F.lit(depth)), "level")
-        if front.isEmpty():
-            break
         known = known.unionByName(front)
     return known
 

@@ -46,8 +46,10 @@ def series_features(df: DataFrame, series: list[str], time: str, value: str, lag
 def forecast(df: DataFrame, series: str, time: str, value: str, cut: str, trees: int = 20, seed: int = 42) -> DataFrame:
     """One random forest over all series: trained before ``cut``, predicting from it on."""
     rows = series_features(df, [series], time, value).dropna()
-    inputs = ["lag_1", "lag_7", "mean_prev", "dow", "month", "_code"]
-    prepared = rows.withColumns({"mean_prev": (F.col("mean_7") * 7 - F.col(value)) / 6, "_code": F.pmod(F.xxhash64(series), F.lit(64))})
+    inputs = ["lag_1", "lag_7", "mean_prev", "dow", "month", "_level"]
+    level = rows.filter(F.col(time) < cut).groupBy(series).agg(F.avg(value).alias("_mean"))       # stands for the series
+    rows = rows.join(level, series, "left")
+    prepared = rows.withColumns({"mean_prev": (F.col("mean_7") * 7 - F.col(value)) / 6, "_level": F.coalesce("_mean", "mean_7")})
     packed = durable(prepared.select(series, time, value, *inputs), "features")
     ready = VectorAssembler(inputCols=inputs, outputCol="_x").transform(packed)
     model = RandomForestRegressor(featuresCol="_x", labelCol=value, numTrees=trees, seed=seed, predictionCol="forecast")

@@ -78,7 +78,10 @@ def salted_join(facts: DataFrame, dim: DataFrame, keys: list[str], hot: DataFram
     """Equi-join whose hot keys are spread over ``salts`` tasks; equal to the plain join.
 
     ``hot`` lists the hot keys; by default keys above ``hot_rows`` rows, or 1/1000 of all rows.
+    Right and full joins are refused: copies of a dimension row without partner would appear as rows.
     """
+    if how.replace("_", "") not in ("inner", "left", "leftouter", "leftsemi", "semi", "leftanti", "anti"):
+        raise ValueError(f"salted_join cannot do {how}")
     if hot is None:
         sizes = settled(facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "sizes")
         limit = hot_rows or (sizes.agg(F.sum("_n")).first()[0] or 0) / HOT_SHARE

@@ -128,7 +128,7 @@ def a20_static_pivot(t):
     return agg.pivot_sum(t.lineitem, ["l_suppkey"], "l_returnflag", ["A", "N", "R"], F.col("l_quantity"))
 
 
-@query("PIVOT (SELECT user_id, event_type FROM events) ON event_type USING count(*) GROUP BY user_id")
+@query("SELECT user_id, " + ", ".join(f"sum(CASE WHEN event_type = '{v}' THEN 1 ELSE 0 END) AS {v}" for v in ("click", "error", "purchase", "signup", "view")) + " FROM events GROUP BY 1")
 def a21_dynamic_pivot(t):
     return agg.pivot_discovered(t.events, ["user_id"], "event_type", F.lit(1)).fillna(0)
 

@@ -21,11 +21,11 @@ def b21_day_n_retention(t):
     return B.day_n_retention(t.events, t.events, "user_id", 7).withColumn("signup_day", F.col("signup_day").cast("string"))
 
 
-@query("""WITH s AS (SELECT DISTINCT o_custkey, date_trunc('month', o_orderdate) AS p FROM orders), c AS (SELECT *, min(p) OVER (PARTITION BY o_custkey) AS cohort FROM s), i AS (SELECT cohort, date_diff('month', cohort, p) AS i FROM c)
-          SELECT CAST(cohort::DATE AS VARCHAR) AS cohort, count(CASE WHEN i = 0 THEN 1 END) AS size, 100.0::DOUBLE AS p0, round(100.0 * count(CASE WHEN i = 1 THEN 1 END) / count(CASE WHEN i = 0 THEN 1 END), 6) AS p1,
-                 round(100.0 * count(CASE WHEN i = 2 THEN 1 END) / count(CASE WHEN i = 0 THEN 1 END), 6) AS p2, round(100.0 * count(CASE WHEN i = 3 THEN 1 END) / count(CASE WHEN i = 0 THEN 1 END), 6) AS p3 FROM i GROUP BY 1""")
+@query("""WITH s AS (SELECT DISTINCT o_custkey, date_trunc('month', o_orderdate) AS p FROM orders), c AS (SELECT *, min(p) OVER (PARTITION BY o_custkey) AS cohort FROM s),
+          n AS (SELECT cohort, date_diff('month', cohort, p) AS period, count(*) AS users FROM c GROUP BY 1, 2), z AS (SELECT cohort, users AS size FROM n WHERE period = 0)
+          SELECT CAST(cohort::DATE AS VARCHAR) AS cohort, CAST(period AS INTEGER) AS period, users, size, round(100.0 * users / size, 6) AS rate FROM n JOIN z USING (cohort)""")
 def b22_cohort_matrix(t):
-    return B.cohort_rates(t.orders, "o_custkey", "o_orderdate", "month", 4).withColumn("cohort", F.col("cohort").cast("string"))
+    return B.cohort_retention(t.orders, "o_custkey", "o_orderdate", "month").withColumn("cohort", F.col("cohort").cast("string"))
 
 
 @query("""WITH s AS (SELECT DISTINCT user_id, date_trunc('week', ts)::DATE AS p FROM events), c AS (SELECT *, min(p) OVER (PARTITION BY user_id) AS cohort FROM s)

@@ -18,10 +18,10 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
             .options(**options).load(path))
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "latest", fmt: str = "kafka") -> DataFrame:
-    """Kafka topic as (key, value, timestamp); needs the connector on the class path."""
+def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "latest", fmt: str = "kafka", fail_on_data_loss: bool = True) -> DataFrame:
+    """Kafka topic as (key, value, timestamp); needs the connector on the class path. Lost offsets raise unless allowed."""
     return (spark.readStream.format(fmt).option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("startingOffsets", starting).option("failOnDataLoss", "false").load())
+            .option("startingOffsets", starting).option("failOnDataLoss", str(fail_on_data_loss).lower()).load())
 
 
 def decode_json(messages: DataFrame, schema: str, keep: tuple[str, ...] = ("timestamp",)) -> DataFrame:
@@ -58,12 +58,12 @@ def late_rows(df: DataFrame, event_time: str, arrival: str, size: str, tolerance
 
 
 def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None,
-          path: str | None = None, mode: str = "append", timeout: int = 600) -> None:
-    """Process everything available, then stop; a restart with the same checkpoint continues."""
+          path: str | None = None, mode: str = "append", timeout: int | None = None) -> None:
+    """Process everything available, then stop; a restart with the same checkpoint continues. No time limit unless given."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     run = writer.foreachBatch(sink).start() if sink else writer.format("parquet").option("path", path).start()
     try:
-        if not run.awaitTermination(timeout):
+        if run.awaitTermination(timeout) is False:
             raise TimeoutError("stream did not finish")
     finally:
         run.stop()
