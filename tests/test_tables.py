@@ -35,6 +35,37 @@ def test_changes_replayed_twice_equal_once(spark):
     assert once == rows(t.read()) == [(2, "y", 6), (3, "n", 7)]
 
 
+CHANGE = "id int, v string, w int, op string, seq int"
+
+
+def test_changes_in_any_order_of_batches(spark):
+    t = table(spark, [(1, "a", 1), (2, "b", 2), (None, "n", 0)])
+    for batch in ([(1, "new", 5, "update", 5), (2, None, None, "delete", 9)], [(1, "old", 2, "update", 2), (2, "back", 7, "update", 7)],
+                  [(3, None, None, "delete", 4), (None, "m", 1, "update", 1)], [(3, "late", 3, "insert", 3), (None, "m", 1, "update", 1)]):
+        t.apply_changes(spark.createDataFrame(batch, CHANGE), ["id"], "op", "seq")
+    assert rows(t.read()) == rows(spark.createDataFrame([(1, "new", 5), (None, "m", 1)], "id int, v string, w int"))
+    t.merge(spark.createDataFrame([(2, "again", 3), (1, "z", 0)], "id int, v string, w int"), ["id"], update=["w"])
+    assert sorted(map(str, rows(t.read()))) == sorted(map(str, [(1, "new", 0), (2, "again", 3), (None, "m", 1)]))
+    t.apply_changes(spark.createDataFrame([(2, "b", 8, "update", 10)], CHANGE), ["id"], "op", "seq")
+    assert (2, "b", 8) in rows(t.read().filter("id is not null"))
+
+
+def test_null_keys_match_on_replay(spark):
+    t = table(spark, [(1, "a", 1)])
+    more = spark.createDataFrame([(None, "n", 1)], "id int, v string, w int")
+    for _ in range(2):
+        t.merge(more, ["id"])
+        t.insert_new(more, ["id"])
+    assert t.read().count() == 2
+
+
+def test_inserts_write_only_new_rows(spark):
+    t = table(spark, [(1, "a", 1)])
+    t.insert_new(spark.createDataFrame([(1, "zz", 0), (2, "b", 2)], "id int, v string, w int"), ["id"])
+    first, second = t._entry(1)["directories"], t._entry(2)["directories"]
+    assert second[:1] == first and spark.read.parquet(f"{t.root}/{second[1]}").count() == 1
+
+
 def test_history_restore_and_insert_only(spark):
     t = table(spark, [(1, "a", 1)])
     t.insert_new(spark.createDataFrame([(1, "zz", 0), (2, "b", 2), (2, "b", 2)], "id int, v string, w int"), ["id"])
