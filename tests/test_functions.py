@@ -35,6 +35,7 @@ def test_text_helpers(spark):
     assert one(spark, C.xml_row("e", name=F.lit("a<b & c"))) == "<e><name>a&lt;b &amp; c</name></e>"
     assert one(spark, C.mask_digits(F.lit("123-45-6789"))) == "***-**-6789"
     assert one(spark, C.bands(F.lit(10), (10, "low"), (20, "mid"), other="high")) == "mid"
+    assert one(spark, C.bands(F.lit(None).cast("int"), (10, "low"), other="high")) is None
     assert one(spark, C.grid_cell(F.lit(-0.5), F.lit(10.0), 1.0)) == "-1:10"
 
 

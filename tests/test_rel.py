@@ -73,6 +73,22 @@ def test_interval_join_inclusive_ends(spark):
     assert rows(got, "id", "name") == [(1, "x"), (2, "x")]
 
 
+def test_interval_join_long_and_open_intervals(spark):
+    rnd = random.Random(5)
+    spans = [(rnd.choice("ab"), s := rnd.randrange(4000), rnd.choice([s + rnd.randrange(20), s + rnd.randrange(4000), None, 2932896]), i) for i in range(40)]
+    points = [(rnd.choice("ab"), rnd.randrange(6000), i) for i in range(150)]
+    a = spark.createDataFrame(points, "k string, d int, id int").withColumn("d", F.date_from_unix_date("d"))
+    b = spark.createDataFrame(spans, "k string, s int, e int, x int").withColumn("s", F.date_from_unix_date("s")).withColumn("e", F.date_from_unix_date("e"))
+    want = sorted((i, x) for k, d, i in points for q, s, e, x in spans if k == q and s <= d and (e is None or d <= e))
+    assert sorted(rows(rel.interval_join(a, b, ["k"], "d", "s", "e", 7), "id", "x")) == want
+    left = rel.interval_join(a, b, ["k"], "d", "s", "e", 7, how="left")
+    assert left.count() == len(want) + len(points) - len({i for i, _ in want})
+    half = sorted((i, x) for k, d, i in points for q, s, e, x in spans if k == q and s <= d and (e is None or d < e))
+    assert sorted(rows(rel.interval_join(a, b, ["k"], "d", "s", "e", 7, closed=False), "id", "x")) == half
+    pairs = sorted((p[0], p[3], q[3]) for p, q in itertools.combinations(spans, 2) if p[0] == q[0] and p[1] <= (q[2] or 1 << 30) and q[1] <= (p[2] or 1 << 30))
+    assert sorted(tuple(r) for r in rel.overlapping_pairs(b, ["k"], "x", "s", "e", 7).collect()) == pairs
+
+
 def test_overlapping_pairs_brute_force(spark):
     rnd = random.Random(3)
     data = [(rnd.choice("ab"), i, s := rnd.randrange(300), s + rnd.randrange(60)) for i in range(80)]

@@ -115,10 +115,10 @@ def xml_row(tag: str, **fields: Column) -> Column:
 
 
 def bands(c: Column, *edges: tuple[float, str], other: str) -> Column:
-    """Label of the first upper edge the value is below."""
-    chain = None
+    """Label of the first upper edge the value is below; null has no label."""
+    chain = F.when(c.isNull(), F.lit(None).cast("string"))
     for limit, label in edges:
-        chain = F.when(c < limit, label) if chain is None else chain.when(c < limit, label)
+        chain = chain.when(c < limit, label)
     return chain.otherwise(other)
 
 

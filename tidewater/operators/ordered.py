@@ -38,9 +38,7 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def slice_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Range-partition by keys and order and record the slice number of every row."""
-    spark = df.sparkSession
-    top = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 4 * spark.sparkContext.defaultParallelism)
-    parts = min(top, max(4, estimated_bytes(df) // SLICE_BYTES))
+    parts = max(4, estimated_bytes(df) // SLICE_BYTES)
     ranged = df.repartitionByRange(int(parts), *[F.col(k) for k in keys], *sort_columns(order))
     return durable(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 

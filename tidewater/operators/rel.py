@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.ordered import estimated_bytes, sort_columns
 from tidewater.sources.durable import plain_rows, settled
 
-HOT_SHARE = 1000      # a key is hot above 1/1000 of all rows, so at most 1000 keys are hot
-SALTS = 64
+SALTS = 64            # where the caller lists the hot keys
 
 
 def small_side(df: DataFrame, max_bytes: int = 50 << 20) -> DataFrame:
@@ -17,33 +16,33 @@ def small_side(df: DataFrame, max_bytes: int = 50 << 20) -> DataFrame:
     return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
-def _salt(df: DataFrame, spread: list[str] | None, salts: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(c) for c in (spread or df.columns)]), F.lit(salts)).cast("int")
+def _salt(df: DataFrame, spread: list[str] | None, salts: int | str) -> Column:
+    """Part of a row among ``salts``, a number or a column's name; 0 where that is null."""
+    parts = F.col(salts) if isinstance(salts, str) else F.lit(salts)
+    return F.coalesce(F.pmod(F.xxhash64(*[F.col(c) for c in (spread or df.columns)]), parts), F.lit(0)).cast("int")
 
 
 def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner",
-           spread: list[str] | None = None, salts: int = SALTS) -> DataFrame:
+           spread: list[str] | None = None) -> DataFrame:
     """Join rows to a one-row-per-key table whose ``_rows`` column counts the key's rows.
 
     The table is written once, so its true size decides about broadcasting and the largest
-    ``_rows`` about skew. With a key above ``spark.tidewater.plainRows`` rows, the hot keys are
-    salted on the row side and replicated on the other, so no task receives a whole hot key.
+    ``_rows`` about skew. Keys above ``spark.tidewater.plainRows`` rows are hot: they are salted on
+    the row side, in as many parts as they hold that number, and replicated as often on the other.
     ``_rows`` is dropped from the result.
     """
     if not keys:
         raise ValueError("use a scalar subquery for a keyless aggregate")
     per_key = settled(per_key, "per_key")
     values = [c for c in per_key.columns if c not in (*keys, "_rows")]
-    largest, total = per_key.agg(F.max("_rows"), F.sum("_rows")).first()
-    if (largest or 0) <= plain_rows(rows.sparkSession):
+    plain = max(plain_rows(rows.sparkSession), 1)
+    if (per_key.agg(F.max("_rows")).first()[0] or 0) <= plain:
         return match(rows, per_key.drop("_rows"), keys, how)
-    is_hot = F.col("_rows") * HOT_SHARE > total
-    hot = (per_key.filter(is_hot).select(*keys).withColumnsRenamed({k: f"_hot_{k}" for k in keys})
-           .withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), _salt(rows, spread, salts)).otherwise(F.lit(0))
-    salted = (rows.join(F.broadcast(hot), _same(keys, "_hot_"), "left")      # at most HOT_SHARE rows
-              .select(*rows.columns, salt.alias("_salt")))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    parts = F.ceil(F.col("_rows") / plain).cast("int")
+    hot = settled(per_key.filter(F.col("_rows") > plain).select(*[F.col(k).alias(f"_hot_{k}") for k in keys], parts.alias("_parts")), "hot")
+    salted = (rows.join(small_side(hot), _same(keys, "_hot_"), "left")
+              .select(*rows.columns, _salt(rows, spread, "_parts").alias("_salt")))
+    copies = F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)
     spread_out = per_key.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *values,
                                 F.explode(copies).alias("_key__salt"))
     return (salted.join(spread_out, _same([*keys, "_salt"], "_key_"), how)
@@ -77,22 +76,22 @@ def salted_join(facts: DataFrame, dim: DataFrame, keys: list[str], hot: DataFram
                 how: str = "inner") -> DataFrame:
     """Equi-join whose hot keys are spread over ``salts`` tasks; equal to the plain join.
 
-    ``hot`` lists the hot keys; by default keys above ``hot_rows`` rows, or 1/1000 of all rows.
+    ``hot`` lists the hot keys; by default keys above ``hot_rows`` rows, ``spark.tidewater.plainRows``
+    unless given, each in as many parts as it holds that number.
     Right and full joins are refused: copies of a dimension row without partner would appear as rows.
     """
     if how.replace("_", "") not in ("inner", "left", "leftouter", "leftsemi", "semi", "leftanti", "anti"):
         raise ValueError(f"salted_join cannot do {how}")
     if hot is None:
-        sizes = settled(facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "sizes")
-        limit = hot_rows or (sizes.agg(F.sum("_n")).first()[0] or 0) / HOT_SHARE
-        hot = settled(sizes.filter(F.col("_n") > limit).select(*keys).distinct(), "hot")
-    hot = small_side(hot.withColumn("_hot", F.lit(True)))
-    left = (facts.withColumn("_salted", _salt(facts, spread, salts)).join(hot, keys, "left")
-            .withColumn("_salt", F.when(F.col("_hot"), F.col("_salted")).otherwise(F.lit(0)))
-            .drop("_hot", "_salted"))
+        limit = hot_rows or max(plain_rows(facts.sparkSession), 1)
+        sizes = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+        hot = settled(sizes.select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_parts")), "hot")
+    else:
+        hot = hot.select(*keys).distinct().withColumn("_parts", F.lit(salts))
+    hot = small_side(hot)
+    left = facts.join(hot, keys, "left").withColumn("_salt", _salt(facts, spread, "_parts")).drop("_parts")
     right = (dim.join(hot, keys, "left")
-             .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                            .otherwise(F.array(F.lit(0))))).drop("_hot"))
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts"))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -150,18 +149,51 @@ def differences(left: DataFrame, right: DataFrame, keys: list[str], columns: lis
                     *[F.col(f"_r.{c}").alias(f"right_{c}") for c in columns]))
 
 
+LEVELS, FANOUT = 8, 8         # bucket sizes grow by FANOUT from level to level; the last one spans any date
+
+
+def _bucket(c: Column, level: Column, days: int) -> Column:
+    return F.floor(F.unix_date(c) / (days * F.pow(F.lit(FANOUT), level))).cast("long")
+
+
+def _level(start: Column, end: Column, days: int) -> Column:
+    """Finest level on which an interval touches few buckets."""
+    out = F.lit(LEVELS - 1)
+    for level in reversed(range(LEVELS - 1)):
+        out = F.when(F.datediff(end, start) <= days * FANOUT ** (level + 1), F.lit(level)).otherwise(out)
+    return out
+
+
+def _levels_of(spans: DataFrame) -> list[int]:
+    """Levels in use, at most LEVELS numbers."""
+    return sorted(r[0] for r in spans.select("_level").distinct().collect()) or [0]
+
+
+def _open(end: str) -> Column:
+    return F.coalesce(F.col(end), F.lit("9999-12-31").cast("date"))
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], time: str, start: str, end: str,
-                  bucket_days: int = 30, how: str = "inner") -> DataFrame:
-    """Points with the intervals that contain their date, as an equi-join on (key, day bucket).
+                  bucket_days: int = 30, how: str = "inner", closed: bool = True) -> DataFrame:
+    """Points with the intervals that contain their date, as an equi-join on (key, level, day bucket).
 
-    ``time``, ``start``, ``end`` are dates, both ends inclusive. An interval is listed once per
-    bucket it touches; a point lies in exactly one bucket, so no pair repeats.
+    ``time``, ``start``, ``end`` are dates; a null end is open, ``closed=False`` makes ends exclusive.
+    Long intervals lie on levels of longer buckets, so none is listed more than FANOUT + 1 times; a
+    point is listed once for each level in use, and no pair repeats. ``how`` is inner or left; a left
+    join puts all intervals on the highest level in use, so that an unmatched point appears once.
     """
-    day = lambda c: F.floor(F.unix_date(F.col(c)) / bucket_days)
-    left = points.withColumn("_bucket", day(time))
-    right = intervals.withColumn("_bucket", F.explode(F.sequence(day(start), day(end))))
-    cond = F.col(f"p.{time}").between(F.col(f"i.{start}"), F.col(f"i.{end}"))
-    for k in [*keys, "_bucket"]:
+    if how not in ("inner", "left"):
+        raise ValueError(f"interval_join cannot do {how}")
+    spans = intervals.withColumn("_level", _level(F.col(start), _open(end), bucket_days))
+    levels = _levels_of(spans)
+    if how == "left":
+        levels = levels[-1:]
+        spans = spans.withColumn("_level", F.lit(levels[0]))
+    right = spans.withColumn("_bucket", F.explode(F.sequence(_bucket(F.col(start), F.col("_level"), bucket_days), _bucket(_open(end), F.col("_level"), bucket_days))))
+    left = points.withColumn("_level", F.explode(F.array(*map(F.lit, levels)))).withColumn("_bucket", _bucket(F.col(time), F.col("_level"), bucket_days))
+    day, last = F.col(f"p.{time}"), F.coalesce(F.col(f"i.{end}"), F.lit("9999-12-31").cast("date"))
+    cond = (day >= F.col(f"i.{start}")) & ((day <= last) if closed else (day < last))
+    for k in [*keys, "_level", "_bucket"]:
         cond = cond & (F.col(f"p.{k}") == F.col(f"i.{k}"))
     extra = [c for c in intervals.columns if c not in keys]
     return left.alias("p").join(right.alias("i"), cond, how).select(
@@ -170,19 +202,21 @@ def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], time
 
 def overlapping_pairs(df: DataFrame, keys: list[str], row_id: str, start: str, end: str,
                       bucket_days: int = 30) -> DataFrame:
-    """Unordered pairs of intervals of one key that overlap (dates, both ends inclusive).
+    """Unordered pairs of intervals of one key that overlap (dates, both ends inclusive, a null end is open).
 
-    A pair is produced only in the bucket where the later interval starts, so just the rows that
-    share a bucket meet and every pair appears once.
+    A pair meets on the coarser of its two levels, and there only in the bucket where the later
+    interval starts, so just the rows that share a bucket meet and every pair appears once.
     """
-    day = lambda c: F.floor(F.unix_date(c) / bucket_days)
-    parts = df.select(*keys, row_id, start, end).withColumn(
-        "_bucket", F.explode(F.sequence(day(F.col(start)), day(F.col(end)))))
+    spans = df.select(*keys, row_id, start, _open(end).alias(end)).withColumn("_level", _level(F.col(start), F.col(end), bucket_days))
+    at = spans.withColumn("_at", F.explode(F.filter(F.array(*map(F.lit, _levels_of(spans))), lambda x: x >= F.col("_level"))))
+    parts = at.withColumn("_bucket", F.explode(F.sequence(*[_bucket(F.col(c), F.col("_at"), bucket_days) for c in (start, end)])))
     a, b = parts.alias("a"), parts.alias("b")
-    cond = (F.col(f"a.{row_id}") < F.col(f"b.{row_id}")) & (F.col("a._bucket") == F.col("b._bucket"))
-    for k in keys:
+    cond = F.col(f"a.{row_id}") < F.col(f"b.{row_id}")
+    for k in [*keys, "_at", "_bucket"]:
         cond = cond & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    cond = (cond & (F.col(f"a.{start}") <= F.col(f"b.{end}")) & (F.col(f"b.{start}") <= F.col(f"a.{end}"))
-            & (day(F.greatest(F.col(f"a.{start}"), F.col(f"b.{start}"))) == F.col("a._bucket")))
+    later = F.greatest(F.col(f"a.{start}"), F.col(f"b.{start}"))
+    cond = (cond & (F.col("a._at") == F.greatest("a._level", "b._level"))
+            & (F.col(f"a.{start}") <= F.col(f"b.{end}")) & (F.col(f"b.{start}") <= F.col(f"a.{end}"))
+            & (_bucket(later, F.col("a._at"), bucket_days) == F.col("a._bucket")))
     return a.join(b, cond).select(*[F.col(f"a.{k}") for k in keys], F.col(f"a.{row_id}").alias("left_id"),
                                   F.col(f"b.{row_id}").alias("right_id"))
