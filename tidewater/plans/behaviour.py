@@ -47,10 +47,10 @@ def b24_monthly_flow(t):
     return B.monthly_flow(t.orders, "o_custkey", "o_orderdate").withColumn("m", F.col("m").cast("string"))
 
 
-@query("""WITH u AS (SELECT user_id, max(CASE WHEN event_type = 'view' AND value > 60 THEN 1 ELSE 0 END) AS v, max(CASE WHEN event_type = 'click' AND value > 60 THEN 1 ELSE 0 END) AS c, max(CASE WHEN event_type = 'purchase' AND value > 60 THEN 1 ELSE 0 END) AS p FROM events GROUP BY 1),
+@query("""WITH u AS (SELECT user_id, max(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS v, max(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS c, max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS p FROM events GROUP BY 1),
           n AS (SELECT sum(v) AS a, sum(v * c) AS b, sum(v * c * p) AS d FROM u) SELECT CAST(a AS BIGINT) AS "view", CAST(b AS BIGINT) AS click, CAST(d AS BIGINT) AS purchase, round(100.0 * b / a, 6) AS click_of_view, round(100.0 * d / b, 6) AS purchase_of_click, round(100.0 * b / a, 6) AS click_overall, round(100.0 * d / a, 6) AS purchase_overall FROM n""")
 def b25_funnel(t):
-    return B.funnel(t.events.filter("value > 60"), "user_id", "event_type", ["view", "click", "purchase"])
+    return B.funnel(t.events, "user_id", "event_type", ["view", "click", "purchase"])
 
 
 @query("""SELECT DISTINCT g.user_id FROM events s JOIN events g ON s.user_id = g.user_id AND s.event_type = 'signup' AND g.event_type = 'purchase' AND g.ts >= s.ts AND g.ts <= s.ts + INTERVAL 2 HOUR""")

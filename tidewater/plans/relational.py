@@ -134,11 +134,11 @@ def p17_delete_rows(t):
     return t.customer.filter(~F.coalesce(gone, F.lit(False))).select("c_custkey")
 
 
-@query("SELECT o_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderstatus FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_totalprice > 300000")
+@query("SELECT o_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderstatus FROM orders JOIN lineitem ON l_orderkey = o_orderkey")
 def j01_inner_join(t):
-    big = t.orders.filter("o_totalprice > 300000").select("o_orderkey", "o_orderstatus")
+    states = t.orders.select("o_orderkey", "o_orderstatus")
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey")
-    return big.join(lines, "o_orderkey")
+    return states.join(lines, "o_orderkey")
 
 
 @query("""SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey

@@ -77,11 +77,11 @@ def f11_as_of(t):
     return t.orders.filter(F.to_date("o_orderdate").between(F.date_sub(as_of, 30), as_of)).select("o_orderkey")
 
 
-@query("""WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, o_orderdate::DATE AS a, l_shipdate::DATE AS b FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R' AND l_quantity > 40 AND abs(date_diff('day', o_orderdate, l_shipdate)) < 400)
-          SELECT l_orderkey, l_linenumber, l_partkey, (SELECT count(*) FROM range(0, greatest(date_diff('day', a, b) + 1, 0)) r(i) WHERE isodow(a + CAST(i AS INTEGER)) < 6 AND a + CAST(i AS INTEGER) NOT IN (DATE '1998-12-25', DATE '1999-01-01')) AS work_days FROM s""")
+@query("""WITH s AS (SELECT l_orderkey, l_linenumber, l_partkey, o_orderdate::DATE AS a, l_shipdate::DATE AS b FROM lineitem JOIN orders ON o_orderkey = l_orderkey), d AS (SELECT DATE '1980-01-01' + CAST(i AS INTEGER) AS d FROM range(18000) r(i)),
+          cal AS (SELECT d, CAST(count(CASE WHEN isodow(d) < 6 AND d NOT IN (DATE '1998-12-25', DATE '1999-01-01') THEN 1 END) OVER (ORDER BY d) AS BIGINT) AS c FROM d)
+          SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN b < a THEN 0 ELSE e.c - f.c END AS work_days FROM s JOIN cal e ON e.d = b JOIN cal f ON f.d = a - 1""")
 def f12_business_days(t):
-    rows = (t.lineitem.filter("l_returnflag = 'R' and l_quantity > 40").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .filter(F.abs(F.datediff("l_shipdate", "o_orderdate")) < 400))
+    rows = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     days = C.business_days(F.to_date("o_orderdate"), F.to_date("l_shipdate"), ["1998-12-25", "1999-01-01"])
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", days.alias("work_days"))
 
@@ -118,11 +118,11 @@ def f17_arrays(t):
                                                F.array_contains("ws", "ring").alias("has_ring"), F.array_join(F.slice("ws", 1, 1), "+").alias("head")))
 
 
-@query("SELECT o_orderkey, o_custkey AS customer_id, o_orderstatus AS status FROM orders WHERE o_totalprice > 400000")
+@query("SELECT o_orderkey, o_custkey AS customer_id, o_orderstatus AS status FROM orders")
 def f18_struct_navigation(t):
     nested = t.orders.select("o_orderkey", F.struct(F.col("o_custkey").alias("id")).alias("customer"),
                              F.struct(F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount")).alias("payment"))
-    return nested.filter("payment.amount > 400000").select("o_orderkey", F.col("customer.id").alias("customer_id"), "payment.status")
+    return nested.select("o_orderkey", F.col("customer.id").alias("customer_id"), "payment.status")
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")

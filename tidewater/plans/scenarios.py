@@ -159,9 +159,9 @@ def b118_exclusive_platform(t):
     return grid.join(sums, ["day", "platform"], "left").select(F.col("day").cast("string"), "platform", F.coalesce("users", F.lit(0)).alias("users"), F.round(F.coalesce("value", F.lit(0.0)), 2).alias("value"))
 
 
-@query("""WITH g AS (SELECT l_orderkey, count(*) AS c FROM lineitem WHERE l_quantity = 50 GROUP BY 1), d AS (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey) AS r FROM g WHERE c > 1) SELECT l.l_orderkey, l.l_partkey, 'DUP' || r AS label FROM lineitem l LEFT JOIN d ON l.l_orderkey = d.l_orderkey WHERE l_quantity = 50""")
+@query("""WITH g AS (SELECT l_orderkey, count(*) AS c FROM lineitem GROUP BY 1), d AS (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey) AS r FROM g WHERE c > 1) SELECT l.l_orderkey, l.l_partkey, 'DUP' || r AS label FROM lineitem l LEFT JOIN d ON l.l_orderkey = d.l_orderkey""")
 def b119_label_duplicates(t):
-    rows = t.lineitem.filter("l_quantity = 50").select("l_orderkey", "l_partkey")
+    rows = t.lineitem.select("l_orderkey", "l_partkey")
     sizes = rows.groupBy("l_orderkey").agg(F.count("*").alias("_rows"))
     numbered = row_numbers(sizes.filter("_rows > 1").select("l_orderkey"), [], ["l_orderkey"], "r")
     labels = sizes.join(numbered, "l_orderkey", "left").withColumn("label", F.concat(F.lit("DUP"), F.col("r"))).drop("r")
@@ -197,9 +197,9 @@ def b123_two_attributes(t):
     return per.select("user_id", (F.col("c") == F.col("v")).alias("equal_marks"))
 
 
-@query("""WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders WHERE o_totalprice > 350000) SELECT o_custkey, o_orderkey FROM r WHERE rn = 2 OR n = 1""")
+@query("""WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) SELECT o_custkey, o_orderkey FROM r WHERE rn = 2 OR n = 1""")
 def b124_second_or_only(t):
-    two = rel.top_k(t.orders.filter("o_totalprice > 350000").select("o_custkey", "o_orderdate", "o_orderkey"), ["o_custkey"], ["-o_orderdate", "-o_orderkey"], 2)
+    two = rel.top_k(t.orders.select("o_custkey", "o_orderdate", "o_orderkey"), ["o_custkey"], ["-o_orderdate", "-o_orderkey"], 2)
     return two.groupBy("o_custkey").agg(F.max_by("o_orderkey", "rk").alias("o_orderkey"))
 
 
@@ -231,10 +231,10 @@ def b128_neighbour_sum(t):
     return rel.attach(links, degree, ["user_id"]).groupBy("a").agg(F.count("*").alias("friends"), F.round(F.sum("score"), 2).alias("score")).filter("score > 150000")
 
 
-@query("""WITH c AS (SELECT DISTINCT o_custkey, o_orderdate, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE round(o_totalprice) END AS m FROM orders WHERE o_orderdate >= '2001-01-01'), u AS (SELECT c_custkey, c_mktsegment, coalesce(sum(coalesce(m, 0)), 0) AS minutes, count(o_orderdate) AS calls FROM customer LEFT JOIN c ON o_custkey = c_custkey GROUP BY 1, 2)
+@query("""WITH c AS (SELECT DISTINCT o_custkey, o_orderdate, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE round(o_totalprice) END AS m FROM orders), u AS (SELECT c_custkey, c_mktsegment, coalesce(sum(coalesce(m, 0)), 0) AS minutes, count(o_orderdate) AS calls FROM customer LEFT JOIN c ON o_custkey = c_custkey GROUP BY 1, 2)
           SELECT c_custkey, minutes, calls, dense_rank() OVER (PARTITION BY c_mktsegment ORDER BY minutes DESC) AS place FROM u""")
 def b129_usage_report(t):
-    calls = (t.orders.filter("o_orderdate >= '2001-01-01'").select("o_custkey", "o_orderdate", "o_orderstatus", F.when(F.col("o_orderstatus") != "P", F.round("o_totalprice")).alias("m")).distinct()
+    calls = (t.orders.select("o_custkey", "o_orderdate", "o_orderstatus", F.when(F.col("o_orderstatus") != "P", F.round("o_totalprice")).alias("m")).distinct()
              .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum(F.coalesce("m", F.lit(0.0))).alias("minutes"), F.count("*").alias("calls")))
     use = t.customer.select("c_custkey", "c_mktsegment").join(calls, "c_custkey", "left").fillna({"minutes": 0.0, "calls": 0})
     ranks = rank_table(use, ["c_mktsegment"], "minutes", True).select("c_mktsegment", "minutes", F.col("rows").alias("_rows"), F.col("dense_rank").alias("place"))
