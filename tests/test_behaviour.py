@@ -39,7 +39,9 @@ def test_cohort_rates_keep_empty_periods(spark):
 def test_monthly_flow(spark):
     df = spark.createDataFrame([("a", "2024-01-01"), ("a", "2024-03-01"), ("b", "2024-01-01"), ("b", "2024-02-01"), ("c", "2024-03-05")], "u string, ts string")
     got = B.monthly_flow(df, "u", "ts").select(F.col("m").cast("string"), "active", "new", "retained", "returned", "churned")
-    assert rows(got) == [("2024-01-01", 2, 2, 0, 0, 1), ("2024-02-01", 1, 0, 1, 0, 1), ("2024-03-01", 2, 1, 0, 1, None)]
+    assert rows(got) == [("2024-01-01", 2, 2, 0, 0, 0), ("2024-02-01", 1, 0, 1, 0, 1), ("2024-03-01", 2, 1, 0, 1, 1)]
+    gap = spark.createDataFrame([("a", "2024-01-01"), ("a", "2024-03-01")], "u string, ts string")
+    assert rows(B.monthly_flow(gap, "u", "ts").select(F.col("m").cast("string"), "active", "returned", "churned")) == [("2024-01-01", 1, 0, 0), ("2024-02-01", 0, 0, 1), ("2024-03-01", 1, 1, 0)]
 
 
 def test_funnel_counts_users_not_rows(spark):

@@ -150,3 +150,16 @@ def test_bucketed_join_has_no_exchange(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in plan
+
+
+def test_clustered_files_cover_narrow_ranges(spark):
+    rows_in = spark.range(20_000).select(F.hash("id").alias("v"))
+    files = maintenance.cluster_files(rows_in, scratch(spark, "c"), ["v"], file_bytes=20_000).groupBy("_metadata.file_path").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"))
+    got = sorted((r.lo, r.hi, r.n) for r in files.collect())
+    assert len(got) > 4 and sum(n for *_, n in got) == 20_000
+    assert all(a[1] < b[0] for a, b in zip(got, got[1:]))
+
+
+def test_buckets_follow_the_size(spark):
+    df = spark.range(10_000)
+    assert io.bucket_count(df) == 8 and io.bucket_count(df, bucket_bytes=1000) == 128

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.columns import epoch, month, pct
 from tidewater.operators.ordered import reach_back, scan, trailing_sums
-from tidewater.sources.io import scalar, spine
+from tidewater.sources.io import spine
 
 
 def streaks(df: DataFrame, keys: list[str], time: str, unit: str = "day") -> DataFrame:
@@ -104,20 +104,21 @@ def activity_status(df: DataFrame, user: str, time: str, as_of: Column, risk_day
 
 
 def monthly_flow(df: DataFrame, user: str, time: str) -> DataFrame:
-    """Per month: active, new, returned (not active the month before), retained, churned (gone next month).
+    """Per month: active, new, returned (not active the month before), retained, churned (active the month before only).
 
-    The last month has no churn figure because the next month is unknown.
+    Every month between the first and the last has a row, also without activity.
     """
-    months = df.select(user, month(time).alias("m")).distinct()
+    months = df.select(user, month(time).alias("m")).filter("m is not null").distinct()
     w = Window.partitionBy(user).orderBy("m")
     marked = months.withColumns({"_prev": F.lag("m").over(w), "_next": F.lead("m").over(w)})
-    stayed = F.col("_prev").eqNullSafe(F.add_months("m", -1))
-    last = scalar(df, F.max(month(time)))
-    flow = marked.groupBy("m").agg(
-        F.count("*").alias("active"), F.count_if(F.col("_prev").isNull()).alias("new"), F.count_if(stayed).alias("retained"),
-        F.count_if(F.col("_prev").isNotNull() & ~stayed).alias("returned"),
-        F.count_if(~F.col("_next").eqNullSafe(F.add_months("m", 1))).alias("churned"))
-    return flow.withColumn("churned", F.when(F.col("m") < last, F.col("churned")))
+    stayed, after = F.col("_prev").eqNullSafe(F.add_months("m", -1)), F.add_months("m", 1)
+    seen = F.struct("m", F.lit(1).alias("active"), F.col("_prev").isNull().cast("int").alias("new"), stayed.cast("int").alias("retained"),
+                    (F.col("_prev").isNotNull() & ~stayed).cast("int").alias("returned"), F.lit(0).alias("churned"))
+    gone = F.struct(after.alias("m"), *[F.lit(0).alias(c) for c in ("active", "new", "retained", "returned")], F.lit(1).alias("churned"))
+    booked = marked.select(F.explode(F.when(F.col("_next").eqNullSafe(after), F.array(seen)).otherwise(F.array(seen, gone))).alias("x")).select("x.*")
+    sums = booked.groupBy("m").agg(*[F.sum(c).alias(c) for c in ("active", "new", "retained", "returned", "churned")])
+    every = spine(months.agg(F.min("m").alias("lo"), F.max("m").alias("hi")), "lo", "hi", "m", "interval 1 month")
+    return every.join(sums, "m", "left").fillna(0)
 
 
 def funnel(df: DataFrame, user: str, stage: str, stages: list[str]) -> DataFrame:

@@ -19,6 +19,7 @@ from tidewater.sources.durable import durable, plain_rows, settled
 
 SLICE = "_slice"
 SLICE_BYTES = 64 << 20
+UNKNOWN_BYTES = 1 << 60       # Spark's estimate of a size it does not know lies above
 
 
 def sort_columns(order: list[str], reverse: bool = False) -> list[Column]:
@@ -36,10 +37,25 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of the tables that a query reads, None when one is unknown; bounds estimates that multiply in joins."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(sizes) if max(sizes, default=0) < UNKNOWN_BYTES else None
+
+
+def parts_of(df: DataFrame, part_bytes: int) -> int:
+    """So many parts of ``part_bytes`` as the rows need; the session's shuffle partitions when their size is unknown."""
+    known = input_bytes(df)
+    if known is None:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return int(min(estimated_bytes(df), known) // part_bytes)
+
+
 def slice_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Range-partition by keys and order and record the slice number of every row."""
-    parts = max(4, estimated_bytes(df) // SLICE_BYTES)
-    ranged = df.repartitionByRange(int(parts), *[F.col(k) for k in keys], *sort_columns(order))
+    parts = max(4, parts_of(df, SLICE_BYTES))
+    ranged = df.repartitionByRange(parts, *[F.col(k) for k in keys], *sort_columns(order))
     return durable(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 

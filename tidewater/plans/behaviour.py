@@ -39,10 +39,10 @@ def b23_churn_labels(t):
     return B.activity_status(t.orders, "o_custkey", "o_orderdate", F.lit("2001-08-01").cast("date"), 90, 365).select("o_custkey", "idle_days", "status")
 
 
-@query("""WITH m AS (SELECT DISTINCT o_custkey AS u, date_trunc('month', o_orderdate)::DATE AS m FROM orders), x AS (SELECT m.*, EXISTS (SELECT 1 FROM m p WHERE p.u = m.u AND p.m = (m.m - INTERVAL 1 MONTH)::DATE) AS was,
-            EXISTS (SELECT 1 FROM m p WHERE p.u = m.u AND p.m = (m.m + INTERVAL 1 MONTH)::DATE) AS will, EXISTS (SELECT 1 FROM m p WHERE p.u = m.u AND p.m < m.m) AS before FROM m)
-          SELECT CAST(m AS VARCHAR) AS m, count(*) AS active, count(CASE WHEN NOT before THEN 1 END) AS "new", count(CASE WHEN was THEN 1 END) AS retained, count(CASE WHEN before AND NOT was THEN 1 END) AS returned,
-                 CASE WHEN m < (SELECT max(m) FROM m) THEN count(CASE WHEN NOT will THEN 1 END) END AS churned FROM x GROUP BY x.m""")
+@query("""WITH m AS (SELECT DISTINCT o_custkey AS u, date_trunc('month', o_orderdate)::DATE AS m FROM orders), x AS (SELECT m.*, EXISTS (SELECT 1 FROM m p WHERE p.u = m.u AND p.m = (m.m - INTERVAL 1 MONTH)::DATE) AS was, EXISTS (SELECT 1 FROM m p WHERE p.u = m.u AND p.m < m.m) AS before FROM m),
+          s AS (SELECT unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH))::DATE AS m FROM m), a AS (SELECT m, count(*) AS active, count(CASE WHEN NOT before THEN 1 END) AS "new", count(CASE WHEN was THEN 1 END) AS retained, count(CASE WHEN before AND NOT was THEN 1 END) AS returned FROM x GROUP BY m),
+          c AS (SELECT (m.m + INTERVAL 1 MONTH)::DATE AS m, count(*) AS churned FROM m WHERE NOT EXISTS (SELECT 1 FROM m p WHERE p.u = m.u AND p.m = (m.m + INTERVAL 1 MONTH)::DATE) GROUP BY 1)
+          SELECT CAST(s.m AS VARCHAR) AS m, coalesce(active, 0) AS active, coalesce("new", 0) AS "new", coalesce(retained, 0) AS retained, coalesce(returned, 0) AS returned, coalesce(churned, 0) AS churned FROM s LEFT JOIN a ON a.m = s.m LEFT JOIN c ON c.m = s.m""")
 def b24_monthly_flow(t):
     return B.monthly_flow(t.orders, "o_custkey", "o_orderdate").withColumn("m", F.col("m").cast("string"))
 

@@ -130,6 +130,16 @@ def b15_strict_trend(t):
     return (step.groupBy("o_custkey").agg((F.min("d") > 0).alias("rising"), (F.max("d") <= 0).alias("never_rising")).filter("rising or never_rising"))
 
 
+@query("""WITH y AS (SELECT o_custkey, year(o_orderdate) AS y, sum(o_totalprice) AS v FROM orders GROUP BY 1, 2), d AS (SELECT *, v < lag(v) OVER w AND lag(v) OVER w < lag(v, 2) OVER w AND lag(v, 2) OVER w < lag(v, 3) OVER w AS falls FROM y WINDOW w AS (PARTITION BY o_custkey ORDER BY y))
+          SELECT o_custkey, CAST(y AS INTEGER) AS y FROM d WHERE falls""")
+def b15_declines_in_a_row(t):
+    """Customers and years that end three declines in a row; one row per customer and year enters the window."""
+    yearly = t.orders.groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.sum("o_totalprice").alias("v"))
+    by_year = Window.partitionBy("o_custkey").orderBy("y")
+    falls = yearly.withColumn("falls", (F.col("v") < F.lag("v").over(by_year)).cast("int"))
+    return falls.withColumn("run", F.sum("falls").over(by_year.rowsBetween(-2, 0))).filter("run = 3").select("o_custkey", "y")
+
+
 @query("""WITH d AS (SELECT DISTINCT user_id, ts::DATE AS day FROM events), g AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS island FROM d)
           SELECT user_id, CAST(min(day) AS VARCHAR) AS first_day, count(*) AS days FROM g GROUP BY user_id, island HAVING count(*) >= 5""")
 def b16_consecutive_days(t):

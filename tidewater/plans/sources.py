@@ -120,8 +120,9 @@ def s13_ingest_columns(t):
 @query("""SELECT o_orderstatus, count(*) AS n, round(sum(l_extendedprice), 2) AS value
           FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
 def s14_bucketed_join(t):
-    left = io.save_table(t.orders.select("o_orderkey", "o_orderstatus"), "orders_b", "o_orderkey")
-    right = io.save_table(t.lineitem.select("l_orderkey", "l_extendedprice"), "lineitem_b", "l_orderkey")
+    orders, lines = t.orders.select("o_orderkey", "o_orderstatus"), t.lineitem.select("l_orderkey", "l_extendedprice")
+    buckets = io.bucket_count(orders, lines)
+    left, right = io.save_table(orders, "orders_b", "o_orderkey", buckets), io.save_table(lines, "lineitem_b", "l_orderkey", buckets)
     joined = t.spark.table(left).join(t.spark.table(right), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("value"))
 

@@ -10,15 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.operators.ordered import parts_of
 from tidewater.sources.durable import scratch
 
 log = logging.getLogger(__name__)
 
 
 def write_parquet(df: DataFrame, path: str, partition_cols: list[str] | None = None, mode: str = "overwrite",
-                  compression: str = "snappy", cluster: bool = False) -> str:
-    """Partitioned Parquet write; ``cluster`` shuffles by the partition columns to avoid small files."""
-    out = df.repartition(*partition_cols) if cluster and partition_cols else df
+                  compression: str = "snappy", cluster: bool = True) -> str:
+    """Partitioned Parquet write; ``cluster`` gathers rows by the partition columns to avoid small files.
+
+    Gathering is a rebalance: adaptive execution splits large partition values over many tasks.
+    """
+    out = df.hint("rebalance", *map(F.col, partition_cols)) if cluster and partition_cols else df
     writer = out.write.mode(mode).option("compression", compression)
     (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
     return path
@@ -82,11 +86,21 @@ def with_ingest_columns(df: DataFrame, at: Column | None = None) -> DataFrame:
                            "source_file": F.input_file_name()})
 
 
-def save_table(df: DataFrame, label: str, bucket_by: str | None = None, buckets: int = 16) -> str:
-    """External catalog table below the shared folder, bucketed and sorted on request; returns its name."""
+def bucket_count(*tables: DataFrame, bucket_bytes: int = 128 << 20) -> int:
+    """Buckets for tables that are to be joined: a power of two, by the size of the largest."""
+    return max(8, 1 << max(parts_of(t, bucket_bytes) for t in tables).bit_length())
+
+
+def save_table(df: DataFrame, label: str, bucket_by: str | None = None, buckets: int | None = None) -> str:
+    """External catalog table below the shared folder, bucketed and sorted on request; returns its name.
+
+    Rows are dealt by bucket first, so a task writes whole buckets. ``buckets`` follows the size of ``df`` unless given.
+    """
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     writer = df.write.format("parquet").option("path", scratch(df.sparkSession, label))
     if bucket_by:
+        buckets = buckets or bucket_count(df)
+        writer = df.repartition(buckets, bucket_by).write.format("parquet").option("path", scratch(df.sparkSession, label))
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(name)
     return name

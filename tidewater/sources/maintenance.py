@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.operators.ordered import parts_of
 from tidewater.sources.io import write_parquet
 
 
@@ -37,9 +38,9 @@ def rollback_batch(spark: SparkSession, path: str, batch_id: str) -> bool:
     return drop_partition(spark, path, "batch_id", batch_id)
 
 
-def cluster_files(df: DataFrame, path: str, columns: list[str], files: int) -> DataFrame:
+def cluster_files(df: DataFrame, path: str, columns: list[str], file_bytes: int = 128 << 20) -> DataFrame:
     """Rewrite so that each file covers a narrow range of the query columns (better row-group pruning)."""
-    df.repartitionByRange(files, *columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+    df.repartitionByRange(max(1, parts_of(df, file_bytes)), *columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
