@@ -1,5 +1,7 @@
 """T: streaming jobs over the events table, each compared with the batch result."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidewater.operators.quality import tag
@@ -18,11 +20,11 @@ def _stream(t):
     return J.file_stream(t.spark, t.folder, t.events.schema, "parquet", pathGlobFilter="events.parquet")
 
 
-def _messages(t, files=4):
+def _messages(t):
     """Events as JSON message files, as a queue would deliver them."""
     path = scratch(t.spark, "messages")
     body = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
-    t.events.repartition(files, "event_id").select(body.cast("binary").alias("value"), F.col("ts").alias("timestamp")).write.parquet(path)
+    t.events.repartition("event_id").select(body.cast("binary").alias("value"), F.col("ts").alias("timestamp")).write.parquet(path)
     return path
 
 
@@ -35,7 +37,7 @@ def _collect(t, stream, keys, mode="update"):
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def t01_file_stream(t):
     path = scratch(t.spark, "json")
-    t.events.repartition(4, "event_id").write.json(path)
+    t.events.repartition("event_id").write.json(path)
     schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
     rows = _collect(t, J.file_stream(t.spark, path, schema, "json", 2), None, "append")
     return rows.groupBy("event_type").agg(F.count("*").alias("n"))
@@ -109,6 +111,16 @@ def t10_append_path_sink(t):
     return t.spark.read.parquet(path)
 
 
+@query("SELECT event_id, user_id, value FROM events")
+def t10_table_sink(t):
+    """The table's files are read by path, so the catalog entry can go again."""
+    path, name = scratch(t.spark, "sink"), f"sink_{uuid.uuid4().hex[:12]}"
+    J.drain(_stream(t).select("event_id", "user_id", "value"), scratch(t.spark, "state"), path=path, table=name)
+    rows = t.spark.table(name).count()
+    t.spark.sql(f"DROP TABLE {name}")
+    return t.spark.read.parquet(path).filter(F.lit(rows) > 0)
+
+
 @query("SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def t11_checkpoint_recovery(t):
     source, out, state = scratch(t.spark, "landing"), scratch(t.spark, "out"), scratch(t.spark, "state")

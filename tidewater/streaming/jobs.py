@@ -25,8 +25,8 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str =
 
 
 def decode_json(messages: DataFrame, schema: str, keep: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """Binary message value to columns; rows that do not parse have nulls."""
-    parsed = F.from_json(F.col("value").cast("string"), schema)
+    """Binary message value to columns; rows that do not parse have nulls, and their text in ``_corrupt_record``."""
+    parsed = F.from_json(F.col("value").cast("string"), f"{schema}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"})
     return messages.select(parsed.alias("_v"), *[c for c in keep if c in messages.columns]).select("_v.*", *[c for c in keep if c in messages.columns])
 
 
@@ -58,10 +58,17 @@ def late_rows(df: DataFrame, event_time: str, arrival: str, size: str, tolerance
 
 
 def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None,
-          path: str | None = None, mode: str = "append", timeout: int | None = None) -> None:
-    """Process everything available, then stop; a restart with the same checkpoint continues. No time limit unless given."""
+          path: str | None = None, mode: str = "append", timeout: int | None = None, table: str | None = None) -> None:
+    """Process everything available, then stop; a restart with the same checkpoint continues. No time limit unless given.
+
+    Rows go to ``sink`` by batches, to Parquet files below ``path``, or to the catalog table ``table`` (its files below ``path``, if given).
+    """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    run = writer.foreachBatch(sink).start() if sink else writer.format("parquet").option("path", path).start()
+    if sink:
+        run = writer.foreachBatch(sink).start()
+    else:
+        files = writer.format("parquet").option("path", path) if path else writer.format("parquet")
+        run = files.toTable(table) if table else files.start()
     try:
         if run.awaitTermination(timeout) is False:
             raise TimeoutError("stream did not finish")
