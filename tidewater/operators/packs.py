@@ -33,8 +33,8 @@ def total(x: str) -> str:
 
 
 def mean(x: str) -> str:
-    """Average to six digits; the nudge keeps exact ties on one side in any summation order."""
-    return f"round(avg({x}) + 1e-9, 6)"
+    """Average to six digits, ties upwards; the sum is a decimal, so its order does not matter."""
+    return f"floor(1e6 * (cast(sum(cast({x} as decimal(18, 6))) as double) / nullif(count({x}), 0)) + 0.5e0) / 1e6"
 
 
 def uniq(x: str) -> str:
@@ -51,8 +51,8 @@ def rate(condition: str, base: str = "true") -> str:
 
 
 def over(part: str, whole: str) -> str:
-    """Quotient as a double, null for a zero divisor."""
-    return f"round(1e0 * ({part}) / nullif({whole}, 0) + 1e-9, 6)"
+    """Quotient to six digits, ties upwards; null for a zero divisor."""
+    return f"floor(1e6 * (1e0 * ({part}) / nullif({whole}, 0)) + 0.5e0) / 1e6"
 
 
 def percentile(x: str, p: float) -> str:
