@@ -66,3 +66,8 @@ def test_change_sink_and_decode(spark):
 def test_late_flag_compares_arrival_with_window_end(spark):
     df = spark.createDataFrame([(1, at(10), at(59, 2)), (2, at(10), at(1, 3))], "id int, ts timestamp, arrival timestamp")
     assert rows(jobs.late_rows(df, "ts", "arrival", "1 hour", 7200), "id", "late") == [(1, False), (2, True)]
+
+
+def test_unreadable_messages_keep_their_text(spark):
+    df = spark.createDataFrame([(b'{"id": 1}',), (b"{oops",)], "value binary")
+    assert rows(jobs.decode_json(df, "id int", keep=())) == [(1, None), (None, "{oops")]
