@@ -1,11 +1,11 @@
 """Adaptive context-mixing range coder for token ids, many blocks at a time.
 
 A block of at most ``BLOCK`` ids is coded on its own: its models start afresh and its header holds a checksum. The
-ids of a block are numbered by value (the header lists them); such a number has three digits of four bits. For
-each digit three predictions are mixed: order 0, an adaptive frequency table in the context of the higher digits;
-order 1, the number that last followed the previous one; order 2, the number that last followed the previous two. The
-weights of orders 1 and 2 are their own success rates so far, by digit and by how often the prediction held
-lately. The mixed frequencies drive a range coder with 48 bits of state that moves 16-bit words.
+ids of a block are numbered by value (the header lists them). For each number three predictions are mixed: order 0,
+frequencies of what the block held so far, brought up to date at ``RENEW``; order 1, the number that last followed
+the previous one; order 2, the number that last followed the previous two. The weights of orders 1 and 2 are their
+own success rates so far, by how often the prediction held lately and whether both orders agree. The mixed
+frequencies drive a range coder with 48 bits of state that moves 16-bit words.
 
 Blocks are independent, so numpy codes one id of up to ``LANES`` blocks in each step; the longest blocks come
 first and drop out from the end.
@@ -20,137 +20,160 @@ import numpy as np
 
 BLOCK = 4096
 LANES = 2048
+RENEW = (0, 64, 256, 1024, 2048)
 _HEAD = "<IIIII"      # ids, distinct ids, bytes of the id list, words of the code, crc32 of the ids
-_ROWS, _TOP, _HALF, _MASK = 273, 1 << 15, np.uint64(1 << 32), np.uint64((1 << 48) - 1)
-_ROW_AT = (0, 1, 17)
-_RATE = 5
-_J = np.arange(17)
-_ROW = np.dtype((np.void, 32))
-#: Where a frequency table of total 2 ** 14 moves to when symbol s is seen.
-_AIM = np.where(_J[None, :16] <= np.arange(16)[:, None], 0, 1 << 14).astype(np.int16)
+_ZERO, _WEIGHT = 13, 8                    # bits of order-0 frequencies and of mixing weights
+_BITS = np.uint64(_ZERO + _WEIGHT)
+_HALF, _MASK = np.uint64(1 << 32), np.uint64((1 << 48) - 1)
+_NUMBER, _S12, _S3, _S1 = np.uint16(BLOCK - 1), np.uint16(12), np.uint16(3), np.uint16(1)
+#: How far a prediction is trusted next (0..3, at bit 12), by 2 * trust + held.
+_SURER = np.array([0, 1, 0, 2, 1, 3, 2, 3], np.uint16) << np.uint16(12)
 
 
 class _Models:
-    """What all lanes of a group have learnt, and the mixed frequencies of the next digit."""
+    """What all lanes of a group have learnt, and the mixed frequencies of the next number."""
 
-    def __init__(self, lanes: int):
-        self.zero = np.tile((np.arange(16) << 10).astype(np.int16), (lanes * _ROWS, 1))
-        self.flat = self.zero.reshape(-1)
-        self.whole = self.zero.view(_ROW).reshape(-1)          # a row as one value: quicker to put back
+    def __init__(self, distinct: np.ndarray, decoding: bool):
+        lanes, self.wide = len(distinct), int(distinct.max()) + 1
+        self.distinct, self.decoding, self.until = distinct.astype(np.int32), decoding, 0
+        self.known = np.minimum(np.arange(self.wide, dtype=np.int32), self.distinct[:, None])       # numbers below each
+        self.seen = (np.arange(self.wide - 1) < distinct[:, None]).astype(np.int32)
+        self.below = np.zeros((lanes, self.wide), np.uint16)
+        self.flat = self.below.reshape(-1)
         self.one = np.zeros(lanes * BLOCK, np.uint16)
         self.two = np.zeros(lanes * BLOCK, np.uint16)
-        self.luck = np.full(lanes * 32, 1 << 12, np.int32)
+        self.luck = np.full(lanes * 32, (1 << 11) << 15 | 1 << 11, np.int32)
         lane = np.arange(lanes)
-        self.row, self.slot, self.chance = lane * _ROWS, lane * BLOCK, lane * 32
+        self.row, self.slot, self.chance, self.place = lane * self.wide, lane * BLOCK, lane * 32, lane << _ZERO
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
 
+    def renew(self, m: int, steps: np.ndarray, t: int) -> None:
+        """Order-0 frequencies from the numbers before step t; every listed number keeps at least one part."""
+        wide = self.wide - 1
+        if t > self.until:
+            at = steps[self.until:t, :m] + np.arange(m) * wide
+            self.seen[:m] += np.bincount(at.reshape(-1), minlength=m * wide).reshape(m, wide).astype(np.int32)
+            self.until = t
+        counts = np.cumsum(self.seen[:m], axis=1, dtype=np.int32)
+        spare, whole = (1 << _ZERO) - self.distinct[:m, None], counts[:, -1:].copy()
+        counts *= spare
+        counts //= whole
+        counts += self.known[:m, 1:]
+        self.below[:m, 1:] = counts
+        if self.decoding:
+            parts = np.diff(counts, axis=1, prepend=0).reshape(-1)
+            self.holder = np.repeat(np.tile(np.arange(wide, dtype=np.uint16), m), parts)
+
     def begin(self, m: int) -> None:
-        """Look up the predictions for the next id of the first m lanes."""
+        """Predictions and weights for the next number of the first m lanes."""
         self.m = m
         last = self.last[:m]
         self.at1 = self.slot[:m] + last
         self.at2 = self.slot[:m] + ((self.before[:m] * 2477 + last * 31) & (BLOCK - 1))
-        p1, p2 = self.one.take(self.at1).astype(np.int32), self.two.take(self.at2).astype(np.int32)
-        self.p1, self.p2 = p1 & 4095, p2 & 4095
-        self.sure1, self.sure2 = p1 >> 12, p2 >> 12
-        self.lane1, self.lane2 = self.chance[:m] + self.sure1, self.chance[:m] + self.sure2
-        self.live1 = self.live2 = np.ones(m, np.int32)
-        self.prefix = np.zeros(m, np.int32)
-
-    def digit(self, k: int) -> None:
-        """Mixing weights of digit k (0 is the highest)."""
-        shift = 8 - 4 * k
-        self.n1, self.n2 = self.p1 >> shift & 15, self.p2 >> shift & 15
-        self.c1, self.c2 = self.lane1 + 4 * k, self.lane2 + (4 * k + 16)
-        self.h1, self.h2 = self.luck.take(self.c1), self.luck.take(self.c2)
-        w2 = (self.h2 * 240 >> 16) * self.live2
-        w1 = (self.h1 * (248 - w2) >> 16) * self.live1
-        self.w0, self.w1, self.w2 = 252 - w1 - w2, w1 << 7, w2 << 7
-        self.r = self.row[:self.m] + (self.prefix + _ROW_AT[k])
-        self.r16 = self.r << 4
-
-    def below(self, s: np.ndarray) -> np.ndarray:
-        """Mixed frequency, of 2 ** 15, of the symbols below s (0..15)."""
-        out = self.flat.take(self.r16 + s) * self.w0
-        out >>= 7
-        out += self.w1 * (self.n1 < s)
-        out += self.w2 * (self.n2 < s)
-        out += s << 5
-        return out
-
-    def learn(self, s: np.ndarray, k: int) -> None:
-        rows = self.zero.take(self.r, axis=0)
-        step = _AIM.take(s, axis=0)
-        step -= rows
-        step >>= _RATE
-        rows += step
-        self.whole[self.r] = rows.view(_ROW).reshape(-1)
-        hit1, hit2 = self.n1 == s, self.n2 == s
-        self.luck[self.c1] = self.h1 + (hit1 * 65535 - self.h1 >> 4) * self.live1
-        self.luck[self.c2] = self.h2 + (hit2 * 65535 - self.h2 >> 4) * self.live2
-        self.live1, self.live2 = self.live1 * hit1, self.live2 * hit2
-        self.prefix = (self.prefix << 4) | s
-
-    def end(self) -> np.ndarray:
-        """Note the id just coded; returns it."""
-        m, x = self.m, self.prefix
-        for hit, sure, old, table, at in ((self.live1, self.sure1, self.p1, self.one, self.at1), (self.live2, self.sure2, self.p2, self.two, self.at2)):
-            keep = hit | (sure > 0)
-            new_sure = np.minimum(np.maximum(sure - 1 + 2 * hit, 0), 3)
-            table[at] = x + (old - x) * keep | new_sure << 12
+        self.o1, self.o2 = self.one.take(self.at1), self.two.take(self.at2)
+        self.p1, self.p2 = self.o1 & _NUMBER, self.o2 & _NUMBER
+        sure = (self.o1 >> _S12 << _S3) | (self.o2 >> _S12 << _S1) | (self.p1 == self.p2)
+        self.at = self.chance[:m] + sure
+        held = self.luck.take(self.at)
+        self.h1, self.h2 = held & 32767, held >> 15
+        self.w2 = self.h2 * 248 >> 15
+        self.w1 = self.h1 * (252 - self.w2) >> 15
+        self.w0 = 256 - self.w1 - self.w2
+        self.w1 <<= _ZERO
+        self.w2 <<= _ZERO
+
+    def interval(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width, of 2 ** _BITS, of the numbers s."""
+        at = self.row[:self.m] + s
+        self.s16 = own = s.astype(np.uint16)
+        lo = self.flat.take(at)
+        at += 1
+        size = (self.flat.take(at) - lo) * self.w0
+        lo = lo * self.w0
+        self.hit1, self.hit2 = self.p1 == own, self.p2 == own
+        lo += self.w1 * (self.p1 < own)
+        lo += self.w2 * (self.p2 < own)
+        size += self.w1 * self.hit1
+        size += self.w2 * self.hit2
+        return lo, size
+
+    def find(self, aim: np.ndarray) -> np.ndarray:
+        """The numbers whose intervals hold aim: the two predictions' own parts are taken out, order 0 is left."""
+        row, a, b = self.row[:self.m] + 1, np.minimum(self.p1, self.p2), np.maximum(self.p1, self.p2)
+        wa = np.where(self.p1 <= self.p2, self.w1, self.w2)
+        for p, w in ((a, wa), (b, self.w1 + self.w2 - wa)):
+            past = aim - self.flat.take(row + p) * self.w0
+            past += 1
+            aim = aim - np.minimum(np.maximum(past, 0, out=past), w, out=past)
+        return self.holder.take(self.place[:self.m] + aim // self.w0).astype(np.int64)
+
+    def learn(self, x: np.ndarray) -> None:
+        """Note the numbers just coded, after ``interval``."""
+        m = self.m
+        self.h1 += (self.hit1 * np.int32(32767) - self.h1) >> 5
+        self.h2 += (self.hit2 * np.int32(32767) - self.h2) >> 5
+        self.h2 <<= 15
+        self.h2 |= self.h1
+        self.luck[self.at] = self.h2
+        for hit, old, p, table, at in ((self.hit1, self.o1, self.p1, self.one, self.at1), (self.hit2, self.o2, self.p2, self.two, self.at2)):
+            state = old >> _S12 << _S1
+            state |= hit
+            new = self.s16.copy()
+            np.copyto(new, p, where=state > 0)
+            new |= _SURER.take(state)
+            table[at] = new
         self.before[:m], self.last[:m] = self.last[:m], x
-        return x
 
 
-def _encode_group(numbers: list[np.ndarray]) -> list[np.ndarray]:
+def _encode_group(numbers: list[np.ndarray], distinct: np.ndarray) -> list[np.ndarray]:
     """Code words of blocks of numbers, longest first."""
     lanes, longest = len(numbers), len(numbers[0])
     lengths = np.array([len(x) for x in numbers])
-    steps = np.zeros((longest, lanes), np.int32)
+    steps = np.zeros((longest, lanes), np.int64)
     for i, x in enumerate(numbers):
         steps[:len(x), i] = x
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")
-    models = _Models(lanes)
+    models = _Models(distinct, decoding=False)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 48) - 1, np.uint64)
     width = 2 * longest + 8
     out, pos, lane = np.zeros(lanes * width, np.uint16), np.arange(lanes) * width, np.arange(lanes) * width
     for t in range(longest):
         m = int(active[t])
         x = steps[t, :m]
+        if t in RENEW:
+            models.renew(m, steps, t)
         models.begin(m)
-        for k in range(3):
-            s = x >> (8 - 4 * k) & 15
-            models.digit(k)
-            lo = models.below(s)
-            hi = models.below(np.minimum(s + 1, 15))
-            hi += (_TOP - hi) * (s == 15)
-            unit = span[:m] >> np.uint64(15)
-            low[:m] += unit * lo.astype(np.uint64)
-            span[:m] = unit * (hi - lo).astype(np.uint64)
-            over = np.flatnonzero(low[:m] > _MASK)
-            if len(over):
-                low[over] &= _MASK
-                at = pos[over] - 1
-                while len(at):
-                    out[at] += np.uint16(1)
-                    at = at[out[at] == 0] - 1
-            short = np.flatnonzero(span[:m] < _HALF)
-            if len(short):
-                out[pos[short]] = (low[short] >> np.uint64(32)).astype(np.uint16)
-                pos[short] += 1
-                low[short] = low[short] << np.uint64(16) & _MASK
-                span[short] <<= np.uint64(16)
-            models.learn(s, k)
-        models.end()
+        lo, size = models.interval(x)
+        unit = span[:m] >> _BITS
+        low[:m] += unit * lo.astype(np.uint64)
+        unit *= size.astype(np.uint64)
+        span[:m] = unit
+        over = np.flatnonzero(low[:m] > _MASK)
+        if len(over):
+            low[over] &= _MASK
+            at = pos[over] - 1
+            while len(at):
+                out[at] += np.uint16(1)
+                at = at[out[at] == 0] - 1
+        short = np.flatnonzero(unit < _HALF)
+        while len(short):
+            now, at = low[short], pos[short]
+            out[at] = (now >> np.uint64(32)).astype(np.uint16)
+            pos[short] = at + 1
+            low[short] = now << np.uint64(16) & _MASK
+            left = span[short] << np.uint64(16)
+            span[short] = left
+            short = short[left < _HALF]
+        models.learn(x)
     for shift in (32, 16, 0):
         out[pos] = (low >> np.uint64(shift)).astype(np.uint16)
         pos += 1
     return [out[a:b].copy() for a, b in zip(lane, pos, strict=True)]
 
 
-def _decode_group(codes: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarray]:
+def _decode_group(codes: list[np.ndarray], lengths: np.ndarray, distinct: np.ndarray) -> list[np.ndarray]:
     lanes, longest = len(codes), int(lengths[0])
-    width = max(map(len, codes)) + 1
+    width = max(map(len, codes)) + 3
     words = np.zeros(lanes * width, np.uint64)
     for i, c in enumerate(codes):
         words[i * width:i * width + len(c)] = c
@@ -159,29 +182,29 @@ def _decode_group(codes: list[np.ndarray], lengths: np.ndarray) -> list[np.ndarr
     pos += 3
     span = np.full(lanes, (1 << 48) - 1, np.uint64)
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")
-    models, steps = _Models(lanes), np.zeros((longest, lanes), np.int32)
+    models, steps = _Models(distinct, decoding=True), np.zeros((longest, lanes), np.int32)
     for t in range(longest):
         m = int(active[t])
+        if t in RENEW:
+            models.renew(m, steps, t)
         models.begin(m)
-        for k in range(3):
-            models.digit(k)
-            unit = span[:m] >> np.uint64(15)
-            aim = np.minimum((gap[:m].astype(np.float64) / unit.astype(np.float64)).astype(np.int32), _TOP - 1)
-            s, lo, hi = np.zeros(m, np.int32), np.zeros(m, np.int32), np.full(m, _TOP, np.int32)
-            for bit in (8, 4, 2, 1):
-                mid = models.below(s + bit)
-                up = mid <= aim
-                s += bit * up
-                lo, hi = lo + (mid - lo) * up, mid + (hi - mid) * up
-            gap[:m] -= unit * lo.astype(np.uint64)
-            span[:m] = unit * (hi - lo).astype(np.uint64)
-            short = np.flatnonzero(span[:m] < _HALF)
-            if len(short):
-                gap[short] = gap[short] << np.uint64(16) | words[pos[short]]
-                pos[short] += 1
-                span[short] <<= np.uint64(16)
-            models.learn(s, k)
-        steps[t, :m] = models.end()
+        unit = span[:m] >> _BITS
+        aim = np.minimum(gap[:m].astype(np.float64) / unit.astype(np.float64), (1 << int(_BITS)) - 1).astype(np.int32)
+        x = models.find(aim)
+        lo, size = models.interval(x)
+        gap[:m] -= unit * lo.astype(np.uint64)
+        unit *= size.astype(np.uint64)
+        span[:m] = unit
+        short = np.flatnonzero(unit < _HALF)
+        while len(short):
+            at = pos[short]
+            gap[short] = gap[short] << np.uint64(16) | words.take(at, mode="clip")        # damaged code may run on
+            pos[short] = at + 1
+            left = span[short] << np.uint64(16)
+            span[short] = left
+            short = short[left < _HALF]
+        steps[t, :m] = x
+        models.learn(x)
     return [steps[:n, i] for i, n in enumerate(lengths)]
 
 
@@ -210,7 +233,7 @@ def encode(frames: list[np.ndarray]) -> list[bytes]:
     for at in range(0, len(blocks), LANES):
         group = blocks[at:at + LANES]
         distinct = [np.unique(ids, return_inverse=True) for _, ids in group]
-        for (f, ids), (own, _), code in zip(group, distinct, _encode_group([x for _, x in distinct]), strict=True):
+        for (f, ids), (own, _), code in zip(group, distinct, _encode_group([x for _, x in distinct], np.array([len(own) for own, _ in distinct])), strict=True):
             names = _listed(own)
             bodies[f].append(struct.pack(_HEAD, len(ids), len(own), len(names), len(code), zlib.crc32(ids.astype("<u4").tobytes())) + names + code.astype("<u2").tobytes())
     return [b"".join(bodies[f]) for f in range(len(frames))]
@@ -230,7 +253,7 @@ def decode(bodies: list[bytes]) -> list[np.ndarray]:
     out: dict[int, list] = {f: [] for f in range(len(bodies))}
     for at in range(0, len(blocks), LANES):
         group = blocks[at:at + LANES]
-        for (f, order, _, own, _, crc), x in zip(group, _decode_group([b[4] for b in group], np.array([b[2] for b in group])), strict=True):
+        for (f, order, _, own, _, crc), x in zip(group, _decode_group([b[4] for b in group], np.array([b[2] for b in group]), np.array([len(b[3]) for b in group])), strict=True):
             if len(x) and x.max() >= len(own):
                 raise ValueError("block fails its checksum")
             ids = own[x].astype("<u4")
