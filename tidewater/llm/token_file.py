@@ -21,17 +21,18 @@ import os
 import sys
 import types
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm import range_coder
-from tidewater.llm.shared import pick, texts
+from tidewater.llm.shared import pick
 
 FRAME = 16_384
 GROUP = range_coder.LANES * range_coder.BLOCK       # ids that a task codes at once
@@ -39,8 +40,8 @@ CACHED = 600_000
 SLICE = 512                                         # documents tokenized, or frames decoded, at once
 
 
-def word_ids(path: str) -> Callable[[list[list[bytes]]], list[bytes]]:
-    """Function from lists of words to little-endian ids; the tokenizer and its words stay with the worker process."""
+def word_ids(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Function from a text column to all its ids and their number per text; tokenizer and words stay with the worker."""
     held = sys.modules.setdefault("_tidewater_tokens", types.ModuleType("_tidewater_tokens"))
     if getattr(held, "path", None) != path:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,14 +49,25 @@ def word_ids(path: str) -> Callable[[list[list[bytes]]], list[bytes]]:
 
         held.path, held.tokenizer, held.known = path, Tokenizer.from_file(path), {}
 
-    def encode(docs: list[list[bytes]]) -> list[bytes]:
-        if len(held.known) > CACHED:
-            held.known = {}
+    def encode(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = pc.ascii_split_whitespace(column.fill_null(""))
+        codes = words.flatten().dictionary_encode()
+        own = codes.dictionary.to_pylist()
+        if not held.known or len(held.known) > CACHED:
+            held.known, held.flat, held.sizes = {}, np.zeros(0, np.uint32), np.zeros(0, np.int64)
         known = held.known
-        new = sorted(set().union(*docs).difference(known))
-        for word, e in zip(new, held.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            known[word] = array("I", e.ids).tobytes()
-        return [b"".join([known[w] for w in words]) for words in docs]
+        new = [w for w in own if w not in known]
+        if new:
+            found = [e.ids for e in held.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            held.sizes = np.concatenate([held.sizes, np.fromiter(map(len, found), np.int64, len(found))])
+            held.flat = np.concatenate([held.flat, np.fromiter(chain.from_iterable(found), np.uint32)])
+            held.first = np.cumsum(held.sizes) - held.sizes
+        at = np.fromiter(map(known.__getitem__, own), np.int64, len(own))[codes.indices.to_numpy()]
+        sizes = held.sizes[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        ids = held.flat[np.arange(ends[-1]) + np.repeat(held.first[at] - ends[:-1], sizes)]
+        return ids, np.diff(ends[np.cumsum(words.value_lengths().to_numpy())], prepend=0)
 
     return encode
 
@@ -65,16 +77,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, doc_id: s
     base = pick(docs, doc_id=doc_id, text=text)
     id_type = base.schema["doc_id"].dataType.simpleString()
     ordered = base.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard, number = word_ids(tokenizer), TaskContext.get().partitionId(), 0
-        frames: list[tuple[list, list[int], list[bytes]]] = []
-        held, kind = 0, None
+        frames: list[tuple[list, list[int], list[np.ndarray]]] = []
+        held, filled, kind = 0, 0, None
 
         def flush() -> pa.RecordBatch:
             nonlocal frames, held, number
-            arrays = [np.frombuffer(b"".join(parts), "<u4") for _, _, parts in frames]
+            arrays = [np.concatenate(parts) for _, _, parts in frames]
             columns = [pa.array([shard] * len(frames), pa.int32()), pa.array(range(number, number + len(frames)), pa.int32()), pa.array([f[0] for f in frames], pa.list_(kind)),
                        pa.array([f[1] for f in frames], pa.list_(pa.int32())), pa.array([len(a) for a in arrays], pa.int64()), pa.array(range_coder.encode(arrays), pa.binary())]
             number += len(frames)
@@ -85,16 +96,23 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, doc_id: s
             kind = batch.column("doc_id").type
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                bodies = encode([t.split() for t in texts(part)])
-                for i, body in zip(part.column("doc_id").to_pylist(), bodies, strict=True):
-                    if not frames or sum(frames[-1][1]) >= FRAME:
+                ids, counts = encode(part.column("text"))
+                ends = np.cumsum(counts)
+                ids = np.insert(ids, ends, end_id)                       # after each document
+                ends += np.arange(1, len(ends) + 1)
+                start = 0
+                for i, end in zip(part.column("doc_id").to_pylist(), ends.tolist(), strict=True):
+                    if not frames or filled >= FRAME:
                         if held >= GROUP:
                             yield flush()
                         frames.append(([], [], []))
+                        filled = 0
                     frames[-1][0].append(i)
-                    frames[-1][1].append(len(body) // 4 + 1)
-                    frames[-1][2].extend((body, end))
-                    held += len(body) // 4 + 1
+                    frames[-1][1].append(end - start)
+                    frames[-1][2].append(ids[start:end])
+                    filled += end - start
+                    held += end - start
+                    start = end
         if frames:
             yield flush()
 
