@@ -5,6 +5,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,31 @@ def test_range_coder_round_trip_and_damage():
         range_coder.decode([bytes(damaged)])
 
 
+def test_coder_extremes():
+    """Blocks without repeats, of one id, of the greatest ids, and damage at many places."""
+    rng = np.random.default_rng(4)
+    frames = [rng.permutation(4096).astype("<u4"), np.full(9000, 7, "<u4"), np.array([2**32 - 1, 0, 2**32 - 1], "<u4"), np.tile(np.arange(3, dtype="<u4"), 3000), rng.integers(0, 2**32, 5000, np.uint32)]
+    bodies = range_coder.encode(frames)
+    assert all(np.array_equal(a, b) for a, b in zip(frames, range_coder.decode(bodies), strict=True))
+    for at in range(len(bodies[4]) - 4096, len(bodies[4]), 512):
+        damaged = bytearray(bodies[4])
+        damaged[at] ^= 16
+        with pytest.raises(ValueError, match="checksum"):
+            range_coder.decode([bytes(damaged)])
+
+
+def test_words_of_odd_texts_have_the_ids_of_whole_texts():
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    odd = pa.array([None, "", " a B  c\n", "\t\n", "x <|endoftext|> y<|startoftext|>z", "e\u0301 \u0301a", "日本\u3000語 \x85 \x1cq\x0bq\x0c", "it's 'S 3,14"], pa.string())
+    for column in (odd, odd.slice(3, 2), odd.slice(0, 0)):
+        ids, counts = token_file.word_ids(path)(column)
+        want = [Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids for t in column.to_pylist()]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
 def test_token_file_matches_the_tokenizer(spark, sample, awkward, empty):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer

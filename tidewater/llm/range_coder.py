@@ -129,7 +129,7 @@ def _encode_group(numbers: list[np.ndarray], distinct: np.ndarray) -> list[np.nd
     """Code words of blocks of numbers, longest first."""
     lanes, longest = len(numbers), len(numbers[0])
     lengths = np.array([len(x) for x in numbers])
-    steps = np.zeros((longest, lanes), np.int64)
+    steps = np.zeros((longest, lanes), np.uint16)
     for i, x in enumerate(numbers):
         steps[:len(x), i] = x
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")
@@ -139,7 +139,7 @@ def _encode_group(numbers: list[np.ndarray], distinct: np.ndarray) -> list[np.nd
     out, pos, lane = np.zeros(lanes * width, np.uint16), np.arange(lanes) * width, np.arange(lanes) * width
     for t in range(longest):
         m = int(active[t])
-        x = steps[t, :m]
+        x = steps[t, :m].astype(np.int64)
         if t in RENEW:
             models.renew(m, steps, t)
         models.begin(m)
@@ -182,7 +182,7 @@ def _decode_group(codes: list[np.ndarray], lengths: np.ndarray, distinct: np.nda
     pos += 3
     span = np.full(lanes, (1 << 48) - 1, np.uint64)
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")
-    models, steps = _Models(distinct, decoding=True), np.zeros((longest, lanes), np.int32)
+    models, steps = _Models(distinct, decoding=True), np.zeros((longest, lanes), np.uint16)
     for t in range(longest):
         m = int(active[t])
         if t in RENEW:

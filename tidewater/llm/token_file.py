@@ -36,7 +36,7 @@ from tidewater.llm.shared import pick
 
 FRAME = 16_384
 GROUP = range_coder.LANES * range_coder.BLOCK       # ids that a task codes at once
-CACHED = 600_000
+CACHED = 1_000_000
 SLICE = 512                                         # documents tokenized, or frames decoded, at once
 
 
