@@ -210,6 +210,28 @@ def test_near_duplicates_against_brute_force(spark, awkward, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
+def test_borderline_links_inside_a_crowd(spark):
+    """Copies near 80 % similarity, all in one crowd: every link of the exact comparison must count."""
+    rng = random.Random(7)
+    base, texts, sets = [f"w{i}" for i in range(400)], [], []
+    for _ in range(160):
+        own = list(base)
+        for at in rng.sample(range(400), 12 + rng.randrange(4)):
+            own[at] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(own))
+        sets.append(set(zip(own, own[1:], strict=False)))
+    joined = {i: {i} for i in range(len(sets))}
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and joined[a] is not joined[b]:
+                joined[a] |= joined[b]
+                for i in joined[b]:
+                    joined[i] = joined[a]
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)]), words=2).collect()}
+    assert got == {i: min(joined[i]) for i in joined}
+
+
 # 7
 def test_base_spans_and_learnt_contexts(spark, awkward, empty):
     text = "a.b@c.d@e.f x@y +1 (017) 555-7713 x 1.2.3.400 x 1.2.3.4.5 x 4111 1111 1111 1111 x " + "9" * 5000

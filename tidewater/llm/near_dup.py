@@ -10,9 +10,12 @@ the prefix grows along ``DEPTHS`` until few do.
 
 Regions are settled in two rounds, so that copies never yield all their pairs: every member is compared with
 the head of its region, and only regions that still hold different components go on. Of those, small ones
-are compared across components, large ones are descended further. Every candidate is confirmed
+are compared across components, large ones are descended further. The descent joins most of a crowd cheaply but
+may miss links, so members of large regions that are still mixed after it are compared exactly: their shingles
+are ordered by rarity, two sets that are similar enough share one among the first |A| - ceil(percent * |A|) + 1 of
+each, and all such pairs of different components are looked at. Every candidate is confirmed
 on full sets: 100 * |A and B| >= percent * |A or B|. At exactly 80 % similarity a pair shares some
-four-value prefix of the 32 trees with probability 1 - 5e-8, an eight-value one with 0.997.
+four-value prefix of the 32 trees with probability 1 - 5e-8; nothing else is left to chance.
 
 Nulls, empties, ties: texts that are null or without words have an empty set and no links. Fewer
 words than a shingle has make one shingle. Rows with the same id are one document (their sets all
@@ -41,6 +44,7 @@ LEAF = 16                                # representatives in a region that are
 HEADS = 8
 DEPTHS = (5, 6, 8, 12, 24, VALUES)       # prefix lengths of smaller regions
 BROADCAST_IDS = 1 << 20                  # so many ids (8 MB) may be sent to every executor
+RARITY = 1 << 18                         # counters by which shingles of mixed crowds are ordered
 
 _rng = np.random.default_rng(20240917)
 _MUL = _rng.integers(1, 1 << 63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -124,6 +128,15 @@ def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words:
     close = pairs.filter(F.col("a") != F.col("b")).filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b").distinct()
     close = durable(close, "candidates")
     needed = durable(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct(), "compared")
+    sets = _sets(needed, docs, doc_id, text, words)
+    left, right = (sets.select(F.col("doc_id").alias(x), F.col("own").alias(f"s{x}")) for x in "ab")
+    both = F.size(F.array_intersect("sa", "sb")).cast("long")
+    every = F.size("sa") + F.size("sb") - both
+    return close.join(left, "a").join(right, "b").filter(both * 100 >= every * percent).select("a", "b").distinct()
+
+
+def _sets(needed: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """(doc_id, own) of every row whose id is needed: its full set."""
     base = pick(docs, doc_id=doc_id, text=text)
     id_type = base.schema["doc_id"].dataType.simpleString()
     own = base.join(F.broadcast(needed) if needed.count() <= BROADCAST_IDS else needed, "doc_id", "left_semi")
@@ -135,11 +148,51 @@ def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words:
             flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["doc_id", "own"])
 
-    sets = durable(own.mapInArrow(emit, f"doc_id {id_type}, own array<long>"), "sets")
-    left, right = (sets.select(F.col("doc_id").alias(x), F.col("own").alias(f"s{x}")) for x in "ab")
-    both = F.size(F.array_intersect("sa", "sb")).cast("long")
-    every = F.size("sa") + F.size("sb") - both
-    return close.join(left, "a").join(right, "b").filter(both * 100 >= every * percent).select("a", "b").distinct()
+    return durable(own.mapInArrow(emit, f"doc_id {id_type}, own array<long>"), "sets")
+
+
+def _rare(sets: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, component, n, token): the shingles of every set that a similar set must share one of, rarest first."""
+    bucket = F.explode("own").alias("token")
+    held = sets.select(bucket).groupBy(F.col("token").bitwiseAND(RARITY - 1).alias("at")).count().toArrow()
+    often = np.zeros(RARITY, np.int64)
+    often[held.column("at").to_numpy()] = held.column("count").to_numpy()
+    id_type = sets.schema["doc_id"].dataType.simpleString()
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, n = [], []
+            for own in batch.column("own"):
+                own = own.values.to_numpy()
+                order = np.lexsort((own, often[own & (RARITY - 1)]))
+                first.append(own[order[:len(own) - -(-len(own) * percent // 100) + 1]])
+                n.append(len(own))
+            ends = np.cumsum([0, *map(len, first)])
+            flat = np.concatenate(first) if first else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("component"), pa.array(n, pa.int64()),
+                                              pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["doc_id", "component", "n", "first"])
+
+    few = sets.mapInArrow(emit, f"doc_id {id_type}, component {id_type}, n long, first array<long>")
+    return few.select("doc_id", "component", "n", F.explode("first").alias("token"))
+
+
+def _across(crowd: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
+    """All pairs of different components of ``crowd`` (node, component) that share one of their rare shingles.
+
+    Rows of a shingle's largest component are met by the others but meet nobody, so a crowd that is
+    one component but for a few rows costs those few against it.
+    """
+    sets = _sets(crowd.select(F.col("node").alias("doc_id")), docs, doc_id, text, words).join(crowd.withColumnRenamed("node", "doc_id"), "doc_id").filter(F.size("own") > 0)
+    rows = durable(_rare(durable(sets, "crowd-sets"), percent), "rare")
+    parts = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("held"))
+    shared = parts.groupBy("token").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("held", "component")).alias("large")).filter("parts > 1")
+    rows = durable(rows.join(shared.select("token", "large"), "token"), "shared")
+    x, y = rows.filter("component <> large").alias("x"), rows.alias("y")
+    fits = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    apart = (F.col("y.component") == F.col("y.large")) | (F.col("x.component") < F.col("y.component"))
+    return x.join(y, (F.col("x.token") == F.col("y.token")) & apart & fits).select(
+        F.least("x.doc_id", "y.doc_id").alias("a"), F.when(F.col("x.doc_id") < F.col("y.doc_id"), F.col("x.n")).otherwise(F.col("y.n")).alias("na"),
+        F.greatest("x.doc_id", "y.doc_id").alias("b"), F.when(F.col("x.doc_id") < F.col("y.doc_id"), F.col("y.n")).otherwise(F.col("x.n")).alias("nb"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -185,6 +238,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     across = confirmed(reduce(DataFrame.union, more), docs, doc_id, text, words, percent)
     links = durable(links.union(across), "links")
 
+    # What large regions still hold apart is settled exactly.
+    found = components(links)
+    apart = durable(_mixed(regions.filter(F.col("size") > LEAF), found).select("node", "component").distinct(), "apart")
+    if not apart.isEmpty():
+        links = durable(links.union(confirmed(_across(apart, docs, doc_id, text, words, percent), docs, doc_id, text, words, percent)), "links")
+
     # An id that occurs with several texts joins their classes.
     twice = sets.select("doc_id", "k1", "k2").distinct().groupBy("doc_id").count().filter("count > 1").select("doc_id")
     copies = classes.filter("node <> last").select("k1", "k2", "node")
