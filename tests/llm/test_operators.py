@@ -1,5 +1,6 @@
 """Every operator on small tables: brute force, round trips, and the awkward rows."""
 
+import itertools
 import random
 import zlib
 
@@ -133,6 +134,28 @@ def test_leaks_against_brute_force(spark, sample, awkward, empty):
     assert decontaminate.leaks(awkward, bench).count() == 0 and decontaminate.leaks(empty, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_masks_hit_every_allowed_run():
+    """Longer runs hold one of these: of two halves one has the share."""
+    for length in range(8, 24):
+        for d in range(length):
+            if length - d < 8 or (length - d) * 10 < length * 7:
+                break
+            for gone in itertools.combinations(range(1, length - 1), d):
+                run = (1 << length) - 1 - sum(1 << i for i in gone)
+                assert any(run >> at & m == m for m in (sum(1 << i for i in mask) for mask in decontaminate.MASKS) for at in range(length)), bin(run)
+    assert decontaminate.masks_for(6, 0.5) == ((0,),) and decontaminate.masks_for(9, 0.8) == decontaminate.MASKS
+
+
+def test_leaks_with_spread_changes_and_short_items(spark):
+    item, clean = [f"q{i}" for i in range(40)], [f"r{i}" for i in range(60)]
+    docs = [(p, " ".join(clean + [w if i % 4 != p else f"z{i}" for i, w in enumerate(item)]), "s") for p in range(4)]
+    docs += [(4, " ".join(clean[:9]) + " Four Words, in all! " + " ".join(clean), "s"), (5, "four words in part all", "s"), (6, "four words in all", "s")]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "four words in all"), (3, "...")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.start, r.stop) for r in decontaminate.leaks(docs_of(spark, docs), bench).collect()}
+    assert {f for f in found if f[0] > 3} == {(4, 2, 9, 13), (6, 2, 0, 4)}
+    assert {f[:2] for f in found if f[0] < 4} == {(p, 1) for p in range(4)}
+
+
 # 3
 def test_license_spans(spark, awkward, empty):
     docs = docs_of(spark, [(1, "a b c. Released under the MIT License. d e", "s"), (2, "Licensed under the Apache Licence, Version 2.0", "s"), (3, "under the license of nobody", "s")])

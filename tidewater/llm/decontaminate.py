@@ -1,8 +1,10 @@
 """Benchmark decontamination with spaced seeds, in DataFrame functions only.
 
-Texts become words (runs of letters and digits, lower-cased). A seed is a fixed mask over ``SPAN``
-consecutive words, made of pairs of neighbours: words under it are hashed, the others ignored, so a
-replaced word in a gap does not hide a hit. Hashes of all positions of the training documents meet those of all positions
+Texts become words (runs of letters and digits, lower-cased). A seed is a fixed mask over at most 8
+consecutive words: words under it are hashed, the others ignored, so a replaced word in a gap does not
+hide a hit. ``MASKS`` together hit every run of 8 or more matches that make up 70 % of it, wherever the
+changes are; looser limits are served by one mask of so many neighbours as any run must have in a row. Items of
+fewer than ``min_words`` words are looked up by the hash of all their words. Hashes of all positions of the training documents meet those of all positions
 of the benchmark items. A hit fixes an alignment (item, document, shift); along it every word is
 compared and the best run is kept, where a match counts 1 and a difference ``-1``. A run is a leak when
 at least ``min_words`` of its words match (or the whole item, if it is shorter) and matches make up
@@ -11,14 +13,14 @@ at least ``min_words`` of its words match (or the whole item, if it is shorter)
 The index of the items is sent to every executor in blocks of at most ``BLOCK_KEYS`` keys, one pass over
 the hashed documents each, so a larger benchmark costs passes and not memory.
 
-Nulls, empties, ties: texts that are null or have fewer words than the masks span have no seed and no
-leak. Rows of equal id and text count once; the same item text under several ids reports all ids.
+Nulls, empties, ties: texts that are null or without words have no seed and no leak. Rows of equal id and text count once; the same item text under several ids reports all ids.
 Of equally good runs of one document and item the first is reported. Null ids stay null.
 Empty tables give an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,9 +29,9 @@ from pyspark.sql import functions as F
 from tidewater.llm.shared import parts_for, pick
 from tidewater.sources.durable import durable
 
-#: Masks over ``SPAN`` words, written as the places of the pairs of neighbours that count: 11011011 and 11110011.
-MASKS = ((0, 3, 6), (0, 2, 6))
-SPAN = 8
+#: Masks as the places of the words that count: 11101, 10010011, 1000111.
+MASKS = ((0, 1, 2, 4), (0, 3, 6, 7), (0, 4, 5, 6))
+MASK_WORDS, MASK_SHARE = 8, 0.7          # runs that the masks are sure to hit
 BLOCK_KEYS = 1 << 20
 HIT_DOCS = 1 << 20
 
@@ -40,19 +42,26 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _positions(df: DataFrame, *keep: str) -> DataFrame:
-    """One row per position and mask: (keep..., pos, key).
+def masks_for(min_words: int, min_share: float) -> tuple[tuple[int, ...], ...]:
+    """Masks of which one at least hits every run of ``min_words`` matches and share ``min_share``."""
+    if min_words >= MASK_WORDS and min_share >= MASK_SHARE:
+        return MASKS
+    changes = (1 - min_share) / min_share
+    row = min(-(-m // (int(m * changes + 1e-9) + 1)) for m in range(min_words, min_words + 1000))
+    return (tuple(range(row)),)
 
-    Keys that would reach beyond the text hash fewer words, so they equal no key of a whole span.
-    """
-    pairs = df.select(*keep, F.size("h").alias("n"), F.transform("h", lambda x, i: F.xxhash64(x, F.get("h", i + 1))).alias("p"))
 
-    def keys(m: int) -> Column:
-        _, a, b = MASKS[m]
-        return F.transform("p", lambda x, i: F.xxhash64(F.lit(m), x, F.get("p", i + a), F.get("p", i + b)))
+def _positions(df: DataFrame, masks: tuple[tuple[int, ...], ...], *keep: str) -> DataFrame:
+    """One row per position and mask: (keep..., pos, mask, key).
+
+    Keys that would reach beyond the text hash fewer words, so they equal no key of a whole mask.
+    """
+    def keys(mask: tuple[int, ...]) -> Column:
+        label = F.lit(zlib.crc32(repr(mask).encode()))
+        return F.transform("h", lambda x, i: F.xxhash64(label, x, *[F.get("h", i + at) for at in mask[1:]]))
 
-    spots = pairs.select(*keep, "n", F.posexplode(F.concat(*map(keys, range(len(MASKS))))).alias("at", "key"))
-    return spots.select(*keep, F.expr("at % n").alias("pos"), "n", "key")
+    spots = df.select(*keep, F.size("h").alias("n"), F.posexplode(F.concat(*map(keys, masks))).alias("at", "key"))
+    return spots.select(*keep, F.expr("at % n").alias("pos"), F.expr("at div n").alias("mask"), "n", "key")
 
 
 def _best_run(pairs: Column) -> Column:
@@ -74,14 +83,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
           min_words: int = 8, min_share: float = 0.7, block_keys: int = BLOCK_KEYS) -> DataFrame:
     """(doc_id, item_id, start, stop, matched, share): documents that repeat benchmark items, words [start, stop) of the document."""
     items = durable(pick(benchmark, item_id=item_id, text=item_text).select("item_id", word_hashes(F.col("text")).alias("h"))
-                    .filter(F.size("h") >= SPAN).withColumn("item", F.xxhash64("item_id", "h")).dropDuplicates(["item"]), "items")
-    index = durable(_positions(items, "item").filter(F.col("pos") <= F.col("n") - SPAN).select("item", "key", F.col("pos").alias("item_pos")), "index")
+                    .filter(F.size("h") > 0).withColumn("item", F.xxhash64("item_id", "h")).dropDuplicates(["item"]), "items")
+    masks = masks_for(min_words, min_share)
+    reach = F.get(F.array(*[F.lit(m[-1]) for m in masks]), F.col("mask").cast("int"))
+    long = _positions(items.filter(F.size("h") >= min_words), masks, "item").filter(F.col("pos") + reach < F.col("n")).select("item", "key", F.col("pos").alias("item_pos"))
+    # Shorter items are found whole: one mask for each of their lengths, at their first word.
+    lengths = [r[0] for r in items.select(F.size("h").alias("n")).filter(F.col("n") < min_words).distinct().sort("n").collect()]
+    whole = [_positions(items.filter(F.size("h") == n), (tuple(range(n)),), "item").filter("pos = 0").select("item", "key", F.col("pos").alias("item_pos")) for n in lengths]
+    index = durable(reduce(DataFrame.union, whole, long).distinct(), "index")
+    masks += tuple(tuple(range(n)) for n in lengths if tuple(range(n)) not in masks)
     blocks = parts_for(index.count(), block_keys)
     base = pick(docs, doc_id=doc_id, text=text).withColumn("th", F.xxhash64("text"))
     hits = []
     for b in range(blocks):
         block = index if blocks == 1 else index.filter(F.pmod("key", F.lit(blocks)) == b)
-        spots = _positions(base.select("doc_id", "th", word_hashes(F.col("text")).alias("h")), "doc_id", "th")
+        spots = _positions(base.select("doc_id", "th", word_hashes(F.col("text")).alias("h")), masks, "doc_id", "th")
         hits.append(spots.join(F.broadcast(block), "key").select("doc_id", "th", "item", (F.col("pos") - F.col("item_pos")).alias("shift")))
     hits = durable(reduce(DataFrame.union, hits).distinct(), "hits")
 
