@@ -156,6 +156,15 @@ def test_leaks_with_spread_changes_and_short_items(spark):
     assert {f[:2] for f in found if f[0] < 4} == {(p, 1) for p in range(4)}
 
 
+@pytest.mark.parametrize("same, changed", [(8, 7), (10, 9)])
+def test_exact_runs_with_changes_between(spark, same, changed):
+    item = [f"q{i}" for i in range(2 * same + changed)]
+    copy = item[:same] + [f"z{i}" for i in range(changed)] + item[same + changed:]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = decontaminate.leaks(docs_of(spark, [(7, " ".join(["x", *copy, "y"]), "s")]), bench).collect()
+    assert [(r.doc_id, r.start, r.stop, r.matched, r.share) for r in got] == [(7, 1, 1 + same, same, 1.0)]
+
+
 # 3
 def test_license_spans(spark, awkward, empty):
     docs = docs_of(spark, [(1, "a b c. Released under the MIT License. d e", "s"), (2, "Licensed under the Apache Licence, Version 2.0", "s"), (3, "under the license of nobody", "s")])

@@ -6,9 +6,9 @@ hide a hit. ``MASKS`` together hit every run of 8 or more matches that make up 7
 changes are; looser limits are served by one mask of so many neighbours as any run must have in a row. Items of
 fewer than ``min_words`` words are looked up by the hash of all their words. Hashes of all positions of the training documents meet those of all positions
 of the benchmark items. A hit fixes an alignment (item, document, shift); along it every word is
-compared and the best run is kept, where a match counts 1 and a difference ``-1``. A run is a leak when
-at least ``min_words`` of its words match (or the whole item, if it is shorter) and matches make up
-``min_share`` of it.
+compared. A run is a leak when at least ``min_words`` of its words match (or the whole item, if it is
+shorter) and matches make up ``min_share`` of it. Of the runs with so many matches the best one is kept, where a
+match counts ``1 - min_share`` and a difference ``-min_share``: its score is negative only if no run is a leak.
 
 The index of the items is sent to every executor in blocks of at most ``BLOCK_KEYS`` keys, one pass over
 the hashed documents each, so a larger benchmark costs passes and not memory.
@@ -64,19 +64,31 @@ def _positions(df: DataFrame, masks: tuple[tuple[int, ...], ...], *keep: str) ->
     return spots.select(*keep, F.expr("at % n").alias("pos"), F.expr("at div n").alias("mask"), "n", "key")
 
 
-def _best_run(pairs: Column) -> Column:
-    """Best run of matches: struct(score, start, stop), stop exclusive, over an array of booleans."""
-    start = F.struct(F.lit(0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("stop"), F.lit(0).alias("now"), F.lit(0).alias("since"), F.lit(0).alias("at"))
+def _best_run(at: Column, least: Column, min_share: float) -> Column:
+    """Best run of ``least`` or more matches: struct(score, matched, start, stop), stop exclusive.
 
-    def step(s: Column, same: Column) -> Column:
-        fresh = s.now <= 0
-        since = F.when(fresh, s["at"]).otherwise(s.since)
-        now = F.when(fresh, F.lit(0)).otherwise(s.now) + F.when(same, 1).otherwise(-1)
-        better = now > s.score
-        return F.struct(F.when(better, now).otherwise(s.score).alias("score"), F.when(better, since).otherwise(s.start).alias("start"),
-                        F.when(better, s["at"] + 1).otherwise(s.stop).alias("stop"), now.alias("now"), since.alias("since"), (s["at"] + 1).alias("at"))
+    ``at``: places of the matches, at least ``least`` of them. A run goes from one match to another; its score is the
+    difference of ``gain`` at both, so every last match meets the lowest ``gain`` of those far enough before it.
+    """
+    share = round(min_share * 1_000_000)
+
+    def gain(i: Column) -> Column:
+        return i.cast("long") * 1_000_000 - F.get(at, i).cast("long") * share
+
+    none = F.lit(None).cast("long")
+    start = F.struct(none.alias("low"), none.alias("since"), F.struct(none.alias("score"), none.alias("matched"), none.alias("start"), none.alias("stop")).alias("best"))
+
+    def step(s: Column, last: Column) -> Column:
+        first = last - least + 1
+        fresh = s["low"].isNull() | (gain(first) < s["low"])
+        low, since = F.when(fresh, gain(first)).otherwise(s["low"]), F.when(fresh, first.cast("long")).otherwise(s["since"])
+        run = F.struct((gain(last) - low + 1_000_000 - share).alias("score"), (last - since + 1).alias("matched"),
+                       F.get(at, since.cast("int")).cast("long").alias("start"), (F.get(at, last).cast("long") + 1).alias("stop"))
+        old = s["best"]
+        better = old["score"].isNull() | (run["score"] > old["score"]) | (run["score"] == old["score"]) & (run["matched"] > old["matched"])
+        return F.struct(low.alias("low"), since.alias("since"), F.when(better, run).otherwise(old).alias("best"))
 
-    return F.aggregate(pairs, start, step)
+    return F.aggregate(F.sequence(least - 1, F.size(at) - 1), start, step, lambda s: s["best"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -108,12 +120,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     own = own.dropDuplicates(["doc_id", "th"]).select(F.col("doc_id").alias("own_id"), F.col("th").alias("own_th"), word_hashes(F.col("text")).alias("dh"))
     both = hits.join(own, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("th") == F.col("own_th"))).join(items, "item")
     low, high = F.greatest(-F.col("shift"), F.lit(0)), F.least(F.size("h"), F.size("dh") - F.col("shift")) - 1
-    same = F.transform(F.sequence(low, high), lambda i: F.get("h", i) == F.get("dh", i + F.col("shift")))
-    run = both.select("doc_id", "th", "item_id", F.size("h").alias("words"), (low + F.col("shift")).alias("from"), _best_run(same).alias("run"))
-    run = run.select("doc_id", "th", "item_id", "words", (F.col("from") + F.col("run.start")).alias("start"), (F.col("from") + F.col("run.stop")).alias("stop"), "run.score")
-    length = F.col("stop") - F.col("start")
-    run = run.withColumn("matched", F.expr("(stop - start + score) div 2")).withColumn("share", F.col("matched") / length)
-    found = run.filter((F.col("matched") >= F.least(F.lit(min_words), F.col("words"))) & (F.col("share") >= min_share))
+    same = F.filter(F.sequence(low, high), lambda i: F.get("h", i) == F.get("dh", i + F.col("shift")))
+    least = F.least(F.lit(min_words), F.size("h"))
+    places = both.select("doc_id", "th", "item_id", "shift", least.alias("least"), same.alias("at")).filter(F.size("at") >= F.col("least"))
+    run = places.select("doc_id", "th", "item_id", "shift", _best_run(F.col("at"), F.col("least"), min_share).alias("run"))
+    found = run.select("doc_id", "th", "item_id", (F.col("run.start") + F.col("shift")).alias("start"), (F.col("run.stop") + F.col("shift")).alias("stop"), "run.matched")
+    found = found.withColumn("share", F.col("matched") / (F.col("stop") - F.col("start"))).filter(F.col("share") >= min_share)
     best = found.groupBy("doc_id", "th", "item_id").agg(F.max(F.struct("matched", "share", (-F.col("start")).alias("first"), "stop")).alias("best"))
     return best.select("doc_id", "item_id", (-F.col("best.first")).cast("long").alias("start"), F.col("best.stop").cast("long").alias("stop"),
                        F.col("best.matched").cast("long").alias("matched"), F.col("best.share").alias("share"))
