@@ -275,6 +275,16 @@ def test_base_spans_and_learnt_contexts(spark, awkward, empty):
     assert personal_data.detect(awkward).count() == 10 and personal_data.detect(empty).count() == 0
 
 
+def test_contexts_of_promoted_numbers(spark):
+    """A context that holds no base span, only numbers another context found, finds further ones."""
+    rows = [(i, f"filler {i} please call me at +1 (555) 010-{1000 + i} today", "s") for i in range(30)]
+    rows += [(100 + i, f"please call me at 555-010-{7000 + i} today", "s") for i in range(10)]
+    rows += [(200 + i, f"number {i}: reach us on 555-010-{7000 + i} now", "s") for i in range(10)]
+    rows += [(300, "or reach us on 555-010-7777 now", "s"), (301, "the part number 555-010-7778 fits", "s")]
+    got = {r.doc_id: [s.kind for s in r.spans] for r in personal_data.detect(docs_of(spark, rows)).collect()}
+    assert got[300] == [3] and got[205] == [3] and got[105] == [3] and got[301] == []
+
+
 # 8
 def test_quality_on_held_out_labels(spark, sample, awkward, empty):
     labels = spark.read.parquet(f"{SF}/labels.parquet")

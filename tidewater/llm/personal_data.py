@@ -8,8 +8,12 @@ stay. Bootstrapping then learns from where they stand:
 2. Contexts and instances form a bipartite graph. A seed has score 1 for its kind. Rounds of joins and sums score
    a context by the mean score of its different instances, and a candidate by the chance that one of its contexts
    is right: 1 - product(1 - context score).
-3. Contexts with at least ``MIN_SEEDS`` different seeds of a kind and a score of ``MIN_SCORE`` or more are kept.
-   Candidates in such a context, and of a form that suits the kind, become spans of that kind.
+3. Contexts with at least ``MIN_SEEDS`` different seeds of a kind and a score of ``MIN_SCORE`` or more are trusted.
+   Candidates that stand in one and score ``HIGH`` or more are promoted: they become seeds of their best kind, and
+   steps 2 and 3 are repeated with them until none is promoted any more.
+4. Candidates in a context trusted in the end, and of a form that suits the kind, become spans of that kind.
+
+Contexts without a seed say nothing, and those with fewer than ``MIN_SEEDS`` different instances can never be trusted.
 
 All statistics cover all documents; only hashes of instances and contexts are shuffled.
 
@@ -35,6 +39,7 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 MIN_SEEDS = 5
 MIN_SCORE = 0.8
+HIGH = 0.9
 SMOOTH = 1.0
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -151,23 +156,33 @@ def read(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     return base.mapInArrow(run, f"doc_id {id_type}, {_FOUND}")
 
 
-def learn_contexts(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE) -> DataFrame:
+def learn_contexts(found: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE, high: float = HIGH) -> DataFrame:
     """(ctx, kind, score) of the contexts that may be trusted."""
     seeds = found.select(F.explode("seeds").alias("s")).select(F.explode("s.ctx").alias("ctx"), "s.inst", F.array("s.kind").alias("kinds"), F.lit(True).alias("seed"))
     cands = found.select(F.explode("cands").alias("s")).select(F.explode("s.ctx").alias("ctx"), "s.inst", "s.kinds", F.lit(False).alias("seed"))
-    edges = seeds.union(cands).distinct()
+    edges = seeds.union(cands).select("ctx", "inst", "seed", F.explode("kinds").alias("kind")).groupBy("ctx", "inst", "kind").agg(F.max("seed").alias("seed"))
+    edges = durable(edges, "all-edges")
     size = edges.groupBy("ctx").agg(F.count_distinct("inst").alias("size")).filter(F.col("size") >= min_seeds)
-    edges = durable(edges.join(size, "ctx").select("ctx", "inst", "size", "seed", F.explode("kinds").alias("kind")), "edges")
-    scores = edges.groupBy("inst", "kind").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    for r in range(rounds):
-        own = edges.join(scores, ["inst", "kind"])
-        patterns = own.groupBy("ctx", "kind").agg((F.sum("score") / (F.max("size") + SMOOTH)).alias("trust"), F.sum(F.col("seed").cast("int")).alias("seeds"))
-        patterns = durable(patterns.filter(F.col("seeds") > 0), "contexts")
-        if r < rounds - 1:
-            doubt = F.exp(F.sum(F.log(1 - F.least(F.coalesce("trust", F.lit(0.0)), F.lit(0.999)))))
-            scores = edges.join(patterns.select("ctx", "kind", "trust"), ["ctx", "kind"], "left").groupBy("inst", "kind").agg(
-                F.when(F.max("seed"), 1.0).otherwise(1 - doubt).alias("score"))
-    return patterns.filter((F.col("seeds") >= min_seeds) & (F.col("trust") >= min_score)).select("ctx", "kind", F.col("trust").alias("score"))
+    edges = durable(edges.join(size, "ctx"), "edges")
+    scores = edges.groupBy("inst", "kind").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double"))
+    edges = edges.drop("seed")
+    trusted = (F.col("seeds") >= min_seeds) & (F.col("trust") >= min_score)
+    doubt = F.exp(F.sum(F.log(1 - F.least(F.coalesce("trust", F.lit(0.0)), F.lit(0.999)))))
+    while True:
+        for _ in range(rounds):
+            own = edges.join(scores, ["inst", "kind"])
+            patterns = own.groupBy("ctx", "kind").agg((F.sum("score") / (F.max("size") + SMOOTH)).alias("trust"), F.sum(F.col("seed").cast("int")).alias("seeds"))
+            patterns = durable(patterns.filter(F.col("seeds") > 0).withColumn("trusted", trusted), "contexts")
+            scores = own.select("ctx", "inst", "kind", "seed").join(patterns.select("ctx", "kind", "trust", "trusted"), ["ctx", "kind"], "left").groupBy("inst", "kind").agg(
+                F.max("seed").alias("seed"), F.when(F.max("seed"), 1.0).otherwise(1 - doubt).alias("score"), F.coalesce(F.max("trusted"), F.lit(False)).alias("placed"))
+            scores = durable(scores, "scores")
+        new = scores.filter(~F.col("seed") & F.col("placed") & (F.col("score") >= high)).groupBy("inst").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("best"))
+        taken = scores.filter("seed").select("inst").distinct()
+        new = durable(new.join(taken, "inst", "left_anti").select("inst", (-F.col("best.k")).alias("kind"), F.lit(True).alias("new")), "promoted")
+        if new.isEmpty():
+            return patterns.filter("trusted").select("ctx", "kind", F.col("trust").alias("score"))
+        seed = F.col("seed") | F.coalesce("new", F.lit(False))
+        scores = scores.join(new, ["inst", "kind"], "left").select("inst", "kind", seed.alias("seed"), F.when(seed, 1.0).otherwise(F.col("score")).alias("score"))
 
 
 def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
