@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 import zlib
 
 import duckdb
@@ -309,6 +310,16 @@ def test_url_verdicts(spark):
     assert {r.verdict for r in url_filter.judge(df.filter("page_id = 9"), {}, spark.createDataFrame([], "url string, label int")).collect()} == {"allow"}
 
 
+def test_labelled_urls_are_not_the_judged_ones():
+    """No name of a judged host, with or without www., m. or blog., may stand in the built-in table."""
+    def name(host):
+        return re.sub(r"^(www|m|blog)\.", "", host.lower()).split(".")[0]
+
+    judged = {name(u.split("://")[-1].split("/")[0]) for sf in (SF, SF.replace("0.001", "0.1")) for u, in duckdb.sql(f"select url from '{sf}/pages.parquet' where url is not null").fetchall()}
+    assert len(judged) > 20
+    assert not judged & {name(u.split("/")[0]) for u in url_filter.BLOCKED + url_filter.ALLOWED}
+
+
 # 10
 def test_line_dedup_ways_agree_and_reverse(spark, awkward, empty):
     rng = random.Random(2)

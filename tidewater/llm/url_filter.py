@@ -25,19 +25,26 @@ from tidewater.llm.shared import pick
 BUCKETS = 1024
 GRAM = 3
 MAX_LABELLED = 4000
-#: A small labelled table: addresses as spam farms and ordinary sites choose them.
-BLOCKED = """casino-bonus.com/play win-big-casino.net/slots online-casino.org/en/1 casino.win-now.com/bonus lucky-win.com/spin
-free-bet.com/odds sports-bets.net/today bets-free.org/live betting-tips.com/en cheap-pill.com/buy pills-online.net/order buy-cheap-meds.com/rx
-pharma-pills.org/sale adult-video.com/watch adult-cams.net/live x-adult.org/free xxx-tube.com/en hot-x.net/pics spam-link.com/farm
-link-farm.net/seo spam-seo.org/page farm-spam.com/links ads-click.com/go track-ads.net/pixel click-track.org/ad ad-tracker.com/t
-ads.tracking-hub.com/c free-money.win/now cheap-loans.com/apply
-m.casino-win.net/en/55 www.cheap-pills.com/de/12 free-bets.org/fr/7 blog.ads-track.net/es/3 spam-farm.com/en/9041 www.adult-x.com/de/77""".split()
-ALLOWED = """www.university.edu/library/catalogue docs.python.org/3/tutorial en.wikipedia.org/wiki/Weather blog.gardening.com/en/2021/roses
-news.local.com/en/4711 m.weather.net/de/88 www.museum.org/fr/visite city-hall.gov/services journal.science.org/article/7 recipes.kitchen.com/es/pan
-www.library.net/en/3 forum.cycling.org/thread/12 maps.country.gov/region shop.books.com/fr/livre/9 m.radio.net/en/812 www.theatre.org/de/spielplan
-history.archive.org/en/77 www.thermal.net/en/5021 blog.nation.com/fr/6120 anthology.org/de/1930 www.others.net/en/640.html static.union.com/en/7031
-tradition.net/es/411 m.health.gov/en/2204 www.north.com/de/9021 bakery.net/fr/15 blog.mother.com/es/3300 station.org/en/8123 www.earth.net/de/4007
-m.father.com/en/6640 throne.net/es/118 weatherstation.com/en/52 brothers.org/fr/7003 www.thing.net/en/31 without.com/en/9001.html""".split()
+#: A small labelled table, written down from general knowledge of spam and of ordinary sites; no name comes from pages that are judged.
+BLOCKED = """royal-casino-bonus.com/play online-casino-slots.net/spin bestcasinos.org/en/review poker-jackpot.com/lobby mega-slots-vegas.net/free lucky-roulette.com/table
+sports-betting-tips.com/odds betting-bonus.org/live bingo-bonus.co.uk/join buy-viagra-online.com/order discount-pharmacy.net/rx pills4less.com/sale
+no-prescription-meds.org/cart weight-loss-pills.com/offer cialis-generic.net/buy xxx-videos.com/watch hot-adult-cams.net/live sexy-dating.org/girls
+adult-tube.com/videos porn-free.net/new nude-pics.org/gallery seo-backlinks.com/buy cheap-backlinks.net/packages link-farm.org/submit
+spam-mailer.com/lists bulk-email-leads.net/order ad-clicks.com/redirect popup-ads.net/serve adserver.com/banner tracking-pixel.net/collect
+click-tracker.com/go payday-loans-fast.com/apply cheap-loans.net/quote easy-money-now.com/signup get-rich-quick.org/secret bitcoin-doubler.com/invest
+free-iphone-winner.com/claim prize-winner.net/survey cheap-rolex-replica.com/watches replica-handbags.net/shop free-download-crack.com/keygen warez-serials.net/file
+miracle-diet.com/trial work-from-home-cash.net/join hot-singles.com/chat free-gift-cards.net/claim""".split()
+ALLOWED = """www.university.edu/library/catalogue docs.python.org/3/tutorial en.wikipedia.org/wiki/Weather gardening.com/2021/roses
+localnews.com/story weather.net/forecast www.museum.org/visit city-hall.gov/services journal.science.org/article/7 recipes.kitchen.com/es/pan
+www.library.net/opening forum.cycling.org/page/12 maps.country.gov/region shop.books.com/novels radio.net/programme stackoverflow.com/questions/4
+github.com/apache/spark www.bbc.co.uk/news arxiv.org/abs/1706 www.nasa.gov/missions archive.org/details/texts www.gutenberg.org/ebooks/84
+www.nature.com/articles www.postgresql.org/docs developer.mozilla.org/en/docs www.debian.org/releases www.kernel.org/doc www.w3.org/TR
+www.lemonde.fr/sciences www.spiegel.de/kultur elpais.com/cultura www.guardian.com/uk www.reuters.com/markets www.nytimes.com/2021/05
+europa.eu/policies www.who.int/news www.un.org/en/about www.loc.gov/collections www.britannica.com/topic/physics www.nationalgeographic.com/animals
+www.mit.edu/research www.ox.ac.uk/admissions www.ethz.ch/de www.sorbonne.fr/en linux.die.net/man/1 www.imdb.com/title/11
+www.chess.com/lessons openstreetmap.org/node/5 www.timeanddate.com/calendar www.amazon.com/books www.ebay.com/itm/7 www.etsy.com/listing/3
+hiking-club.org/trails st-johns-school.edu/staff blue-river-dental.com/hours www.smith-and-sons.co.uk/contact town-council.gov.uk/minutes long-island-news.com/local
+opensource.com/article/20 lwn.net/Articles/7 www.ruby-lang.org/en/news www.r-project.org/about www.jazz-festival.org/programme green-energy.eu/projects""".split()
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
