@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, licenses, line_dedup, mixing, near_dup, personal_data, quality, token_file, url_filter, vector_file
+from tidewater.llm import collocations, decontaminate, licenses, line_dedup, mixing, near_dup, personal_data, quality, token_file, url_filter, vector_file, word_runs
 from tidewater.sources.durable import scratch
 from tidewater.sources.tables import Tables
 
@@ -113,3 +113,37 @@ def op1_range_coded_ids(t: Tables) -> DataFrame:
     path = scratch(t.spark, "token-file")
     token_file.write(t.documents, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return token_file.read(t.spark, path)
+
+
+@query()
+def op12_word_runs(t: Tables) -> DataFrame:
+    """Runs of repeated words, in documents of which a tenth repeat their tail by rule."""
+    numbered = t.documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("crc"))
+    found = word_runs.find_runs(word_runs.with_periodic_tails(numbered))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","), r.period.cast("string"), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query(r"""
+with docs as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+pieces as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from docs),
+words as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+f1 as (select lang, p, count(*) as f from (select lang, unnest(w) as p from words) group by all),
+f2 as (select lang, a, b, count(*) as f from (select lang, unnest(w[:-2]) as a, unnest(w[2:]) as b from words where len(w) > 1) group by all having count(*) >= 10),
+f3 as (select lang, a, b, c, count(*) as f from (select lang, unnest(w[:-3]) as a, unnest(w[2:-2]) as b, unnest(w[3:]) as c from words where len(w) > 2) group by all having count(*) >= 10),
+cuts as (select f2.lang, f2.a || ' ' || f2.b as phrase, 1 as k, f2.f as a, x.f as l, y.f as r from f2 join f1 x on x.lang = f2.lang and x.p = f2.a join f1 y on y.lang = f2.lang and y.p = f2.b
+         union all select f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, 1, f3.f, x.f, y.f from f3 join f1 x on x.lang = f3.lang and x.p = f3.a join f2 y on y.lang = f3.lang and y.a = f3.b and y.b = f3.c
+         union all select f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, 2, f3.f, x.f, y.f from f3 join f2 x on x.lang = f3.lang and x.a = f3.a and x.b = f3.b join f1 y on y.lang = f3.lang and y.p = f3.c),
+scored as (select *, 1000000::hugeint * a * a // (l::hugeint * r) as score from cuts),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inside as (select lang, a || ' ' || b as phrase, f from f3 union all select lang, b || ' ' || c, f from f3),
+left_over as (select * from lowest x where not exists (select 1 from inside i where i.lang = x.lang and i.phrase = x.phrase and 100 * i.f >= 50 * x.a)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from left_over),
+totals as (select lang, sum(f) as n from f1 group by lang)
+select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from ranked join totals using (lang) where rank <= 2000""")
+def op13_collocations(t: Tables) -> DataFrame:
+    """Phrases of two and three words that keep together, best 2000 of each language."""
+    return collocations.collocations(t.documents)

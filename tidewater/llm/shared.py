@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,3 +33,92 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
 def parts_for(rows: int, per_part: int) -> int:
     """How many parts keep each at about ``per_part`` rows."""
     return max(1, math.ceil(rows / per_part))
+
+
+def blocks_of(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
+    """[from, to) of consecutive items that together hold about ``most`` (one item at least)."""
+    first = held = at = 0
+    for at, size in enumerate(sizes, 1):
+        held += size
+        if held >= most:
+            yield first, at
+            first, held = at, 0
+    if at > first:
+        yield first, at
+
+
+class LevelFilter:
+    """Bloom filter of (64-bit key, level) with a level of one byte: a key of level n is a member at levels 1 to n.
+
+    Keys are dealt to segments, each with its own number of bits (a power of two), so segments are built apart.
+    """
+
+    PROBES = 4
+
+    def __init__(self, bodies: list[bytes]):
+        self.bits = np.array([len(b) * 8 for b in bodies], np.uint64)
+        self.first = np.cumsum([0, *map(len, bodies)]).astype(np.int64)[:-1]
+        self.body = np.frombuffer(b"".join(bodies), np.uint8)
+
+    @staticmethod
+    def mixed(keys: np.ndarray, salt) -> np.ndarray:
+        h = (keys ^ np.asarray(salt, np.uint64) * np.uint64(0xA0761D6478BD642F)) * np.uint64(0xE7037ED1A0B428DB)
+        h ^= h >> np.uint64(32)
+        h = h * np.uint64(0x8EBC6AF09C88C6E3)
+        return h ^ h >> np.uint64(29)
+
+    @classmethod
+    def places(cls, keys: np.ndarray, levels, bits) -> Iterator[np.ndarray]:
+        """Bit numbers of the probes of (key, level) in a segment of ``bits`` bits."""
+        h = cls.mixed(keys, levels)
+        step = h >> np.uint64(32) | np.uint64(1)
+        for _ in range(cls.PROBES):
+            yield h & (bits - np.uint64(1))
+            h = h + step
+
+    @classmethod
+    def segment(cls, keys: np.ndarray, levels: np.ndarray, bits_per_entry: float) -> bytes:
+        """One segment that holds ``keys`` up to their levels."""
+        entries = int(levels.sum())
+        bits = 1 << max(6, int(np.ceil(np.log2(max(1, entries) * bits_per_entry))))
+        body = np.zeros(bits, bool)
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            for at in cls.places(keys[levels >= level], level, np.uint64(bits)):
+                body[at.astype(np.int64)] = True
+        return np.packbits(body, bitorder="little").tobytes()
+
+    def holds(self, keys: np.ndarray, level: int) -> np.ndarray:
+        own = (keys >> np.uint64(40)) % np.uint64(len(self.bits))
+        first, bits, hit = self.first[own.astype(np.int64)], self.bits[own.astype(np.int64)], np.ones(len(keys), bool)
+        for at in self.places(keys, level, bits):
+            at = at.astype(np.int64)
+            hit &= (self.body[first + (at >> 3)] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        return hit
+
+    def levels(self, keys: np.ndarray, highest: int) -> np.ndarray:
+        """Level of each key: probes go up until one misses."""
+        out, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        for level in range(1, highest + 1):
+            left = left[self.holds(keys[left], level)]
+            if not len(left):
+                break
+            out[left] = level
+        return out
+
+    @classmethod
+    def build(cls, items: DataFrame, entries: int, max_bytes: int, bits_per_entry: float = 6.0, per_segment: int = 1 << 18) -> LevelFilter:
+        """From rows (key long, level int) of distinct keys whose levels add up to ``entries``.
+
+        Segments are built by the executors. The filter takes at most about ``max_bytes``: past that entries get fewer bits each.
+        """
+        segments = max(1, -(-entries // per_segment))
+        rate = min(bits_per_entry, max_bytes * 8 / max(1, entries) / 2)
+
+        def one(batch: pa.Table) -> pa.Table:
+            body = cls.segment(batch["key"].to_numpy().astype(np.uint64), batch["level"].to_numpy(), rate)
+            return pa.table({"segment": batch["segment"].slice(0, 1), "body": pa.array([body], pa.binary())})
+
+        own = F.pmod(F.shiftrightunsigned("key", 40), F.lit(segments)).cast("int").alias("segment")
+        made = items.select("key", "level", own).groupBy("segment").applyInArrow(one, "segment int, body binary").toArrow().to_pydict()
+        bodies = dict(zip(made["segment"], made["body"], strict=True))
+        return cls([bodies.get(s, bytes(8)) for s in range(segments)])
