@@ -209,7 +209,7 @@ def _pruner(phrases: DataFrame, n: int, size: int) -> LevelFilter:
             flat = batch.column("ids").flatten().to_numpy().astype(np.uint64).reshape(-1, size)
             yield pa.RecordBatch.from_arrays([pa.array(_key([flat[:, k] for k in range(size)]).view(np.int64))], ["key"])
 
-    return LevelFilter.build(phrases.select("ids").mapInArrow(emit, "key long").withColumn("level", F.lit(1)), n, FILTER_BYTES, bits_per_entry=10)
+    return LevelFilter.build(phrases.select("ids").mapInArrow(emit, "key long").withColumn("count", F.lit(1)), n, [1], FILTER_BYTES, bits_per_entry=10)
 
 
 def count_phrases(docs: DataFrame, size: int, min_count: int, shorter: DataFrame, n_shorter: int, attempt: int, width: int, shards: int, lang: str = "lang", text: str = "text") -> DataFrame:

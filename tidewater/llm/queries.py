@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import collocations, decontaminate, licenses, line_dedup, mixing, near_dup, personal_data, quality, token_file, url_filter, vector_file, word_runs
+from tidewater.llm import bloom_lm, collocations, decontaminate, licenses, line_dedup, mixing, near_dup, personal_data, quality, token_file, url_filter, vector_file, word_runs
 from tidewater.sources.durable import scratch
 from tidewater.sources.tables import Tables
 
@@ -147,3 +147,11 @@ select lang, rank, phrase, a, l, r, n::bigint as n, score::bigint as score from
 def op13_collocations(t: Tables) -> DataFrame:
     """Phrases of two and three words that keep together, best 2000 of each language."""
     return collocations.collocations(t.documents)
+
+
+@query()
+def op11_bloom_lm(t: Tables) -> DataFrame:
+    """log10 probability of every document; a seventh of the ids is held out of training."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    model = bloom_lm.train(t.documents.filter(~held_out))
+    return bloom_lm.score(t.documents, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

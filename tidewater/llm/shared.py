@@ -77,10 +77,10 @@ class LevelFilter:
             h = h + step
 
     @classmethod
-    def segment(cls, keys: np.ndarray, levels: np.ndarray, bits_per_entry: float) -> bytes:
-        """One segment that holds ``keys`` up to their levels."""
-        entries = int(levels.sum())
-        bits = 1 << max(6, int(np.ceil(np.log2(max(1, entries) * bits_per_entry))))
+    def segment(cls, keys: np.ndarray, levels: np.ndarray, bits_per_entry: float, most: int) -> bytes:
+        """One segment of up to ``most`` bits that holds ``keys`` up to their levels."""
+        wanted = math.ceil(math.log2(max(1, int(levels.sum())) * bits_per_entry))
+        bits = 1 << max(6, min(wanted, int(math.log2(most))))
         body = np.zeros(bits, bool)
         for level in range(1, int(levels.max(initial=0)) + 1):
             for at in cls.places(keys[levels >= level], level, np.uint64(bits)):
@@ -106,19 +106,20 @@ class LevelFilter:
         return out
 
     @classmethod
-    def build(cls, items: DataFrame, entries: int, max_bytes: int, bits_per_entry: float = 6.0, per_segment: int = 1 << 18) -> LevelFilter:
-        """From rows (key long, level int) of distinct keys whose levels add up to ``entries``.
+    def build(cls, items: DataFrame, n: int, bounds: list[int], max_bytes: int, bits_per_entry: float = 6.0, per_segment: int = 1 << 17) -> LevelFilter:
+        """From ``n`` rows (key long, count long) of distinct keys; a key's level is the number of ``bounds`` its count reaches.
 
-        Segments are built by the executors. The filter takes at most about ``max_bytes``: past that entries get fewer bits each.
+        Segments are built by the executors. The filter takes at most ``max_bytes``: past that entries get fewer bits each.
         """
-        segments = max(1, -(-entries // per_segment))
-        rate = min(bits_per_entry, max_bytes * 8 / max(1, entries) / 2)
+        segments, levels_at = max(1, -(-n // per_segment)), np.array(bounds, np.int64)
+        most = max(64, max_bytes * 8 // segments)
 
         def one(batch: pa.Table) -> pa.Table:
-            body = cls.segment(batch["key"].to_numpy().astype(np.uint64), batch["level"].to_numpy(), rate)
+            level = np.searchsorted(levels_at, batch["count"].to_numpy(), "right")
+            body = cls.segment(batch["key"].to_numpy().astype(np.uint64), level, bits_per_entry, most)
             return pa.table({"segment": batch["segment"].slice(0, 1), "body": pa.array([body], pa.binary())})
 
         own = F.pmod(F.shiftrightunsigned("key", 40), F.lit(segments)).cast("int").alias("segment")
-        made = items.select("key", "level", own).groupBy("segment").applyInArrow(one, "segment int, body binary").toArrow().to_pydict()
+        made = items.select("key", "count", own).groupBy("segment").applyInArrow(one, "segment int, body binary").toArrow().to_pydict()
         bodies = dict(zip(made["segment"], made["body"], strict=True))
         return cls([bodies.get(s, bytes(8)) for s in range(segments)])
