@@ -39,6 +39,7 @@ UNKNOWN_LANG = "und"
 _TO_ENDS = bytes(10 if c in PIECE_ENDS else 32 if c == 9 else c for c in range(256))
 TASK_GRAMS = 1 << 21          # n-grams a task holds before it writes filters
 SHARD_GRAMS = 1 << 21         # n-gram occurrences a shard is made for
+PART_PHRASES = 1 << 17        # candidates of a language that one task ranks
 FILTER_BYTES = 32 << 20       # largest Bloom filter that is sent to the executors
 _HASHES = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -299,12 +300,17 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, perce
         levels.append(durable(found, "phrases"))
         n = levels[-1].count()
     phrases = reduce(DataFrame.union, levels)
-    scored = _scored(phrases.filter(F.size("ids") > 1), phrases, percent)
+    scored = durable(_scored(phrases.filter(F.size("ids") > 1), phrases, percent), "scored")
     named = named.select("id", "lang", F.decode("word", "utf-8").alias("word"))
     spelt = scored.select("*", F.posexplode("ids").alias("at", "id")).join(named, "id").groupBy("ids").agg(
         *[F.first(c).alias(c) for c in ("lang", "a", "l", "r", "score")], F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "word"))), lambda x: x.word), " ").alias("phrase"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = spelt.withColumn("rank", F.row_number().over(best))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    if top is not None:
+        # A language's best are among the best of its parts, so no task sees more than a part of it and the parts' best.
+        part = F.pmod(F.xxhash64("phrase"), F.lit(parts_for(scored.count(), PART_PHRASES)))
+        within = Window.partitionBy("lang", part).orderBy(*order)
+        spelt = spelt.withColumn("rank", F.row_number().over(within)).filter(F.col("rank") <= top)
+    ranked = spelt.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     if top is not None:
         ranked = ranked.filter(F.col("rank") <= top)
     return ranked.join(F.broadcast(totals), "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
