@@ -51,7 +51,21 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete intermediate tables that nothing unwritten reads any more; what is not a ``durable`` result is left alone."""
+    for df in tables:
+        if (path := getattr(df, "_scratch_path", None)) is None:
+            continue
+        spark = df.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        if path in (made := _made.get(spark.sparkContext.applicationId, [])):
+            made.remove(path)
 
 
 _SHUFFLING = re.compile(r"^[\s:+\-|~!]*(Join|Aggregate|Window|Sort|Distinct|Deduplicate|Repartition\w*)\b", re.M)
