@@ -8,14 +8,16 @@ are candidates in a tree when they share the prefix that defines their region. R
 prefix of ``BASE`` values is the region unless more than ``LEAF`` representatives share it, then
 the prefix grows along ``DEPTHS`` until few do.
 
-Regions are settled in two rounds, so that copies never yield all their pairs: every member is compared with
-the head of its region, and only regions that still hold different components go on. Of those, small ones
-are compared across components, large ones are descended further. The descent joins most of a crowd cheaply but
-may miss links, so members of large regions that are still mixed after it are compared exactly: their shingles
-are ordered by rarity, two sets that are similar enough share one among the first |A| - ceil(percent * |A|) + 1 of
-each, and all such pairs of different components are looked at. Every candidate is confirmed
-on full sets: 100 * |A and B| >= percent * |A or B|. At exactly 80 % similarity a pair shares some
-four-value prefix of the 32 trees with probability 1 - 5e-8; nothing else is left to chance.
+Copies never yield all their pairs: every member is compared with the head of its region, and only regions that
+still hold different components go on. Of those, small ones are compared across components, large ones are descended
+further. Members of large regions that are still mixed after that are settled in rounds: in every round a few other
+trees draw two new heads a region, one among its rows and one among its components, and rows of other components are
+compared with them; the work of a round is linear in the rows outside the regions' main components. Rounds end
+when ``QUIET`` of them in a row have joined nothing. Every candidate is confirmed on full sets:
+100 * |A and B| >= percent * |A or B|. At exactly 80 % similarity a pair shares some four-value prefix of the 32 trees
+with probability 1 - 5e-8; a link may still be missed when it is the only one between two parts of a large crowd of
+texts that are all about as similar. ``exact=True`` looks at every pair of different components in such crowds that
+share one of their rarest shingles, which misses no link and costs the square of a crowd.
 
 Nulls, empties, ties: texts that are null or without words have an empty set and no links. Fewer
 words than a shingle has make one shingle. Rows with the same id are one document (their sets all
@@ -35,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.shared import pick, texts
-from tidewater.sources.durable import durable
+from tidewater.sources.durable import discard, durable
 
 VALUES = 128
 BASE = 4
@@ -44,7 +46,9 @@ LEAF = 16                                # representatives in a region that are
 HEADS = 8
 DEPTHS = (5, 6, 8, 12, 24, VALUES)       # prefix lengths of smaller regions
 BROADCAST_IDS = 1 << 20                  # so many ids (8 MB) may be sent to every executor
-RARITY = 1 << 18                         # counters by which shingles of mixed crowds are ordered
+ROUND_TREES = 4                          # trees that a round looks at
+ROUND_DEPTHS = (BASE, 2 * BASE)          # their prefix lengths, in turn
+QUIET = 3                                # rounds without a new link that end the search
 
 _rng = np.random.default_rng(20240917)
 _MUL = _rng.integers(1, 1 << 63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -125,10 +129,21 @@ def _to_head(regions: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
     """Distinct pairs (a, b) whose full sets are similar enough."""
-    close = pairs.filter(F.col("a") != F.col("b")).filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b").distinct()
-    close = durable(close, "candidates")
+    close = durable(_near_sized(pairs, percent), "candidates")
     needed = durable(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct(), "compared")
     sets = _sets(needed, docs, doc_id, text, words)
+    links = durable(_similar(close, sets, percent), "links")
+    discard(close, needed, sets)
+    return links
+
+
+def _near_sized(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) whose sizes allow the similarity."""
+    return pairs.filter(F.col("a") != F.col("b")).filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b").distinct()
+
+
+def _similar(close: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sets (doc_id, own) are similar enough."""
     left, right = (sets.select(F.col("doc_id").alias(x), F.col("own").alias(f"s{x}")) for x in "ab")
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     every = F.size("sa") + F.size("sb") - both
@@ -151,48 +166,66 @@ def _sets(needed: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int
     return durable(own.mapInArrow(emit, f"doc_id {id_type}, own array<long>"), "sets")
 
 
-def _rare(sets: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, component, n, token): the shingles of every set that a similar set must share one of, rarest first."""
-    bucket = F.explode("own").alias("token")
-    held = sets.select(bucket).groupBy(F.col("token").bitwiseAND(RARITY - 1).alias("at")).count().toArrow()
-    often = np.zeros(RARITY, np.int64)
-    often[held.column("at").to_numpy()] = held.column("count").to_numpy()
-    id_type = sets.schema["doc_id"].dataType.simpleString()
+def _across(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components of ``crowd`` (node, n, component) that two similar sets could be.
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            first, n = [], []
-            for own in batch.column("own"):
-                own = own.values.to_numpy()
-                order = np.lexsort((own, often[own & (RARITY - 1)]))
-                first.append(own[order[:len(own) - -(-len(own) * percent // 100) + 1]])
-                n.append(len(own))
-            ends = np.cumsum([0, *map(len, first)])
-            flat = np.concatenate(first) if first else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("component"), pa.array(n, pa.int64()),
-                                              pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], ["doc_id", "component", "n", "first"])
-
-    few = sets.mapInArrow(emit, f"doc_id {id_type}, component {id_type}, n long, first array<long>")
-    return few.select("doc_id", "component", "n", F.explode("first").alias("token"))
-
-
-def _across(crowd: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
-    """All pairs of different components of ``crowd`` (node, component) that share one of their rare shingles.
-
-    Rows of a shingle's largest component are met by the others but meet nobody, so a crowd that is
-    one component but for a few rows costs those few against it.
+    Shingles are ordered by their number of rows. Two similar sets share one among the first n - ceil(percent * n) + 1
+    of each, and from the places of the first one shared, enough others must be left.
     """
-    sets = _sets(crowd.select(F.col("node").alias("doc_id")), docs, doc_id, text, words).join(crowd.withColumnRenamed("node", "doc_id"), "doc_id").filter(F.size("own") > 0)
-    rows = durable(_rare(durable(sets, "crowd-sets"), percent), "rare")
-    parts = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("held"))
-    shared = parts.groupBy("token").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("held", "component")).alias("large")).filter("parts > 1")
-    rows = durable(rows.join(shared.select("token", "large"), "token"), "shared")
-    x, y = rows.filter("component <> large").alias("x"), rows.alias("y")
-    fits = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
-    apart = (F.col("y.component") == F.col("y.large")) | (F.col("x.component") < F.col("y.component"))
-    return x.join(y, (F.col("x.token") == F.col("y.token")) & apart & fits).select(
-        F.least("x.doc_id", "y.doc_id").alias("a"), F.when(F.col("x.doc_id") < F.col("y.doc_id"), F.col("x.n")).otherwise(F.col("y.n")).alias("na"),
-        F.greatest("x.doc_id", "y.doc_id").alias("b"), F.when(F.col("x.doc_id") < F.col("y.doc_id"), F.col("y.n")).otherwise(F.col("x.n")).alias("nb"))
+    every = sets.join(crowd.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "n", "component", F.explode("own").alias("token"))
+    held = durable(every.groupBy("token").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "shingles")
+    # A shingle of one row is first in order and meets nobody; it still takes a place.
+    shared = every.join(held, "token").groupBy("doc_id", "n", "component").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("own"))
+    alone = F.col("n") - F.size("own")
+    place = F.posexplode(F.expr(f"slice(own, 1, greatest(0, cast(n - ceil(n * {percent} / 100.0) + 1 as int) - cast(n - size(own) as int)))")).alias("at", "x")
+    rows = durable(shared.select("doc_id", "n", "component", alone.alias("alone"), place).select("doc_id", "n", "component", (F.col("at") + F.col("alone")).alias("at"), "x.token"), "rare")
+    x, y = rows.alias("x"), rows.alias("y")
+    fits = F.expr(f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
+                  f" and 1 + least(x.n - x.at - 1, y.n - y.at - 1) >= (x.n + y.n) * {percent} / (100.0 + {percent}) - 1e-6")
+    near = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")) & fits)
+    out = durable(near.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct(), "candidates")
+    discard(held, rows)
+    return out
+
+
+def _round(crowd: DataFrame, found: DataFrame, number: int, percent: int) -> DataFrame:
+    """Candidates of one round: rows of ``crowd`` (node, n, sig) against two heads of their regions."""
+    first, depth = number * ROUND_TREES % TREES, ROUND_DEPTHS[number * ROUND_TREES // TREES % len(ROUND_DEPTHS)]
+    tree = F.explode(F.sequence(F.lit(first), F.lit(first + ROUND_TREES - 1))).alias("tree")
+    own = crowd.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = own.select("node", "n", "component", "sig", tree).select("node", "n", "component", _prefix(F.col("tree"), depth).alias("key"))
+    one = F.struct("node", "n", "component")
+    heads = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by(one, F.xxhash64("node", F.lit(number))).alias("any"),
+                                    F.min_by(one, F.xxhash64("component", F.lit(number))).alias("rare")).filter("lo <> hi")
+    met = rows.join(heads, "key").filter(F.col("component") != F.col("any.component")).select("node", "n", "component", F.explode(F.array("any", "rare")).alias("head"))
+    met = met.filter(F.col("component") != F.col("head.component"))
+    left = F.col("node") < F.col("head.node")
+    return _near_sized(met.select(F.least("node", "head.node").alias("a"), F.when(left, F.col("n")).otherwise(F.col("head.n")).alias("na"),
+                                  F.greatest("node", "head.node").alias("b"), F.when(left, F.col("head.n")).otherwise(F.col("n")).alias("nb")), percent)
+
+
+def _settle(crowd: DataFrame, links: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int, exact: bool) -> DataFrame:
+    """``links`` and what joins rows of ``crowd`` (node, n, sig) besides."""
+    sets = _sets(crowd.select(F.col("node").alias("doc_id")), docs, doc_id, text, words)
+    number = quiet = 0
+    found = components(links)
+    while quiet < QUIET:
+        close = durable(_round(crowd, found, number, percent), "candidates")
+        new = durable(_similar(close, sets, percent), "links")
+        discard(close)
+        quiet, number = (quiet + 1 if new.isEmpty() else 0), number + 1
+        if not quiet:
+            joined = durable(links.union(new), "links")
+            discard(links, found)
+            links, found = joined, components(joined)
+        discard(new)
+    if exact:
+        own = crowd.join(found, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
+        close = _across(own, sets, percent)
+        links = durable(links.union(_similar(close, sets, percent)), "links")
+        discard(close)
+    discard(found, sets)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -203,16 +236,20 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         wide = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = durable(wide.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
+        discard(edges)
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         narrow = down.join(least, "u")
         edges = durable(narrow.select(F.col("v").alias("u"), F.col("m").alias("v")).union(narrow.select("u", "m")).filter("u <> v").distinct(), "edges")
+        discard(down)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
+            out = durable(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct()), "components")
+            discard(edges)
+            return out
         before = state
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, exact: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     rows = durable(signed(docs, doc_id, text, words), "signatures")
     sets = rows.filter("n > 0 and doc_id is not null")
@@ -221,28 +258,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     all_rows = classes.select("node", "n", "sig", tree).select(_prefix(F.col("tree"), BASE).alias("key"), "tree", "node", "n")
     regions = durable(_regions(all_rows), "regions")
-    links = durable(confirmed(_to_head(regions), docs, doc_id, text, words, percent), "links")
+    links = confirmed(_to_head(regions), docs, doc_id, text, words, percent)
 
     found, more = components(links), []
     rest = durable(_mixed(regions.select("tree", "node", "n", "key", "size"), found), "rest")
     more.append(_within(rest.filter(F.col("size") <= LEAF), "component"))
     crowd = rest.filter(F.col("size") > LEAF).select("tree", "node", "n").join(classes.select("node", "sig"), "node")
+    levels = []
     for depth in DEPTHS:
         if crowd.isEmpty():
             break
         deeper = crowd.select(_prefix(F.col("tree"), depth).alias("key"), "tree", "node", "n", "sig")
-        parts = durable(_mixed(_regions(deeper), found), "parts")
-        large = parts.filter(F.col("size") > LEAF)
-        more += [_within(parts.filter(F.col("size") <= LEAF), "component"), _to_head(large)]
+        levels.append(durable(_mixed(_regions(deeper), found), "parts"))
+        large = levels[-1].filter(F.col("size") > LEAF)
+        more += [_within(levels[-1].filter(F.col("size") <= LEAF), "component"), _to_head(large)]
         crowd = large.select("tree", "node", "n", "sig")
     across = confirmed(reduce(DataFrame.union, more), docs, doc_id, text, words, percent)
-    links = durable(links.union(across), "links")
+    both = durable(links.union(across), "links")
+    discard(rest, found, links, across, *levels)
 
-    # What large regions still hold apart is settled exactly.
-    found = components(links)
-    apart = durable(_mixed(regions.filter(F.col("size") > LEAF), found).select("node", "component").distinct(), "apart")
-    if not apart.isEmpty():
-        links = durable(links.union(confirmed(_across(apart, docs, doc_id, text, words, percent), docs, doc_id, text, words, percent)), "links")
+    found = components(both)
+    apart = _mixed(regions.filter(F.col("size") > LEAF), found).select("node").distinct()
+    apart = durable(classes.select("node", "n", "sig").join(apart, "node", "left_semi"), "apart")
+    discard(regions, found)
+    links = both if apart.isEmpty() else _settle(apart, both, docs, doc_id, text, words, percent, exact)
+    discard(apart)
 
     # An id that occurs with several texts joins their classes.
     twice = sets.select("doc_id", "k1", "k2").distinct().groupBy("doc_id").count().filter("count > 1").select("doc_id")
@@ -250,6 +290,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     member = rows.join(copies, ["k1", "k2"], "left").select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")).alias("node"))
     again = member.join(twice, "doc_id", "left_semi").filter("node <> doc_id").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     found = components(links.union(again)).withColumnRenamed("node", "at")
+    discard(links)
     whole = member.join(found, F.col("node") == F.col("at"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
     return whole.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
