@@ -48,3 +48,54 @@ def test_division_and_shares(spark):
 
 def test_discovered_pivot_takes_every_value(spark):
     assert len(agg.pivot_discovered(spark.range(300), [], "id", F.lit(1)).columns) == 300
+
+
+def test_bracketed_selection_with_ties_and_missed_brackets(spark, monkeypatch):
+    rnd = random.Random(9)
+    data = [("ties", float(rnd.choice([1, 2, 2, 2, 3]))) for _ in range(5000)] + [("wide", rnd.random() ** 9) for _ in range(7001)] + [("two", 1.0), ("two", 2.0)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(5)
+    points = {"a": 0.0, "b": 0.013, "c": 0.5, "d": 0.987, "e": 1.0}
+
+    def check():
+        got = {r.k: r for r in agg.exact_quantiles(df, ["k"], "v", **points).collect()}
+        disc = {r.k: r for r in agg.exact_quantiles(df, ["k"], "v", continuous=False, **points).collect()}
+        for key in ("ties", "wide", "two"):
+            values = [v for k, v in data if k == key]
+            for name, p in points.items():
+                assert got[key][name] == pytest.approx(np.quantile(values, p))
+                assert disc[key][name] == np.quantile(values, p, method="inverted_cdf")
+
+    check()
+    real = F.percentile_approx
+    monkeypatch.setattr(agg.F, "percentile_approx", lambda c, p, n: F.transform(real(c, p, n), lambda x: x + 0.4))      # brackets beside the position
+    check()
+
+
+def test_merged_quantiles_keep_their_bound(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
+    daily = agg.daily_sketches(df, ["event_type"], "ts", "value", distinct="user_id")
+    found = agg.merged_quantiles(daily, ["event_type"], [0.01, 0.25, 0.5, 0.95])
+    errors = agg.quantile_rank_error(df, found, ["event_type"], "value").collect()
+    assert len(errors) == 20 and max(r.error for r in errors) < 0.015
+    sizes = {(r.event_type): r["count"] for r in df.groupBy("event_type").count().collect()}
+    assert all(r.n == sizes[r.event_type] for r in errors)
+
+
+def test_merged_distinct_counts_within_three_standard_errors(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
+    daily = agg.daily_sketches(df, [], "ts", "value", distinct="user_id")
+    got = {(r.unit, r.period): r.estimate for r in agg.merged_distinct(daily, []).collect()}
+    for unit in ("day", "week", "month"):
+        for r in df.groupBy(F.to_date(F.date_trunc(unit, "ts")).alias("p")).agg(F.count_distinct("user_id").alias("n")).collect():
+            assert abs(got[unit, r.p] - r.n) <= max(1, 3 * 1.04 / 64 * r.n)
+
+
+def test_bitmaps_count_distinct_ids_in_one_pass_each(spark):
+    data = [("a", 1, 40_000), ("a", 1, 70_000), ("a", None, 40_000), ("b", 32_767, None), ("b", 32_768, None), ("b", 0, None), (None, 5, 5)]
+    df = spark.createDataFrame(data, "k string, x long, y long")
+    out = agg.distinct_by_bitmaps(df, ["k"], xs="x", ys="y")
+    assert rows(out) == [("a", 1, 2), ("b", 3, 0), (None, 1, 1)]
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    assert agg.distinct_by_bitmaps(df, [], xs="x").first().xs == 5
+    with pytest.raises(Exception, match="negative"):
+        agg.distinct_by_bitmaps(spark.createDataFrame([("a", -1)], "k string, x long"), ["k"], xs="x").collect()

@@ -1,10 +1,14 @@
 """A: aggregations."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import line_revenue, month, pct
 from tidewater.operators import agg
 from tidewater.plans.registry import query
+from tidewater.sources.durable import durable
 
 AGE = "date_diff('day', o_orderdate, TIMESTAMP '2002-01-01')"
 
@@ -102,6 +106,51 @@ def a15_approx_percentile(t):
     return t.events.groupBy("event_type").agg(p.alias("p")).select("event_type", F.col("p")[0].alias("p25"), F.col("p")[1].alias("p50"), F.col("p")[2].alias("p95"))
 
 
+RANK_BOUND = 0.015      # rank error of a KLL sketch with k = 400
+
+
+def _daily(t):
+    return durable(agg.daily_sketches(t.events, ["event_type"], "ts", "value", distinct="user_id"), "daily-sketches")
+
+
+@query()
+def a15_merged_sketches(t):
+    """Percentiles of a month of stored daily sketches; the test holds their rank error."""
+    return agg.merged_quantiles(_daily(t), ["event_type"], [0.25, 0.5, 0.95])
+
+
+@query(f"""SELECT event_type, p, count(value) AS n, {RANK_BOUND} AS bound, true AS within FROM events, (SELECT unnest([0.25::DOUBLE, 0.5::DOUBLE, 0.95::DOUBLE]) AS p) GROUP BY 1, 2""")
+def a15_rank_error(t):
+    """Whether the shares of rows below and up to the merged percentiles enclose p, to the sketch's bound."""
+    found = agg.merged_quantiles(_daily(t), ["event_type"], [0.25, 0.5, 0.95])
+    error = agg.quantile_rank_error(t.events, durable(found, "percentiles"), ["event_type"], "value")
+    return error.select("event_type", "p", "n", F.lit(RANK_BOUND).alias("bound"), (F.col("error") <= RANK_BOUND).alias("within"))
+
+
+@query()
+def a04_merged_estimates(t):
+    """Distinct users by day, week and month, from unions of stored daily sketches."""
+    return agg.merged_distinct(_daily(t), ["event_type"]).select("event_type", "unit", F.col("period").cast("string").alias("period"), "estimate")
+
+
+@query("""SELECT event_type, unit, CAST(period AS VARCHAR) AS period, count(DISTINCT user_id) AS users, true AS within FROM
+          (SELECT event_type, user_id, u.unit, CASE u.unit WHEN 'day' THEN ts::DATE WHEN 'week' THEN date_trunc('week', ts)::DATE ELSE date_trunc('month', ts)::DATE END AS period
+           FROM events, (SELECT unnest(['day', 'week', 'month']) AS unit) u) GROUP BY 1, 2, 3""")
+def a04_estimate_error(t):
+    """Exact distinct users beside whether the merged estimate lies within four standard errors (1.6 % each at lg_k = 12)."""
+    estimates = agg.merged_distinct(_daily(t), ["event_type"])
+    daily = t.events.select("event_type", "user_id", F.to_date("ts").alias("day")).distinct()
+    exact = reduce(DataFrame.unionByName, [daily.groupBy("event_type", F.lit(u).alias("unit"), F.to_date(F.date_trunc(u, "day")).alias("period")).agg(F.count_distinct("user_id").alias("users"))
+                                           for u in ("day", "week", "month")])
+    near = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.lit(1.0), 4 * 1.04 / 64 * F.col("users"))
+    return exact.join(estimates, ["event_type", "unit", "period"]).select("event_type", "unit", F.col("period").cast("string").alias("period"), "users", near.alias("within"))
+
+
+@query("SELECT l_returnflag, l_linestatus, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_orderkey) AS orders, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY 1, 2")
+def a03_distinct_by_bitmaps(t):
+    return agg.distinct_by_bitmaps(t.lineitem, ["l_returnflag", "l_linestatus"], parts="l_partkey", orders="l_orderkey", suppliers="l_suppkey")
+
+
 @query("""SELECT p_brand, p_size, n FROM (SELECT p_brand, p_size, count(*) AS n, rank() OVER (PARTITION BY p_brand ORDER BY count(*) DESC) AS r FROM part GROUP BY 1, 2) WHERE r = 1""")
 def a16_mode(t):
     return agg.modes(t.part, ["p_brand"], "p_size")

@@ -31,6 +31,19 @@ def q02_expectations(t):
     return Q.rule_report(t.lineitem, _rules())
 
 
+@query("""SELECT r.rule, (SELECT count(*) FROM lineitem) AS seen, (SELECT count(*) FROM lineitem WHERE l_quantity > 5 AND l_discount < 0.1) AS written,
+          CASE r.rule WHEN 'positive_qty' THEN (SELECT count(*) FROM lineitem WHERE NOT l_quantity > 5) WHEN 'discount_range' THEN (SELECT count(*) FROM lineitem WHERE NOT l_discount < 0.1)
+          ELSE (SELECT count(*) FROM lineitem WHERE NOT l_shipdate <= '2001-06-30') END AS failed FROM (SELECT unnest(['positive_qty', 'discount_range', 'not_future']) AS rule) r""")
+def q02_expectations_observed(t):
+    """One write that drops rows failing two rules, warns of a third, and counts all of them on the way."""
+    rules = _rules()
+    kept, seen = Q.expect(t.lineitem, warn={"not_future": rules["not_future"]}, drop={k: rules[k] for k in ("positive_qty", "discount_range")})
+    written = durable(kept, "kept")
+    found = seen.get
+    counts = t.spark.createDataFrame([(n, found["rows"], found[n]) for n in rules], "rule string, seen long, failed long")
+    return counts.crossJoin(written.agg(F.count(F.lit(1)).alias("written"))).select("rule", "seen", "written", "failed")
+
+
 @query("""SELECT CASE WHEN l_quantity > 5 AND l_discount < 0.1 AND l_shipdate <= '2001-06-30' THEN 'valid' ELSE 'quarantined' END AS side, count(*) AS n FROM lineitem GROUP BY 1""")
 def q03_quarantine_split(t):
     valid, bad = Q.split(t.lineitem, _rules())

@@ -62,6 +62,18 @@ def t03_incremental_ingest(t):
     return rows.agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"), (F.count("source_file") == F.count("*")).alias("tracked"))
 
 
+@query("""SELECT count(*) AS n, count(CASE WHEN event_id % 2 = 1 THEN props END) AS props, count(CASE WHEN event_id % 2 = 1 THEN 1 END) AS flags, 7 AS columns FROM events""")
+def t03_evolving_ingest(t):
+    """Three deliveries: the second brings a column, the third another one; old rows have nulls there."""
+    source, out, state, kept = (scratch(t.spark, x) for x in ("landing", "bronze", "state", "schema"))
+    rows = t.events.withColumn("flag", F.col("value") > 0)
+    for part, gone in ((F.col("event_id") % 4 == 0, ["props", "flag"]), (F.col("event_id") % 4 == 2, ["props", "flag"]), (F.col("event_id") % 4 == 1, ["flag"]), (F.col("event_id") % 4 == 3, [])):
+        rows.filter(part).drop(*gone).coalesce(1).write.mode("append").parquet(source)
+        schema = J.ingest_evolving(t.spark, source, out, state, kept, max_files=1)
+    got = t.spark.read.schema(schema).parquet(f"{out}/batch_id=*")
+    return got.agg(F.count("*").alias("n"), F.count("props").alias("props"), (F.count("flag") + F.count_if(F.col("flag").isNull() & (F.col("event_id") % 4 == 1))).alias("flags"), F.lit(len(schema.names)).alias("columns"))
+
+
 @query("SELECT user_id, count(*) AS n FROM events GROUP BY 1")
 def t04_table_stream(t):
     name = io.save_table(t.events, "events_stream")
@@ -104,6 +116,27 @@ def t09_late_flag(t):
     return J.late_rows(rows, "ts", "arrival", "1 hour", 7200).groupBy("late").agg(F.count("*").alias("n"))
 
 
+LATE_HOURS = 48
+
+
+@query(f"""WITH e AS (SELECT event_id, ts, event_id % 10 = 0 AS held FROM events), w AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL {LATE_HOURS} HOUR AS mark FROM e WHERE NOT held)
+          SELECT count(*) AS read, count(CASE WHEN held AND ts <= mark THEN 1 END) AS dropped, count(CASE WHEN held AND ts <= mark THEN 1 END) AS diverted,
+                 count(CASE WHEN NOT (held AND ts <= mark) THEN 1 END) AS on_time FROM e, w""")
+def t09_late_rows_in_a_stream(t):
+    """Two deliveries, the second with a tenth of the events after all others: rows that the watermark drops, and the same rows kept aside."""
+    source, state, other = scratch(t.spark, "landing"), scratch(t.spark, "state"), scratch(t.spark, "state")
+    late, on_time, times = (scratch(t.spark, x) for x in ("late", "on-time", "times"))
+    read = dropped = 0
+    for held in (False, True):
+        t.events.filter((F.col("event_id") % 10 == 0) == held).write.mode("append").parquet(source)
+        stream = J.file_stream(t.spark, source, t.events.schema, "parquet", 1000)
+        seen = J.drain(J.once_per_event(stream, "ts", ["event_id"], f"{LATE_HOURS} hours"), state, path=scratch(t.spark, "rows"))
+        read, dropped = read + seen["rows"], dropped + seen["late_dedupe"]
+        J.drain(stream, other, J.divert_late(on_time, late, times, "ts", LATE_HOURS * 3600))
+    sizes = [t.spark.read.schema(t.events.schema).parquet(f"{p}/batch_id=*").agg(F.count("*").alias(n)) for p, n in ((late, "diverted"), (on_time, "on_time"))]
+    return sizes[0].crossJoin(sizes[1]).select(F.lit(read).alias("read"), F.lit(dropped).alias("dropped"), "diverted", "on_time")
+
+
 @query("SELECT event_id, event_type FROM events")
 def t10_append_path_sink(t):
     path = scratch(t.spark, "sink")

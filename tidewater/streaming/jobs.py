@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,10 +59,93 @@ def late_rows(df: DataFrame, event_time: str, arrival: str, size: str, tolerance
     return df.withColumn("late", F.unix_timestamp(arrival) - F.unix_timestamp(end) > tolerance_seconds)
 
 
+def once_per_event(df: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
+    """Each event once; state and late rows end at the watermark, counted by row in the query's progress."""
+    return _watermarked(df, time, delay).dropDuplicates([*keys, time])
+
+
+def divert_late(rows_path: str, late_path: str, times_path: str, time: str, delay_seconds: int) -> Callable[[DataFrame, int], None]:
+    """Batch sink: rows behind the watermark go to a side table, the others to ``rows_path``, one folder a batch.
+
+    The watermark is the greatest time of all earlier batches less the delay. Each batch leaves its greatest time in
+    ``times_path``, so a replayed or restarted batch finds the same one, and replaces its own folders.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if batch.isEmpty():
+            return
+        # the folder of an earlier batch always exists but before the first one
+        top = batch.agg(F.max(time).cast("timestamp").alias("top")).withColumn("batch", F.lit(batch_id))
+        top.coalesce(1).write.mode("overwrite").parquet(f"{times_path}/batch_id={batch_id}")
+        seen = spark.read.schema("top timestamp, batch int").parquet(f"{times_path}/batch_id=*").filter(F.col("batch") < batch_id)
+        mark = seen.agg((F.unix_micros(F.max("top")) - delay_seconds * 1_000_000).alias("mark")).first().mark
+        late = F.unix_micros(F.col(time).cast("timestamp")) <= F.lit(mark).cast("long")
+        late = F.coalesce(late, F.lit(False))
+        batch.filter(late).write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
+        batch.filter(~late).write.mode("overwrite").parquet(f"{rows_path}/batch_id={batch_id}")
+
+    return write
+
+
+class _Widened(Exception):
+    """A file brought columns that the stored schema lacks."""
+
+
+def ingest_evolving(spark: SparkSession, source: str, out: str, checkpoint: str, schema_path: str, fmt: str = "parquet", max_files: int = 100) -> T.StructType:
+    """Drain new files of a folder whose columns grow; returns the schema in force.
+
+    The schema is kept as text below ``schema_path``. A batch that meets a new column stops before it writes anything;
+    the column joins the stored schema and the stream goes on from its checkpoint with the same files. Rows of
+    older files have nulls there. A column that comes with another type, or a folder without any file, is refused.
+    """
+
+    def stored() -> T.StructType | None:
+        texts = [r[0] for r in spark.read.text(f"{schema_path}/*").collect()] if versions() else []
+        return T.StructType.fromJson(json.loads(max(texts, key=len))) if texts else None
+
+    def versions() -> bool:
+        place = spark._jvm.org.apache.hadoop.fs.Path(schema_path)
+        return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+    def store(schema: T.StructType) -> None:
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{schema_path}/columns={len(schema.names)}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        files = [r[0] for r in batch.select(F.input_file_name()).distinct().collect()]       # at most max_files
+        if not files:
+            return
+        met = spark.read.format(fmt).option("mergeSchema", "true").load(files).schema
+        for field in met:
+            if field.name in known.names and known[field.name].dataType != field.dataType:
+                raise ValueError(f"column {field.name} changed from {known[field.name].dataType.simpleString()} to {field.dataType.simpleString()}")
+        if fresh := [f for f in met if f.name not in known.names]:
+            wider.append(T.StructType([*known.fields, *[T.StructField(f.name, f.dataType) for f in fresh]]))
+            raise _Widened(str([f.name for f in fresh]))
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    known = stored()
+    if known is None:
+        known = T.StructType([T.StructField(f.name, f.dataType) for f in spark.read.format(fmt).load(source).schema])
+        store(known)
+    while True:
+        wider: list[T.StructType] = []
+        try:
+            drain(file_stream(spark, source, known, fmt, max_files), checkpoint, write)
+            return known
+        except StreamingQueryException:
+            if not wider:
+                raise
+            known = wider[0]
+            store(known)
+
+
 def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None,
-          path: str | None = None, mode: str = "append", timeout: int | None = None, table: str | None = None) -> None:
+          path: str | None = None, mode: str = "append", timeout: int | None = None, table: str | None = None) -> dict[str, int]:
     """Process everything available, then stop; a restart with the same checkpoint continues. No time limit unless given.
 
+    Returns the rows read, and those that each kind of stateful operator dropped behind the watermark.
+
     Rows go to ``sink`` by batches, to Parquet files below ``path``, or to the catalog table ``table`` (its files below ``path``, if given).
     """
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
@@ -72,10 +157,22 @@ def drain(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], N
     try:
         if run.awaitTermination(timeout) is False:
             raise TimeoutError("stream did not finish")
+        return _progress(run)
     finally:
         run.stop()
 
 
+def _progress(run) -> dict[str, int]:
+    """Totals over the batches whose progress the session still holds (``spark.sql.streaming.numRecentProgressUpdates``)."""
+    total: dict[str, int] = {"rows": 0}
+    for batch in run.recentProgress:
+        total["rows"] += max(0, int(batch["numInputRows"]))
+        for state in batch["stateOperators"]:
+            name = f"late_{state['operatorName']}"
+            total[name] = total.get(name, 0) + int(state["numRowsDroppedByWatermark"])
+    return total
+
+
 def idempotent_sink(path: str) -> Callable[[DataFrame, int], None]:
     """Each micro-batch owns one directory, so a replayed batch replaces itself."""
 
