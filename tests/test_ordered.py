@@ -102,3 +102,20 @@ def test_empty_input(spark, both_ways):
     empty = frame(spark, [])
     assert ordered.scan(empty, ["k"], ["t"], s=("sum", "v")).collect() == []
     assert ordered.reach_back(empty, ["k"], ["t"], 1, p=lambda w: F.lag("v").over(w)).collect() == []
+
+
+def test_totals_reset_like_a_loop(spark, both_ways):
+    rnd = random.Random(4)
+    data = [("hot" if i % 3 else rnd.choice("ab"), i, rnd.choice([0, 1, 2, 5, 40])) for i in range(900)] + [("big", 0, 99), ("none", 0, 0)]
+    df = spark.createDataFrame(data, "k string, i long, v long").repartition(6)
+    got = {(r.k, r.i): (r.segment, r.total) for r in ordered.reset_totals(df, ["k"], ["i"], "v", 10).collect()}
+    want, state = {}, {}
+    for k, i, v in sorted(data):
+        segment, total = state.get(k, (1, 0))
+        if total >= 10:
+            segment, total = segment + 1, 0
+        state[k] = want[k, i] = (segment, total + v)
+    assert got == want
+    assert ordered.reset_totals(df.limit(0), ["k"], ["i"], "v", 10).count() == 0
+    with pytest.raises(Exception, match="negative or null"):
+        ordered.reset_totals(spark.createDataFrame([("a", 1, None)], "k string, i long, v long"), ["k"], ["i"], "v", 10).collect()

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tidewater.sources.durable import durable, plain_rows, settled
+from tidewater.sources.durable import discard, durable, plain_rows, settled
 
 SLICE = "_slice"
 SLICE_BYTES = 64 << 20
@@ -243,3 +243,34 @@ def ntile(df: DataFrame, keys: list[str], order: list[str], tiles: int, name: st
     tile = F.when(F.col("_rn") <= fat, F.floor((F.col("_rn") - 1) / (base + 1)) + 1).otherwise(
         extra + F.floor((F.col("_rn") - fat - 1) / F.greatest(base, F.lit(1))) + 1)
     return numbered.withColumn(name, tile.cast("long")).select(*df.columns, name)
+
+
+def reset_totals(df: DataFrame, keys: list[str], order: list[str], value: str, threshold: float, segment: str = "segment", total: str = "total") -> DataFrame:
+    """Running total that starts anew after every row at which it reaches ``threshold``.
+
+    Values are decimals or integers (sums must be exact), not negative and not null; ``order`` is total within a key.
+    Where a segment ends depends on where it began, but the end follows from the running sum alone: it is the first
+    row whose running sum reaches the sum before the segment plus the threshold. All rows look that row up at once, in
+    one pass ordered by running sum. The chain of segments from each key's first row is then followed by pointer
+    doubling, so the number of rounds is the logarithm of the longest chain, and no key is walked by one task.
+    """
+    checked = F.when(F.col(value) >= 0, F.col(value)).otherwise(F.raise_error(F.lit(f"{value} is negative or null")).cast(df.schema[value].dataType))
+    rows = durable(scan(row_numbers(df.withColumn("_value", checked), keys, order), keys, order, _upto=("sum", "_value")), "sums")
+    before = F.col("_upto") - F.col("_value")
+    at = rows.select(*keys, F.col("_upto").alias("_x"), F.lit(0).alias("_kind"), F.col("rn").alias("_end"), F.lit(None).cast("long").alias("_from"))
+    asked = rows.select(*keys, (before + F.lit(threshold).cast(rows.schema["_upto"].dataType)).alias("_x"), F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_end"), F.col("rn").alias("_from"))
+    both = scan(at.unionByName(asked), keys, ["-_x", "_kind"], _first=("min", "_end"))
+    jump = durable(both.filter("_kind = 1 and _first is not null").select(*keys, F.col("_from"), (F.col("_first") + 1).alias("_to")), "jumps")
+    reached = durable(rows.filter("rn = 1").select(*keys, F.col("rn").alias("_at")), "reached")
+    while not jump.isEmpty():
+        more = reached.join(_prefixed(jump, keys, "_key_"), _same(keys, "_key_") & (F.col("_at") == F.col("_from"))).select(*keys, F.col("_to").alias("_at"))
+        grown = durable(reached.unionByName(more).distinct(), "reached")
+        second = _prefixed(jump.withColumnsRenamed({"_from": "_mid", "_to": "_then"}), keys, "_key_")
+        longer = durable(jump.join(second, _same(keys, "_key_") & (F.col("_to") == F.col("_mid"))).select(*keys, "_from", F.col("_then").alias("_to")), "jumps")
+        discard(reached, jump)
+        reached, jump = grown, longer
+    starts = _prefixed(reached, keys, "_key_")
+    marked = rows.join(starts, _same(keys, "_key_") & (F.col("rn") == F.col("_at")), "left").withColumn("_new", F.col("_at").isNotNull())
+    marked = marked.select(*rows.columns, F.col("_new").cast("int").alias("_new"), F.when(F.col("_new"), before).alias("_base"))
+    out = scan(marked, keys, order, **{segment: ("sum", "_new"), "_since": ("max", "_base")})
+    return out.withColumn(total, F.col("_upto") - F.col("_since")).select(*df.columns, segment, total)

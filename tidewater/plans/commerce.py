@@ -241,14 +241,15 @@ def b80_routes(t):
     return graph.two_leg_routes(edges, "a", "b")
 
 
-@query("""WITH o AS (SELECT o_custkey AS seller, lead(o_custkey) OVER w AS buyer, row_number() OVER w AS rn FROM orders WHERE o_totalprice > 490000 WINDOW w AS (ORDER BY o_orderdate, o_orderkey)), p AS (SELECT seller, buyer FROM o WHERE rn % 2 = 1 AND buyer IS NOT NULL)
-          SELECT seller, buyer, count(*) AS n FROM p WHERE seller NOT IN (SELECT buyer FROM p) AND buyer NOT IN (SELECT seller FROM p) GROUP BY 1, 2""")
+@query("""WITH o AS (SELECT o_orderdate AS day, o_custkey AS seller, lead(o_custkey) OVER w AS buyer, row_number() OVER w AS rn FROM orders WINDOW w AS (PARTITION BY o_orderdate ORDER BY o_orderkey)), p AS (SELECT day, seller, buyer FROM o WHERE rn % 2 = 1 AND buyer IS NOT NULL)
+          SELECT seller, buyer, count(*) AS n FROM p WHERE NOT EXISTS (SELECT 1 FROM p q WHERE q.day = p.day AND q.buyer = p.seller) AND NOT EXISTS (SELECT 1 FROM p q WHERE q.day = p.day AND q.seller = p.buyer) GROUP BY 1, 2""")
 def b81_event_pairs(t):
-    rows = row_numbers(t.orders.filter("o_totalprice > 490000").select("o_orderdate", "o_orderkey", "o_custkey"), [], ["o_orderdate", "o_orderkey"])
-    half = rows.groupBy(F.ceil(F.col("rn") / 2).alias("pair")).agg(F.max(F.when(F.col("rn") % 2 == 1, F.col("o_custkey"))).alias("seller"), F.max(F.when(F.col("rn") % 2 == 0, F.col("o_custkey"))).alias("buyer"))
-    pairs = durable(half.filter("buyer is not null").select("seller", "buyer"), "pairs")
-    both = pairs.select(F.col("seller").alias("c")).intersect(pairs.select(F.col("buyer").alias("c")))
-    clean = pairs.join(both.withColumnRenamed("c", "seller"), "seller", "left_anti").join(both.withColumnRenamed("c", "buyer"), "buyer", "left_anti")
+    """Each day's orders in pairs, seller then buyer; customers on both sides that day are left out."""
+    rows = row_numbers(t.orders.select(F.col("o_orderdate").alias("day"), "o_orderkey", "o_custkey"), ["day"], ["o_orderkey"])
+    half = rows.groupBy("day", F.ceil(F.col("rn") / 2).alias("pair")).agg(F.max(F.when(F.col("rn") % 2 == 1, F.col("o_custkey"))).alias("seller"), F.max(F.when(F.col("rn") % 2 == 0, F.col("o_custkey"))).alias("buyer"))
+    pairs = durable(half.filter("buyer is not null").select("day", "seller", "buyer"), "pairs")
+    both = pairs.select("day", F.col("seller").alias("c")).intersect(pairs.select("day", F.col("buyer").alias("c")))
+    clean = pairs.join(both.withColumnRenamed("c", "seller"), ["day", "seller"], "left_anti").join(both.withColumnRenamed("c", "buyer"), ["day", "buyer"], "left_anti")
     return clean.groupBy("seller", "buyer").agg(F.count("*").alias("n"))
 
 
@@ -273,12 +274,11 @@ def b84_pivot_report(t):
 
 @query(r"""WITH w AS (SELECT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS word FROM documents) SELECT word, count(*) AS n, count(DISTINCT doc_id) AS docs FROM w WHERE word <> '' GROUP BY 1""")
 def b85_word_counts(t):
-    # each text yields its words and, marked, its distinct words: both counts combine on the map
-    # side by word alone, so the shuffle is bounded by the vocabulary
-    words = t.documents.select(F.split(F.lower("text"), r"\s+").alias("w"))
-    mark = lambda c, seen: F.transform(c, lambda w: F.struct(w.alias("word"), F.lit(seen).alias("seen")))
-    marked = words.select(F.explode(F.concat(mark("w", 0), mark(F.array_distinct("w"), 1))).alias("x")).select("x.*")
-    return marked.groupBy("word").agg(F.count_if(F.col("seen") == 0).alias("n"), F.sum("seen").alias("docs")).filter("word <> ''")
+    # words of a text in order, so the first of equal ones is known in the row: one explode serves both counts,
+    # which combine on the map side by word alone
+    words = t.documents.select(F.sort_array(F.split(F.lower("text"), r"\s+")).alias("w"))
+    marked = words.select(F.explode(F.arrays_zip(F.col("w").alias("word"), F.concat(F.array(F.lit(None).cast("string")), F.col("w")).alias("before"))).alias("x")).select("x.*")
+    return marked.filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("word").eqNullSafe(F.col("before"))).alias("docs"))
 
 
 @query("""WITH i AS (SELECT o_orderkey, o_orderstatus, 1 + unnest(range(1 + o_orderkey % 3)) AS item_id, o_totalprice FROM orders), x AS (SELECT o_orderkey, o_orderstatus, item_id, round(o_totalprice * item_id, 2) AS price FROM i) SELECT o_orderkey AS order_id, count(*) AS items, round(sum(price), 2) AS total, o_orderstatus = 'F' AS failed FROM x GROUP BY 1, o_orderstatus""")

@@ -253,11 +253,12 @@ def b131_first_period(t):
     return m.groupBy("l_partkey").agg(F.min("m").alias("launch"), F.min_by("v", "m").alias("launch_value"))
 
 
-@query("""WITH s AS (SELECT DISTINCT p_brand, p_size FROM part WHERE p_size > 40), g AS (SELECT p_brand, p_size - lag(p_size) OVER (PARTITION BY p_brand ORDER BY p_size) AS gap FROM s) SELECT p_brand FROM g GROUP BY 1 HAVING count(gap) >= 1 AND min(gap) = 1 AND max(gap) = 1""")
+@query("""WITH s AS (SELECT DISTINCT o_custkey, year(o_orderdate) AS y FROM orders), g AS (SELECT o_custkey, y - lag(y) OVER (PARTITION BY o_custkey ORDER BY y) AS gap FROM s) SELECT o_custkey, min(gap) AS step FROM g GROUP BY 1 HAVING count(gap) >= 1 AND min(gap) = max(gap)""")
 def b132_constant_spacing(t):
-    sizes = t.part.filter("p_size > 40").select("p_brand", "p_size").distinct()
-    steps = reach_back(sizes, ["p_brand"], ["p_size"], 1, gap=lambda w: F.col("p_size") - F.lag("p_size").over(w))
-    return steps.groupBy("p_brand").agg(F.min("gap").alias("lo"), F.max("gap").alias("hi")).filter("lo = 1 and hi = 1").select("p_brand")
+    """Customers whose years with orders are equally far apart."""
+    years = t.orders.select("o_custkey", F.year("o_orderdate").alias("y")).distinct()
+    steps = reach_back(years, ["o_custkey"], ["y"], 1, gap=lambda w: F.col("y") - F.lag("y").over(w))
+    return steps.groupBy("o_custkey").agg(F.min("gap").alias("step"), F.max("gap").alias("hi")).filter("step = hi").select("o_custkey", "step")
 
 
 @query("""SELECT o_custkey FROM orders GROUP BY 1 HAVING count(CASE WHEN year(o_orderdate) = 1999 THEN 1 END) > 2 AND count(CASE WHEN year(o_orderdate) = 2000 THEN 1 END) > 2""")

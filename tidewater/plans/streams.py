@@ -90,7 +90,7 @@ def t05_watermark(t):
 
 @query(f"""SELECT {TEXT.format("time_bucket(INTERVAL 5 MINUTE, ts)")} AS "start", event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2""")
 def t06_tumbling_window(t):
-    rows = J.windowed(_stream(t), "ts", ["event_type"], "5 minutes", n=F.count("*"), total=F.round(F.sum("value"), 2))
+    rows = J.windowed(_stream(t), "ts", ["event_type"], "5 minutes", delay="2 hours", n=F.count("*"), total=F.round(F.sum("value"), 2))
     return _collect(t, rows, ["start", "event_type"]).select(stamp("start"), "event_type", "n", "total")
 
 
@@ -99,13 +99,13 @@ SLIDING = """WITH s AS (SELECT time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30
 
 @query(f"""{SLIDING} SELECT {TEXT.format('s')} AS "start", event_type, count(*) AS n FROM s GROUP BY 1, 2""")
 def t07_sliding_window(t):
-    rows = J.windowed(_stream(t), "ts", ["event_type"], "1 hour", "30 minutes", n=F.count("*"))
+    rows = J.windowed(_stream(t), "ts", ["event_type"], "1 hour", "30 minutes", delay="2 hours", n=F.count("*"))
     return _collect(t, rows, ["start", "event_type"]).select(stamp("start"), "event_type", "n")
 
 
 @query(f"""{SLIDING} SELECT {TEXT.format('s')} AS "start", event_type, round(sum(value), 2) AS total FROM s GROUP BY 1, 2 HAVING sum(value) > 400""")
 def t08_threshold_alerts(t):
-    rows = J.windowed(_stream(t), "ts", ["event_type"], "1 hour", "30 minutes", total=F.round(F.sum("value"), 2)).filter("total > 400")
+    rows = J.windowed(_stream(t), "ts", ["event_type"], "1 hour", "30 minutes", delay="2 hours", total=F.round(F.sum("value"), 2)).filter("total > 400")
     return _collect(t, rows, ["start", "event_type"]).select(stamp("start"), "event_type", "total")
 
 
@@ -116,6 +116,18 @@ def t09_late_flag(t):
     return J.late_rows(rows, "ts", "arrival", "1 hour", 7200).groupBy("late").agg(F.count("*").alias("n"))
 
 
+@query(f"""{SLIDING} SELECT {TEXT.format('s')} AS "start", event_type, 1 AS alerts, true AS over FROM s GROUP BY 1, 2 HAVING sum(value) > 400""")
+def t08_alerts_once(t):
+    """Windows over 400, each reported once, when its running total passes the limit; events come in three deliveries."""
+    source, out, state = scratch(t.spark, "landing"), scratch(t.spark, "alerts"), scratch(t.spark, "state")
+    for part in range(3):
+        t.events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(source)
+        stream = J.file_stream(t.spark, source, t.events.schema, "parquet")
+        J.drain(J.alerts_once(stream, "ts", ["event_type"], "1 hour", "30 minutes", "value", 400.0, delay="400 days"), state, J.idempotent_sink(out))
+    alerts = t.spark.read.parquet(f"{out}/batch_id=*")
+    return alerts.groupBy("start", "event_type").agg(F.count("*").cast("int").alias("alerts"), (F.min("total") > 400).alias("over")).select(stamp("start"), "event_type", "alerts", "over")
+
+
 LATE_HOURS = 48
 
 

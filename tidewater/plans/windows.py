@@ -138,6 +138,16 @@ def w18_reset_running_total(t):
     return ordered.scan(bucketed, ["user_id", "bucket"], ["ts", "event_id"], in_bucket=("sum", "value")).select("event_id", "bucket", F.round("in_bucket", 4).alias("in_bucket"))
 
 
+@query("""WITH RECURSIVE e AS (SELECT event_id, user_id, CAST(round(value, 2) AS DECIMAL(18, 2)) AS v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+          r AS (SELECT event_id, user_id, rn, 1::BIGINT AS segment, CAST(v AS DECIMAL(28, 2)) AS total FROM e WHERE rn = 1
+                UNION ALL SELECT e.event_id, e.user_id, e.rn, r.segment + CASE WHEN r.total >= 250 THEN 1 ELSE 0 END, CAST(CASE WHEN r.total >= 250 THEN 0 ELSE r.total END + e.v AS DECIMAL(28, 2)) FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1)
+          SELECT event_id, segment, total FROM r""")
+def w18_reset_at_threshold(t):
+    """Spending per user that starts anew after it has reached 250."""
+    rows = _events(t, "value").withColumn("v", F.round("value", 2).cast("decimal(18,2)"))
+    return ordered.reset_totals(rows, ["user_id"], ["ts", "event_id"], "v", 250).select("event_id", "segment", "total")
+
+
 @query("""SELECT c_custkey, rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS nation_rank, rank() OVER (PARTITION BY n_regionkey ORDER BY c_acctbal DESC) AS region_rank, rank() OVER (ORDER BY c_acctbal DESC) AS world_rank
           FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def w19_several_partitions(t):

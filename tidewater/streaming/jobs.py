@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewater.sources.snapshots import SnapshotTable, latest_changes
 
@@ -47,7 +49,7 @@ def windowed(df: DataFrame, time: str, keys: list[str], size: str, slide: str |
 
 
 def sessions(df: DataFrame, time: str, keys: list[str], gap: str = "30 minutes", delay: str | None = None) -> DataFrame:
-    """Session windows; the same call serves batch and stream."""
+    """Session windows; only a pause longer than ``gap`` parts two sessions. The same call serves batch and stream."""
     rows = _watermarked(df, time, delay)
     out = rows.groupBy(F.session_window(time, gap).alias("_w"), *keys).agg(F.count("*").alias("events"))
     return out.select(*keys, F.col("_w.start").alias("start"), F.col("_w.end").alias("end"), "events")
@@ -59,6 +61,37 @@ def late_rows(df: DataFrame, event_time: str, arrival: str, size: str, tolerance
     return df.withColumn("late", F.unix_timestamp(arrival) - F.unix_timestamp(end) > tolerance_seconds)
 
 
+def alerts_once(df: DataFrame, time: str, keys: list[str], size: str, slide: str | None, value: str, limit: float, delay: str) -> DataFrame:
+    """(start, end, keys, total): one row for each window, as soon as its sum of ``value`` passes ``limit``, and never again.
+
+    A window and key hold their sum and whether they have reported in keyed state, which a timer removes once the
+    watermark has passed the window's end. Null values add nothing. Values may come in any order; with negative ones the
+    report stands even if the sum falls again.
+    """
+    win = F.window(time, size, slide) if slide else F.window(time, size)
+    rows = _watermarked(df, time, delay).select(*keys, F.col(time), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("_value"), win.alias("_w"))
+    rows = rows.select(*keys, time, "_value", F.col("_w.start").alias("start"), F.col("_w.end").alias("end"))
+    fields = ["start", "end", *keys, "total"]
+    shape = T.StructType([*[f for f in rows.select("start", "end", *keys).schema], T.StructField("total", T.DoubleType())])
+
+    def follow(key, batches, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        before, told = state.get if state.exists else (0.0, False)
+        total = before + sum(float(b["_value"].sum()) for b in batches)
+        state.update((total, told or total > limit))
+        end = int(key[1].timestamp() * 1000)
+        if end > state.getCurrentWatermarkMs():
+            state.setTimeoutTimestamp(end)
+        else:
+            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 1)
+        if total > limit and not told:
+            yield pd.DataFrame([[*key, total]], columns=fields)
+
+    return rows.groupBy("start", "end", *keys).applyInPandasWithState(follow, shape, "total double, told boolean", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def once_per_event(df: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
     """Each event once; state and late rows end at the watermark, counted by row in the query's progress."""
     return _watermarked(df, time, delay).dropDuplicates([*keys, time])
