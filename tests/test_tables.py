@@ -1,11 +1,15 @@
 import datetime as dt
 
+import itertools
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidewater.sources import io, maintenance
 from tidewater.sources.durable import durable, scratch, shared_root
+from tidewater.sources.keyed import KeyedTable
 from tidewater.sources.snapshots import SnapshotTable, build_versions, scd2_apply
 
 
@@ -163,3 +167,65 @@ def test_clustered_files_cover_narrow_ranges(spark):
 def test_buckets_follow_the_size(spark):
     df = spark.range(10_000)
     assert io.bucket_count(df) == 8 and io.bucket_count(df, bucket_bytes=1000) == 128
+
+
+def keyed(spark, data, changed_at=None, parts=8):
+    table = KeyedTable(spark, scratch(spark, "keyed"), ["k"], parts)
+    table.write(spark.createDataFrame(data, "k string, v int, w int"), changed_at)
+    return table
+
+
+def files_of(table):
+    return {str(p): p.stat().st_mtime_ns for p in pathlib.Path(table.root.removeprefix("file:")).glob("_part=*/*.parquet")}
+
+
+def test_a_change_leaves_other_partitions_alone(spark):
+    table = keyed(spark, [(f"k{i}", i, 0) for i in range(100)])
+    before = files_of(table)
+    assert table.merge(spark.createDataFrame([("k7", 70, 1), (None, 5, 5)], "k string, v int, w int")) in (1, 2)
+    after = files_of(table)
+    assert len(before) == 8 and 6 <= len(set(before.items()) & set(after.items())) < 8
+    assert rows(table.read().filter("k is null or k in ('k7', 'k8')")) == sorted([("k7", 70, 1), ("k8", 8, 0), (None, 5, 5)], key=repr)
+    assert table.read().count() == 101
+    assert table.merge(spark.createDataFrame([], "k string, v int, w int")) == 0 and files_of(table) == after
+
+
+def test_keyed_merge_agrees_with_the_snapshot(spark):
+    base, change = [(f"k{i}", i, i) for i in range(30)], [(f"k{i}", -i, 0) for i in range(20, 40)]
+    options = [{}, {"update": ["v"]}, {"insert": False}, {"delete_when": F.col("v") < -30}]
+    for o in options:
+        one, two = keyed(spark, base), SnapshotTable(spark, scratch(spark, "t"))
+        two.write(spark.createDataFrame(base, "k string, v int, w int"))
+        for t, extra in ((one, {}), (two, {})):
+            t.merge(spark.createDataFrame(change, "k string, v int, w int"), ["k"], **o)
+        assert rows(one.read().select("k", "v", "w")) == rows(two.read().select("k", "v", "w"))
+
+
+def test_partitions_that_lose_all_rows_go(spark):
+    table = keyed(spark, [("a", 1, 1), ("b", 2, 2)], parts=64)
+    table.merge(spark.createDataFrame([("a", 1, 1)], "k string, v int, w int"), delete_when=F.col("v") == 1)
+    assert rows(table.read()) == [("b", 2, 2)] and len(files_of(table)) == 1
+
+
+def test_keyed_changes_in_any_order_and_purge(spark):
+    shape = "k string, v int, w int, op string, seq int"
+    batches = [[("a", 3, 3, "update", 3), ("b", 0, 0, "delete", 2)], [("a", 2, 2, "update", 2), ("b", 1, 1, "insert", 1), ("c", 9, 9, "insert", 1)], [("c", 0, 0, "delete", 5)]]
+    for order in itertools.permutations(batches):
+        table = keyed(spark, [("a", 0, 0)], "struct<seq: int>")
+        for b in order:
+            table.apply_changes(spark.createDataFrame(b, shape), ["k"], "op", "seq")
+        assert rows(table.read().select("k", "v", "w")) == [("a", 3, 3)]
+    hidden = table.spark.read.parquet(table.root).filter("_deleted").count()
+    assert hidden == 2 and table.purge(F.struct(F.lit(3).alias("seq"))) == 1
+    assert table.spark.read.parquet(table.root).filter("_deleted").count() == 1 and rows(table.read().select("k")) == [("a",)]
+    with pytest.raises(ValueError):
+        keyed(spark, [("a", 0, 0)]).apply_changes(spark.createDataFrame(batches[0], shape), ["k"], "op", "seq")
+    with pytest.raises(ValueError):
+        table.merge(spark.createDataFrame([("a", 1, 1)], "k string, v int, w int"), ["v"])
+
+
+def test_empty_keyed_table(spark):
+    table = keyed(spark, [])
+    assert table.read().columns == ["k", "v", "w"] and table.read().count() == 0
+    table.merge(spark.createDataFrame([("a", 1, 1)], "k string, v int, w int"))
+    assert rows(table.read()) == [("a", 1, 1)]

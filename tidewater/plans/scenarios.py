@@ -10,7 +10,7 @@ from tidewater.plans.ranking import STAFF, staff
 from tidewater.plans.registry import query
 from tidewater.sources.durable import scratch
 from tidewater.sources.io import date_spine, scalar
-from tidewater.sources.snapshots import SnapshotTable
+from tidewater.sources.keyed import KeyedTable
 from tidewater.streaming import jobs
 
 
@@ -71,7 +71,7 @@ def b108_skew_job(t):
 def b109_streaming_job(t):
     stream = jobs.file_stream(t.spark, t.folder, t.events.schema, "parquet", pathGlobFilter="events.parquet")
     totals = stream.filter("value >= 1").groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"), (F.max("value") > 150).alias("alert"))
-    table = SnapshotTable(t.spark, scratch(t.spark, "user_totals"))
+    table = KeyedTable(t.spark, scratch(t.spark, "user_totals"), ["user_id"], parts=16)
     table.write(t.spark.createDataFrame([], totals.schema))
     jobs.drain(totals, scratch(t.spark, "state"), jobs.merge_sink(table, ["user_id"], "n"), mode="update")
     return table.read()
@@ -80,8 +80,8 @@ def b109_streaming_job(t):
 @query("""SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM (SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'C' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 11 <> 0) GROUP BY 1""")
 def b110_lakehouse_job(t):
     cols = ["o_orderkey", "o_orderstatus", "o_totalprice"]
-    table = SnapshotTable(t.spark, scratch(t.spark, "lake"))
-    table.write(t.orders.select(*cols))
+    table = KeyedTable(t.spark, scratch(t.spark, "lake"), ["o_orderkey"], parts=16)
+    table.write(t.orders.select(*cols), "struct<seq: int>")
     k = F.col("o_orderkey")
     changes = t.orders.filter((k % 7 == 0) | (k % 11 == 0)).select("o_orderkey", F.lit("C").alias("o_orderstatus"), "o_totalprice", F.when(k % 11 == 0, "delete").otherwise("update").alias("op"), F.lit(1).alias("seq"))
     table.apply_changes(changes, ["o_orderkey"], "op", "seq")

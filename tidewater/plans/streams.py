@@ -8,7 +8,7 @@ from tidewater.operators.quality import tag
 from tidewater.plans.registry import query
 from tidewater.sources import io
 from tidewater.sources.durable import scratch
-from tidewater.sources.snapshots import SnapshotTable
+from tidewater.sources.keyed import KeyedTable
 from tidewater.streaming import jobs as J
 
 stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm").alias(c)
@@ -178,9 +178,9 @@ def t11_checkpoint_recovery(t):
 
 @query("""WITH l AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1) SELECT * FROM l WHERE last_type <> 'error'""")
 def t12_change_apply(t):
-    table = SnapshotTable(t.spark, scratch(t.spark, "state_table"))
+    table = KeyedTable(t.spark, scratch(t.spark, "state_table"), ["user_id"], parts=16)
     changes = _stream(t).select("user_id", F.col("event_type").alias("last_type"), "value", F.when(F.col("event_type") == "error", "delete").otherwise("update").alias("op"), "ts", "event_id")
-    table.write(t.spark.createDataFrame([], "user_id long, last_type string, value double"))
+    table.write(t.spark.createDataFrame([], "user_id long, last_type string, value double"), "struct<ts: timestamp_ntz, event_id: bigint>")
     J.drain(changes, scratch(t.spark, "state"), J.change_sink(table, ["user_id"], "op", "ts", "event_id"))
     return table.read()
 

@@ -7,6 +7,7 @@ from tidewater.plans.registry import query
 from tidewater.sources import io
 from tidewater.sources import maintenance as M
 from tidewater.sources.durable import scratch
+from tidewater.sources.keyed import KeyedTable
 from tidewater.sources.snapshots import SnapshotTable, build_versions, scd2_apply
 
 COLS = ["o_orderkey", "o_orderstatus", "o_totalprice"]
@@ -23,11 +24,17 @@ def _old_orders(t):
     return table
 
 
+def _keyed_orders(t, changed_at=None):
+    table = KeyedTable(t.spark, scratch(t.spark, "keyed"), ["o_orderkey"], parts=16)
+    table.write(t.orders.filter("o_orderdate < '1999-01-01'").select(*COLS), changed_at)
+    return table
+
+
 @query(f"""WITH a AS (SELECT * FROM orders WHERE o_orderdate < '1999-01-01'), b AS (SELECT * FROM orders WHERE o_orderkey % 3 = 0),
           r AS (SELECT CASE WHEN b.o_orderkey IS NULL THEN a.o_orderstatus ELSE 'X' END AS o_orderstatus, CASE WHEN b.o_orderkey IS NULL THEN a.o_totalprice ELSE b.o_totalprice * 2 END AS o_totalprice
                 FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey) {SUMMARY}""")
 def l01_upsert(t):
-    table = _old_orders(t)
+    table = _keyed_orders(t)
     table.merge(t.orders.filter("o_orderkey % 3 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice")), ["o_orderkey"])
     return _summary(table.read())
 
@@ -42,7 +49,7 @@ def l02_insert_only_merge(t):
 @query(f"""WITH r AS (SELECT CASE WHEN o_orderkey % 5 = 1 THEN 'U' WHEN o_orderkey % 5 = 2 THEN 'I' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
           FROM orders WHERE o_orderkey % 5 IN (1, 2) OR (o_orderdate < '1999-01-01' AND o_orderkey % 5 <> 0)) {SUMMARY}""")
 def l03_change_data(t):
-    table = _old_orders(t)
+    table = _keyed_orders(t, "struct<seq: int>")
     k = F.col("o_orderkey") % 5
     last = F.when(k == 0, "delete").when(k == 1, "update").when(k == 2, "insert")
     base = t.orders.filter(k <= 2)
@@ -98,10 +105,10 @@ def l07_history_and_restore(t):
 
 @query("""SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderdate < '1999-01-01' OR o_orderdate > '1998-12-31' GROUP BY 1""")
 def l08_incremental_load(t):
-    table = SnapshotTable(t.spark, scratch(t.spark, "incremental"))
+    table = KeyedTable(t.spark, scratch(t.spark, "incremental"), ["o_orderkey"], parts=16)
     cols = ["o_orderkey", "o_orderstatus", "o_orderdate"]
     table.write(t.orders.filter("o_orderdate < '1999-01-01'").select(*cols))
-    table.load_newer(t.orders.select(*cols), ["o_orderkey"], "o_orderdate")
+    table.load_newer(t.orders.select(*cols), "o_orderdate")
     return table.read().groupBy("o_orderstatus").agg(F.count("*").alias("n"))
 
 

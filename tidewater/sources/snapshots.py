@@ -98,23 +98,7 @@ class SnapshotTable:
         expression over the source columns, removing matched rows and suppressing inserts.
         """
         base = self.version
-        stored = self._stored(base)
-        kept = DELETED in stored.columns
-        columns = [c for c in stored.columns if c not in (CHANGED, DELETED)]
-        rest = [c for c in columns if c not in keys]
-        changed = set(update if update is not None else rest)
-        gone = F.coalesce(delete_when, F.lit(False)) if delete_when is not None else F.lit(False)
-        both = _matched(stored, source.withColumn("_gone", gone), keys).filter(~F.coalesce("_n__gone", F.lit(False)))
-        was = F.col("_old") & ~F.col(f"_o_{DELETED}") if kept else F.coalesce("_old", F.lit(False))
-        was = F.coalesce(was, F.lit(False))
-        if not insert:
-            both = both.filter("_old")
-        new = F.coalesce("_new", F.lit(False)) & (was | F.lit(insert))
-        here = set(source.columns)
-        take = [F.when(new & (~was | F.lit(c in changed)), F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}")).alias(c) if c in here
-                else F.col(f"_o_{c}").alias(c) for c in rest]
-        hidden = [F.col(f"_o_{CHANGED}").alias(CHANGED), (~was & ~new).alias(DELETED)] if kept else []
-        return self._commit(both.select(*keys, *take, *hidden).select(*columns, *([CHANGED, DELETED] if kept else [])), "merge", base)
+        return self._commit(merge_rows(self._stored(base), source, keys, update, insert, delete_when), "merge", base)
 
     def insert_new(self, source: DataFrame, keys: list[str]) -> int:
         """Insert source rows whose key is absent; only they are written."""
@@ -134,20 +118,7 @@ class SnapshotTable:
         as a hidden row, so an older update cannot bring it back.
         """
         base = self.version
-        stored = self._stored(base)
-        columns = [c for c in stored.columns if c not in (CHANGED, DELETED)]
-        rest = [c for c in columns if c not in keys]
-        latest = latest_changes(changes, keys, *recency).withColumn(CHANGED, F.struct(*recency))
-        both = _matched(stored, latest, keys)
-        kept = CHANGED in stored.columns
-        seen, gone = (F.col(f"_o_{CHANGED}"), F.coalesce(f"_o_{DELETED}", F.lit(False))) if kept else (F.lit(None), F.lit(False))
-        newer = F.coalesce(F.col("_new") & (seen.isNull() | (F.col(f"_n_{CHANGED}") > seen)), F.lit(False))
-        drops = F.coalesce(F.col(f"_n_{op}") == "delete", F.lit(False))
-        here = set(changes.columns)
-        take = [F.when(newer & drops, F.lit(None)).when(newer, F.col(f"_n_{c}") if c in here else F.col(f"_o_{c}")).otherwise(F.col(f"_o_{c}")).alias(c) for c in rest]
-        at = F.when(newer, F.col(f"_n_{CHANGED}"))
-        hidden = [(at.otherwise(seen) if kept else at).alias(CHANGED), F.when(newer, drops).otherwise(gone).alias(DELETED)]
-        return self._commit(both.select(*keys, *take, *hidden).select(*columns, CHANGED, DELETED), "changes", base)
+        return self._commit(change_rows(self._stored(base), changes, keys, op, *recency), "changes", base)
 
     def load_newer(self, source: DataFrame, keys: list[str], updated_at: str) -> int:
         """Merge source rows newer than the table's high-water mark."""
@@ -156,6 +127,43 @@ class SnapshotTable:
         return self.merge(latest_changes(newer, keys, updated_at), keys)
 
 
+def merge_rows(stored: DataFrame, source: DataFrame, keys: list[str], update: list[str] | None = None, insert: bool = True, delete_when: Column | None = None) -> DataFrame:
+    """``stored`` (with its hidden columns, if any) after an upsert."""
+    kept = DELETED in stored.columns
+    columns = [c for c in stored.columns if c not in (CHANGED, DELETED)]
+    rest = [c for c in columns if c not in keys]
+    changed = set(update if update is not None else rest)
+    gone = F.coalesce(delete_when, F.lit(False)) if delete_when is not None else F.lit(False)
+    both = _matched(stored, source.withColumn("_gone", gone), keys).filter(~F.coalesce("_n__gone", F.lit(False)))
+    was = F.col("_old") & ~F.col(f"_o_{DELETED}") if kept else F.coalesce("_old", F.lit(False))
+    was = F.coalesce(was, F.lit(False))
+    if not insert:
+        both = both.filter("_old")
+    new = F.coalesce("_new", F.lit(False)) & (was | F.lit(insert))
+    here = set(source.columns)
+    take = [F.when(new & (~was | F.lit(c in changed)), F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}")).alias(c) if c in here
+            else F.col(f"_o_{c}").alias(c) for c in rest]
+    hidden = [F.col(f"_o_{CHANGED}").alias(CHANGED), (~was & ~new).alias(DELETED)] if kept else []
+    return both.select(*keys, *take, *hidden).select(*columns, *([CHANGED, DELETED] if kept else []))
+
+
+def change_rows(stored: DataFrame, changes: DataFrame, keys: list[str], op: str, *recency: str) -> DataFrame:
+    """``stored`` after change data, with the hidden columns: per key the change with the greatest recency decides."""
+    columns = [c for c in stored.columns if c not in (CHANGED, DELETED)]
+    rest = [c for c in columns if c not in keys]
+    latest = latest_changes(changes, keys, *recency).withColumn(CHANGED, F.struct(*recency))
+    both = _matched(stored, latest, keys)
+    kept = CHANGED in stored.columns
+    seen, gone = (F.col(f"_o_{CHANGED}"), F.coalesce(f"_o_{DELETED}", F.lit(False))) if kept else (F.lit(None), F.lit(False))
+    newer = F.coalesce(F.col("_new") & (seen.isNull() | (F.col(f"_n_{CHANGED}") > seen)), F.lit(False))
+    drops = F.coalesce(F.col(f"_n_{op}") == "delete", F.lit(False))
+    here = set(changes.columns)
+    take = [F.when(newer & drops, F.lit(None)).when(newer, F.col(f"_n_{c}") if c in here else F.col(f"_o_{c}")).otherwise(F.col(f"_o_{c}")).alias(c) for c in rest]
+    at = F.when(newer, F.col(f"_n_{CHANGED}"))
+    hidden = [(at.otherwise(seen) if kept else at).alias(CHANGED), F.when(newer, drops).otherwise(gone).alias(DELETED)]
+    return both.select(*keys, *take, *hidden).select(*columns, CHANGED, DELETED)
+
+
 def _matched(stored: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Full join by key, null keys alike: keys, ``_o_`` and ``_n_`` columns, ``_old`` and ``_new``."""
     old = stored.select(*[F.col(c).alias(f"_o_{c}") for c in stored.columns], F.lit(True).alias("_old"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidewater.sources.keyed import KeyedTable
 from tidewater.sources.snapshots import SnapshotTable, latest_changes
 
 
@@ -220,8 +221,8 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return latest_changes(spark.read.parquet(path), keys, "batch_id").drop("batch_id")
 
 
-def merge_sink(table: SnapshotTable, keys: list[str], *recency: str) -> Callable[[DataFrame, int], None]:
-    """Upsert every micro-batch into a snapshot table."""
+def merge_sink(table: SnapshotTable | KeyedTable, keys: list[str], *recency: str) -> Callable[[DataFrame, int], None]:
+    """Upsert every micro-batch into a table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
@@ -230,7 +231,7 @@ def merge_sink(table: SnapshotTable, keys: list[str], *recency: str) -> Callable
     return write
 
 
-def change_sink(table: SnapshotTable, keys: list[str], op: str, *recency: str) -> Callable[[DataFrame, int], None]:
+def change_sink(table: SnapshotTable | KeyedTable, keys: list[str], op: str, *recency: str) -> Callable[[DataFrame, int], None]:
     """Apply insert / update / delete records of every micro-batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
