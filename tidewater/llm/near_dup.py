@@ -15,9 +15,10 @@ trees draw two new heads a region, one among its rows and one among its componen
 compared with them; the work of a round is linear in the rows outside the regions' main components. Rounds end
 when ``QUIET`` of them in a row have joined nothing. Every candidate is confirmed on full sets:
 100 * |A and B| >= percent * |A or B|. At exactly 80 % similarity a pair shares some four-value prefix of the 32 trees
-with probability 1 - 5e-8; a link may still be missed when it is the only one between two parts of a large crowd of
-texts that are all about as similar. ``exact=True`` looks at every pair of different components in such crowds that
-share one of their rarest shingles, which misses no link and costs the square of a crowd.
+with probability 1 - 5e-8. What such crowds still hold apart after the rounds is compared exactly: shingles are ordered
+by their number of rows, rarest first, and pairs of different components are looked at if they share one of the first
+n - ceil(percent * n) + 1 and if enough shingles are left after it. ``exact=False`` leaves that out; it then misses links that
+are the only ones between parts of a crowd of texts that are all about as similar.
 
 Nulls, empties, ties: texts that are null or without words have an empty set and no links. Fewer
 words than a shingle has make one shingle. Rows with the same id are one document (their sets all
@@ -46,9 +47,9 @@ LEAF = 16                                # representatives in a region that are
 HEADS = 8
 DEPTHS = (5, 6, 8, 12, 24, VALUES)       # prefix lengths of smaller regions
 BROADCAST_IDS = 1 << 20                  # so many ids (8 MB) may be sent to every executor
-ROUND_TREES = 4                          # trees that a round looks at
+ROUND_TREES = 16                         # trees that a round looks at
 ROUND_DEPTHS = (BASE, 2 * BASE)          # their prefix lengths, in turn
-QUIET = 3                                # rounds without a new link that end the search
+QUIET = 2                                # rounds without a new link that end the search
 
 _rng = np.random.default_rng(20240917)
 _MUL = _rng.integers(1, 1 << 63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -204,28 +205,32 @@ def _round(crowd: DataFrame, found: DataFrame, number: int, percent: int) -> Dat
                                   F.greatest("node", "head.node").alias("b"), F.when(left, F.col("head.n")).otherwise(F.col("n")).alias("nb")), percent)
 
 
-def _settle(crowd: DataFrame, links: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int, exact: bool) -> DataFrame:
-    """``links`` and what joins rows of ``crowd`` (node, n, sig) besides."""
+def _settle(crowd: DataFrame, links: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int, exact: bool) -> tuple[DataFrame, DataFrame]:
+    """``links`` and what joins rows of ``crowd`` (node, n, sig) besides, and the components ``found`` after it."""
     sets = _sets(crowd.select(F.col("node").alias("doc_id")), docs, doc_id, text, words)
     number = quiet = 0
-    found = components(links)
+
+    def joined(new: DataFrame) -> tuple[DataFrame, DataFrame]:
+        every = durable(links.union(new), "links")
+        after = components(every)
+        discard(links, found, new)
+        return every, after
+
     while quiet < QUIET:
         close = durable(_round(crowd, found, number, percent), "candidates")
         new = durable(_similar(close, sets, percent), "links")
         discard(close)
         quiet, number = (quiet + 1 if new.isEmpty() else 0), number + 1
         if not quiet:
-            joined = durable(links.union(new), "links")
-            discard(links, found)
-            links, found = joined, components(joined)
-        discard(new)
+            links, found = joined(new)
     if exact:
         own = crowd.join(found, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
         close = _across(own, sets, percent)
-        links = durable(links.union(_similar(close, sets, percent)), "links")
+        new = durable(_similar(close, sets, percent), "links")
         discard(close)
-    discard(found, sets)
-    return links
+        links, found = joined(new)
+    discard(sets)
+    return links, found
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -249,7 +254,7 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, exact: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, exact: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     rows = durable(signed(docs, doc_id, text, words), "signatures")
     sets = rows.filter("n > 0 and doc_id is not null")
@@ -280,8 +285,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = components(both)
     apart = _mixed(regions.filter(F.col("size") > LEAF), found).select("node").distinct()
     apart = durable(classes.select("node", "n", "sig").join(apart, "node", "left_semi"), "apart")
-    discard(regions, found)
-    links = both if apart.isEmpty() else _settle(apart, both, docs, doc_id, text, words, percent, exact)
+    discard(regions)
+    links = both
+    if not apart.isEmpty():
+        links, found = _settle(apart, both, found, docs, doc_id, text, words, percent, exact)
     discard(apart)
 
     # An id that occurs with several texts joins their classes.
@@ -289,8 +296,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     copies = classes.filter("node <> last").select("k1", "k2", "node")
     member = rows.join(copies, ["k1", "k2"], "left").select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")).alias("node"))
     again = member.join(twice, "doc_id", "left_semi").filter("node <> doc_id").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    found = components(links.union(again)).withColumnRenamed("node", "at")
-    discard(links)
+    if not again.isEmpty():
+        found = components(links.union(again))
+    found = found.withColumnRenamed("node", "at")
     whole = member.join(found, F.col("node") == F.col("at"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
     return whole.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
