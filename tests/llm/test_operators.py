@@ -350,3 +350,13 @@ def test_pipeline_stages(spark, sample, empty):
         seen.append(docs.count())
     assert seen[0] > seen[1] > seen[2] > 0
     assert corpus_pipeline.run(spark, SF).count() == seen[-1]
+
+
+def test_stages_carry_clashing_columns(spark, sample):
+    extra = sample.limit(60).select("*", *[F.lit(i).alias(n) for i, n in enumerate(["TEXT", "DOC_ID", "uses", "leaky", "_row", "_0", "node", "kept", "Source"])])
+    want = {r.doc_id: r.text for r in sample.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, extra, SF)
+        assert out.columns == extra.columns, name
+        got = [tuple(r) for r in out.collect()]
+        assert got and all(r[1] == want[r[0]] and r[5:] == tuple(range(9)) for r in got), name

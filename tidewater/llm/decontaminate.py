@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import parts_for, pick
+from tidewater.llm.shared import carried, parts_for, pick, restored
 from tidewater.sources.durable import durable
 
 #: Masks as the places of the words that count: 11101, 10010011, 1000111.
@@ -134,4 +134,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` (all columns) whose document repeats no item."""
     found = leaks(docs, benchmark).select(F.col("doc_id").alias("leaky")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leaky"]), "left_anti")
+    return restored(carried(docs, doc_id="doc_id").join(found, F.col("doc_id").eqNullSafe(F.col("leaky")), "left_anti"), docs)

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import pick, texts
+from tidewater.llm.shared import carried, pick, restored, texts
 from tidewater.sources.durable import discard, durable
 
 VALUES = 128
@@ -314,4 +314,4 @@ def _mixed(regions: DataFrame, found: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Rows of ``docs`` (all columns) whose document is the first of its component."""
     gone = near_duplicates(docs, words=words, percent=percent).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return restored(carried(docs, doc_id="doc_id").join(gone, "doc_id", "left_anti"), docs)

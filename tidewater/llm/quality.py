@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import pick, texts
+from tidewater.llm.shared import carried, pick, restored, texts
 
 MAX_LABELLED = 20_000
 PAIRS = 4096
@@ -150,7 +150,7 @@ def scorer(model: Model):
 
 def keep_good(docs: DataFrame, model: Model | None, text: str = "text", at_least: float = SCORE_AT_CUT) -> DataFrame:
     """Rows of ``docs`` (all columns) that score at least ``at_least``."""
-    return docs if model is None else docs.filter(scorer(model)(text) >= at_least)
+    return docs if model is None else restored(carried(docs, text=text).filter(scorer(model)("text") >= at_least), docs)
 
 
 def main_fold(docs: DataFrame, labels: DataFrame) -> Model | None:

@@ -25,6 +25,18 @@ def pick(df: DataFrame, **wanted: str) -> DataFrame:
     return plain.select(*[F.col(f"_{names.index(old)}").alias(new) for new, old in wanted.items()])
 
 
+def carried(df: DataFrame, **wanted: str) -> DataFrame:
+    """``pick``, and all columns as ``_row``, a struct whose fields are named by their places, so no name can clash."""
+    names = df.columns
+    plain = df.toDF(*[f"_{i}" for i in range(len(names))])
+    return plain.select(F.struct(*plain.columns).alias("_row"), *[F.col(f"_{names.index(old)}").alias(new) for new, old in wanted.items()])
+
+
+def restored(rows: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns of ``df`` again, from ``_row``."""
+    return rows.select(*[F.col("_row").getField(f"_{i}") for i in range(len(df.columns))]).toDF(*df.columns)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 bytes of a text column; null reads as empty."""
     return [b or b"" for b in batch.column(name).cast(pa.binary()).to_pylist()]
