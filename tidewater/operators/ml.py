@@ -10,6 +10,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.operators.ordered import scan
+from tidewater.operators.rel import attach
 from tidewater.sources.durable import durable
 
 
@@ -56,18 +58,52 @@ def forecast(df: DataFrame, series: str, time: str, value: str, cut: str, trees:
     return model.fit(ready.filter(F.col(time) < cut)).transform(ready.filter(F.col(time) >= cut)).select(series, time, value, "forecast")
 
 
-def cosine_items(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+def cosine_items(ratings: DataFrame, user: str, item: str, rating: str, least: float | None = None, block: int = 1000) -> DataFrame:
     """Cosine similarity of item pairs rated by one user at least; norms use all of an item's ratings.
 
-    The work per user is quadratic in the user's items, so pass item groups (brands, types)
-    rather than a long catalogue.
+    Items of a user with more than ``block`` are paired in blocks, so one user's pairs spread over many tasks.
+    With ``least`` only pairs of at least that similarity (less 1e-9 for rounding) are returned, and most others are never
+    formed: an item's ratings are read from users with few items to users with many, until the norm of the rest is below
+    ``least``. Two items that meet only in their rests cannot be similar enough, so pairs are made of the first ratings
+    alone and then computed on all ratings. Null users, items and ratings are ignored; repeated ratings add up. Items
+    whose norm is 0 are similar to nothing (null; left out with ``least``).
     """
-    r = ratings.select(user, item, F.col(rating).cast("double").alias("_r"))
-    norms = r.groupBy(item).agg(F.sqrt(F.sum(F.col("_r") * F.col("_r"))).alias("_n"))
-    a, b = r.withColumnsRenamed({item: "item_a", "_r": "_ra"}), r.withColumnsRenamed({item: "item_b", "_r": "_rb"})
-    dots = a.join(b, user).filter("item_a < item_b").groupBy("item_a", "item_b").agg(F.sum(F.col("_ra") * F.col("_rb")).alias("_dot"))
-    na, nb = norms.withColumnsRenamed({item: "item_a", "_n": "_na"}), norms.withColumnsRenamed({item: "item_b", "_n": "_nb"})
-    return dots.join(na, "item_a").join(nb, "item_b").select("item_a", "item_b", F.try_divide("_dot", F.col("_na") * F.col("_nb")).alias("similarity"))
+    r = ratings.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(rating).cast("double").alias("_r")).dropna()
+    r = durable(r.groupBy("_u", "_i").agg(F.sum("_r").alias("_r")), "ratings")
+    norms = r.groupBy("_i").agg(F.sqrt(F.sum(F.col("_r") * F.col("_r"))).alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    if least is None:
+        dots = _met(r, "_r", block).groupBy("item_a", "item_b").agg(F.sum(F.col("_x") * F.col("_y")).alias("_dot"))
+        na, nb = (norms.select(F.col("_i").alias(f"item_{x}"), F.col("_n").alias(f"_n{x}")) for x in "ab")
+        return dots.join(na, "item_a").join(nb, "item_b").select("item_a", "item_b", F.try_divide("_dot", F.col("_na") * F.col("_nb")).alias("similarity"))
+    if not least > 0:
+        raise ValueError("least must be above 0")
+    bar = least - 1e-9
+    unit = attach(r, norms.filter("_n > 0"), ["_i"], spread=["_u"]).select("_u", "_i", (F.col("_r") / F.col("_n")).alias("_w"))
+    sizes = unit.groupBy("_u").agg(F.count(F.lit(1)).alias("_rows"))
+    sized = durable(attach(unit, sizes.withColumn("_size", F.col("_rows")), ["_u"], spread=["_i"]).select("_u", "_i", "_w", "_size"), "units")
+    # Read from the end: the norm of the rest is a running sum over users with most items first.
+    rests = scan(sized, ["_i"], ["-_size", "_u"], _rest=("sum", F.col("_w") * F.col("_w")))
+    first = rests.filter(F.col("_rest") >= bar * bar - 1e-9).select("_u", "_i", "_w")
+    close = durable(_met(first, "_w", block).select("item_a", "item_b").distinct(), "pairs")
+    left, right = (sized.select("_u", F.col("_i").alias(f"item_{x}"), F.col("_w").alias(f"_w{x}")) for x in "ab")
+    dots = close.join(left, "item_a").join(right, ["_u", "item_b"]).groupBy("item_a", "item_b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("similarity"))
+    return dots.filter(F.col("similarity") >= bar)
+
+
+def _met(rows: DataFrame, value: str, block: int) -> DataFrame:
+    """(item_a, item_b, _x, _y): values of every two items of a user, item_a < item_b.
+
+    A user with k blocks of items has k * (k + 1) / 2 pairs of blocks, each a join key of its own.
+    """
+    sizes = rows.groupBy("_u").agg(F.count(F.lit(1)).alias("_rows"))
+    blocks = F.ceil(F.col("_size") / block).cast("int").alias("_blocks")
+    placed = attach(rows, sizes.withColumn("_size", F.col("_rows")), ["_u"], spread=["_i"]).select("_u", "_i", value, blocks).withColumn("_b", F.pmod(F.xxhash64("_i"), F.col("_blocks")).cast("int"))
+    left = placed.select("_u", F.col("_i").alias("_p"), F.col(value).alias("_vp"), F.col("_b").alias("_lo"), F.explode(F.sequence(F.col("_b"), F.col("_blocks") - 1)).alias("_hi"))
+    right = placed.select("_u", F.col("_i").alias("_q"), F.col(value).alias("_vq"), F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_lo"), F.col("_b").alias("_hi"))
+    both = left.join(right, ["_u", "_lo", "_hi"]).filter((F.col("_lo") < F.col("_hi")) & (F.col("_p") != F.col("_q")) | (F.col("_p") < F.col("_q")))
+    ordered = F.col("_p") < F.col("_q")
+    return both.select(F.least("_p", "_q").alias("item_a"), F.greatest("_p", "_q").alias("item_b"),
+                       F.when(ordered, F.col("_vp")).otherwise(F.col("_vq")).alias("_x"), F.when(ordered, F.col("_vq")).otherwise(F.col("_vp")).alias("_y"))
 
 
 def line_fits(df: DataFrame, series: str, x: str, y: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import bands, business_days, grid_cell, line_revenue, month, pct, ratio
-from tidewater.operators import agg, behaviour as B, commerce as C, graph, quality, rel
+from tidewater.operators import agg, behaviour as B, commerce as C, graph, nested, quality, rel
 from tidewater.operators.ordered import as_of, rank_table, reach_back, row_numbers, scan
 from tidewater.plans.registry import query
 from tidewater.sources.durable import durable
@@ -289,6 +289,40 @@ def b86_nested_orders(t):
     return flat.groupBy("order_id", (F.col("status") == "F").alias("failed")).agg(F.count("*").alias("items"), F.round(F.sum("item.price"), 2).alias("total"))
 
 
+def _order_texts(t):
+    """Orders as JSON texts whose fields differ by row: absent notes, prices as texts, a discount in some items, no items, broken texts."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+
+    def item(i):
+        cents = F.round(price * i, 2)
+        shown = F.when(key % 7 == 0, F.concat(F.lit('"'), cents.cast("string"), F.lit('"'))).otherwise(cents.cast("string"))
+        return F.concat(F.lit('{"item_id":'), i.cast("string"), F.lit(',"price":'), shown, F.when((key + i) % 3 == 0, F.lit(',"discount":{"pct":5}}')).otherwise(F.lit("}")))
+
+    items = F.when(key % 11 == 0, F.lit("")).otherwise(F.concat(F.lit(',"items":['), F.array_join(F.transform(F.sequence(F.lit(1).cast("long"), 1 + key % 3), item), ","), F.lit("]")))
+    note = F.when(key % 5 == 0, F.lit(',"note":"gift"')).when(key % 5 == 1, F.lit(',"note":null')).otherwise(F.lit(""))
+    whole = F.concat(F.lit('{"order_id":'), key.cast("string"), F.lit(',"payment":{"status":"'), F.col("o_orderstatus"), F.lit('"}'), note, items, F.when(key % 97 == 0, F.lit("")).otherwise(F.lit("}")))
+    return t.orders.select("o_orderkey", whole.alias("body"))
+
+
+@query("""WITH i AS (SELECT o_orderkey AS k, o_orderstatus AS status, unnest(CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 11 = 0 THEN [NULL::BIGINT] ELSE range(1, 2 + o_orderkey % 3) END) AS item_id, o_totalprice FROM orders)
+          SELECT k AS o_orderkey, k % 97 = 0 AS broken, CASE WHEN k % 97 <> 0 THEN status END AS status, CASE WHEN k % 97 <> 0 AND k % 5 = 0 THEN 'gift' END AS note, item_id, round(round(o_totalprice * item_id, 2) * CASE WHEN (k + item_id) % 3 = 0 THEN 0.95 ELSE 1 END, 4) AS net FROM i""")
+def b86_varying_orders(t):
+    rows = nested.open_items(_order_texts(t), "body", "$.items", head={"status": ("$.payment.status", "string"), "note": ("$.note", "string")},
+                             fields={"item_id": ("$.item_id", "long"), "price": ("$.price", "double"), "pct": ("$.discount.pct", "double")})
+    net = F.col("price") * (1 - F.coalesce("pct", F.lit(0.0)) / 100)
+    return rows.select("o_orderkey", F.col("is_broken").alias("broken"), "status", "note", "item_id", F.round(net, 4).alias("net"))
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 97 <> 0), i AS (SELECT k, unnest(range(1, 2 + k % 3)) AS i FROM o WHERE k % 11 <> 0)
+          SELECT field, type, count(*) AS n FROM (
+          SELECT 'order_id' AS field, 'number' AS type FROM o UNION ALL SELECT 'payment', 'object' FROM o UNION ALL SELECT 'payment.status', 'string' FROM o
+          UNION ALL SELECT 'note', CASE WHEN k % 5 = 0 THEN 'string' ELSE 'null' END FROM o WHERE k % 5 < 2 UNION ALL SELECT 'items', 'array' FROM o WHERE k % 11 <> 0 UNION ALL SELECT 'items[]', 'object' FROM i
+          UNION ALL SELECT 'items[].item_id', 'number' FROM i UNION ALL SELECT 'items[].price', CASE WHEN k % 7 = 0 THEN 'string' ELSE 'number' END FROM i
+          UNION ALL SELECT 'items[].discount', 'object' FROM i WHERE (k + i) % 3 = 0 UNION ALL SELECT 'items[].discount.pct', 'number' FROM i WHERE (k + i) % 3 = 0) GROUP BY ALL""")
+def f19_field_inventory(t):
+    return nested.field_inventory(_order_texts(t), "body")
+
+
 @query("""SELECT o_orderkey, n_name, o_orderdate::DATE BETWEEN DATE '1996-01-01' + CAST(c_custkey % 365 AS INTEGER) AND DATE '1996-01-01' + CAST(c_custkey % 365 + 730 AS INTEGER) AS eligible FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 def b87_enrichment(t):
     start = F.date_add(F.lit("1996-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))

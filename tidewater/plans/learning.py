@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.columns import line_revenue, pct
 from tidewater.operators import ml
 from tidewater.plans.registry import query
+from tidewater.sources.durable import durable
 
 SALES = "lineitem JOIN part ON l_partkey = p_partkey"
 
@@ -42,6 +43,21 @@ def m03_frequent_items(t):
     return rules.select(F.array_join(F.array_sort("antecedent"), "+").alias("antecedent"), F.element_at("consequent", 1).alias("consequent"), F.round("confidence", 6).alias("confidence"), F.round("support", 6).alias("support"))
 
 
+@query(f"""WITH b AS (SELECT DISTINCT o_custkey AS o, l_partkey AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey), n AS (SELECT count(DISTINCT o) AS n FROM b), s AS (SELECT i, count(*) AS c FROM b GROUP BY 1 HAVING count(*) >= 4),
+          p AS (SELECT x.i AS a, y.i AS c, count(*) AS k FROM b x JOIN b y ON x.o = y.o AND x.i <> y.i GROUP BY 1, 2 HAVING count(*) >= 4),
+          t AS (SELECT p.a, p.c AS b, z.i AS c, count(*) AS k FROM p JOIN b x ON x.i = p.a JOIN b y ON y.i = p.c AND y.o = x.o JOIN b z ON z.o = x.o AND z.i <> p.a AND z.i <> p.c WHERE p.a < p.c GROUP BY 1, 2, 3 HAVING count(*) >= 4),
+          r AS (SELECT [p.a] AS antecedent, p.c AS consequent, p.k, s.c AS held FROM p JOIN s ON s.i = p.a UNION ALL SELECT [t.a, t.b], t.c, t.k, p.k FROM t JOIN p ON p.a = t.a AND p.c = t.b)
+          SELECT array_to_string(antecedent, '+') AS antecedent, consequent, k AS support, round(k * 1.0::DOUBLE / held, 6) AS confidence, round(k * 1.0::DOUBLE * n.n / (held * s.c), 4) AS lift FROM r JOIN s ON s.i = r.consequent, n WHERE k * 10 >= held""")
+def m03_product_rules(t):
+    # all products a customer ever bought; rules of one or two products before the arrow, seen with four customers at least
+    bought = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey").distinct()
+    baskets = durable(bought.groupBy("o_custkey").agg(F.collect_list("l_partkey").alias("items")), "baskets")
+    n = baskets.count()
+    rules = ml.association_rules(baskets, "items", 3.5 / max(n, 1), 0.1 - 1e-9).filter(F.size("antecedent") <= 2)
+    return rules.select(F.array_join(F.array_sort("antecedent"), "+").alias("antecedent"), F.element_at("consequent", 1).alias("consequent"),
+                        F.round(F.col("support") * n).cast("long").alias("support"), F.round("confidence", 6).alias("confidence"), F.round("lift", 4).alias("lift"))
+
+
 def _ratings(t):
     bought = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     counts = bought.groupBy("o_custkey", "p_brand").agg(F.count("*").alias("n"), F.sum("l_extendedprice").alias("spent"))
@@ -75,6 +91,14 @@ def m07_item_similarity(t):
     return ml.cosine_items(ratings, "o_custkey", "p_brand", "r").withColumn("similarity", F.round("similarity", 6))
 
 
+@query("""WITH r AS (SELECT o_custkey AS u, l_partkey AS i, ln(1 + count(*)) AS r FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2), n AS (SELECT i, sqrt(sum(r * r)) AS n FROM r GROUP BY 1), d AS (SELECT x.i AS a, y.i AS b, sum(x.r * y.r) AS d FROM r x JOIN r y ON x.u = y.u AND x.i < y.i GROUP BY 1, 2)
+          SELECT a AS item_a, b AS item_b, round(d / (na.n * nb.n), 6) AS similarity FROM d JOIN n na ON na.i = a JOIN n nb ON nb.i = b WHERE d / (na.n * nb.n) >= 0.12 - 1e-9""")
+def m07_product_similarity(t):
+    bought = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    ratings = bought.groupBy("o_custkey", "l_partkey").agg(F.log1p(F.count("*")).alias("r"))
+    return ml.cosine_items(ratings, "o_custkey", "l_partkey", "r", least=0.12).withColumn("similarity", F.round("similarity", 6))
+
+
 @query(f"""WITH d AS (SELECT p_type, l_shipdate::DATE AS day, sum(l_quantity) AS qty FROM {SALES} GROUP BY 1, 2) SELECT p_type, CAST(day AS VARCHAR) AS day, lag(qty) OVER w AS lag_1, lag(qty, 7) OVER w AS lag_7, round(avg(qty) OVER (PARTITION BY p_type ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS mean_7,
           dayofweek(day) + 1 AS dow, isodow(day) >= 6 AS is_weekend, quarter(day) AS quarter FROM d WINDOW w AS (PARTITION BY p_type ORDER BY day)""")
 def m08_feature_table(t):
