@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -16,7 +17,7 @@ from check import table
 from tests.conftest import SF
 from tidewater.llm import decontaminate, licenses, line_dedup, mixing, near_dup, personal_data, quality, range_coder, token_file, url_filter, vector_file
 from tidewater.llm.queries import ORACLES, QUERIES, URL_RULES
-from tidewater.sources.durable import scratch
+from tidewater.sources.durable import durable, scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, TEXT string, node long, kept string"
 
@@ -190,6 +191,39 @@ def test_top_k_against_brute_force(spark):
     assert vector_file.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_equal_vectors_and_other_ids(spark):
+    same = spark.createDataFrame([(f"v{i:03}", [0.5, -0.25]) for i in range(120)], "vec_id string, embedding array<float>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in vector_file.top_k(same, F.col("vec_id").isin("v000", "v077"), k=3).collect())
+    assert got == [("v000", r + 1, f"v{r + 1:03}", 128 * 128 + 64 * 64) for r in range(3)] + [("v077", r + 1, f"v{r:03}", 128 * 128 + 64 * 64) for r in range(3)]
+    assert vector_file.top_k(same.limit(1), F.lit(True)).count() == 0
+    assert vector_file.top_k(same.limit(3), F.lit(True), k=5).count() == 6
+
+
+def test_top_k_beyond_exact_doubles(spark):
+    big = 2.0**22 + 1 / 256                   # 2 ** 30 + 1 after scaling: products differ by less than doubles tell apart
+    df = spark.createDataFrame([(i, [big, n / 256]) for i, n in enumerate([1, 1, 2, 3])] + [(4, [-big, 0.0])], "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in vector_file.top_k(df, F.col("vec_id") == 0, k=3).orderBy("rank").collect()]
+    assert got == [(3, (2**30 + 1) ** 2 + 3), (2, (2**30 + 1) ** 2 + 2), (1, (2**30 + 1) ** 2 + 1)]
+    # beyond 64 bits there is no score
+    with pytest.raises(ArithmeticException):
+        vector_file.top_k(spark.createDataFrame([(i, [2.0**30]) for i in range(3)], df.schema), F.lit(True), k=1).collect()
+
+
+def test_top_k_reads_few_exact_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(4000, 24)))], "vec_id long, embedding array<double>")
+    read = []
+
+    def counted(rows, label):
+        out = durable(rows, label)
+        read.extend([out.count()] * (label == "taken"))
+        return out
+
+    monkeypatch.setattr(vector_file, "durable", counted)
+    assert vector_file.top_k(df, F.col("vec_id") % 400 == 0).count() == 50
+    assert 50 <= sum(read) < 4000 * 10 / 20
+
+
 # 5
 def test_mix_meets_targets(spark, sample, awkward, empty):
     rows = mixing.mix(sample).collect()
