@@ -3,9 +3,9 @@
 Texts become lower-cased words (runs of ASCII letters and digits). A template's fingerprints are the hashes of
 its ``GRAM``-word windows, thinned by winnowing: the least hash of every ``WINDOW`` neighbours. The inverted index
 (fingerprint -> template, place) is built from the templates alone, a short parameter, so it goes to every
-executor. Winnowing both sides alike guarantees that a shared passage of ``GRAM + WINDOW - 1`` words shares a
-fingerprint. Hits on neighbouring diagonals make a candidate, which is aligned word by word inside a band of
-``BAND`` diagonals to both sides: a match counts 2, a difference or gap -1, the best local path is reported.
+executor. Every window of a document is looked up, so any shared passage of ``GRAM + WINDOW - 1`` words is hit.
+Hits on neighbouring diagonals make a candidate, which is aligned word by word inside a band of ``BAND`` diagonals
+to both sides: a match counts 2, a difference or gap -1; the best local path that ends on each diagonal is looked at.
 
 A template shorter than a gram plus window is looked up by all its grams, never thinned.
 
@@ -97,25 +97,27 @@ class Index:
                 held[int(g[p])].append((t, int(p)))
         self.keys = np.array(sorted(held), np.uint64)
         self.places = [held[int(key)] for key in self.keys]
-        self.short = any(len(own) < GRAM + 2 * WINDOW for own in self.words)
 
     def candidates(self, h: np.ndarray) -> list[tuple[int, int]]:
-        """(template, shift) for the hits of a document, near shifts once."""
+        """(template, shift) for the hits of a document; a shift stands for those that its band covers well."""
         g = grams(h)
-        if not len(g):
+        if not len(g) or not len(self.keys):
             return []
-        where = np.arange(len(g)) if self.short else winnow(g)
-        at = np.minimum(np.searchsorted(self.keys, g[where]), len(self.keys) - 1)
-        found = np.flatnonzero(self.keys[at] == g[where])
-        shifts = sorted({(t, int(where[f]) - p) for f in found for t, p in self.places[at[f]]})
-        return [x for i, x in enumerate(shifts) if not i or shifts[i - 1][0] != x[0] or x[1] - shifts[i - 1][1] > BAND // 2]
-
-
-def align(template: np.ndarray, doc: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """(matches, start, stop) of the best local alignment within the band around ``shift``; start and stop in the document."""
+        at = np.minimum(np.searchsorted(self.keys, g), len(self.keys) - 1)
+        found = np.flatnonzero(self.keys[at] == g)
+        kept: list[tuple[int, int]] = []
+        for t, shift in sorted({(t, int(f) - p) for f in found for t, p in self.places[at[f]]}):
+            if not kept or kept[-1][0] != t or shift - kept[-1][1] > BAND // 2:
+                kept.append((t, shift))
+        return kept
+
+
+def align(template: np.ndarray, doc: np.ndarray, shift: int) -> set[tuple[int, int, int]]:
+    """(matches, start, stop) of the best local alignments within the band around ``shift``, one for each diagonal that they end on;
+    start and stop in the document."""
     n, width = len(template), 2 * BAND + 1
     score, match, start = [0] * (width + 1), [0] * (width + 1), [0] * (width + 1)
-    best, out = 0, (0, 0, 0)
+    best, out = [0] * width, [(0, 0, 0)] * width
     for i in range(n):
         old_score, old_match, old_start = score[:], match[:], start[:]
         left, left_match, left_start = 0, 0, 0
@@ -136,9 +138,9 @@ def align(template: np.ndarray, doc: np.ndarray, shift: int) -> tuple[int, int,
             s = max(s, 0)
             score[b], match[b], start[b] = s, m if s else 0, f
             left, left_match, left_start = s, match[b], f
-            if s > best:
-                best, out = s, (match[b], f, j + 1)
-    return out
+            if s > best[b]:
+                best[b], out[b] = s, (match[b], f, j + 1)
+    return set(out)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, doc_id: str = "doc_id", text: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
@@ -155,9 +157,9 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, doc_id: str = "
                 h = numbers(words_of(body))
                 found = set()
                 for t, shift in own.candidates(h):
-                    matched, start, stop = align(own.words[t], h, shift)
-                    if matched >= min_coverage * len(own.words[t]):
-                        found.add((-matched, -matched / len(own.words[t]), start, stop, t))
+                    for matched, start, stop in align(own.words[t], h, shift):
+                        if matched and matched >= min_coverage * len(own.words[t]):
+                            found.add((-matched, -matched / len(own.words[t]), start, stop, t))
                 taken: list[tuple[int, int]] = []
                 for lost, share, start, stop, t in sorted(found):
                     if all(stop <= a or start >= b for a, b in taken):
