@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -172,6 +173,15 @@ def test_license_spans(spark, awkward, empty):
     docs = docs_of(spark, [(1, "a b c. Released under the MIT License. d e", "s"), (2, "Licensed under the Apache Licence, Version 2.0", "s"), (3, "under the license of nobody", "s")])
     assert {(r.doc_id, r.license, r.matched, r.start, r.stop) for r in licenses.scan(docs).collect()} == {(1, "MIT", 5, 3, 8), (2, "Apache-2.0", 7, 0, 8)}
     assert licenses.scan(awkward).count() == 0 and licenses.scan(empty).count() == 0
+    assert licenses.scan(docs, templates={}).count() == 0
+
+
+def test_every_place_of_a_license(spark):
+    line = "released under the MIT License"
+    docs = docs_of(spark, [(1, f"{line} {line} {line}", "s"), (2, "released under the " * 30 + line, "s"), (3, f"released under the MYT License {line}", "s")])
+    got = sorted((r.doc_id, r.start, r.stop) for r in licenses.scan(docs).filter("license = 'MIT'").collect())
+    assert [x for x in got if x[0] == 1] == [(1, 0, 5), (1, 5, 10), (1, 10, 15)]
+    assert (2, 90, 95) in got and (3, 5, 10) in got
 
 
 # 4
@@ -394,3 +404,22 @@ def test_stages_carry_clashing_columns(spark, sample):
         assert out.columns == extra.columns, name
         got = [tuple(r) for r in out.collect()]
         assert got and all(r[1] == want[r[0]] and r[5:] == tuple(range(9)) for r in got), name
+
+
+def test_contexts_see_whole_words():
+    P = personal_data
+    assert P.found_in("7" * 41)[2] == []
+    around = lambda text: [c[4] for c in P.found_in(text)[2]]
+    long = "w" * 90
+    assert around(f"please {long} 555-010-7777 now") != around(f"kindly {long} 555-010-7777 now")
+    assert around(f"a {long} 555-010-7777 now") == around(f"A\n{long}  555-010-7777\tNOW then")
+    assert around(f"a b 555-010-7777 {long}1") != around(f"a b 555-010-7777 {long}2")
+    assert [c[:2] for c in P.found_in("n" * 200 + "(at)" + "d" * 200)[2]] == [(0, 404)]
+    # glued spans share a word; each sees the part between its neighbours
+    assert around("x tel:5550107777,fax:5550108888,") == [around("x tel:5550107777,fax: y")[0], around("x ,fax:5550108888,")[0]]
+
+
+def test_one_endless_word_with_many_identifiers():
+    began = time.perf_counter()
+    base, seeds, cands = personal_data.found_in("q" * 500_000 + " " + "k:555-010-7777;" * 30_000)
+    assert len(cands) == 30_000 and time.perf_counter() - began < 30

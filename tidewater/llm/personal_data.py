@@ -4,7 +4,8 @@ Base spans (``base_spans``) are leftmost and non-overlapping for each kind: emai
 stay. Bootstrapping then learns from where they stand:
 
 1. One pass over the whole texts lists base spans and other identifier-like strings (*candidates*), each with its
-   contexts: the two words before, and the word before with the word after.
+   contexts: the two words before, and the word before with the word after. Words are whole, however long; of a word
+   that holds spans, the part up to the next span counts.
 2. Contexts and instances form a bipartite graph. A seed has score 1 for its kind. Rounds of joins and sums score
    a context by the mean score of its different instances, and a candidate by the chance that one of its contexts
    is right: 1 - product(1 - context score).
@@ -25,6 +26,7 @@ first kind. Empty tables give empty results. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,9 +49,9 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_NUMBER = re.compile(r"\(?[0-9](?:[ ().:/-]{0,2}[0-9]){5,30}")
-_ADDRESS = re.compile(r"[^\s@]{1,64}(?:@|[(\[]at[)\]])[^\s@]{1,64}")
-_WORDS_BACK = re.compile(r"\S+")
+_NUMBER = re.compile(r"\(?[0-9](?:[ ().:/-]{0,2}[0-9]){5,}+")
+_ADDRESS = re.compile(r"(?<![^\s@])[^\s@]+(?:@|[(\[]at[)\]])[^\s@]+")
+_WORD = re.compile(r"\S+")
 
 
 def luhn(digits: str) -> bool:
@@ -101,16 +103,48 @@ def suits(body: str) -> list[int]:
     return kinds
 
 
-def contexts(text: str, start: int, end: int) -> list[int]:
-    """Hashes of the contexts of a span."""
-    before = _WORDS_BACK.findall(text[max(0, start - 80):start].lower())[-2:]
-    after = _WORDS_BACK.findall(text[end:end + 40].lower())[:1]
-    out = []
-    if len(before) == 2:
-        out.append("2 " + " ".join(before))
-    if before and after:
-        out.append("1 " + before[-1] + " _ " + after[0])
-    return [_signed(xxhash.xxh3_64_intdigest(c)) for c in out]
+class Around:
+    """Words of a text around its spans. Every word is hashed once, so the work is linear in the text, however long words are."""
+
+    def __init__(self, text: str, spans: list[tuple[int, int]]):
+        self.text, self.hashes = text, {}
+        places = [m.span() for m in _WORD.finditer(text)] if spans else []
+        self.starts, self.ends = [a for a, _ in places], [b for _, b in places]
+        self.span_starts, self.span_ends = sorted(a for a, _ in spans), sorted(b for _, b in spans)
+
+    def word(self, i: int) -> bytes:
+        if i not in self.hashes:
+            self.hashes[i] = self.piece(self.starts[i], self.ends[i])
+        return self.hashes[i]
+
+    def piece(self, a: int, b: int) -> bytes:
+        return xxhash.xxh3_64_digest(self.text[a:b].lower())
+
+    def contexts(self, start: int, end: int) -> list[int]:
+        """Hashes of the contexts of a span. Of a word that holds the span only the parts between spans count."""
+        i, before = bisect_left(self.starts, start), []
+        if i and self.ends[i - 1] > start:
+            i -= 1
+            at = bisect_right(self.span_ends, start)
+            since = max(self.starts[i], self.span_ends[at - 1] if at else 0)
+            if since < start:
+                before.append(self.piece(since, start))
+        while i and len(before) < 2:
+            i -= 1
+            before.append(self.word(i))
+        i, after = bisect_right(self.ends, end), None
+        if i < len(self.ends) and self.starts[i] < end:
+            at = bisect_left(self.span_starts, end)
+            until = min(self.ends[i], self.span_starts[at] if at < len(self.span_starts) else len(self.text))
+            after, i = self.piece(end, until) if until > end else None, i + 1
+        if after is None and i < len(self.ends):
+            after = self.word(i)
+        out = []
+        if len(before) == 2:
+            out.append(b"2" + before[1] + before[0])
+        if before and after:
+            out.append(b"1" + before[0] + after)
+        return [_signed(xxhash.xxh3_64_intdigest(c)) for c in out]
 
 
 def _signed(h: int) -> int:
@@ -120,18 +154,19 @@ def _signed(h: int) -> int:
 def found_in(text: str) -> tuple[list, list, list]:
     """(base, seeds, candidates) of a text, as rows of the table of ``read``."""
     base = base_spans(text)
-    seeds = [(kind, _signed(xxhash.xxh3_64_intdigest(text[a:b])), contexts(text, a, b)) for kind, a, b in base]
     busy = sorted((a, b) for _, a, b in base)
-    candidates, at = [], 0
+    others, at = [], 0
     spots = sorted((m.start(), m.end()) for p in (_NUMBER, *([_ADDRESS] if "@" in text or "at)" in text or "at]" in text else [])) for m in p.finditer(text))
     for a, b in spots:
         while at < len(busy) and busy[at][1] <= a:
             at += 1
-        if at < len(busy) and busy[at][0] < b or candidates and candidates[-1][1] > a:
+        if at < len(busy) and busy[at][0] < b or others and others[-1][1] > a:
             continue
-        kinds = suits(text[a:b])
-        if kinds:
-            candidates.append((a, b, kinds, _signed(xxhash.xxh3_64_intdigest(text[a:b])), contexts(text, a, b)))
+        if suits(text[a:b]):
+            others.append((a, b))
+    around = Around(text, busy + others)
+    seeds = [(kind, _signed(xxhash.xxh3_64_intdigest(text[a:b])), around.contexts(a, b)) for kind, a, b in base]
+    candidates = [(a, b, suits(text[a:b]), _signed(xxhash.xxh3_64_intdigest(text[a:b])), around.contexts(a, b)) for a, b in others]
     return base, seeds, candidates
 
 
