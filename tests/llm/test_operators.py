@@ -168,6 +168,40 @@ def test_exact_runs_with_changes_between(spark, same, changed):
     assert [(r.doc_id, r.start, r.stop, r.matched, r.share) for r in got] == [(7, 1, 1 + same, same, 1.0)]
 
 
+def test_leaks_of_repeating_texts_are_exactly_those_of_all_runs(spark):
+    """Every (document, item) with an allowed run is found, no other, and the reported run is one of the allowed."""
+    rng = random.Random(11)
+    draw = lambda n, kinds: [f"w{rng.randrange(kinds)}" for _ in range(n)]
+    items = {i: draw(rng.randrange(1, 30), rng.choice((1, 2, 40))) for i in range(12)}
+    docs = {i: draw(rng.randrange(0, 60), rng.choice((1, 2, 3, 40))) for i in range(40)}
+    for d in range(40, 70):                                  # copies with changed words
+        docs[d] = draw(5, 40) + [w if rng.random() > 0.2 else "zz" for w in items[rng.randrange(12)]] + draw(5, 40)
+
+    def allowed(d, i):
+        least, runs = min(8, len(i)), set()
+        for shift in range(-len(i) + 1, len(d)):
+            at = [p + shift for p in range(len(i)) if 0 <= p + shift < len(d) and i[p] == d[p + shift]]
+            for x, y in itertools.combinations_with_replacement(range(len(at)), 2):
+                if y - x + 1 >= least and 10 * (y - x + 1) >= 7 * (at[y] + 1 - at[x]):
+                    runs.add((at[x], at[y] + 1, y - x + 1))
+        return runs
+
+    want = {(d, i): runs for d in docs for i in items if (runs := allowed(docs[d], items[i]))}
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.start, r.stop, r.matched) for r in decontaminate.leaks(docs_of(spark, [(d, " ".join(w), "s") for d, w in docs.items()]), bench).collect()}
+    assert len(want) > 50 and set(got) == set(want)
+    assert all(got[k] in want[k] for k in want)
+
+
+def test_a_text_of_200_000_equal_words(spark):
+    bench = spark.createDataFrame([(1, "so " * 60), (2, "so it " * 20), (3, "never met " * 9)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "s"), (2, "t")], "doc_id long, source string").withColumn("text", F.when(F.col("doc_id") == 1, F.repeat(F.lit("so "), 200_000)).otherwise(F.repeat(F.lit("so it "), 20_000)))
+    begun = time.monotonic()
+    got = {(r.doc_id, r.item_id, r.start, r.stop, r.matched) for r in decontaminate.leaks(docs, bench).collect()}
+    assert time.monotonic() - begun < 120
+    assert got == {(1, 1, 0, 60, 60), (2, 2, 0, 40, 40)}
+
+
 # 3
 def test_license_spans(spark, awkward, empty):
     docs = docs_of(spark, [(1, "a b c. Released under the MIT License. d e", "s"), (2, "Licensed under the Apache Licence, Version 2.0", "s"), (3, "under the license of nobody", "s")])

@@ -7,7 +7,7 @@ changes are; looser limits are served by one mask of so many neighbours as any r
 fewer than ``min_words`` words are looked up by the hash of all their words. Hashes of all positions of the training documents meet those of all positions
 of the benchmark items. A hit fixes an alignment (item, document, shift); along it every word is
 compared. A run is a leak when at least ``min_words`` of its words match (or the whole item, if it is
-shorter) and matches make up ``min_share`` of it. Of the runs with so many matches the best one is kept, where a
+shorter) and matches make up ``min_share`` of it. Alignments of one document and item that see the same words are compared once. Of the runs with so many matches the best one is kept, where a
 match counts ``1 - min_share`` and a difference ``-min_share``: its score is negative only if no run is a leak.
 
 The index of the items is sent to every executor in blocks of at most ``BLOCK_KEYS`` keys, one pass over
@@ -60,7 +60,10 @@ def _positions(df: DataFrame, masks: tuple[tuple[int, ...], ...], *keep: str) ->
         label = F.lit(zlib.crc32(repr(mask).encode()))
         return F.transform("h", lambda x, i: F.xxhash64(label, x, *[F.get("h", i + at) for at in mask[1:]]))
 
-    spots = df.select(*keep, F.size("h").alias("n"), F.posexplode(F.concat(*map(keys, masks))).alias("at", "key"))
+    # The keys are a column before they are exploded: a generator with lambdas copies the text's hashes into every row.
+    # The outer form keeps the optimizer from testing the keys for emptiness below, where it would split the text anew for each word.
+    ready = df.select(*keep, F.size("h").alias("n"), F.concat(*map(keys, masks)).alias("keys"))
+    spots = ready.select(*keep, "n", F.posexplode_outer("keys").alias("at", "key")).filter("key is not null")
     return spots.select(*keep, F.expr("at % n").alias("pos"), F.expr("at div n").alias("mask"), "n", "key")
 
 
@@ -98,10 +101,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
                     .filter(F.size("h") > 0).withColumn("item", F.xxhash64("item_id", "h")).dropDuplicates(["item"]), "items")
     masks = masks_for(min_words, min_share)
     reach = F.get(F.array(*[F.lit(m[-1]) for m in masks]), F.col("mask").cast("int"))
-    long = _positions(items.filter(F.size("h") >= min_words), masks, "item").filter(F.col("pos") + reach < F.col("n")).select("item", "key", F.col("pos").alias("item_pos"))
+    long = _positions(items.filter(F.size("h") >= min_words), masks, "item").filter(F.col("pos") + reach < F.col("n")).select("item", "key", F.col("pos").alias("item_pos"), F.col("n").alias("words"))
     # Shorter items are found whole: one mask for each of their lengths, at their first word.
     lengths = [r[0] for r in items.select(F.size("h").alias("n")).filter(F.col("n") < min_words).distinct().sort("n").collect()]
-    whole = [_positions(items.filter(F.size("h") == n), (tuple(range(n)),), "item").filter("pos = 0").select("item", "key", F.col("pos").alias("item_pos")) for n in lengths]
+    whole = [_positions(items.filter(F.size("h") == n), (tuple(range(n)),), "item").filter("pos = 0").select("item", "key", F.col("pos").alias("item_pos"), F.col("n").alias("words")) for n in lengths]
     index = durable(reduce(DataFrame.union, whole, long).distinct(), "index")
     masks += tuple(tuple(range(n)) for n in lengths if tuple(range(n)) not in masks)
     blocks = parts_for(index.count(), block_keys)
@@ -110,7 +113,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     for b in range(blocks):
         block = index if blocks == 1 else index.filter(F.pmod("key", F.lit(blocks)) == b)
         spots = _positions(base.select("doc_id", "th", word_hashes(F.col("text")).alias("h")), masks, "doc_id", "th")
-        hits.append(spots.join(F.broadcast(block), "key").select("doc_id", "th", "item", (F.col("pos") - F.col("item_pos")).alias("shift")))
+        hits.append(spots.join(F.broadcast(block), "key").select("doc_id", "th", "item", "words", (F.col("pos") - F.col("item_pos")).alias("shift")))
     hits = durable(reduce(DataFrame.union, hits).distinct(), "hits")
 
     hit_docs = durable(hits.select("doc_id", "th").distinct(), "hit-docs")
@@ -118,9 +121,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     hit_docs = hit_docs.toDF("hit_id", "hit_th")
     own = base.join(F.broadcast(hit_docs) if small else hit_docs, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("th") == F.col("hit_th")), "left_semi")
     own = own.dropDuplicates(["doc_id", "th"]).select(F.col("doc_id").alias("own_id"), F.col("th").alias("own_th"), word_hashes(F.col("text")).alias("dh"))
-    both = hits.join(own, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("th") == F.col("own_th"))).join(items, "item")
-    low, high = F.greatest(-F.col("shift"), F.lit(0)), F.least(F.size("h"), F.size("dh") - F.col("shift")) - 1
-    same = F.filter(F.sequence(low, high), lambda i: F.get("h", i) == F.get("dh", i + F.col("shift")))
+    lined = hits.join(own, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("th") == F.col("own_th")))
+    start, stop = F.greatest("shift", F.lit(0)), F.least(F.col("words") + F.col("shift"), F.size("dh"))
+    low = F.greatest(-F.col("shift"), F.lit(0)).alias("low")
+    # Equal words under an item give equal runs, of which the first is reported; a repeating text has few that differ.
+    windows = lined.select("doc_id", "th", "item", "shift", low, F.slice("dh", start + 1, stop - start).alias("win"))
+    both = windows.groupBy("doc_id", "th", "item", "low", "win").agg(F.min("shift").alias("shift")).join(items, "item")
+    same = F.filter(F.sequence("low", F.col("low") + F.size("win") - 1), lambda i: F.get("h", i) == F.get("win", i - F.col("low")))
     least = F.least(F.lit(min_words), F.size("h"))
     places = both.select("doc_id", "th", "item_id", "shift", least.alias("least"), same.alias("at")).filter(F.size("at") >= F.col("least"))
     run = places.select("doc_id", "th", "item_id", "shift", _best_run(F.col("at"), F.col("least"), min_share).alias("run"))
