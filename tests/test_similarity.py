@@ -56,3 +56,20 @@ def test_cosine_items_of_nothing(spark):
     assert ml.cosine_items(empty, "u", "i", "r", 0.5).count() == 0
     with pytest.raises(ValueError):
         ml.cosine_items(empty, "u", "i", "r", 0.0)
+
+
+def test_pairs_that_meet_by_chance_are_not_computed_again(spark, monkeypatch):
+    # most items share a user with each other, too few for the bar, yet rests that are short enough to leave users out are rare
+    rnd = random.Random(3)
+    data = [(u, i, 1.0) for u in range(100) for i in rnd.sample(range(200), 20)] + [(u, i, 1.0) for u in range(100, 106) for i in (300, 301)]
+    kept, write = {}, ml.durable
+
+    def noted(df, label="step"):
+        out = write(df, label)
+        kept[label] = out.count()
+        return out
+
+    monkeypatch.setattr(ml, "durable", noted)
+    got = {(r.item_a, r.item_b) for r in ml.cosine_items(spark.createDataFrame(data, "u int, i int, r double"), "u", "i", "r", 0.25).collect()}
+    assert got == {p for p, s in brute(data).items() if s >= 0.25 - 1e-9} and (300, 301) in got
+    assert kept["pairs"] <= 2 * len(got)

@@ -65,7 +65,8 @@ def cosine_items(ratings: DataFrame, user: str, item: str, rating: str, least: f
     With ``least`` only pairs of at least that similarity (less 1e-9 for rounding) are returned, and most others are never
     formed: an item's ratings are read from users with few items to users with many, until the norm of the rest is below
     ``least``. Two items that meet only in their rests cannot be similar enough, so pairs are made of the first ratings
-    alone and then computed on all ratings. Null users, items and ratings are ignored; repeated ratings add up. Items
+    alone. What they add up to there, and at most one rest's norm, bounds their similarity; the pairs whose bound reaches
+    ``least`` are then computed on all ratings. Null users, items and ratings are ignored; repeated ratings add up. Items
     whose norm is 0 are similar to nothing (null; left out with ``least``).
     """
     r = ratings.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(rating).cast("double").alias("_r")).dropna()
@@ -83,8 +84,12 @@ def cosine_items(ratings: DataFrame, user: str, item: str, rating: str, least: f
     sized = durable(attach(unit, sizes.withColumn("_size", F.col("_rows")), ["_u"], spread=["_i"]).select("_u", "_i", "_w", "_size"), "units")
     # Read from the end: the norm of the rest is a running sum over users with most items first.
     rests = scan(sized, ["_i"], ["-_size", "_u"], _rest=("sum", F.col("_w") * F.col("_w")))
-    first = rests.filter(F.col("_rest") >= bar * bar - 1e-9).select("_u", "_i", "_w")
-    close = durable(_met(first, "_w", block).select("item_a", "item_b").distinct(), "pairs")
+    first = durable(rests.filter(F.col("_rest") >= bar * bar - 1e-9).select("_u", "_i", "_w", (F.col("_rest") - F.col("_w") * F.col("_w")).alias("_after")), "first")
+    left_over = first.groupBy("_i").agg(F.sqrt(F.greatest(F.min("_after"), F.lit(0.0))).alias("_left"), F.count(F.lit(1)).alias("_rows"))
+    first = attach(first, left_over, ["_i"], spread=["_u"]).select("_u", "_i", F.struct("_w", "_left").alias("_v"))
+    # Past the nearer end of the two first parts only the rest of one item is met, so its norm bounds what is missing.
+    most = F.sum(F.col("_x._w") * F.col("_y._w")) + F.max(F.greatest("_x._left", "_y._left"))
+    close = durable(_met(first, "_v", block).groupBy("item_a", "item_b").agg(most.alias("_most")).filter(F.col("_most") >= bar - 1e-6).select("item_a", "item_b"), "pairs")
     left, right = (sized.select("_u", F.col("_i").alias(f"item_{x}"), F.col("_w").alias(f"_w{x}")) for x in "ab")
     dots = close.join(left, "item_a").join(right, ["_u", "item_b"]).groupBy("item_a", "item_b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("similarity"))
     return dots.filter(F.col("similarity") >= bar)
