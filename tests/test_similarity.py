@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 
@@ -73,3 +74,26 @@ def test_pairs_that_meet_by_chance_are_not_computed_again(spark, monkeypatch):
     got = {(r.item_a, r.item_b) for r in ml.cosine_items(spark.createDataFrame(data, "u int, i int, r double"), "u", "i", "r", 0.25).collect()}
     assert got == {p for p, s in brute(data).items() if s >= 0.25 - 1e-9} and (300, 301) in got
     assert kept["pairs"] <= 2 * len(got)
+
+
+def test_product_rules_equal_fp_growth_and_grow_no_trees(spark, monkeypatch):
+    rnd = random.Random(5)
+    lists = [rnd.sample(range(30), rnd.randint(1, 9)) for _ in range(150)] + [list(range(30)), [7], [], [None, 1, 2], None]
+    baskets = spark.createDataFrame([(x,) for x in lists], "items array<int>")
+    counted = [[x for x in b if x is not None] for b in lists if b is not None]
+    want, n = {}, len(counted)
+    for size in (1, 2):
+        for left in itertools.combinations(range(30), size):
+            with_left = [b for b in counted if set(left) <= set(b)]
+            for c in set(range(30)) - set(left):
+                k = sum(c in b for b in with_left)
+                if k >= 4 and k / len(with_left) >= 0.3:
+                    want[left, c] = (k / len(with_left), k / len(with_left) / (sum(c in b for b in counted) / n), k / n)
+    monkeypatch.setattr(ml, "FPGrowth", None)
+    got = ml.association_rules(baskets, "items", 3.5 / n, 0.3, longest=2).collect()
+    got = {(tuple(sorted(r.antecedent)), r.consequent[0]): (r.confidence, r.lift, r.support) for r in got}
+    assert len(want) > 300 and {len(left) for left, _ in want} == {1, 2}
+    assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x]) for x in want)
+    assert ml.association_rules(baskets.limit(0), "items", 0.1, 0.3, longest=2).count() == 0
+    with pytest.raises(ValueError):
+        ml.association_rules(baskets, "items", 0.1, 0.3, longest=3)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.fpm import FPGrowth
@@ -10,15 +12,60 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.operators.commerce import pair_counts
 from tidewater.operators.ordered import scan
 from tidewater.operators.rel import attach
 from tidewater.sources.durable import durable
 
 
-def association_rules(baskets: DataFrame, items: str, min_support: float = 0.01, min_confidence: float = 0.5) -> DataFrame:
-    """Frequent-itemset rules (parallel FP-growth)."""
-    model = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    return model.associationRules
+def association_rules(baskets: DataFrame, items: str, min_support: float = 0.01, min_confidence: float = 0.5, longest: int | None = None) -> DataFrame:
+    """Frequent-itemset rules (antecedent, consequent, confidence, lift, support) by parallel FP-growth.
+
+    FP-growth sends every item's share of every basket to one tree, so with many items at a low support its trees hold
+    most of the baskets' pairs. With ``longest``, 1 or 2 items before the arrow, itemsets are counted level by level
+    instead: the same rules of that length, in joins and sums spread over all tasks.
+    """
+    if longest is None:
+        model = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+        return model.associationRules
+    if longest not in (1, 2):
+        raise ValueError("longest must be 1 or 2")
+    listed = baskets.filter(F.col(items).isNotNull()).select(F.monotonically_increasing_id().alias("_basket"), F.col(items).alias("_items"))
+    listed = durable(listed, "baskets")
+    n = listed.count()
+    least = max(math.ceil(min_support * n), 1)
+    rows = listed.select("_basket", F.explode("_items").alias("_item")).dropna().distinct()
+    singles = durable(rows.groupBy("_item").agg(F.count("*").alias("_held")).filter(F.col("_held") >= least), "singles")
+    pairs = durable(pair_counts(rows, "_basket", "_item", least), "pairs")
+    arrows = pairs.select("item_a", "item_b", "support").unionByName(pairs.select(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "support"))
+    held = singles.withColumnRenamed("_item", "item_a")
+    rules = arrows.join(held, "item_a").select(F.array("item_a").alias("antecedent"), F.col("item_b").alias("_then"), F.col("support").alias("_both"), "_held")
+    if longest == 2:
+        triples = durable(_triple_counts(rows, pairs, least), "triples")
+        a, b, c = "item_a", "item_b", "item_c"
+        turned = [triples.select(F.col(x).alias(a), F.col(y).alias(b), F.col(z).alias("_then"), F.col("support").alias("_both")) for x, y, z in ((a, b, c), (a, c, b), (b, c, a))]
+        known = pairs.select(a, b, F.col("support").alias("_held"))
+        longer = turned[0].unionByName(turned[1]).unionByName(turned[2]).join(known, [a, b])
+        rules = rules.unionByName(longer.select(F.array(a, b).alias("antecedent"), "_then", "_both", "_held"))
+    share = singles.select(F.col("_item").alias("_then"), F.col("_held").alias("_alone"))
+    confidence = F.col("_both") / F.col("_held")
+    return (rules.withColumn("confidence", confidence).filter(F.col("confidence") >= min_confidence).join(share, "_then")
+            .select("antecedent", F.array("_then").alias("consequent"), "confidence", (F.col("confidence") / (F.col("_alone") / n)).alias("lift"), (F.col("_both") / n).alias("support")))
+
+
+def _triple_counts(rows: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
+    """(item_a, item_b, item_c, support) of item triples in ``least`` baskets at least; ``pairs`` holds all pairs that are.
+
+    Only triples of three frequent pairs are looked up in the baskets, by a frequent pair of theirs.
+    """
+    ab = pairs.select("item_a", "item_b")
+    ac, bc = ab.withColumnRenamed("item_b", "item_c"), ab.select(F.col("item_a").alias("item_b"), F.col("item_b").alias("item_c"))
+    wanted = ab.join(ac, "item_a").filter(F.col("item_b") < F.col("item_c")).join(bc, ["item_b", "item_c"])
+    wanted = durable(wanted.select("item_a", "item_b", "item_c"), "wanted")
+    paired = wanted.select("item_a", "item_b").distinct()
+    a, b, c = (rows.withColumnRenamed("_item", f"item_{x}") for x in "abc")
+    met = paired.join(a, "item_a").join(b, ["_basket", "item_b"]).join(wanted, ["item_a", "item_b"]).join(c, ["_basket", "item_c"])
+    return met.groupBy("item_a", "item_b", "item_c").agg(F.count("*").alias("support")).filter(F.col("support") >= least)
 
 
 def recommend(ratings: DataFrame, user: str, item: str, rating: str, top: int = 10, iterations: int = 10, seed: int = 42) -> DataFrame:

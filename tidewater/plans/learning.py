@@ -53,7 +53,7 @@ def m03_product_rules(t):
     bought = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey").distinct()
     baskets = durable(bought.groupBy("o_custkey").agg(F.collect_list("l_partkey").alias("items")), "baskets")
     n = baskets.count()
-    rules = ml.association_rules(baskets, "items", 3.5 / max(n, 1), 0.1 - 1e-9).filter(F.size("antecedent") <= 2)
+    rules = ml.association_rules(baskets, "items", 3.5 / max(n, 1), 0.1 - 1e-9, longest=2)
     return rules.select(F.array_join(F.array_sort("antecedent"), "+").alias("antecedent"), F.element_at("consequent", 1).alias("consequent"),
                         F.round(F.col("support") * n).cast("long").alias("support"), F.round("confidence", 6).alias("confidence"), F.round("lift", 4).alias("lift"))
 
