@@ -289,6 +289,18 @@ def test_mix_meets_targets(spark, sample, awkward, empty):
     assert mixing.mix(awkward).count() == 10 and mixing.mix(empty).count() == 0
 
 
+def test_mix_places_documents_in_the_training_order(spark, sample):
+    docs = sample.unionByName(spark.createDataFrame([(10 ** 9, "one two three " * 9, None)], "doc_id long, text string, source string"), allowMissingColumns=True).dropDuplicates(["doc_id"])
+    sums, first = 0, {}
+    for r in mixing.training_order(docs).collect():
+        if r["pass"] == 0:
+            first[r.doc_id] = (r.position, sums)
+        sums += r.words
+    rows = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    assert {i: (r.position, r.start) for i, r in rows.items() if r.taken} == first and len(first) > 100
+    assert all(r.start is None for r in rows.values() if not r.taken)
+
+
 # 6
 def test_near_duplicates_against_brute_force(spark, awkward, empty):
     rng = random.Random(11)

@@ -7,7 +7,7 @@ weight until none is above, that is target = min(repeats * size, level * weight)
 Curriculum: each class of sources has a weight schedule over training time 0..1, straight between
 knots. Its integral, scaled to the target, is the cumulative demand D(t). Documents of a source stand in
 a fixed random order; the words before a document, c, put it at training time t with D(t) = c. A second
-pass over the source follows when the target exceeds its words. Sorting by t gives the training order.
+pass over the source follows when the target exceeds its words. Range-sorting all uses by t gives the training order.
 
 Running sums are taken inside slices of a source (by hash, ``SLICE_ROWS`` rows on average) and slice
 totals are summed per source, so a source with a third of all rows is spread over many tasks.
@@ -79,9 +79,9 @@ def training_time(share: Column, kind: Column, schedules=SCHEDULES) -> Column:
     return out
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS,
+def shares(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS,
         share: float = SHARE, repeats: int = REPEATS, schedules=SCHEDULES) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, position, order_key), one row per row of ``docs``.
+    """(doc_id, source, size, source_size, target, taken, position, order_key, kind, c), one row per row of ``docs``.
 
     ``taken`` counts the words the mix takes of a document over all passes; ``position`` is the training
     time of its first pass, null when nothing is taken.
@@ -106,17 +106,40 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
                                                                  "kind", c.alias("c"))
 
 
-def training_order(docs: DataFrame, schedules=SCHEDULES, **options) -> DataFrame:
-    """(position, doc_id, pass, words): every use of a document, range-sorted by training time."""
-    mixed = mix(docs, schedules=schedules, **options)
-    uses = mixed.filter("taken > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.expr("(taken - 1) div size"))))
+def uses(mixed: DataFrame, schedules=SCHEDULES) -> DataFrame:
+    """Every use of a document in ``mixed``, one row each, with its training time ``at``, ``pass`` and ``words``."""
+    each = mixed.filter("taken > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.expr("(taken - 1) div size"))))
     words = F.least(F.col("size"), F.col("taken") - F.col("pass") * F.col("size"))
     at = training_time((F.col("c") + F.col("pass") * F.col("source_size")) / F.col("target"), F.col("kind"), schedules)
-    return uses.select(at.alias("position"), "doc_id", "pass", words.alias("words")).orderBy("position", "doc_id", "pass")
+    return each.withColumn("words", words).withColumn("at", at)
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS,
+        share: float = SHARE, repeats: int = REPEATS, schedules=SCHEDULES) -> DataFrame:
+    """``shares`` with ``start``: the words that the whole training order has before the document's first use, else null.
+
+    All uses are range-sorted by training time; running sums are taken inside the ranges and carried over.
+    """
+    mixed = durable(shares(docs, doc_id, text, source, weights, share, repeats, schedules).withColumn("row", F.monotonically_increasing_id()), "mixed")
+    order = ["at", "doc_id", "pass", "size", "row"]
+    placed = ordered.slice_rows(uses(mixed, schedules).select(*order, "words"), [], order)
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy(ordered.SLICE).agg(F.sum("words").alias("whole"))
+    ranges = ranges.select(F.col(ordered.SLICE).alias("range"), F.coalesce(F.sum("whole").over(before.orderBy(ordered.SLICE)), F.lit(0)).alias("earlier"))     # one row per range
+    inside = F.coalesce(F.sum("words").over(before.partitionBy(ordered.SLICE).orderBy(*order)), F.lit(0))
+    begun = placed.withColumn("inside", inside).filter("pass = 0").join(F.broadcast(ranges), F.col(ordered.SLICE) == F.col("range"))
+    begun = begun.select(F.col("row").alias("used"), (F.col("earlier") + F.col("inside")).alias("start"))
+    return mixed.join(begun, F.col("row") == F.col("used"), "left").drop("row", "used")
+
+
+def training_order(docs: DataFrame, schedules=SCHEDULES, **options) -> DataFrame:
+    """(position, doc_id, pass, words): every use of a document, range-sorted by training time."""
+    every = uses(shares(docs, schedules=schedules, **options), schedules)
+    return every.select(F.col("at").alias("position"), "doc_id", "pass", "words").orderBy("position", "doc_id", "pass")
 
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` (all columns), each as often as the mix begins it: never, once or again."""
-    uses = mix(docs).groupBy(F.col("doc_id").alias("used")).agg(F.max(F.when(F.col("taken") > 0, F.expr("(taken - 1) div size + 1")).otherwise(0)).cast("int").alias("uses")).filter("uses > 0")
+    uses = shares(docs).groupBy(F.col("doc_id").alias("used")).agg(F.max(F.when(F.col("taken") > 0, F.expr("(taken - 1) div size + 1")).otherwise(0)).cast("int").alias("uses")).filter("uses > 0")
     both = carried(docs, doc_id="doc_id").join(uses, F.col("doc_id").eqNullSafe(F.col("used")))
     return restored(both.withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("uses")))), docs)

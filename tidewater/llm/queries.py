@@ -62,8 +62,8 @@ def op2_spaced_seeds(t: Tables) -> DataFrame:
 
 @query()
 def op5_curriculum_mix(t: Tables) -> DataFrame:
-    """Words the mix takes of every document, and when training meets it first."""
-    return mixing.mix(t.documents).select("doc_id", "size", "source_size", "target", "taken", "position")
+    """Words the mix takes of every document, and when and after how many words training meets it first."""
+    return mixing.mix(t.documents).select("doc_id", "size", "source_size", "target", "taken", "position", "start")
 
 
 def _is(kind: int):
