@@ -229,3 +229,12 @@ def test_empty_keyed_table(spark):
     assert table.read().columns == ["k", "v", "w"] and table.read().count() == 0
     table.merge(spark.createDataFrame([("a", 1, 1)], "k string, v int, w int"))
     assert rows(table.read()) == [("a", 1, 1)]
+
+
+def test_clustered_files_follow_rows_not_compressed_bytes(spark):
+    packed = durable(spark.range(200_000).selectExpr("id % 500 as v", "1L as w"), "packed")
+    path = scratch(spark, "c")
+    out = maintenance.cluster_files(packed, path, ["v"], file_bytes=1 << 20)
+    sizes = out.groupBy("_metadata.file_path").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("lo").collect()
+    assert out.count() == 200_000 and len(sizes) >= 3 and max(r.n for r in sizes) < 120_000
+    assert all(a.hi < b.lo for a, b in zip(sizes, sizes[1:], strict=False))

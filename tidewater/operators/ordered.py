@@ -19,6 +19,7 @@ from tidewater.sources.durable import discard, durable, plain_rows, settled
 
 SLICE = "_slice"
 SLICE_BYTES = 64 << 20
+ROW_BYTES = 32                # that a sort holds beside a row's values
 UNKNOWN_BYTES = 1 << 60       # Spark's estimate of a size it does not know lies above
 
 
@@ -44,17 +45,20 @@ def input_bytes(df: DataFrame) -> int | None:
     return sum(sizes) if max(sizes, default=0) < UNKNOWN_BYTES else None
 
 
-def parts_of(df: DataFrame, part_bytes: int) -> int:
-    """So many parts of ``part_bytes`` as the rows need; the session's shuffle partitions when their size is unknown."""
-    known = input_bytes(df)
-    if known is None:
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return int(min(estimated_bytes(df), known) // part_bytes)
+def parts_of(df: DataFrame, part_bytes: int, beside: int = 0) -> int:
+    """So many parts of ``part_bytes`` as the rows need; counts ``df``.
+
+    Compressed files say little about rows in memory, and a schema little about long texts, so the larger of the two
+    counts: stored bytes, or rows times the width of a row and the bytes ``beside`` it, ROW_BYTES where rows are sorted.
+    """
+    known, width = input_bytes(df), int(df._jdf.schema().defaultSize()) + beside
+    stored = min(estimated_bytes(df), known) if known is not None else 0
+    return int(max(stored, df.count() * width) // part_bytes)
 
 
 def slice_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Range-partition by keys and order and record the slice number of every row."""
-    parts = max(4, parts_of(df, SLICE_BYTES))
+    parts = max(4, parts_of(df, SLICE_BYTES, ROW_BYTES))
     ranged = df.repartitionByRange(parts, *[F.col(k) for k in keys], *sort_columns(order))
     return durable(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 

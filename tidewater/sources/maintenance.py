@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.operators.ordered import parts_of
+from tidewater.operators.ordered import ROW_BYTES, parts_of
+from tidewater.sources.durable import settled
 from tidewater.sources.io import write_parquet
 
 
@@ -39,8 +40,12 @@ def rollback_batch(spark: SparkSession, path: str, batch_id: str) -> bool:
 
 
 def cluster_files(df: DataFrame, path: str, columns: list[str], file_bytes: int = 128 << 20) -> DataFrame:
-    """Rewrite so that each file covers a narrow range of the query columns (better row-group pruning)."""
-    df.repartitionByRange(max(1, parts_of(df, file_bytes)), *columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+    """Rewrite so that each file covers a narrow range of the query columns (better row-group pruning).
+
+    A file holds about ``file_bytes`` of rows as they are sorted in memory, fewer once compressed.
+    """
+    df = settled(df)
+    df.repartitionByRange(max(1, parts_of(df, file_bytes, ROW_BYTES)), *columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
