@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import SF, rows
 from tidewater.operators import agg
+from tidewater.sources.durable import durable
 
 
 def test_exact_quantiles_match_numpy(spark, both_ways):
@@ -99,3 +100,11 @@ def test_bitmaps_count_distinct_ids_in_one_pass_each(spark):
     assert agg.distinct_by_bitmaps(df, [], xs="x").first().xs == 5
     with pytest.raises(Exception, match="negative"):
         agg.distinct_by_bitmaps(spark.createDataFrame([("a", -1)], "k string, x long"), ["k"], xs="x").collect()
+
+
+def test_no_sketch_is_kept_for_every_user(spark):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["a04_approx_count_distinct"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    with_sketch = [line for line in plan.splitlines() if "approx_count_distinct" in line]
+    assert with_sketch and not any("user_id" in line.split("functions=")[0] for line in with_sketch)
