@@ -108,3 +108,18 @@ def test_no_sketch_is_kept_for_every_user(spark):
     plan = entry.queries()["a04_approx_count_distinct"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     with_sketch = [line for line in plan.splitlines() if "approx_count_distinct" in line]
     assert with_sketch and not any("user_id" in line.split("functions=")[0] for line in with_sketch)
+
+
+def test_packs_deal_rows_by_what_they_count(spark, monkeypatch):
+    from tidewater.operators import packs
+
+    data = [(c, o, float(q)) for c in ("a", "b", None) for o in (1, 2, 2, None) for q in range(3)]
+    df = durable(spark.createDataFrame(data, "category string, order_id int, qty double"), "lines")
+    pack = packs.Pack("sales", ("category",), {"orders": packs.uniq("order_id"), "qty": packs.total("qty")}, deal=("category", "order_id"))
+    plain = rows(packs.run(pack, df))
+    monkeypatch.setattr(packs, "PLAIN_BYTES", 0)
+    monkeypatch.setattr(packs, "TASK_BYTES", 100)
+    out = packs.run(pack, df)
+    assert rows(out) == plain == sorted([("a", 2, 12.0), ("b", 2, 12.0), (None, 2, 12.0)], key=repr)
+    plan = packs.run(pack, df)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning(category") == 2      # dealt once, then one row per task and group

@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from tidewater.functions.columns import bands
-from tidewater.operators.ordered import rank_table
+from tidewater.operators.ordered import input_bytes, rank_table
 from tidewater.operators.rel import match
 from tidewater.sources.durable import settled
 
+PLAIN_BYTES = 64 << 20       # tables up to this size are aggregated where they lie
+TASK_BYTES = 8 << 20         # of compressed tables, behind the rows of one task
+
 
 @dataclass(frozen=True)
 class Pack:
@@ -26,6 +29,7 @@ class Pack:
     rank: tuple[str, str] | None = None                      # (output, measure), highest first
     tier: tuple[str, str, tuple, str] | None = None          # (output, measure, ((upper edge, label)…), other)
     derived: dict[str, str] = field(default_factory=dict)    # expressions over the measures
+    deal: tuple[str, ...] = ()                               # columns that deal many rows over tasks: the group and what is counted in it, or a fine group alone
 
 
 def total(x: str) -> str:
@@ -60,9 +64,23 @@ def percentile(x: str, p: float) -> str:
     return f"percentile_approx({x}, {p}, 10000)"
 
 
+def dealt(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Rows dealt by ``columns`` over as many tasks as the tables behind them need.
+
+    Distinct counts keep a group for almost every row while they are added up. Left where they are, a scan or the
+    session's fixed number of shuffle partitions would give each task more such groups as tables grow.
+    """
+    known = input_bytes(df)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    if not columns or known is None or known <= PLAIN_BYTES:
+        return df
+    return df.repartition(max(parts, known // TASK_BYTES), *columns)
+
+
 def run(pack: Pack, df: DataFrame) -> DataFrame:
     """Compute a pack. Dates stay dates inside the aggregate (text minima would rule out hash
     aggregation) and are shown as text."""
+    df = dealt(df, pack.deal)
     out = df.groupBy(*pack.by).agg(*[F.expr(e).alias(n) for n, e in pack.measures.items()])
     shown = {f.name: F.col(f.name).cast("string") for f in out.schema if f.dataType == DateType()}
     out = out.withColumns(shown) if shown else out

@@ -53,7 +53,7 @@ PACKS = {
     "shop_customers": Pack("sales", ("customer",), {"lifetime_value": net_total, "order_count": uniq("order_id"), "days_since_first_order": "max(11566 - day_no)"}),
     "query_times": Pack("activity", ("kind",), {"avg_execution_time": mean("amount"), "max_execution_time": "max(amount)", "query_count": N}),
     "value_ranges": Pack("accounts", ("nation",), {"avg_value": mean("balance"), "max_value": "max(balance)", "min_value": "min(balance)"}),
-    "retail_payments": Pack("sales", ("category",), {"total_sales": net_total, "transaction_count": uniq("order_id"), "units_sold": total("qty"), "avg_inventory": mean("size")}),
+    "retail_payments": Pack("sales", ("category",), {"total_sales": net_total, "transaction_count": uniq("order_id"), "units_sold": total("qty"), "avg_inventory": mean("size")}, deal=("category", "order_id")),
     "enterprise_usage": Pack("activity", ("kind", "dow"), {"active_users": uniq("user_id"), "total_usage": total("amount"), "softwares_used": uniq("k"), "avg_usage_hours": mean("amount")}),
     "tech_products": Pack("sales", ("brand",), {"total_revenue": net_total, "total_units": total("qty"), "first_sale_date": "min(day)"}),
     "first_month_sales": Pack("sales", ("brand", "month"), {"first_month_revenue": net_total, "first_month_units": total("qty")}),
@@ -75,11 +75,11 @@ PACKS = {
     "stream_watching": Pack("activity", ("user_id",), {"total_watch_time": total("amount"), "unique_viewers": uniq("day"), "avg_rating": mean("k"), "unique_content": uniq("k")}),
     "vehicle_use": Pack("activity", ("user_id",), {"total_distance": total("k"), "avg_efficiency": over("sum(amount)", "sum(k)"), "total_energy_used": total("amount"), "avg_charging_time": mean("case when kind = 'error' then amount end"), "charging_sessions": hits("kind = 'error'")}),
     "consulting_budget": Pack("sales", ("supplier",), {"total_revenue": net_total, "avg_duration": mean("delay"), "total_budget": total("price"), "avg_utilization": mean("1 - discount"), "total_hours_billed": total("qty")}),
-    "hospitality": Pack("sales", ("category",), {"avg_price": mean("price"), "total_revenue": net_total, "avg_rating": mean("qty"), "booking_count": uniq("order_id")}),
+    "hospitality": Pack("sales", ("category",), {"avg_price": mean("price"), "total_revenue": net_total, "avg_rating": mean("qty"), "booking_count": uniq("order_id")}, deal=("category", "order_id")),
     "software_licences": Pack("activity", ("kind",), {"active_users": uniq("user_id"), "total_usage_hours": total("amount"), "avg_sessions": over("count(*)", "count(distinct user_id)"), "actual_users": uniq("user_id"), "licensed_users": uniq("k")}),
     "mobility": Pack("activity", ("hour",), {"ride_count": N, "total_fare": total("amount"), "avg_distance": mean("k"), "avg_surge": mean("case when amount > 100 then 2 else 1 end")}),
     "search_sessions": Pack("activity", ("user_id", "day"), {"query_count": N, "avg_results": mean("k"), "total_clicks": hits("kind = 'click'"), "avg_session_length": mean("amount"), "click_through_rate": rate("kind = 'click'")}),
-    "order_patterns": Pack("sales", ("order_id",), {"order_value": net_total, "item_count": N, "products": uniq("part")}),
+    "order_patterns": Pack("sales", ("order_id",), {"order_value": net_total, "item_count": N, "products": uniq("part")}, deal=("order_id",)),
     "social_activity": Pack("activity", ("user_id",), {"total_likes": hits("kind = 'click'"), "total_shares": hits("kind = 'purchase'"), "total_comments": hits("kind = 'view'"), "activity_count": N, "total_duration": total("amount")}),
     "social_engagement": Pack("activity", ("user_id",), {"total_posts": N, "total_likes": hits("kind = 'click'"), "total_shares": hits("kind = 'purchase'"), "total_comments": hits("kind = 'view'"), "avg_likes_per_post": over(hits("kind = 'click'"), N), "total_followers": uniq("k"), "video_posts": hits("amount > 100")},
                               derived={"engagement_score": "round(1e0 * (total_likes + 2 * total_comments + 3 * total_shares) / nullif(total_posts, 0), 6)"}, rank=("engagement_rank", "engagement_score")),
@@ -98,7 +98,7 @@ PACKS = {
     "gpu_usage": Pack("activity", ("user_id",), {"active_users": uniq("day"), "avg_gpu_usage": mean("k"), "avg_memory_usage": mean("amount"), "avg_temperature": mean("hour"), "total_render_time": total("amount"), "total_jobs": N, "avg_job_time": mean("amount"), "completed_jobs": hits("kind <> 'error'"), "success_rate": rate("kind <> 'error'")}),
     "user_engagement": Pack("activity", ("user_id",), {"total_sessions": N, "avg_session_minutes": mean("amount"), "total_uploads": hits("kind = 'purchase'"), "total_downloads": hits("kind = 'view'"), "total_storage_used": total("amount"), "total_connections": uniq("k"), "avg_connection_strength": mean("k"),
                                                       "premium_days": "count(distinct case when amount > 100 then day end)", "active_days": uniq("day"), "premium_usage_rate": over("100 * count(distinct case when amount > 100 then day end)", "count(distinct day)")}),
-    "booking_patterns": Pack("sales", ("month", "category"), {"total_bookings": uniq("order_id"), "avg_booking_value": mean("net"), "avg_stay_length": mean("size"), "realized_revenue": "round(sum(case when status = 'F' then net else 0 end), 4)", "cancellations": hits("flag = 'R'"), "avg_review_score": mean("qty"), "cancellation_rate": rate("flag = 'R'")}),
+    "booking_patterns": Pack("sales", ("month", "category"), {"total_bookings": uniq("order_id"), "avg_booking_value": mean("net"), "avg_stay_length": mean("size"), "realized_revenue": "round(sum(case when status = 'F' then net else 0 end), 4)", "cancellations": hits("flag = 'R'"), "avg_review_score": mean("qty"), "cancellation_rate": rate("flag = 'R'")}, deal=("month", "category", "order_id")),
     "crm_pipeline": Pack("sales", ("supplier",), {"total_opportunities": N, "total_deal_size": net_total, "avg_deal_size": mean("net"), "won_deal_size": "round(sum(case when status = 'F' then net else 0 end), 4)", "won_opportunities": hits("status = 'F'"), "avg_sales_cycle_days": mean("delay"), "win_rate": rate("status = 'F'")}),
     "search_analytics": Pack("activity", ("hour",), {"total_searches": N, "click_through_rate": rate("kind = 'click'"), "avg_results": mean("k"), "unique_users": uniq("user_id"), "top3_clicks": hits("kind = 'click' and k <= 3"), "total_clicks": hits("kind = 'click'"), "top3_click_rate": rate("kind = 'click' and k <= 3", "kind = 'click'")}),
     "portfolio": Pack("sales", ("customer",), {"unique_assets": uniq("part"), "total_portfolio_value": net_total, "total_investment": total("retail * qty"), "avg_volatility": mean("discount"), "profitable_assets": hits("net > retail * qty"), "total_assets": N},
@@ -136,7 +136,7 @@ PACKS = {
     "retail_stock": Pack("sales", ("brand",), {"avg_daily_sales": mean("qty"), "avg_inventory": mean("size"), "out_of_stock_days": hits("qty > size"), "total_days": uniq("day"), "days_of_supply": over("avg(size)", "avg(qty)"), "out_of_stock_rate": rate("qty > size")}),
     "social_network": Pack("activity", ("user_id",), {"friend_count": uniq("k"), "post_count": N, "avg_likes_per_post": mean("amount"), "total_comments": hits("kind = 'view'"), "groups_joined": uniq("hour")}, rank=("social_rank", "friend_count")),
     "licence_usage": Pack("activity", ("kind",), {"active_users": uniq("user_id"), "active_devices": uniq("k"), "avg_session_duration": mean("amount"), "heavy_users": "count(distinct case when amount > 100 then user_id end)", "last_usage_date": "max(day)"}),
-    "app_store": Pack("sales", ("category",), {"avg_rating": mean("qty"), "total_apps": uniq("part"), "total_downloads": N, "avg_price": mean("price"), "highly_rated_apps": "count(distinct case when qty >= 45 then part end)", "highly_rated_percentage": over("100 * count(distinct case when qty >= 45 then part end)", "count(distinct part)")}),
+    "app_store": Pack("sales", ("category",), {"avg_rating": mean("qty"), "total_apps": uniq("part"), "total_downloads": N, "avg_price": mean("price"), "highly_rated_apps": "count(distinct case when qty >= 45 then part end)", "highly_rated_percentage": over("100 * count(distinct case when qty >= 45 then part end)", "count(distinct part)")}, deal=("category", "part")),
     "inventory_turnover": Pack("sales", ("part",), {"total_sold": total("qty"), "avg_inventory": mean("size"), "selling_days": uniq("day"), "inventory_turnover": over("sum(qty)", "avg(size)")}),
     "card_declines": Pack("activity", ("day",), {"transaction_count": N, "total_volume": total("amount"), "avg_transaction_size": mean("amount"), "unique_cards": uniq("user_id"), "declined_transactions": hits("kind = 'error'"), "decline_rate": rate("kind = 'error'")}),
     "project_milestones": Pack("sales", ("supplier",), {"total_billable_hours": total("qty"), "total_revenue": net_total, "avg_hourly_rate": over("sum(net)", "sum(qty)"), "completed_milestones": hits("status = 'F'"), "total_milestones": N, "completion_percentage": rate("status = 'F'")}),
