@@ -66,3 +66,21 @@ def test_mutual_and_two_hops(spark):
 def test_deep_hierarchies_lose_no_level(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(24)], "id int, boss int")
     assert graph.ancestors(chain, "id", "boss").count() == 24 * 25 // 2
+
+
+def test_many_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    rnd = random.Random(4)
+    data = [(g, i) for g in range(300) for i in rnd.sample(range(120), rnd.randrange(1, 6))] + [(None, 1), (None, 2), (1, None)]
+    held = {}
+    for g, i in data:
+        if g is not None and i is not None:
+            held.setdefault(g, set()).add(i)
+    want = Counter(p for b in held.values() for p in itertools.combinations(sorted(b), 2))
+    df = spark.createDataFrame(data, "g int, i int")
+    monkeypatch.setattr(C, "PAIR_ROWS", 50)
+    out = C.pair_counts(df, "g", "i", 2)
+    assert rows(out) == sorted(((a, b, n) for (a, b), n in want.items() if n >= 2), key=repr)
+    plan = C.pair_counts(df, "g", "i", 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 3 and "partial_count" in plan
+    few = C.pair_counts(df.selectExpr("g", "i % 4 as i"), "g", "i", 2)
+    assert "REPARTITION_BY_NUM" not in few._jdf.queryExecution().executedPlan().toString()

@@ -10,6 +10,8 @@ from tidewater.operators.ordered import reach_back, scan
 from tidewater.operators.rel import attach
 from tidewater.sources.durable import durable
 
+PAIR_ROWS = 1 << 20           # pairs that one task makes or counts
+
 
 def pair_counts(df: DataFrame, group: str, item: str, min_support: int = 1, big: int = 1000) -> DataFrame:
     """Unordered item pairs that share at least ``min_support`` groups: item_a, item_b, support.
@@ -26,8 +28,14 @@ def pair_counts(df: DataFrame, group: str, item: str, min_support: int = 1, big:
     sizes = rows.groupBy(group).agg(F.count("*").alias("_rows"))
     sized = durable(attach(rows, sizes.withColumn("_size", F.col("_rows")), [group], spread=[item]), "baskets")
     small = sized.filter(F.col("_size") <= big).select(group, item)
+    # Baskets and then pairs are dealt over as many tasks as there are pairs for, unless few items make pairs repeat.
+    made, items = (sized.agg(F.sum(F.when(F.col("_size") <= big, (F.col("_size") - 1) / 2)), F.approx_count_distinct(item))).first()
+    parts = int((made or 0) // PAIR_ROWS)
+    many = parts > 1 and items * items / 2 > (made or 0) / 8
+    small = small.repartition(parts, group) if many else small
     pairs = (small.withColumnRenamed(item, "item_a").join(small.withColumnRenamed(item, "item_b"), group)
              .filter("item_a < item_b"))
+    pairs = pairs.select("item_a", "item_b").repartition(parts, "item_a", "item_b") if many else pairs
     large_groups = sized.filter(F.col("_size") > big).select(group).distinct().count()
     if large_groups == 0:
         return pairs.groupBy("item_a", "item_b").agg(F.count("*").alias("support")).filter(F.col("support") >= min_support)
