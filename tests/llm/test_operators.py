@@ -301,6 +301,22 @@ def test_mix_places_documents_in_the_training_order(spark, sample):
     assert all(r.start is None for r in rows.values() if not r.taken)
 
 
+def test_links_already_followed_are_not_followed_again(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    crowd = [(i, " ".join(w if rng.random() > 0.012 else f"x{rng.randrange(10 ** 6)}" for w in base)) for i in range(250)]
+    read, follow = [], near_dup.components
+
+    def counted(links):
+        read.append(links.count())
+        return follow(links)
+
+    monkeypatch.setattr(near_dup, "components", counted)
+    found = near_dup.near_duplicates(spark.createDataFrame(crowd, "doc_id long, text string"), words=2).collect()
+    assert sum(r.component_id == 0 for r in found) > 200
+    assert read[0] > 2 * len(crowd) and len(read) > 1 and read[1] < read[0]
+
+
 # 6
 def test_near_duplicates_against_brute_force(spark, awkward, empty):
     rng = random.Random(11)

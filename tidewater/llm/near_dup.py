@@ -205,16 +205,15 @@ def _round(crowd: DataFrame, found: DataFrame, number: int, percent: int) -> Dat
                                   F.greatest("node", "head.node").alias("b"), F.when(left, F.col("head.n")).otherwise(F.col("n")).alias("nb")), percent)
 
 
-def _settle(crowd: DataFrame, links: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int, exact: bool) -> tuple[DataFrame, DataFrame]:
-    """``links`` and what joins rows of ``crowd`` (node, n, sig) besides, and the components ``found`` after it."""
+def _settle(crowd: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int, exact: bool) -> DataFrame:
+    """The components ``found`` after what else joins rows of ``crowd`` (node, n, sig)."""
     sets = _sets(crowd.select(F.col("node").alias("doc_id")), docs, doc_id, text, words)
     number = quiet = 0
 
-    def joined(new: DataFrame) -> tuple[DataFrame, DataFrame]:
-        every = durable(links.union(new), "links")
-        after = components(every)
-        discard(links, found, new)
-        return every, after
+    def joined(new: DataFrame) -> DataFrame:
+        after = components(_stars(found).union(new))
+        discard(found, new)
+        return after
 
     while quiet < QUIET:
         close = durable(_round(crowd, found, number, percent), "candidates")
@@ -222,15 +221,20 @@ def _settle(crowd: DataFrame, links: DataFrame, found: DataFrame, docs: DataFram
         discard(close)
         quiet, number = (quiet + 1 if new.isEmpty() else 0), number + 1
         if not quiet:
-            links, found = joined(new)
+            found = joined(new)
     if exact:
         own = crowd.join(found, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
         close = _across(own, sets, percent)
         new = durable(_similar(close, sets, percent), "links")
         discard(close)
-        links, found = joined(new)
+        found = joined(new)
     discard(sets)
-    return links, found
+    return found
+
+
+def _stars(found: DataFrame) -> DataFrame:
+    """Components as links again: one for each node, however many links joined them."""
+    return found.select(F.col("component").alias("a"), F.col("node").alias("b"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -279,16 +283,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         more += [_within(levels[-1].filter(F.col("size") <= LEAF), "component"), _to_head(large)]
         crowd = large.select("tree", "node", "n", "sig")
     across = confirmed(reduce(DataFrame.union, more), docs, doc_id, text, words, percent)
-    both = durable(links.union(across), "links")
-    discard(rest, found, links, across, *levels)
+    first, found = found, components(_stars(found).union(across))
+    discard(rest, first, links, across, *levels)
 
-    found = components(both)
     apart = _mixed(regions.filter(F.col("size") > LEAF), found).select("node").distinct()
     apart = durable(classes.select("node", "n", "sig").join(apart, "node", "left_semi"), "apart")
     discard(regions)
-    links = both
     if not apart.isEmpty():
-        links, found = _settle(apart, both, found, docs, doc_id, text, words, percent, exact)
+        found = _settle(apart, found, docs, doc_id, text, words, percent, exact)
     discard(apart)
 
     # An id that occurs with several texts joins their classes.
@@ -297,7 +299,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     member = rows.join(copies, ["k1", "k2"], "left").select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")).alias("node"))
     again = member.join(twice, "doc_id", "left_semi").filter("node <> doc_id").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     if not again.isEmpty():
-        found = components(links.union(again))
+        found = components(_stars(found).union(again))
     found = found.withColumnRenamed("node", "at")
     whole = member.join(found, F.col("node") == F.col("at"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
