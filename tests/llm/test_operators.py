@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import duckdb
@@ -66,6 +67,19 @@ def test_range_coder_round_trip_and_damage():
         range_coder.decode([bytes(damaged)])
 
 
+def test_coder_memory_of_a_full_group():
+    """What a task codes at once takes far less than an executor's share."""
+    ids = (np.random.default_rng(2).zipf(1.2, token_file.GROUP) % 40_000).astype("<u4")
+    frames = np.split(ids, range(token_file.FRAME, len(ids), token_file.FRAME))
+    tracemalloc.start()
+    bodies = range_coder.encode(frames)
+    encoding = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    assert all(np.array_equal(a, b) for at in range(0, len(frames), token_file.FRAMES) for a, b in zip(frames[at:], range_coder.decode(bodies[at:at + token_file.FRAMES]), strict=False))
+    assert max(encoding, tracemalloc.get_traced_memory()[1]) < 200 << 20
+    tracemalloc.stop()
+
+
 def test_coder_extremes():
     """Blocks without repeats, of one id, of the greatest ids, and damage at many places."""
     rng = np.random.default_rng(4)

@@ -19,7 +19,7 @@ import zlib
 import numpy as np
 
 BLOCK = 4096
-LANES = 2048
+LANES = 1024
 RENEW = (0, 64, 256, 1024, 2048)
 _HEAD = "<IIIII"      # ids, distinct ids, bytes of the id list, words of the code, crc32 of the ids
 _ZERO, _WEIGHT = 13, 8                    # bits of order-0 frequencies and of mixing weights
@@ -51,8 +51,10 @@ class _Models:
         """Order-0 frequencies from the numbers before step t; every listed number keeps at least one part."""
         wide = self.wide - 1
         if t > self.until:
-            at = steps[self.until:t, :m] + np.arange(m) * wide
-            self.seen[:m] += np.bincount(at.reshape(-1), minlength=m * wide).reshape(m, wide).astype(np.int32)
+            for lo in range(0, m, 256):                  # a few lanes at a time: these tables are of 64-bit numbers
+                part = steps[self.until:t, lo:min(m, lo + 256)]
+                k = part.shape[1]
+                self.seen[lo:lo + k] += np.bincount((part + np.arange(k) * wide).reshape(-1), minlength=k * wide).reshape(k, wide)
             self.until = t
         counts = np.cumsum(self.seen[:m], axis=1, dtype=np.int32)
         spare, whole = (1 << _ZERO) - self.distinct[:m, None], counts[:, -1:].copy()
@@ -208,6 +210,12 @@ def _decode_group(codes: list[np.ndarray], lengths: np.ndarray, distinct: np.nda
     return [steps[:n, i] for i, n in enumerate(lengths)]
 
 
+def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct ids of a block, and the number of each of its ids among them."""
+    own, numbers = np.unique(ids, return_inverse=True)
+    return own, numbers.astype(np.uint16)
+
+
 def _listed(own: np.ndarray) -> bytes:
     """Ascending ids as differences of seven bits a byte."""
     d = np.diff(own.astype(np.int64), prepend=0)
@@ -232,7 +240,7 @@ def encode(frames: list[np.ndarray]) -> list[bytes]:
     bodies: dict[int, list[bytes]] = {f: [] for f in range(len(frames))}
     for at in range(0, len(blocks), LANES):
         group = blocks[at:at + LANES]
-        distinct = [np.unique(ids, return_inverse=True) for _, ids in group]
+        distinct = [_numbered(ids) for _, ids in group]
         for (f, ids), (own, _), code in zip(group, distinct, _encode_group([x for _, x in distinct], np.array([len(own) for own, _ in distinct])), strict=True):
             names = _listed(own)
             bodies[f].append(struct.pack(_HEAD, len(ids), len(own), len(names), len(code), zlib.crc32(ids.astype("<u4").tobytes())) + names + code.astype("<u2").tobytes())

@@ -36,8 +36,9 @@ from tidewater.llm.shared import pick
 
 FRAME = 16_384
 GROUP = range_coder.LANES * range_coder.BLOCK       # ids that a task codes at once
-CACHED = 1_000_000
-SLICE = 512                                         # documents tokenized, or frames decoded, at once
+CACHED = 500_000
+SLICE = 512                                         # documents tokenized at once
+FRAMES = GROUP // FRAME                             # frames decoded at once
 
 
 def word_ids(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
@@ -136,8 +137,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for at in range(0, batch.num_rows, FRAMES):
+                part = batch.slice(at, FRAMES)
                 rows = []
                 for shard, frame, counts, ids in zip(part.column("shard").to_pylist(), part.column("frame").to_pylist(), part.column("counts").to_pylist(),
                                                      range_coder.decode(part.column("body").to_pylist()), strict=True):
