@@ -315,6 +315,25 @@ def test_mix_places_documents_in_the_training_order(spark, sample):
     assert all(r.start is None for r in rows.values() if not r.taken)
 
 
+def test_components_of_few_links_take_few_tasks(spark):
+    """Chains, stars, copies of links and links of a node with itself; tasks do not follow the number of shuffle partitions."""
+    links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(7, 8), (8, 7), (300, 300), (501, 500), (100, 501)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("few-links", "components")
+    try:
+        found = {r.node: r.component for r in near_dup.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {i: 0 for i in range(41)} | {i: 100 for i in [*range(100, 140), 500, 501]}
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("few-links") for s in status.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) < 97
+
+
 def test_links_already_followed_are_not_followed_again(spark, monkeypatch):
     rng = random.Random(9)
     base = [f"w{i}" for i in range(200)]

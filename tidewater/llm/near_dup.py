@@ -13,7 +13,7 @@ still hold different components go on. Of those, small ones are compared across
 further. Members of large regions that are still mixed after that are settled in rounds: in every round a few other
 trees draw two new heads a region, one among its rows and one among its components, and rows of other components are
 compared with them; the work of a round is linear in the rows outside the regions' main components. Rounds end
-when ``QUIET`` of them in a row have joined nothing. Every candidate is confirmed on full sets:
+when ``QUIET`` of them in a row have joined nothing, or before an exact comparison when one has joined little. Every candidate is confirmed on full sets:
 100 * |A and B| >= percent * |A or B|. At exactly 80 % similarity a pair shares some four-value prefix of the 32 trees
 with probability 1 - 5e-8. What such crowds still hold apart after the rounds is compared exactly: shingles are ordered
 by their number of rows, rarest first, and pairs of different components are looked at if they share one of the first
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import carried, pick, restored, texts
+from tidewater.llm.shared import carried, parts_for, pick, restored, texts
 from tidewater.sources.durable import discard, durable
 
 VALUES = 128
@@ -47,9 +47,13 @@ LEAF = 16                                # representatives in a region that are
 HEADS = 8
 DEPTHS = (5, 6, 8, 12, 24, VALUES)       # prefix lengths of smaller regions
 BROADCAST_IDS = 1 << 20                  # so many ids (8 MB) may be sent to every executor
+BROADCAST_ROWS = 1 << 18                 # so many pairs of ids may be
+PART_ROWS = 1 << 13                      # rows from which a task makes a file, where their number is known
+LEAST_PARTS = 12
 ROUND_TREES = 16                         # trees that a round looks at
 ROUND_DEPTHS = (BASE, 2 * BASE)          # their prefix lengths, in turn
 QUIET = 2                                # rounds without a new link that end the search
+FRUITFUL = 64                            # before the exact comparison, one is the last that links less than a row in so many
 
 _rng = np.random.default_rng(20240917)
 _MUL = _rng.integers(1, 1 << 63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -129,9 +133,9 @@ def _to_head(regions: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) whose full sets are similar enough."""
+    """Pairs (a, b) whose full sets are similar enough."""
     close = durable(_near_sized(pairs, percent), "candidates")
-    needed = durable(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct(), "compared")
+    needed = durable(_few(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct(), close.count()), "compared")
     sets = _sets(needed, docs, doc_id, text, words)
     links = durable(_similar(close, sets, percent), "links")
     discard(close, needed, sets)
@@ -144,11 +148,13 @@ def _near_sized(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _similar(close: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets (doc_id, own) are similar enough."""
+    """The pairs of ``close``, a written table, whose sets (doc_id, own) are similar enough; ids with several sets may repeat theirs."""
     left, right = (sets.select(F.col("doc_id").alias(x), F.col("own").alias(f"s{x}")) for x in "ab")
     both = F.size(F.array_intersect("sa", "sb")).cast("long")
     every = F.size("sa") + F.size("sb") - both
-    return close.join(left, "a").join(right, "b").filter(both * 100 >= every * percent).select("a", "b").distinct()
+    n = close.count()
+    found = _sent(close, n <= BROADCAST_ROWS).join(left, "a")
+    return _few(found.join(right, "b").filter(both * 100 >= every * percent).select("a", "b"), n, PART_ROWS // 8)
 
 
 def _sets(needed: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
@@ -173,7 +179,7 @@ def _across(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Shingles are ordered by their number of rows. Two similar sets share one among the first n - ceil(percent * n) + 1
     of each, and from the places of the first one shared, enough others must be left.
     """
-    every = sets.join(crowd.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "n", "component", F.explode("own").alias("token"))
+    every = sets.join(_sent(crowd.withColumnRenamed("node", "doc_id"), crowd.count() <= BROADCAST_ROWS), "doc_id").select("doc_id", "n", "component", F.explode("own").alias("token"))
     held = durable(every.groupBy("token").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "shingles")
     # A shingle of one row is first in order and meets nobody; it still takes a place.
     shared = every.join(held, "token").groupBy("doc_id", "n", "component").agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("own"))
@@ -193,8 +199,7 @@ def _round(crowd: DataFrame, found: DataFrame, number: int, percent: int) -> Dat
     """Candidates of one round: rows of ``crowd`` (node, n, sig) against two heads of their regions."""
     first, depth = number * ROUND_TREES % TREES, ROUND_DEPTHS[number * ROUND_TREES // TREES % len(ROUND_DEPTHS)]
     tree = F.explode(F.sequence(F.lit(first), F.lit(first + ROUND_TREES - 1))).alias("tree")
-    own = crowd.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = own.select("node", "n", "component", "sig", tree).select("node", "n", "component", _prefix(F.col("tree"), depth).alias("key"))
+    rows = _placed(crowd, found).select("node", "n", "component", "sig", tree).select("node", "n", "component", _prefix(F.col("tree"), depth).alias("key"))
     one = F.struct("node", "n", "component")
     heads = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by(one, F.xxhash64("node", F.lit(number))).alias("any"),
                                     F.min_by(one, F.xxhash64("component", F.lit(number))).alias("rare")).filter("lo <> hi")
@@ -208,7 +213,7 @@ def _round(crowd: DataFrame, found: DataFrame, number: int, percent: int) -> Dat
 def _settle(crowd: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, words: int, percent: int, exact: bool) -> DataFrame:
     """The components ``found`` after what else joins rows of ``crowd`` (node, n, sig)."""
     sets = _sets(crowd.select(F.col("node").alias("doc_id")), docs, doc_id, text, words)
-    number = quiet = 0
+    number, quiet, rows = 0, 0, crowd.count()
 
     def joined(new: DataFrame) -> DataFrame:
         after = components(_stars(found).union(new))
@@ -216,15 +221,17 @@ def _settle(crowd: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, te
         return after
 
     while quiet < QUIET:
-        close = durable(_round(crowd, found, number, percent), "candidates")
+        close = durable(_few(_round(crowd, found, number, percent), ROUND_TREES * rows), "candidates")
         new = durable(_similar(close, sets, percent), "links")
         discard(close)
-        quiet, number = (quiet + 1 if new.isEmpty() else 0), number + 1
-        if not quiet:
+        n = new.count()
+        quiet, number = (0 if n else quiet + 1), number + 1
+        if n:
             found = joined(new)
+        if exact and n * FRUITFUL < rows:
+            break
     if exact:
-        own = crowd.join(found, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
-        close = _across(own, sets, percent)
+        close = _across(_placed(crowd, found).select("node", "n", "component"), sets, percent)
         new = durable(_similar(close, sets, percent), "links")
         discard(close)
         found = joined(new)
@@ -238,77 +245,103 @@ def _stars(found: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component): least node reachable, for every node of ``links`` (a, b), by alternating stars."""
-    edges, before = durable(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"), None
+    """(node, component): least node reachable, for every node of ``links`` (a, b), by alternating stars.
+
+    Links only move, so there are never more of them than at first. They are stars, and done, when every node with a
+    lesser neighbour has no other one.
+    """
+    edges = durable(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
+    n = edges.count()
     while True:
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        wide = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = durable(wide.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
-        discard(edges)
+        least = durable(_few(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), (F.min("v") != F.max("v")).alias("several")), n), "least")
+        if least.filter("several and m < u").isEmpty():
+            out = durable(least.select(F.col("u").alias("node"), F.col("m").alias("component")), "components")
+            discard(edges, least)
+            return out
+        small = least.count() <= BROADCAST_ROWS
+        wide = both.filter("v > u").join(_sent(least.select("u", "m"), small), "u")
+        down = durable(wide.select(F.col("v").alias("u"), F.col("m").alias("v")), "edges")
+        discard(edges, least)
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        narrow = down.join(least, "u")
-        edges = durable(narrow.select(F.col("v").alias("u"), F.col("m").alias("v")).union(narrow.select("u", "m")).filter("u <> v").distinct(), "edges")
+        least = _few(least, n) if small else least
+        narrow = down.join(_sent(least, small), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = durable(_few(narrow.union(least), n), "edges")
         discard(down)
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            out = durable(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct()), "components")
-            discard(edges)
-            return out
-        before = state
+
+
+def _few(rows: DataFrame, of: int, each: int = PART_ROWS) -> DataFrame:
+    """``rows``, the last step of which runs in as many tasks as the ``of`` rows it is made from need, if those are fewer."""
+    return rows.coalesce(max(LEAST_PARTS, parts_for(of, each)))
+
+
+def _sent(rows: DataFrame, small: bool) -> DataFrame:
+    """``rows``, sent to every executor where they are few."""
+    return F.broadcast(rows) if small else rows
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, exact: bool = True) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
     rows = durable(signed(docs, doc_id, text, words), "signatures")
     sets = rows.filter("n > 0 and doc_id is not null")
-    classes = durable(sets.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
+    classes = sets.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.max("doc_id").alias("last"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    classes = durable(_few(classes, rows.count()), "classes")
 
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     all_rows = classes.select("node", "n", "sig", tree).select(_prefix(F.col("tree"), BASE).alias("key"), "tree", "node", "n")
-    regions = durable(_regions(all_rows), "regions")
+    regions = durable(_few(_regions(all_rows), classes.count(), PART_ROWS // 4), "regions")
     links = confirmed(_to_head(regions), docs, doc_id, text, words, percent)
 
     found, more = components(links), []
-    rest = durable(_mixed(regions.select("tree", "node", "n", "key", "size"), found), "rest")
-    more.append(_within(rest.filter(F.col("size") <= LEAF), "component"))
+    rest = durable(_few(_mixed(regions.select("tree", "node", "n", "key", "size"), found), regions.count()), "rest")
+    leaf = ("key", "node", "n", "component")
+    leaves = [rest.filter(F.col("size") <= LEAF).select(*leaf)]
     crowd = rest.filter(F.col("size") > LEAF).select("tree", "node", "n").join(classes.select("node", "sig"), "node")
     levels = []
     for depth in DEPTHS:
-        if crowd.isEmpty():
+        if not (n := crowd.count()):
             break
         deeper = crowd.select(_prefix(F.col("tree"), depth).alias("key"), "tree", "node", "n", "sig")
-        levels.append(durable(_mixed(_regions(deeper), found), "parts"))
+        levels.append(durable(_few(_mixed(_regions(deeper), found), n), "parts"))
         large = levels[-1].filter(F.col("size") > LEAF)
-        more += [_within(levels[-1].filter(F.col("size") <= LEAF), "component"), _to_head(large)]
+        leaves.append(levels[-1].filter(F.col("size") <= LEAF).select(*leaf))
+        more.append(_to_head(large))
         crowd = large.select("tree", "node", "n", "sig")
+    more.append(_within(reduce(DataFrame.union, leaves), "component"))      # keys of different depths differ
     across = confirmed(reduce(DataFrame.union, more), docs, doc_id, text, words, percent)
     first, found = found, components(_stars(found).union(across))
     discard(rest, first, links, across, *levels)
 
     apart = _mixed(regions.filter(F.col("size") > LEAF), found).select("node").distinct()
-    apart = durable(classes.select("node", "n", "sig").join(apart, "node", "left_semi"), "apart")
+    apart = durable(_few(classes.select("node", "n", "sig").join(apart, "node", "left_semi"), classes.count()), "apart")
     discard(regions)
     if not apart.isEmpty():
         found = _settle(apart, found, docs, doc_id, text, words, percent, exact)
     discard(apart)
 
     # An id that occurs with several texts joins their classes.
-    twice = sets.select("doc_id", "k1", "k2").distinct().groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    key = F.struct("k1", "k2")
+    twice = sets.groupBy("doc_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).filter("lo <> hi").select("doc_id")
     copies = classes.filter("node <> last").select("k1", "k2", "node")
-    member = rows.join(copies, ["k1", "k2"], "left").select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")).alias("node"))
+    member = rows.join(_sent(copies, copies.count() <= BROADCAST_ROWS), ["k1", "k2"], "left").select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id")).otherwise(F.col("doc_id")).alias("node"))
     again = member.join(twice, "doc_id", "left_semi").filter("node <> doc_id").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     if not again.isEmpty():
         found = components(_stars(found).union(again))
     found = found.withColumnRenamed("node", "at")
-    whole = member.join(found, F.col("node") == F.col("at"), "left").select(
+    whole = member.join(_sent(found, found.count() <= BROADCAST_ROWS), F.col("node") == F.col("at"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id"))
     return whole.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows (node, ...) with their components; a node without links is its own."""
+    own = rows.join(_sent(found, found.count() <= BROADCAST_ROWS), "node", "left")
+    return own.withColumn("component", F.coalesce("component", "node"))
+
+
 def _mixed(regions: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of regions that hold several components, with theirs."""
-    own = regions.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = _placed(regions, found)
     several = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
     return own.join(several, "key", "left_semi")
 
