@@ -351,6 +351,30 @@ def test_links_already_followed_are_not_followed_again(spark, monkeypatch):
 
 
 # 6
+def test_descent_joins_a_class_once(spark):
+    """Classes of a repeated id, and one of an id of its own, in crowded regions of every tree."""
+    classes = spark.createDataFrame([(7, i, bytes([i]) * 256) for i in range(1, 41)] + [(9, 5, bytes(256))], "node long, n long, sig binary")
+    large = spark.createDataFrame([(t, 7, i) for t in range(near_dup.TREES) for i in range(1, 41)] + [(3, 9, 5)], "tree int, node long, n long")
+    got = near_dup._descended(large, classes)
+    assert sorted((r.tree, r.node, r.n) for r in got.collect()) == sorted([(t, 7, i) for t in range(near_dup.TREES) for i in range(1, 41)] + [(3, 9, 5)])
+    joined = [m for m in _metrics(got) if m[0].endswith("Join")]
+    assert [rows for _, rows in joined] == [41]
+
+
+def _metrics(df):
+    """(operator, rows out) of the plan of ``df`` as it was run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if hasattr(plan, "executedPlan") else plan
+    todo, out = [plan], []
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        todo += [node.plan()] if "QueryStage" in node.nodeName() else []
+        rows = node.metrics().get("numOutputRows")
+        out.append((node.nodeName(), rows.get().value() if rows.isDefined() else 0))
+    return out
+
+
 def test_near_duplicates_against_brute_force(spark, awkward, empty):
     rng = random.Random(11)
     rows = []

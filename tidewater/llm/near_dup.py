@@ -296,7 +296,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rest = durable(_few(_mixed(regions.select("tree", "node", "n", "key", "size"), found), regions.count()), "rest")
     leaf = ("key", "node", "n", "component")
     leaves = [rest.filter(F.col("size") <= LEAF).select(*leaf)]
-    crowd = rest.filter(F.col("size") > LEAF).select("tree", "node", "n").join(classes.select("node", "sig"), "node")
+    crowd = _descended(rest.filter(F.col("size") > LEAF), classes)
     levels = []
     for depth in DEPTHS:
         if not (n := crowd.count()):
@@ -346,6 +346,16 @@ def _mixed(regions: DataFrame, found: DataFrame) -> DataFrame:
     return own.join(several, "key", "left_semi")
 
 
+def _descended(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """(tree, node, n, sig) of the classes whose nodes lie in regions ``large`` (tree, node).
+
+    A node meets its classes once, with all its trees, so the join gives no more rows than there are classes, also
+    where an id has several texts and is the node of several classes.
+    """
+    trees = large.groupBy("node").agg(F.collect_set("tree").alias("trees"))
+    return classes.select("node", "n", "sig").join(trees, "node").select(F.explode("trees").alias("tree"), "node", "n", "sig")
+
+
 def first_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Rows of ``docs`` (all columns) whose document is the first of its component."""
     gone = near_duplicates(docs, words=words, percent=percent).filter("not kept").select("doc_id").distinct()
