@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from check import table
 from tests.conftest import SF
@@ -86,6 +87,30 @@ def test_probabilities_after_a_context_add_up_to_at_most_one(spark):
         assert 0.3 < p[1::2].sum() <= 1.0
 
 
+def test_rare_words_and_pairs_stay_beyond_2_25_tokens(spark):
+    many = spark.range(4300).select(F.lit(None).cast("long").alias("doc_id"), F.expr("repeat('la ', 8000)").alias("text"))
+    model = bloom_lm.train(many.union(spark.createDataFrame([(1, "one two")], "doc_id long, text string")))
+    assert model.n > 1 << 25
+    one, two = (np.uint64(xxhash.xxh3_64_intdigest(w)) for w in (b"one", b"two"))
+    pair = bloom_lm.pairs(np.array([one]), np.array([two]))
+    assert model.filters[0].levels(np.array([one, two]), 9).min() > 0 and model.filters[1].levels(pair, 9)[0] > 0
+
+
+def test_segments_and_blocks_give_the_scores_of_one_filter(spark, monkeypatch):
+    """Texts in many blocks, n-grams in many segments and lists, filters sent twice; against the filter in one place."""
+    sample = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = sample.union(spark.createDataFrame([(None, None), (None, ""), (5, "one"), (5, "one")], "doc_id long, text string"))
+    for name, value in (("SEGMENT", 10_000), ("BLOCK_TEXT", 30_000), ("TASK_GRAMS", 5_000), ("PROBED", 100)):
+        monkeypatch.setattr(bloom_lm, name, value)
+    model = bloom_lm.train(sample.limit(40))
+    assert model.number > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = []
+    for i, t in docs.collect():
+        tokens, starts = bloom_lm.stream([(t or "").encode()])
+        want.append((repr(i), len(tokens), round(bloom_lm.log_probabilities(tokens, starts, model.filters, np.array(model.bounds), model.n, model.v).sum(), 6)))
+    assert sorted((repr(r.doc_id), r.n_tokens, round(r.score, 6)) for r in bloom_lm.score(docs, model).collect()) == sorted(want)
+
+
 # 12
 def brute_runs(w, least):
     found, n = set(), len(w)

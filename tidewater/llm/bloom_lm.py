@@ -1,44 +1,49 @@
 """Language model whose counts live in a log-frequency Bloom filter.
 
 Words and word pairs of the training texts are counted with Spark. A count is quantised to the number of bounds it
-reaches; the bounds grow by half, so the level is logarithmic. The filter holds an n-gram together with each of its
+reaches; the bounds grow by half, so the level is logarithmic. The filter holds every n-gram together with each of its
 levels from 1 up, and no count: a reader probes level 1, 2, ... until a probe misses. Probabilities come from the
 levels alone. The lowest count of a level stands for a word or pair, the highest one for a context, so that the
 probabilities of the words seen after a context never add up to more than one:
 
     p(w) = (c(w) + 1) / (N + V + 1)        p(w | h) = (c(h w) + K * p(w)) / (c(h) + K), or p(w) if h has no level
 
-What is broadcast is bounded whatever the input: the lowest bound is a share of all tokens, one in ``RESOLUTION``, so no
-more than that many n-grams of one length are held, in at most ``FILTER_BYTES``. The words that make up a millionth
-of all tokens or more (2^20 at most) are sent with their exact counts, for the base score. Tokens of other words meet the
-exact counts in a join; no such word has more than a millionth of the training tokens.
+The filter grows with the training text and is never in one place: n-grams are dealt to segments by their hash, and there
+is one segment for each ``SEGMENT`` bytes of text. Tasks pass on the distinct n-grams of some millions of tokens, an
+array a segment; a segment's task adds up counts and builds its part of the filter. For scoring, rows are dealt to
+blocks of about ``BLOCK_TEXT`` bytes. The distinct n-grams of a block go to the segments, a byte of level for each and
+the exact counts of words come back to the block, and there its texts are scored. Nothing of this is broadcast.
 
 Nulls, empties, repeats: a null or empty text is its end token alone. A null mark counts as training text. Repeated
-rows count and are scored as often as they occur; ids are carried along. Words are told apart by 64-bit hashes.
-Extra columns are ignored. An empty table gives an empty result; without training text every base score is zero.
+rows count and are scored as often as they occur; ids are carried along. Words are told apart by 64-bit hashes, pairs by
+48 bits of one. Extra columns are ignored. An empty table gives an empty result; without training text every base score is zero.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from tidewater.llm.shared import LevelFilter, blocks_of, pick, texts
-from tidewater.sources.durable import durable
+from tidewater.llm.shared import LevelFilter, blocks_of, parts_for, pick, texts
+from tidewater.sources.durable import durable, settled
 
-RESOLUTION = 1 << 25         # n-grams of one length that can be frequent enough to be held
-FILTER_BYTES = 64 << 20      # filter of one length, at most
-EXACT_SHARE = 1 << 20        # words with one in so many tokens are sent with exact counts
+SEGMENT = 8 << 20            # bytes of training text for which there is one segment of the filter
+BITS = 6.0                   # of the filter for each level of an n-gram, at least
+BLOCK_TEXT = 8 << 20         # bytes of text scored together
+TASK_GROUPS = 2              # segments or blocks of a task, about, where there are many
+PROBED = 1 << 19             # n-grams looked up at once
+EXACT_SHARE = 1 << 20        # not read any more: the exact count of every word comes with its level
 STEP = 1.5                   # between the bounds of levels
 SMOOTHING = 32.0             # K: weight of the word's own probability
-TASK_GRAMS = 1 << 22         # n-grams a task holds before it passes counts on
+TASK_GRAMS = 1 << 22         # tokens a task holds before it passes counts on
+PAIR_BYTES = 6               # of the hash of a pair; lookups that fail by it are far fewer than by the filter
+_CUT = np.uint64(64 - 8 * PAIR_BYTES)
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
 
 
@@ -70,79 +75,222 @@ def contexts(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def pairs(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Keys of token pairs: the high ``PAIR_BYTES`` bytes of a hash."""
     key = (before ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F)
     key = (key ^ key >> np.uint64(31) ^ tokens) * np.uint64(0x165667B19E3779F9)
-    return key ^ key >> np.uint64(29)
+    return (key ^ key >> np.uint64(29)) >> _CUT << _CUT
 
 
-def gram_counts(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """(key, count) of all words (size 1) or pairs (size 2)."""
+def _streams(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``stream`` of texts of any size, a few million bytes at a time."""
+    tokens, starts, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for lo, hi in blocks_of(map(len, bodies), 1 << 22):
+        own, first = stream(bodies[lo:hi])
+        tokens.append(own)
+        starts.append(first + n)
+        n += len(own)
+    return np.concatenate(tokens), np.concatenate(starts)
+
+
+def _dealt(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by their segment, and where each segment begins in it; the end is last."""
+    own = (keys >> np.uint64(40)) % np.uint64(segments)
+    order = np.argsort(own.astype(np.uint16 if segments <= 1 << 16 else np.uint32), kind="stable")
+    return order, np.searchsorted(own[order], np.arange(segments + 1))
+
+
+def _packed(numbers: np.ndarray, width: int = 8) -> bytes:
+    """Numbers byte by byte of their places, the low ``width`` ones, so that shuffles compress them."""
+    return np.ascontiguousarray(numbers, "<u8").view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+
+
+def _unpacked(body: bytes, width: int = 8) -> np.ndarray:
+    out = np.zeros((len(body) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(body, np.uint8).reshape(width, -1).T
+    return out.reshape(-1).view("<u8").astype(np.uint64, copy=False)
+
+
+def _packed_words(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _packed_pairs(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys >> _CUT, prepend=np.uint64(0)), PAIR_BYTES)
+
+
+def _words_of(bodies: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.cumsum(_unpacked(b), dtype=np.uint64) for b in bodies.to_pylist()]
+
+
+def _pairs_of(bodies: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.cumsum(_unpacked(b, PAIR_BYTES), dtype=np.uint64) << _CUT for b in bodies.to_pylist()]
+
+
+def _by(rows: DataFrame, groups: int, *keys: str) -> GroupedData:
+    """``rows`` by keys that have so many groups; many groups take more shuffle partitions than are set, so that a task has few."""
+    wanted = parts_for(groups, TASK_GROUPS)
+    more = wanted > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(wanted, *keys) if more else rows).groupBy(*keys)
+
+
+def _size(docs: DataFrame) -> int:
+    """Bytes of all texts, and one for each row."""
+    return docs.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(1).cast("long")), F.lit(0))).first()[0]
+
+
+def gram_counts(docs: DataFrame, segments: int) -> DataFrame:
+    """(segment, words, times, pairs, pair_times): ascending keys and their counts in some of the texts, packed."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["key", "n"])
-
-        held, n = [], 0
+            columns = []
+            for parts, pack in zip(held, (_packed_words, _packed_pairs), strict=True):
+                keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+                order, at = _dealt(keys, segments)
+                columns += [[f(x[a:b]) for a, b in zip(at, at[1:])] for f, x in ((pack, keys[order]), (_packed, counts[order]))]
+            filled = [i for i in range(segments) if columns[0][i] or columns[2][i]]
+            return pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), *[pa.array([c[i] for i in filled], pa.binary()) for c in columns]],
+                                              ["segment", "words", "times", "pairs", "pair_times"])
+
+        held, n = ([], []), 0
         for batch in batches:
             bodies = texts(batch)
             for lo, hi in blocks_of(map(len, bodies), 1 << 22):
                 own, starts = stream(bodies[lo:hi])
-                held.append(own if size == 1 else pairs(contexts(own, starts), own))
+                held[0].append(own)
+                held[1].append(pairs(contexts(own, starts), own))
                 n += len(own)
                 if n >= TASK_GRAMS:
                     yield rows()
-                    held, n = [], 0
-        if held:
+                    held, n = ([], []), 0
+        if n:
             yield rows()
 
-    return pick(docs, text=text).mapInArrow(emit, "key long, n long").groupBy("key").agg(F.sum("n").alias("count"))
+    return docs.mapInArrow(emit, "segment int, words binary, times binary, pairs binary, pair_times binary")
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *parts])
+
+
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their summed counts."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts[order].astype(np.int64), first) if len(keys) else np.zeros(0, np.int64)
 
 
 @dataclass
 class Model:
-    """``words`` (key, count) is a table; everything else is bounded and goes to the executors."""
+    """``segments`` (segment, body, keys, counts) is a table: filters, and the words with their counts, packed."""
 
-    words: DataFrame
+    segments: DataFrame
+    number: int
     n: int
     v: int
     bounds: list[int]
-    filters: list[LevelFilter]
-    known: np.ndarray
-    known_counts: np.ndarray
+
+    @property
+    def filters(self) -> list[LevelFilter]:
+        """The filter of words and that of pairs, which are one, for a look at small models: ``score`` leaves it in its segments."""
+        bodies = {r.segment: bytes(r.body) for r in self.segments.select("segment", "body").collect()}
+        return [LevelFilter([bodies.get(s, bytes(8)) for s in range(self.number)])] * 2
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
-    """Counts of every text of ``docs``, and the filters."""
-    words = durable(gram_counts(docs, 1, text), "word-counts")
-    n, v = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
-    bounds = bounds_from(math.ceil(n / RESOLUTION))
-    filters = []
-    for size in (1, 2):
-        often = (words if size == 1 else gram_counts(docs, size, text)).filter(F.col("count") >= bounds[0])
-        often = durable(often, "grams") if size > 1 else often
-        filters.append(LevelFilter.build(often, often.count(), bounds, FILTER_BYTES))
-    sent = words.filter(F.col("count") * EXACT_SHARE >= n).toArrow()
-    keys = sent["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return Model(words, n, v, bounds, filters, keys[order], sent["count"].to_numpy()[order])
+    """Counts of every text of ``docs``, and the filter."""
+    base = pick(docs, text=text)
+    number, bounds = parts_for(_size(base), SEGMENT), bounds_from(1)
+
+    def build(rows: pa.Table) -> pa.Table:
+        words, times = _added(_joined(_words_of(rows["words"])), _joined([_unpacked(b) for b in rows["times"].to_pylist()]))
+        both, pair_times = _added(_joined(_pairs_of(rows["pairs"])), _joined([_unpacked(b) for b in rows["pair_times"].to_pylist()]))
+        level = np.searchsorted(bounds, np.concatenate([times, pair_times]), "right")
+        body = LevelFilter.segment(np.concatenate([words, both]), level, BITS, 1 << 62)
+        return pa.table({"segment": rows["segment"].slice(0, 1), "body": pa.array([body], pa.binary()), "keys": pa.array([_packed_words(words)], pa.binary()),
+                         "counts": pa.array([_packed(times)], pa.binary()), "n": [int(times.sum())], "v": [len(words)]})
+
+    made = _by(gram_counts(base, number), number, "segment").applyInArrow(build, "segment int, body binary, keys binary, counts binary, n long, v long")
+    segments = durable(made, "segments")
+    n, v = segments.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    return Model(segments.drop("n", "v"), number, n, v, bounds)
 
 
 def log_probabilities(tokens: np.ndarray, starts: np.ndarray, filters: list[LevelFilter], bounds: np.ndarray, n: int, v: int) -> np.ndarray:
     """log10 p of every token, from levels alone."""
-    low, high = np.append([0], bounds).astype(float), np.append(bounds, bounds[-1] * 2).astype(float) - 1
     words, at = np.unique(tokens, return_inverse=True)
-    level = filters[0].levels(words, len(bounds))
-    alone = (low[level] + 1) / (n + v + 1)
-    before = contexts(tokens, starts)
-    both, pair_at = np.unique(pairs(before, tokens), return_inverse=True)
-    pair = low[filters[1].levels(both, len(bounds))][pair_at]
-    end = np.searchsorted(words, END)
+    both, pair_at = np.unique(pairs(contexts(tokens, starts), tokens), return_inverse=True)
+    return _from_levels(filters[0].levels(words, len(bounds)), at, np.searchsorted(words, END), starts, filters[1].levels(both, len(bounds))[pair_at], bounds, n, v)
+
+
+def _from_levels(level: np.ndarray, at: np.ndarray, end: int, starts: np.ndarray, pair_level: np.ndarray, bounds: np.ndarray, n: int, v: int) -> np.ndarray:
+    """log10 p of every token from the levels of words, the word of each token, the word that is END, and the level of each token's pair."""
+    low, high = np.append([0], bounds).astype(float), np.append(bounds, bounds[-1] * 2).astype(float) - 1
+    p = ((low[level] + 1) / (n + v + 1))[at]
     previous = np.empty_like(at)
     previous[1:] = at[:-1]
     previous[starts] = end
-    held, p = level[previous], alone[at]
-    return np.log10(np.where(held > 0, (np.minimum(pair, high[held]) + SMOOTHING * p) / (high[held] + SMOOTHING), p))
+    held = high[level][previous]
+    return np.log10(np.where(held > 0, (np.minimum(low[pair_level], held) + SMOOTHING * p) / (held + SMOOTHING), p))
+
+
+def _blocks(docs: DataFrame, size: int) -> GroupedData:
+    """``docs`` (doc_id, text) of ``size`` bytes by block: rows are dealt by their number, so repeated ones do not meet in one."""
+    number = parts_for(size, BLOCK_TEXT)
+    return _by(docs.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(number))), number, "block")
+
+
+def _asked(blocks: GroupedData, segments: int) -> DataFrame:
+    """(segment, block, words, pairs): the distinct n-grams of each block, by segment, packed."""
+
+    def ask(rows: pa.Table) -> pa.Table:
+        tokens, starts = _streams(texts(rows))
+        columns = []
+        for keys, pack in ((tokens, _packed_words), (pairs(contexts(tokens, starts), tokens), _packed_pairs)):
+            keys = np.unique(keys)
+            order, at = _dealt(keys, segments)
+            keys = keys[order]
+            columns.append([pack(keys[a:b]) for a, b in zip(at, at[1:])])
+        filled = [i for i in range(segments) if columns[0][i] or columns[1][i]]
+        return pa.table({"segment": pa.array(filled, pa.int32()), "block": pa.array([rows["block"][0].as_py()] * len(filled), pa.int64()),
+                         **{name: pa.array([c[i] for i in filled], pa.binary()) for name, c in zip(("words", "pairs"), columns, strict=True)}})
+
+    return blocks.applyInArrow(ask, "segment int, block long, words binary, pairs binary")
+
+
+def _answered(asked: DataFrame, model: Model, parts: int) -> DataFrame:
+    """(block, segment, levels, counts, pair_levels) in the order of ``asked``, from the segments, each of which is sent to ``parts`` tasks."""
+    highest = len(model.bounds)
+
+    def answer(rows: pa.Table, own: pa.Table) -> pa.Table:
+        held = LevelFilter([own["body"][0].as_py() if own.num_rows else bytes(8)])
+        known, times = (_joined(x) for x in (_words_of(own["keys"]), [_unpacked(b) for b in own["counts"].to_pylist()]))
+
+        def levels(keys: np.ndarray) -> np.ndarray:
+            found = [held.levels(keys[at:at + PROBED], highest).astype(np.uint8) for at in range(0, len(keys), PROBED)]
+            return np.concatenate([np.zeros(0, np.uint8), *found])
+
+        def counts(keys: np.ndarray) -> np.ndarray:
+            if not len(known):
+                return np.zeros(len(keys), np.uint64)
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            return np.where(known[at] == keys, times[at], np.uint64(0))
+
+        def parted(every: np.ndarray, parts: list[np.ndarray], pack: Callable[[np.ndarray], bytes]) -> pa.Array:
+            ends = np.cumsum([0, *map(len, parts)])
+            return pa.array([pack(every[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
+
+        words, both = _words_of(rows["words"]), _pairs_of(rows["pairs"])
+        every = _joined(words)
+        return pa.table({"block": rows["block"], "segment": rows["segment"], "levels": parted(levels(every), words, np.ndarray.tobytes),
+                         "counts": parted(counts(every), words, _packed), "pair_levels": parted(levels(_joined(both)), both, np.ndarray.tobytes)})
+
+    dealt = asked.withColumn("part", F.pmod("block", F.lit(parts)).cast("int"))
+    bodies = model.segments.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return _by(dealt, model.number * parts, "segment", "part").cogroup(bodies.groupBy("segment", "part")).applyInArrow(
+        answer, "block long, segment int, levels binary, counts binary, pair_levels binary")
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -151,35 +299,26 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     ``base_score`` sums log10((c + 1) / (N + V + 1)) over the tokens, c exact; ``n_known`` counts tokens with c > 0;
     ``score`` is the model's log10 probability of the text.
     """
-    base = pick(docs, doc_id=doc_id, text=text)
-    id_type = base.schema["doc_id"].dataType.simpleString()
-    sent = docs.sparkSession.sparkContext.broadcast((model.filters, np.array(model.bounds), model.known, model.known_counts))
-    n, v = model.n, model.v
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, bounds, known, known_counts = sent.value
-        for batch in batches:
-            bodies = texts(batch)
-            for lo, hi in blocks_of(map(len, bodies), 1 << 22):
-                tokens, starts = stream(bodies[lo:hi])
-                place = np.searchsorted(known, tokens)
-                exact = place < len(known)
-                exact[exact] = known[place[exact]] == tokens[exact]
-                part = np.zeros(len(tokens))
-                part[exact] = np.log10((known_counts[place[exact]] + 1) / (n + v + 1))
-                rare = np.append(0, np.cumsum(~exact)).astype(np.int32)
-                sizes = np.diff(np.append(starts, len(tokens)))
-                total = np.add.reduceat(log_probabilities(tokens, starts, filters, bounds, n, v), starts)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(lo, hi - lo), pa.array(sizes), pa.array(np.add.reduceat(exact.astype(np.int64), starts)), pa.array(np.add.reduceat(part, starts)), pa.array(total),
-                    pa.ListArray.from_arrays(pa.array(rare[np.append(starts, len(tokens))]), pa.array(tokens[~exact].view(np.int64)))], ["doc_id", "n_tokens", "known", "base", "score", "rare"])
-
-    made = base.mapInArrow(emit, f"doc_id {id_type}, n_tokens long, known long, base double, score double, rare array<long>")
-    rows = durable(made.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = rows.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("n"))
-    count = F.coalesce("count", F.lit(0))
-    rest = rare.join(model.words, "key", "left").groupBy("row").agg(
-        F.sum(F.col("n") * F.log10((count + 1) / F.lit(float(n + v + 1)))).alias("more"), F.sum(F.when(count > 0, F.col("n")).otherwise(0)).alias("found"))
-    return rows.drop("rare").join(rest, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+    base = settled(pick(docs, doc_id=doc_id, text=text), "scored")
+    id_type, size = base.schema["doc_id"].dataType.simpleString(), _size(base)
+    bounds, n, v, segments = np.array(model.bounds), model.n, model.v, model.number
+    blocks = _blocks(base, size)
+    answers = _answered(_asked(blocks, segments), model, parts_for(size, 2 * SEGMENT * segments))
+
+    def scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        answers = answers.sort_by("segment")
+        tokens, starts = _streams(texts(rows))
+        words, at = np.unique(tokens, return_inverse=True)
+        both, pair_at = np.unique(pairs(contexts(tokens, starts), tokens), return_inverse=True)
+        level, count, pair_level = np.zeros(len(words), np.uint8), np.zeros(len(words)), np.zeros(len(both), np.uint8)
+        order = _dealt(words, segments)[0]
+        level[order] = np.frombuffer(b"".join(answers["levels"].to_pylist()), np.uint8)
+        count[order] = _joined([_unpacked(b) for b in answers["counts"].to_pylist()])
+        pair_level[_dealt(both, segments)[0]] = np.frombuffer(b"".join(answers["pair_levels"].to_pylist()), np.uint8)
+        each = _from_levels(level, at, np.searchsorted(words, END), starts, pair_level[pair_at], bounds, n, v)
+        return pa.table({
+            "doc_id": rows["doc_id"], "n_tokens": np.diff(np.append(starts, len(tokens))), "n_known": np.add.reduceat((count > 0).astype(np.int64)[at], starts),
+            "train_tokens": np.full(len(starts), n), "base_score": np.add.reduceat(np.log10((count + 1) / (n + v + 1))[at], starts), "score": np.add.reduceat(each, starts)})
+
+    return blocks.cogroup(answers.groupBy("block")).applyInArrow(
+        scored, f"doc_id {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
