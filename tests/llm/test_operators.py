@@ -105,6 +105,26 @@ def test_words_of_odd_texts_have_the_ids_of_whole_texts():
         assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
 
 
+def test_parts_of_words_are_tokenized_once(monkeypatch):
+    """Letters with signs after them, in both cases, beside words that must stay whole; every ASCII sign and Latin letter."""
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path, plain = P.path("word_bpe_49k.json"), Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    letters = [chr(c) for c in [*range(0xC0, 0x250), 0x1E9E, 0x212A, 0x212B]]
+    odd = ["zorkel", "Zorkel.", "ZORKEL,%%%", "zorkel's", "zorkel'", "(zorkel)", "zor-kel", "zorkel1.", "a<|endoftext|>", "a<|", "|>", "[]", "a[]", "a\\", "\u0130x.", "a\u0301.", *[f"Ab{c}." for c in letters]]
+    odd += [f"ab{chr(c)}{chr(d)}" for c in range(33, 127) for d in (33, 39, 60, 94, 115, 95)]
+    words, sent = token_file._Words(path), []
+    whole = words.whole
+    monkeypatch.setattr(words, "whole", lambda new: (sent.extend(" ".join(new).split()), whole(new))[1])
+    words.learn(odd[:3])
+    assert sent == ["zorkel", ".", ",%%%"]
+    words.learn(list(dict.fromkeys(odd[3:])))
+    for w, at in words.words.known.items():
+        got = words.words.flat[words.words.first[at]:][:words.words.sizes[at]]
+        assert got.tolist() == plain.encode(w, add_special_tokens=False).ids, w
+
+
 def test_token_file_matches_the_tokenizer(spark, sample, awkward, empty):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer

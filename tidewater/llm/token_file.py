@@ -8,7 +8,9 @@ checksummed on its own. Spark's writer commits the files, so a lost executor cos
 Reading: any task can decode any frame. Starts of frames are sums over shards, then inside a shard.
 
 Words between ASCII white space are encoded once and remembered (at most ``CACHED`` at a time in a worker): the
-tokenizer drops white space and never joins across it, so a text's ids are its words' ids in a row.
+tokenizer drops white space and never joins across it, so a text's ids are its words' ids in a row. Where the tokenizer
+is known to lower-case and to part letters from signs (``PARTED``), a word of Latin letters and signs after them is the
+ids of both, which are remembered too; new ones are tokenized many at a time and told apart by their last tokens.
 
 Nulls, empties, ties: a null or empty text has the end id alone. Documents with the same id are ordered by the hash
 of their text; null ids come first. Repeated rows are written as often as they occur. An empty table gives an
@@ -17,7 +19,9 @@ empty file set and result. Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import sys
 import types
 import zlib
@@ -39,36 +43,106 @@ GROUP = range_coder.LANES * range_coder.BLOCK       # ids that a task codes at o
 CACHED = 500_000
 SLICE = 512                                         # documents tokenized at once
 FRAMES = GROUP // FRAME                             # frames decoded at once
+JOINED = 512                                        # new parts of words in a text for the tokenizer
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"          # ASCII without letters, digits and the apostrophe, which may begin an ending
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: A tokenizer with these settings gives a word of LETTERS and SIGNS after them the ids of the lower-cased letters and then of the signs.
+PARTED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None,
+}
+
+
+def _gathered(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The stretches ``at`` of ``flat``, one after another."""
+    own = sizes[at]
+    ends = np.cumsum(own)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[at] - ends + own, own)]
+
+
+class _Ids:
+    """Ids of strings that were seen, in a row."""
+
+    def __init__(self):
+        self.known, self.flat, self.sizes, self.first = {}, np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, new: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat.astype(np.uint32)])
+        self.first = np.cumsum(self.sizes) - self.sizes
+
+    def places(self, own: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))
+
+
+class _Words:
+    """Ids of words between white space, each tokenized by itself or as two parts."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.words, self.parts, self.last = Tokenizer.from_file(path), _Ids(), _Ids(), None
+        settings = json.loads(self.tokenizer.to_str())
+        model = settings["model"]
+        if all(settings.get(k) == v for k, v in PARTED.items()) and model["type"] == "BPE" and model["end_of_word_suffix"] and not model["ignore_merges"] and not model["dropout"]:
+            self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(model["end_of_word_suffix"])]] = True
+
+    def whole(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each string, and how many."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def joined(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``whole`` for runs of letters or signs: each ends with the one token of it that ends a word."""
+        ids, _ = self.whole([" ".join(new[at:at + JOINED]) for at in range(0, len(new), JOINED)])
+        sizes = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+        if len(sizes) != len(new) or sizes.sum() != len(ids):
+            return self.whole(new)
+        return ids, sizes
+
+    def learn(self, new: list[str]) -> None:
+        """Note words that are not known yet."""
+        if self.last is not None:
+            fits = pc.match_substring_regex(pa.array(new, pa.string()), f"^[{LETTERS}]+[{re.escape(SIGNS)}]*$").to_numpy(zero_copy_only=False).tolist()
+            two = [w for w, fit in zip(new, fits) if fit]
+            new = [w for w, fit in zip(new, fits) if not fit]
+            heads = [w.rstrip(SIGNS) for w in two]
+            own = list(chain.from_iterable((h.lower(), w[len(h):]) for w, h in zip(two, heads)))
+            if not self.parts.known or len(self.parts.known) > CACHED:
+                self.parts = _Ids()
+                self.parts.add([""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
+            if fresh := list(dict.fromkeys(x for x in own if x not in self.parts.known)):
+                self.parts.add(fresh, *self.joined(fresh))
+            at = self.parts.places(own)
+            self.words.add(two, _gathered(self.parts.flat, self.parts.first, self.parts.sizes, at), self.parts.sizes[at].reshape(-1, 2).sum(axis=1))
+        if new:
+            self.words.add(new, *self.whole(new))
 
 
 def word_ids(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """Function from a text column to all its ids and their number per text; tokenizer and words stay with the worker."""
     held = sys.modules.setdefault("_tidewater_tokens", types.ModuleType("_tidewater_tokens"))
     if getattr(held, "path", None) != path:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        held.path, held.tokenizer, held.known = path, Tokenizer.from_file(path), {}
+        held.path, held.own = path, _Words(path)
 
     def encode(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = pc.ascii_split_whitespace(column.fill_null(""))
         codes = words.flatten().dictionary_encode()
-        own = codes.dictionary.to_pylist()
-        if not held.known or len(held.known) > CACHED:
-            held.known, held.flat, held.sizes = {}, np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        known = held.known
-        new = [w for w in own if w not in known]
-        if new:
-            found = [e.ids for e in held.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            held.sizes = np.concatenate([held.sizes, np.fromiter(map(len, found), np.int64, len(found))])
-            held.flat = np.concatenate([held.flat, np.fromiter(chain.from_iterable(found), np.uint32)])
-            held.first = np.cumsum(held.sizes) - held.sizes
-        at = np.fromiter(map(known.__getitem__, own), np.int64, len(own))[codes.indices.to_numpy()]
-        sizes = held.sizes[at]
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        ids = held.flat[np.arange(ends[-1]) + np.repeat(held.first[at] - ends[:-1], sizes)]
-        return ids, np.diff(ends[np.cumsum(words.value_lengths().to_numpy())], prepend=0)
+        own = codes.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(held.own.words.known) > CACHED:
+            held.own.words = _Ids()
+        known = held.own.words.known
+        if new := [w for w in own if w not in known]:
+            held.own.learn(new)
+        seen = held.own.words
+        at = seen.places(own)[codes.indices.to_numpy()]
+        ends = np.concatenate([[0], np.cumsum(seen.sizes[at])]).astype(np.int64)
+        return _gathered(seen.flat, seen.first, seen.sizes, at), np.diff(ends[np.cumsum(words.value_lengths().to_numpy())], prepend=0)
 
     return encode
 
