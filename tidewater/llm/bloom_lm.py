@@ -15,8 +15,8 @@ blocks of about ``BLOCK_TEXT`` bytes. The distinct n-grams of a block go to the
 the exact counts of words come back to the block, and there its texts are scored. Nothing of this is broadcast.
 
 Nulls, empties, repeats: a null or empty text is its end token alone. A null mark counts as training text. Repeated
-rows count and are scored as often as they occur; ids are carried along. Words are told apart by 64-bit hashes, pairs by
-48 bits of one. Extra columns are ignored. An empty table gives an empty result; without training text every base score is zero.
+rows count and are scored as often as they occur; ids are carried along. Words and pairs are told
+apart by 64-bit hashes. Extra columns are ignored. An empty table gives an empty result; without training text every base score is zero.
 """
 
 from __future__ import annotations
@@ -38,12 +38,11 @@ BITS = 6.0                   # of the filter for each level of an n-gram, at lea
 BLOCK_TEXT = 8 << 20         # bytes of text scored together
 TASK_GROUPS = 2              # segments or blocks of a task, about, where there are many
 PROBED = 1 << 19             # n-grams looked up at once
+PART_GRAMS = 1 << 17         # n-grams of one length that share a stretch of bits in a segment
 EXACT_SHARE = 1 << 20        # not read any more: the exact count of every word comes with its level
 STEP = 1.5                   # between the bounds of levels
 SMOOTHING = 32.0             # K: weight of the word's own probability
 TASK_GRAMS = 1 << 22         # tokens a task holds before it passes counts on
-PAIR_BYTES = 6               # of the hash of a pair; lookups that fail by it are far fewer than by the filter
-_CUT = np.uint64(64 - 8 * PAIR_BYTES)
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
 
 
@@ -75,10 +74,9 @@ def contexts(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def pairs(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Keys of token pairs: the high ``PAIR_BYTES`` bytes of a hash."""
     key = (before ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xC2B2AE3D27D4EB4F)
     key = (key ^ key >> np.uint64(31) ^ tokens) * np.uint64(0x165667B19E3779F9)
-    return (key ^ key >> np.uint64(29)) >> _CUT << _CUT
+    return key ^ key >> np.uint64(29)
 
 
 def _streams(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -99,34 +97,24 @@ def _dealt(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(own[order], np.arange(segments + 1))
 
 
-def _packed(numbers: np.ndarray, width: int = 8) -> bytes:
-    """Numbers byte by byte of their places, the low ``width`` ones, so that shuffles compress them."""
-    return np.ascontiguousarray(numbers, "<u8").view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte of their places, so that shuffles compress them."""
+    return np.ascontiguousarray(numbers, "<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _unpacked(body: bytes, width: int = 8) -> np.ndarray:
-    out = np.zeros((len(body) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(body, np.uint8).reshape(width, -1).T
-    return out.reshape(-1).view("<u8").astype(np.uint64, copy=False)
+def _unpacked(body: bytes) -> np.ndarray:
+    return np.frombuffer(body, np.uint8).reshape(8, -1).T.copy().reshape(-1).view("<u8")
 
 
-def _packed_words(keys: np.ndarray) -> bytes:
+def _packed_keys(keys: np.ndarray) -> bytes:
     """Ascending keys by their differences."""
     return _packed(np.diff(keys, prepend=np.uint64(0)))
 
 
-def _packed_pairs(keys: np.ndarray) -> bytes:
-    return _packed(np.diff(keys >> _CUT, prepend=np.uint64(0)), PAIR_BYTES)
-
-
-def _words_of(bodies: pa.ChunkedArray) -> list[np.ndarray]:
+def _keys_of(bodies: pa.ChunkedArray) -> list[np.ndarray]:
     return [np.cumsum(_unpacked(b), dtype=np.uint64) for b in bodies.to_pylist()]
 
 
-def _pairs_of(bodies: pa.ChunkedArray) -> list[np.ndarray]:
-    return [np.cumsum(_unpacked(b, PAIR_BYTES), dtype=np.uint64) << _CUT for b in bodies.to_pylist()]
-
-
 def _by(rows: DataFrame, groups: int, *keys: str) -> GroupedData:
     """``rows`` by keys that have so many groups; many groups take more shuffle partitions than are set, so that a task has few."""
     wanted = parts_for(groups, TASK_GROUPS)
@@ -145,10 +133,10 @@ def gram_counts(docs: DataFrame, segments: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
             columns = []
-            for parts, pack in zip(held, (_packed_words, _packed_pairs), strict=True):
+            for parts in held:
                 keys, counts = np.unique(np.concatenate(parts), return_counts=True)
                 order, at = _dealt(keys, segments)
-                columns += [[f(x[a:b]) for a, b in zip(at, at[1:])] for f, x in ((pack, keys[order]), (_packed, counts[order]))]
+                columns += [[f(x[a:b]) for a, b in zip(at, at[1:])] for f, x in ((_packed_keys, keys[order]), (_packed, counts[order]))]
             filled = [i for i in range(segments) if columns[0][i] or columns[2][i]]
             return pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), *[pa.array([c[i] for i in filled], pa.binary()) for c in columns]],
                                               ["segment", "words", "times", "pairs", "pair_times"])
@@ -182,9 +170,29 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts[order].astype(np.int64), first) if len(keys) else np.zeros(0, np.int64)
 
 
+def _filled(keys: np.ndarray, counts: np.ndarray, bounds: list[int]) -> pa.Array:
+    """The bodies of a ``LevelFilter`` of ``keys``, as one row."""
+    number = parts_for(len(keys), PART_GRAMS)
+    level, own = np.searchsorted(bounds, counts, "right"), (keys >> np.uint64(40)) % np.uint64(number)
+    return pa.array([[LevelFilter.segment(keys[own == s], level[own == s], BITS, 1 << 62) for s in range(number)]], pa.list_(pa.binary()))
+
+
+@dataclass
+class _Segments:
+    """Filters of all segments in one place."""
+
+    own: list[LevelFilter]
+
+    def levels(self, keys: np.ndarray, highest: int) -> np.ndarray:
+        out, order = np.zeros(len(keys), np.int64), _dealt(keys, len(self.own))
+        for held, a, b in zip(self.own, order[1], order[1][1:]):
+            out[order[0][a:b]] = held.levels(keys[order[0][a:b]], highest)
+        return out
+
+
 @dataclass
 class Model:
-    """``segments`` (segment, body, keys, counts) is a table: filters, and the words with their counts, packed."""
+    """``segments`` (segment, words, pairs, keys, counts) is a table: filters of both lengths, and the words with their counts, packed."""
 
     segments: DataFrame
     number: int
@@ -193,10 +201,10 @@ class Model:
     bounds: list[int]
 
     @property
-    def filters(self) -> list[LevelFilter]:
-        """The filter of words and that of pairs, which are one, for a look at small models: ``score`` leaves it in its segments."""
-        bodies = {r.segment: bytes(r.body) for r in self.segments.select("segment", "body").collect()}
-        return [LevelFilter([bodies.get(s, bytes(8)) for s in range(self.number)])] * 2
+    def filters(self) -> list[_Segments]:
+        """The filters of words and of pairs, for a look at small models: ``score`` leaves them in their segments."""
+        held = {r.segment: r for r in self.segments.select("segment", "words", "pairs").collect()}
+        return [_Segments([LevelFilter([bytes(b) for b in held[s][name]] if s in held else [bytes(8)]) for s in range(self.number)]) for name in ("words", "pairs")]
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
@@ -205,14 +213,13 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     number, bounds = parts_for(_size(base), SEGMENT), bounds_from(1)
 
     def build(rows: pa.Table) -> pa.Table:
-        words, times = _added(_joined(_words_of(rows["words"])), _joined([_unpacked(b) for b in rows["times"].to_pylist()]))
-        both, pair_times = _added(_joined(_pairs_of(rows["pairs"])), _joined([_unpacked(b) for b in rows["pair_times"].to_pylist()]))
-        level = np.searchsorted(bounds, np.concatenate([times, pair_times]), "right")
-        body = LevelFilter.segment(np.concatenate([words, both]), level, BITS, 1 << 62)
-        return pa.table({"segment": rows["segment"].slice(0, 1), "body": pa.array([body], pa.binary()), "keys": pa.array([_packed_words(words)], pa.binary()),
-                         "counts": pa.array([_packed(times)], pa.binary()), "n": [int(times.sum())], "v": [len(words)]})
-
-    made = _by(gram_counts(base, number), number, "segment").applyInArrow(build, "segment int, body binary, keys binary, counts binary, n long, v long")
+        words, times = _added(_joined(_keys_of(rows["words"])), _joined([_unpacked(b) for b in rows["times"].to_pylist()]))
+        both, pair_times = _added(_joined(_keys_of(rows["pairs"])), _joined([_unpacked(b) for b in rows["pair_times"].to_pylist()]))
+        return pa.table({"segment": rows["segment"].slice(0, 1), "words": _filled(words, times, bounds), "pairs": _filled(both, pair_times, bounds),
+                         "keys": pa.array([_packed_keys(words)], pa.binary()), "counts": pa.array([_packed(times)], pa.binary()), "n": [int(times.sum())], "v": [len(words)]})
+
+    made = _by(gram_counts(base, number), number, "segment").applyInArrow(
+        build, "segment int, words array<binary>, pairs array<binary>, keys binary, counts binary, n long, v long")
     segments = durable(made, "segments")
     n, v = segments.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     return Model(segments.drop("n", "v"), number, n, v, bounds)
@@ -248,11 +255,10 @@ def _asked(blocks: GroupedData, segments: int) -> DataFrame:
     def ask(rows: pa.Table) -> pa.Table:
         tokens, starts = _streams(texts(rows))
         columns = []
-        for keys, pack in ((tokens, _packed_words), (pairs(contexts(tokens, starts), tokens), _packed_pairs)):
-            keys = np.unique(keys)
+        for keys in (np.unique(tokens), np.unique(pairs(contexts(tokens, starts), tokens))):
             order, at = _dealt(keys, segments)
             keys = keys[order]
-            columns.append([pack(keys[a:b]) for a, b in zip(at, at[1:])])
+            columns.append([_packed_keys(keys[a:b]) for a, b in zip(at, at[1:])])
         filled = [i for i in range(segments) if columns[0][i] or columns[1][i]]
         return pa.table({"segment": pa.array(filled, pa.int32()), "block": pa.array([rows["block"][0].as_py()] * len(filled), pa.int64()),
                          **{name: pa.array([c[i] for i in filled], pa.binary()) for name, c in zip(("words", "pairs"), columns, strict=True)}})
@@ -265,10 +271,10 @@ def _answered(asked: DataFrame, model: Model, parts: int) -> DataFrame:
     highest = len(model.bounds)
 
     def answer(rows: pa.Table, own: pa.Table) -> pa.Table:
-        held = LevelFilter([own["body"][0].as_py() if own.num_rows else bytes(8)])
-        known, times = (_joined(x) for x in (_words_of(own["keys"]), [_unpacked(b) for b in own["counts"].to_pylist()]))
+        word_filter, pair_filter = (LevelFilter(own[name][0].as_py() if own.num_rows else [bytes(8)]) for name in ("word_filter", "pair_filter"))
+        known, times = (_joined(x) for x in (_keys_of(own["keys"]), [_unpacked(b) for b in own["counts"].to_pylist()]))
 
-        def levels(keys: np.ndarray) -> np.ndarray:
+        def levels(held: LevelFilter, keys: np.ndarray) -> np.ndarray:
             found = [held.levels(keys[at:at + PROBED], highest).astype(np.uint8) for at in range(0, len(keys), PROBED)]
             return np.concatenate([np.zeros(0, np.uint8), *found])
 
@@ -282,13 +288,13 @@ def _answered(asked: DataFrame, model: Model, parts: int) -> DataFrame:
             ends = np.cumsum([0, *map(len, parts)])
             return pa.array([pack(every[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
 
-        words, both = _words_of(rows["words"]), _pairs_of(rows["pairs"])
+        words, both = _keys_of(rows["words"]), _keys_of(rows["pairs"])
         every = _joined(words)
-        return pa.table({"block": rows["block"], "segment": rows["segment"], "levels": parted(levels(every), words, np.ndarray.tobytes),
-                         "counts": parted(counts(every), words, _packed), "pair_levels": parted(levels(_joined(both)), both, np.ndarray.tobytes)})
+        return pa.table({"block": rows["block"], "segment": rows["segment"], "levels": parted(levels(word_filter, every), words, np.ndarray.tobytes),
+                         "counts": parted(counts(every), words, _packed), "pair_levels": parted(levels(pair_filter, _joined(both)), both, np.ndarray.tobytes)})
 
     dealt = asked.withColumn("part", F.pmod("block", F.lit(parts)).cast("int"))
-    bodies = model.segments.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    bodies = model.segments.withColumnsRenamed({"words": "word_filter", "pairs": "pair_filter"}).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return _by(dealt, model.number * parts, "segment", "part").cogroup(bodies.groupBy("segment", "part")).applyInArrow(
         answer, "block long, segment int, levels binary, counts binary, pair_levels binary")
 
