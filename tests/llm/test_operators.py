@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import sys
 import time
 import tracemalloc
 import zlib
@@ -125,6 +126,32 @@ def test_parts_of_words_are_tokenized_once(monkeypatch):
         assert got.tolist() == plain.encode(w, add_special_tokens=False).ids, w
 
 
+def test_memory_of_a_worker_that_tokenizes():
+    """Texts of ever new words: words are held for one slice only, and their ids are copied in pieces."""
+    P = pytest.importorskip("public_tokenizers")
+    path = P.path("word_bpe_49k.json")
+    rng = np.random.default_rng(6)
+    column = pa.array([" ".join("".join(map(chr, w)) for w in rng.integers(97, 123, (300, 4)).tolist()) for _ in range(1500)], pa.string())
+    encode = token_file.word_ids(path)
+    encode(column.slice(0, 10))
+    tracemalloc.start()
+    for at in range(0, len(column), 500):
+        encode(column.slice(at, 500))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(sys.modules["_tidewater_tokens"].own.words.known) <= 150_000
+    assert peak < 72 << 20, peak
+
+
+def test_gathered_stretches_across_pieces(monkeypatch):
+    monkeypatch.setattr(token_file, "PIECE", 3)
+    sizes = np.array([2, 0, 3, 1])
+    flat, first = np.arange(10, 16, dtype=np.uint32), np.cumsum(sizes) - sizes
+    at = np.array([3, 1, 1, 0, 2, 2, 1, 0, 3, 1])
+    assert token_file._gathered(flat, first, sizes, at).tolist() == [15, 10, 11, 12, 13, 14, 12, 13, 14, 10, 11, 15]
+    assert token_file._gathered(flat, first, sizes, at[:0]).tolist() == []
+
+
 def test_token_file_matches_the_tokenizer(spark, sample, awkward, empty):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer

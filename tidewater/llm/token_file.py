@@ -7,10 +7,10 @@ checksummed on its own. Spark's writer commits the files, so a lost executor cos
 
 Reading: any task can decode any frame. Starts of frames are sums over shards, then inside a shard.
 
-Words between ASCII white space are encoded once and remembered (at most ``CACHED`` at a time in a worker): the
-tokenizer drops white space and never joins across it, so a text's ids are its words' ids in a row. Where the tokenizer
-is known to lower-case and to part letters from signs (``PARTED``), a word of Latin letters and signs after them is the
-ids of both, which are remembered too; new ones are tokenized many at a time and told apart by their last tokens.
+Words between ASCII white space are encoded once for ``SLICE`` documents: the tokenizer drops white space and never
+joins across it, so a text's ids are its words' ids in a row. Where the tokenizer is known to lower-case and to part
+letters from signs (``PARTED``), a word of Latin letters and signs after them is the ids of both. These parts are
+remembered (about ``CACHED`` at a time in a worker), and new ones go to the tokenizer's model itself.
 
 Nulls, empties, ties: a null or empty text has the end id alone. Documents with the same id are ordered by the hash
 of their text; null ids come first. Repeated rows are written as often as they occur. An empty table gives an
@@ -25,8 +25,9 @@ import re
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +40,15 @@ from tidewater.llm import range_coder
 from tidewater.llm.shared import pick
 
 FRAME = 16_384
-GROUP = range_coder.LANES * range_coder.BLOCK       # ids that a task codes at once
-CACHED = 500_000
-SLICE = 512                                         # documents tokenized at once
-FRAMES = GROUP // FRAME                             # frames decoded at once
-JOINED = 512                                        # new parts of words in a text for the tokenizer
+GROUP = 1 << 22                                     # ids that a task codes at once
+CACHED = 250_000
+SLICE = 2048                                        # documents tokenized at once
+FRAMES = range_coder.LANES // 5                     # frames decoded at once; most have four full blocks and a rest
+PIECE = 1 << 16                                     # stretches of ids copied at once
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"          # ASCII without letters, digits and the apostrophe, which may begin an ending
-LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+LOWER = "a-z\u00df-\u00f6\u00f8-\u00ff"
+LETTERS = "A-Z\u00c0-\u00d6\u00d8-\u00de" + LOWER
+ALPHABET = "".join(filter(str.isalpha, map(chr, [*range(0x80), *range(0xC0, 0x100)])))          # LETTERS, one by one
 #: A tokenizer with these settings gives a word of LETTERS and SIGNS after them the ids of the lower-cased letters and then of the signs.
 PARTED = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -58,9 +61,15 @@ PARTED = {
 
 def _gathered(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The stretches ``at`` of ``flat``, one after another."""
-    own = sizes[at]
+    own = sizes.take(at)
     ends = np.cumsum(own)
-    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[at] - ends + own, own)]
+    out = np.empty(int(ends[-1]) if len(ends) else 0, flat.dtype)
+    for lo in range(0, len(at), PIECE):                  # places are 64-bit numbers
+        part, size, start = at[lo:lo + PIECE], own[lo:lo + PIECE], int(ends[lo] - own[lo])
+        places = np.repeat(first.take(part) - (ends[lo:lo + PIECE] - size - start), size)
+        places += np.arange(len(places))
+        flat.take(places, out=out[start:start + len(places)], mode="clip")
+    return out
 
 
 class _Ids:
@@ -83,43 +92,55 @@ class _Words:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.words, self.parts, self.last = Tokenizer.from_file(path), _Ids(), _Ids(), None
+        self.tokenizer, self.words, self.parts, self.model = Tokenizer.from_file(path), _Ids(), _Ids(), None
         settings = json.loads(self.tokenizer.to_str())
         model = settings["model"]
         if all(settings.get(k) == v for k, v in PARTED.items()) and model["type"] == "BPE" and model["end_of_word_suffix"] and not model["ignore_merges"] and not model["dropout"]:
-            self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
-            self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(model["end_of_word_suffix"])]] = True
+            self.model, level = self.tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.spelt = str.maketrans({c: level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))})
 
     def whole(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of each string, and how many."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
-
-    def joined(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``whole`` for runs of letters or signs: each ends with the one token of it that ends a word."""
-        ids, _ = self.whole([" ".join(new[at:at + JOINED]) for at in range(0, len(new), JOINED)])
-        sizes = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
-        if len(sizes) != len(new) or sizes.sum() != len(ids):
-            return self.whole(new)
-        return ids, sizes
+        """Ids of each string, and how many; small letters alone and signs alone are what the model gets in any case."""
+        plain = np.zeros(len(new), bool)
+        if self.model:
+            plain = pc.match_substring_regex(pa.array(new, pa.string()), f"^([{LOWER}]+|[{re.escape(SIGNS)}]+)$").to_numpy(zero_copy_only=False)
+        flat, sizes = array("I"), np.zeros(len(new), np.int64)
+        tokenize, own = getattr(self.model, "tokenize", None), []
+        for word in compress(new, plain):
+            tokens = tokenize(word if word.isascii() else word.translate(self.spelt))
+            own.append(len(tokens))
+            flat.extend([t.id for t in tokens])
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast(list(compress(new, ~plain)), add_special_tokens=False)]
+        sizes[plain], sizes[~plain] = own, list(map(len, rest))
+        flat.extend(chain.from_iterable(rest))
+        # plain ones are listed first
+        order = np.argsort(~plain, kind="stable")
+        first = np.empty(len(new), np.int64)
+        first[order] = np.cumsum(sizes[order]) - sizes[order]
+        return _gathered(np.array(flat, np.uint32), first, sizes, np.arange(len(new))), sizes
 
     def learn(self, new: list[str]) -> None:
-        """Note words that are not known yet."""
-        if self.last is not None:
-            fits = pc.match_substring_regex(pa.array(new, pa.string()), f"^[{LETTERS}]+[{re.escape(SIGNS)}]*$").to_numpy(zero_copy_only=False).tolist()
-            two = [w for w, fit in zip(new, fits) if fit]
-            new = [w for w, fit in zip(new, fits) if not fit]
-            heads = [w.rstrip(SIGNS) for w in two]
-            own = list(chain.from_iterable((h.lower(), w[len(h):]) for w, h in zip(two, heads)))
+        """Hold the ids of these words."""
+        self.words = _Ids()
+        if self.model:
+            names = pa.array(new, pa.string())
+            fits = pc.match_substring_regex(names, f"^[{LETTERS}]+[{re.escape(SIGNS)}]*$")
+            two = names.filter(fits)
+            heads = pc.ascii_rtrim(two, SIGNS)
+            tails = pc.utf8_ltrim(two, ALPHABET)
+            codes = pa.chunked_array([pc.utf8_lower(heads), tails]).combine_chunks().dictionary_encode()
+            own = codes.dictionary.to_numpy(zero_copy_only=False).tolist()
             if not self.parts.known or len(self.parts.known) > CACHED:
                 self.parts = _Ids()
                 self.parts.add([""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
-            if fresh := list(dict.fromkeys(x for x in own if x not in self.parts.known)):
-                self.parts.add(fresh, *self.joined(fresh))
-            at = self.parts.places(own)
-            self.words.add(two, _gathered(self.parts.flat, self.parts.first, self.parts.sizes, at), self.parts.sizes[at].reshape(-1, 2).sum(axis=1))
+            if fresh := [x for x in own if x not in self.parts.known]:
+                self.parts.add(fresh, *self.whole(fresh))
+            at = self.parts.places(own)[codes.indices.to_numpy()].reshape(2, -1)
+            fits = fits.to_numpy(zero_copy_only=False)
+            self.words.add(list(compress(new, fits)), _gathered(self.parts.flat, self.parts.first, self.parts.sizes, at.T.reshape(-1)), self.parts.sizes[at].sum(axis=0))
+            new = list(compress(new, ~fits))
         if new:
             self.words.add(new, *self.whole(new))
 
@@ -134,11 +155,7 @@ def word_ids(path: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
         words = pc.ascii_split_whitespace(column.fill_null(""))
         codes = words.flatten().dictionary_encode()
         own = codes.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(held.own.words.known) > CACHED:
-            held.own.words = _Ids()
-        known = held.own.words.known
-        if new := [w for w in own if w not in known]:
-            held.own.learn(new)
+        held.own.learn(own)
         seen = held.own.words
         at = seen.places(own)[codes.indices.to_numpy()]
         ends = np.concatenate([[0], np.cumsum(seen.sizes[at])]).astype(np.int64)
