@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.commerce import pair_counts
 from tidewater.operators.ordered import scan
-from tidewater.operators.rel import attach
-from tidewater.sources.durable import durable
+from tidewater.operators.pairs import in_rounds, paired
+from tidewater.operators.rel import attach, small_side
+from tidewater.sources.durable import discard, durable, freed_shuffles
 
 
 def association_rules(baskets: DataFrame, items: str, min_support: float = 0.01, min_confidence: float = 0.5, longest: int | None = None) -> DataFrame:
@@ -113,33 +114,58 @@ def cosine_items(ratings: DataFrame, user: str, item: str, rating: str, least: f
     formed: an item's ratings are read from users with few items to users with many, until the norm of the rest is below
     ``least``. Two items that meet only in their rests cannot be similar enough, so pairs are made of the first ratings
     alone. What they add up to there, and at most one rest's norm, bounds their similarity; the pairs whose bound reaches
-    ``least`` are then computed on all ratings. Null users, items and ratings are ignored; repeated ratings add up. Items
-    whose norm is 0 are similar to nothing (null; left out with ``least``).
+    ``least`` are then computed on all ratings. More first pairs than one round has are made and bounded in rounds
+    (``operators/pairs.py``). Null users, items and ratings are ignored; repeated ratings add up. Items whose norm is 0 are
+    similar to nothing (null; left out with ``least``).
     """
     r = ratings.select(F.col(user).alias("_u"), F.col(item).alias("_i"), F.col(rating).cast("double").alias("_r")).dropna()
-    r = durable(r.groupBy("_u", "_i").agg(F.sum("_r").alias("_r")), "ratings")
+    if least is not None and not least > 0:
+        raise ValueError("least must be above 0")
+    with freed_shuffles(ratings.sparkSession):
+        r = durable(r.groupBy("_u", "_i").agg(F.sum("_r").alias("_r")), "ratings")
     norms = r.groupBy("_i").agg(F.sqrt(F.sum(F.col("_r") * F.col("_r"))).alias("_n"), F.count(F.lit(1)).alias("_rows"))
     if least is None:
         dots = _met(r, "_r", block).groupBy("item_a", "item_b").agg(F.sum(F.col("_x") * F.col("_y")).alias("_dot"))
         na, nb = (norms.select(F.col("_i").alias(f"item_{x}"), F.col("_n").alias(f"_n{x}")) for x in "ab")
         return dots.join(na, "item_a").join(nb, "item_b").select("item_a", "item_b", F.try_divide("_dot", F.col("_na") * F.col("_nb")).alias("similarity"))
-    if not least > 0:
-        raise ValueError("least must be above 0")
     bar = least - 1e-9
-    unit = attach(r, norms.filter("_n > 0"), ["_i"], spread=["_u"]).select("_u", "_i", (F.col("_r") / F.col("_n")).alias("_w"))
-    sizes = unit.groupBy("_u").agg(F.count(F.lit(1)).alias("_rows"))
-    sized = durable(attach(unit, sizes.withColumn("_size", F.col("_rows")), ["_u"], spread=["_i"]).select("_u", "_i", "_w", "_size"), "units")
-    # Read from the end: the norm of the rest is a running sum over users with most items first.
-    rests = scan(sized, ["_i"], ["-_size", "_u"], _rest=("sum", F.col("_w") * F.col("_w")))
-    first = durable(rests.filter(F.col("_rest") >= bar * bar - 1e-9).select("_u", "_i", "_w", (F.col("_rest") - F.col("_w") * F.col("_w")).alias("_after")), "first")
+    with freed_shuffles(ratings.sparkSession):
+        unit = attach(r, norms.filter("_n > 0"), ["_i"], spread=["_u"]).select("_u", "_i", (F.col("_r") / F.col("_n")).alias("_w"))
+        sizes = unit.groupBy("_u").agg(F.count(F.lit(1)).alias("_rows"))
+        sized = durable(attach(unit, sizes.withColumn("_size", F.col("_rows")), ["_u"], spread=["_i"]).select("_u", "_i", "_w", "_size"), "units")
+        discard(r)
+        # Read from the end: the norm of the rest is a running sum over users with most items first.
+        rests = scan(sized, ["_i"], ["-_size", "_u"], _rest=("sum", F.col("_w") * F.col("_w")))
+        first = durable(rests.filter(F.col("_rest") >= bar * bar - 1e-9).select("_u", "_i", "_w", (F.col("_rest") - F.col("_w") * F.col("_w")).alias("_after")), "first")
+        close = _close(first, bar, block)
+        discard(first)
+        looked = durable(close.select(F.explode(F.array("item_a", "item_b")).alias("_i")).distinct(), "looked")
+        held = durable(sized.join(small_side(looked), "_i", "left_semi").select("_u", "_i", "_w"), "held")
+        discard(sized)
+    left, right = (held.select("_u", F.col("_i").alias(f"item_{x}"), F.col("_w").alias(f"_w{x}")) for x in "ab")
+    dots = close.join(left, "item_a").join(right, ["_u", "item_b"]).groupBy("item_a", "item_b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("similarity"))
+    return dots.filter(F.col("similarity") >= bar)
+
+
+def _close(first: DataFrame, bar: float, block: int) -> DataFrame:
+    """(item_a, item_b), written, of the pairs of first ratings that ``bar`` does not rule out; many are made in rounds."""
     left_over = first.groupBy("_i").agg(F.sqrt(F.greatest(F.min("_after"), F.lit(0.0))).alias("_left"), F.count(F.lit(1)).alias("_rows"))
-    first = attach(first, left_over, ["_i"], spread=["_u"]).select("_u", "_i", F.struct("_w", "_left").alias("_v"))
     # Past the nearer end of the two first parts only the rest of one item is met, so its norm bounds what is missing.
+    sizes = durable(first.groupBy("_u").agg(F.count(F.lit(1)).alias("_rows")), "sizes")
+    made, largest, n = sizes.agg(F.sum(F.col("_rows") * (F.col("_rows") - 1) / 2), F.max("_rows"), F.sum("_rows")).first()
+    left_over = durable(left_over.withColumn("_held", F.col("_rows")), "left_over")
+    first = attach(first, left_over, ["_i"], spread=["_u"])
+    if in_rounds(int(made or 0), left_over.count()):
+        # Single precision in the lists: its rounding is far below the 1e-6 that the bound leaves.
+        rows = attach(first, sizes.withColumn("_size", F.col("_rows")), ["_u"], spread=["_i"])
+        rows = rows.select("_u", "_i", "_held", "_size", F.col("_w").cast("float").alias("_w"), F.col("_left").cast("float").alias("_left"))
+        most = F.sum(F.col("_x__w").cast("double") * F.col("_y__w")) + F.max(F.greatest("_x__left", "_y__left"))
+        pairs = paired(rows, "_u", "_i", int(made), n, {"_most": most}, F.col("_most") >= bar - 2e-6, ("_w", "_left"), block, largest)
+        discard(sizes, left_over)
+        return pairs.select("item_a", "item_b")
+    first = first.select("_u", "_i", F.struct("_w", "_left").alias("_v"))
     most = F.sum(F.col("_x._w") * F.col("_y._w")) + F.max(F.greatest("_x._left", "_y._left"))
-    close = durable(_met(first, "_v", block).groupBy("item_a", "item_b").agg(most.alias("_most")).filter(F.col("_most") >= bar - 1e-6).select("item_a", "item_b"), "pairs")
-    left, right = (sized.select("_u", F.col("_i").alias(f"item_{x}"), F.col("_w").alias(f"_w{x}")) for x in "ab")
-    dots = close.join(left, "item_a").join(right, ["_u", "item_b"]).groupBy("item_a", "item_b").agg(F.sum(F.col("_wa") * F.col("_wb")).alias("similarity"))
-    return dots.filter(F.col("similarity") >= bar)
+    return durable(_met(first, "_v", block).groupBy("item_a", "item_b").agg(most.alias("_most")).filter(F.col("_most") >= bar - 1e-6).select("item_a", "item_b"), "pairs")
 
 
 def _met(rows: DataFrame, value: str, block: int) -> DataFrame:

@@ -7,13 +7,16 @@ of one machine would be lost with it.
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_FREEING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -56,6 +59,32 @@ def durable(df: DataFrame, label: str = "step") -> DataFrame:
     return out
 
 
+def durable_rounds(make: Callable[[int], DataFrame], rounds: int, label: str = "step") -> DataFrame:
+    """``durable`` of the rows of ``make(0)`` to ``make(rounds - 1)``, written one after another."""
+    path = None
+    for k in range(rounds):
+        df = make(k)
+        path = path or scratch(df.sparkSession, label)
+        df.write.mode("append").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Jobs run herein delete their shuffle files when they end, not when the driver next collects its garbage.
+
+    For results that are written; a frame acted on herein and once more later would make its shuffles again.
+    """
+    before = spark.conf.get(_FREEING, None)
+    spark.conf.set(_FREEING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREEING, before) if before is not None else spark.conf.unset(_FREEING)
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete intermediate tables that nothing unwritten reads any more; what is not a ``durable`` result is left alone."""
     for df in tables:
