@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.columns import growth
 from tidewater.operators.ordered import reach_back, scan
+from tidewater.operators.pairs import in_rounds, paired
 from tidewater.operators.rel import attach
-from tidewater.sources.durable import durable
+from tidewater.sources.durable import discard, durable, freed_shuffles
 
 PAIR_ROWS = 1 << 20           # pairs that one task makes or counts
 
@@ -20,29 +21,53 @@ def pair_counts(df: DataFrame, group: str, item: str, min_support: int = 1, big:
     directly. Larger groups never list their pairs while ``min_support`` exceeds their number:
     a frequent pair then occurs in some small group too, so it is only looked up in them. With a
     lower support their pairs are results themselves and are made in blocks over many tasks.
+    More pairs than one round has are made and counted in rounds (``operators/pairs.py``).
     """
-    rows = durable(df.select(group, item).distinct(), "items")
-    if min_support > 1:
-        enough = rows.groupBy(item).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= min_support)
-        rows = attach(rows, enough, [item], spread=[group])
-    sizes = rows.groupBy(group).agg(F.count("*").alias("_rows"))
-    sized = durable(attach(rows, sizes.withColumn("_size", F.col("_rows")), [group], spread=[item]), "baskets")
+    with freed_shuffles(df.sparkSession):
+        rows = durable(df.select(group, item).distinct(), "items")
+    return counted_pairs(rows, group, item, min_support, big, last=True)
+
+
+def counted_pairs(rows: DataFrame, group: str, item: str, min_support: int, big: int = 1000, last: bool = False) -> DataFrame:
+    """``pair_counts`` of stored rows that are distinct; ``last``: nothing reads them after."""
+    spark, kept = rows.sparkSession, rows
+    with freed_shuffles(spark):
+        if min_support > 1:
+            enough = rows.groupBy(item).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= min_support)
+            rows = attach(rows, enough, [item], spread=[group])
+        sizes = rows.groupBy(group).agg(F.count("*").alias("_rows"))
+        sized = durable(attach(rows, sizes.withColumn("_size", F.col("_rows")), [group], spread=[item]), "baskets")
+        discard(kept if last else None)
+        of_rows = lambda which: F.coalesce(F.sum(F.when(which, (F.col("_size") - 1) / 2)), F.lit(0))        # noqa: E731
+        made, more, items, largest, n = sized.agg(of_rows(F.col("_size") <= big), of_rows(F.col("_size") > big), F.approx_count_distinct(item), F.max("_size"), F.count("*")).first()
+        large_groups = sized.filter(F.col("_size") > big).select(group).distinct().count()
+    looked_up = min_support > large_groups > 0
+    fewest = min_support - large_groups if looked_up else min_support
+    known = None
+    if in_rounds(int(made if looked_up else made + more), items):
+        meet = sized.filter(F.col("_size") <= big) if looked_up else sized
+        with freed_shuffles(spark):
+            held = meet.groupBy(item).agg(F.count("*").alias("_rows")).withColumn("_held", F.col("_rows"))
+            meet = attach(meet, held, [item], spread=[group])
+            known = paired(meet, group, item, int(made if looked_up else made + more), n, {"support": F.count("*")}, F.col("support") >= fewest, big=big, largest=big if looked_up else largest)
+    if known is not None and not looked_up:
+        discard(sized)
+        return known
     small = sized.filter(F.col("_size") <= big).select(group, item)
     # Baskets and then pairs are dealt over as many tasks as there are pairs for, unless few items make pairs repeat.
-    made, items = (sized.agg(F.sum(F.when(F.col("_size") <= big, (F.col("_size") - 1) / 2)), F.approx_count_distinct(item))).first()
-    parts = int((made or 0) // PAIR_ROWS)
-    many = parts > 1 and items * items / 2 > (made or 0) / 8
+    parts = int(made // PAIR_ROWS)
+    many = parts > 1 and items * items / 2 > made / 8
     small = small.repartition(parts, group) if many else small
     pairs = (small.withColumnRenamed(item, "item_a").join(small.withColumnRenamed(item, "item_b"), group)
              .filter("item_a < item_b"))
     pairs = pairs.select("item_a", "item_b").repartition(parts, "item_a", "item_b") if many else pairs
-    large_groups = sized.filter(F.col("_size") > big).select(group).distinct().count()
     if large_groups == 0:
         return pairs.groupBy("item_a", "item_b").agg(F.count("*").alias("support")).filter(F.col("support") >= min_support)
     large = sized.filter(F.col("_size") > big)
-    if min_support > large_groups:
-        known = pairs.groupBy("item_a", "item_b").agg(F.count("*").alias("_cold")).filter(
-            F.col("_cold") >= min_support - large_groups)
+    if looked_up:
+        if known is None:
+            known = pairs.groupBy("item_a", "item_b").agg(F.count("*").alias("support")).filter(F.col("support") >= fewest)
+        known = known.withColumnRenamed("support", "_cold")
         held = large.select(group, item)
         extra = (known.join(held.withColumnRenamed(item, "item_a"), "item_a")
                  .join(held.withColumnRenamed(item, "item_b"), [group, "item_b"])

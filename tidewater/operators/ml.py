@@ -12,7 +12,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.commerce import pair_counts
+from tidewater.operators.commerce import counted_pairs
 from tidewater.operators.ordered import scan
 from tidewater.operators.pairs import in_rounds, paired
 from tidewater.operators.rel import attach, small_side
@@ -32,17 +32,20 @@ def association_rules(baskets: DataFrame, items: str, min_support: float = 0.01,
     if longest not in (1, 2):
         raise ValueError("longest must be 1 or 2")
     listed = baskets.filter(F.col(items).isNotNull()).select(F.monotonically_increasing_id().alias("_basket"), F.col(items).alias("_items"))
-    listed = durable(listed, "baskets")
-    n = listed.count()
-    least = max(math.ceil(min_support * n), 1)
-    rows = listed.select("_basket", F.explode("_items").alias("_item")).dropna().distinct()
-    singles = durable(rows.groupBy("_item").agg(F.count("*").alias("_held")).filter(F.col("_held") >= least), "singles")
-    pairs = durable(pair_counts(rows, "_basket", "_item", least), "pairs")
+    with freed_shuffles(baskets.sparkSession):
+        listed = durable(listed, "baskets")
+        n = listed.count()
+        least = max(math.ceil(min_support * n), 1)
+        rows = durable(listed.select("_basket", F.explode("_items").alias("_item")).dropna().distinct(), "rows")
+        discard(listed)
+        singles = durable(rows.groupBy("_item").agg(F.count("*").alias("_held")).filter(F.col("_held") >= least), "singles")
+        pairs = durable(counted_pairs(rows, "_basket", "_item", least), "pairs")
+        triples = durable(_triple_counts(rows, pairs, least), "triples") if longest == 2 else None
+        discard(rows)
     arrows = pairs.select("item_a", "item_b", "support").unionByName(pairs.select(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "support"))
     held = singles.withColumnRenamed("_item", "item_a")
     rules = arrows.join(held, "item_a").select(F.array("item_a").alias("antecedent"), F.col("item_b").alias("_then"), F.col("support").alias("_both"), "_held")
     if longest == 2:
-        triples = durable(_triple_counts(rows, pairs, least), "triples")
         a, b, c = "item_a", "item_b", "item_c"
         turned = [triples.select(F.col(x).alias(a), F.col(y).alias(b), F.col(z).alias("_then"), F.col("support").alias("_both")) for x, y, z in ((a, b, c), (a, c, b), (b, c, a))]
         known = pairs.select(a, b, F.col("support").alias("_held"))
@@ -63,9 +66,11 @@ def _triple_counts(rows: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
     ac, bc = ab.withColumnRenamed("item_b", "item_c"), ab.select(F.col("item_a").alias("item_b"), F.col("item_b").alias("item_c"))
     wanted = ab.join(ac, "item_a").filter(F.col("item_b") < F.col("item_c")).join(bc, ["item_b", "item_c"])
     wanted = durable(wanted.select("item_a", "item_b", "item_c"), "wanted")
-    paired = wanted.select("item_a", "item_b").distinct()
+    doubles = wanted.select("item_a", "item_b").distinct()
+    looked = durable(wanted.select(F.explode(F.array("item_a", "item_b", "item_c")).alias("_item")).distinct(), "looked")
+    rows = durable(rows.join(small_side(looked), "_item", "left_semi").select("_basket", "_item"), "held")
     a, b, c = (rows.withColumnRenamed("_item", f"item_{x}") for x in "abc")
-    met = paired.join(a, "item_a").join(b, ["_basket", "item_b"]).join(wanted, ["item_a", "item_b"]).join(c, ["_basket", "item_c"])
+    met = doubles.join(a, "item_a").join(b, ["_basket", "item_b"]).join(wanted, ["item_a", "item_b"]).join(c, ["_basket", "item_c"])
     return met.groupBy("item_a", "item_b", "item_c").agg(F.count("*").alias("support")).filter(F.col("support") >= least)
 
 

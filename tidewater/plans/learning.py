@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.columns import line_revenue, pct
 from tidewater.operators import ml
 from tidewater.plans.registry import query
-from tidewater.sources.durable import durable
+from tidewater.sources.durable import discard, durable, freed_shuffles
 
 SALES = "lineitem JOIN part ON l_partkey = p_partkey"
 
@@ -51,9 +51,11 @@ def m03_frequent_items(t):
 def m03_product_rules(t):
     # all products a customer ever bought; rules of one or two products before the arrow, seen with four customers at least
     bought = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "l_partkey").distinct()
-    baskets = durable(bought.groupBy("o_custkey").agg(F.collect_list("l_partkey").alias("items")), "baskets")
+    with freed_shuffles(t.spark):
+        baskets = durable(bought.groupBy("o_custkey").agg(F.collect_list("l_partkey").alias("items")), "baskets")
     n = baskets.count()
     rules = ml.association_rules(baskets, "items", 3.5 / max(n, 1), 0.1 - 1e-9, longest=2)
+    discard(baskets)
     return rules.select(F.array_join(F.array_sort("antecedent"), "+").alias("antecedent"), F.element_at("consequent", 1).alias("consequent"),
                         F.round(F.col("support") * n).cast("long").alias("support"), F.round("confidence", 6).alias("confidence"), F.round("lift", 4).alias("lift"))
 
